@@ -6,7 +6,7 @@ takes part.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from marketloom.functions import csv_line
@@ -79,22 +79,23 @@ def event_records(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def event_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Topic-shaped messages, some damaged; ``offset`` is the event id."""
-    names = [F.col(f"c{i}") for i in range(WIRE_FIELD_COUNT)]
-
-    def raw(text: Column) -> Column:
-        return F.encode(text, "UTF-8")
-
-    damage = F.col("damage")
-    line = csv_line(names)
-    value = (
-        F.when(damage == "empty", raw(F.lit("")))
-        .when(damage == "short", raw(csv_line(names[:-1])))
-        .when(damage == "long", raw(csv_line([*names, F.lit("more")])))
-        .when(damage == "bytes", F.concat(raw(line), F.lit(bytes([0xFF]))))
-        .when(damage == "return", raw(F.concat(F.lit("x\ry,"), line)))
-        .otherwise(raw(line))
+    damage, line = F.col("damage"), F.col("line")
+    lines = event_records(spark, sf_dir).select(
+        "event_id",
+        "damage",
+        F.explode(F.array(csv_line([F.col(f"c{i}") for i in range(WIRE_FIELD_COUNT)]))).alias("line"),
     )
-    return event_records(spark, sf_dir).select(
+    # The last field has three characters and the comma before it.
+    text = (
+        F.when(damage == "empty", "")
+        .when(damage == "short", F.substring(line, F.lit(1), F.length(line) - 4))
+        .when(damage == "long", F.concat(line, F.lit(",more")))
+        .when(damage == "return", F.concat(F.lit("x\ry,"), line))
+        .otherwise(line)
+    )
+    tail = F.when(damage == "bytes", F.lit(bytes([0xFF]))).otherwise(F.lit(b""))
+    value = F.concat(F.encode(text, "UTF-8"), tail)
+    return lines.select(
         F.lit(0).alias("partition"), F.col("event_id").alias("offset"), value.alias("value")
     )
 

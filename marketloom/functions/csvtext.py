@@ -58,11 +58,6 @@ def _swap(text: Column, old: str, new: str) -> Column:
     return F.replace(text, F.lit(old), F.lit(new))
 
 
-def _marked(text: Column) -> Column:
-    safe = _swap(_swap(text, _ESCAPE, _ESCAPE + "e"), _PAIR, _ESCAPE + "p")
-    return _swap(safe, '""', _PAIR)
-
-
 def _field_text(token: Column) -> Column:
     """Value of a raw field: quotes count only where the field begins with one."""
     opened = F.regexp_extract(token, _QUOTED_PART, 1)
@@ -90,35 +85,45 @@ def _field_text(token: Column) -> Column:
     ).otherwise(value)
 
 
-def csv_record(text: Column) -> Column:
-    """Struct ``(fields, failure)`` of the first CSV record in ``text``.
+def marked_text(text: Column) -> Column:
+    """Text with every doubled quote as one mark."""
+    safe = _swap(_swap(text, _ESCAPE, _ESCAPE + "e"), _PAIR, _ESCAPE + "p")
+    return _swap(safe, '""', _PAIR)
 
-    ``failure`` is NULL, ``empty`` (no record at all) or ``parse`` (a bare
-    carriage return inside the record, or a field above the length limit).
-    """
-    marked = _marked(text)
-    tokens = F.regexp_extract_all(F.concat(F.lit(","), marked), F.lit(_FIELD), F.lit(1))
+
+def raw_fields(marked: Column) -> Column:
+    """Fields of the first record of marked text, still quoted."""
+    return F.regexp_extract_all(F.concat(F.lit(","), marked), F.lit(_FIELD), F.lit(1))
+
+
+def record_of(text: Column, marked: Column, tokens: Column) -> Column:
+    """Struct ``(fields, failure)`` of a record that is split already; see ``csv_record``."""
     # What follows the first record; evaluated only for text with line ends.
     rest = F.substring(marked, F.length(F.array_join(tokens, ",")) + 1, F.length(marked))
-    has_line_end = text.rlike("[\r\n]")
-    bare_return = has_line_end & rest.rlike("^\r+[^\r\n]")
-    blank_record = text.rlike("^[\r\n]")
-    fields = F.when(blank_record, F.array().cast("array<string>")).otherwise(
+    bare_return = text.contains("\r") & rest.rlike("^\r+[^\r\n]")
+    fields = F.when(text.rlike("^[\r\n]"), F.array().cast("array<string>")).otherwise(
         F.transform(tokens, _field_text)
     )
     too_long = (F.length(text) > CSV_FIELD_LIMIT) & F.exists(
         fields, lambda f: F.length(f) > CSV_FIELD_LIMIT
     )
-    failure = (
-        F.when(text == "", F.lit("empty")).when(bare_return | too_long, F.lit("parse"))
-    )
+    failure = F.when(text == "", "empty").when(bare_return | too_long, "parse")
     return F.struct(fields.alias("fields"), failure.alias("failure"))
 
 
+def csv_record(text: Column) -> Column:
+    """Struct ``(fields, failure)`` of the first CSV record in ``text``.
+
+    ``failure`` is NULL, ``empty`` (no record at all) or ``parse`` (a bare
+    carriage return inside the record, or a field above the length limit).
+    """
+    marked = marked_text(text)
+    return record_of(text, marked, raw_fields(marked))
+
+
 def leaves_quote_open(line: Column) -> Column:
     """Whether a line that begins a record ends inside a quoted field."""
-    tokens = F.regexp_extract_all(F.concat(F.lit(","), _marked(line)), F.lit(_FIELD), F.lit(1))
-    return F.element_at(tokens, -1).rlike(r'^\x01*"[^"]*$')
+    return F.element_at(raw_fields(marked_text(line)), -1).rlike(r'^\x01*"[^"]*$')
 
 
 def csv_line_of(fields: Column) -> Column:

@@ -14,6 +14,11 @@ BUCKETS_PER_SPAN = 1 << 10
 BATCHES_PER_SPAN = 1_000
 
 
+def whole_division(value: Column, by: int) -> Column:
+    """Integer division; exact where doubles are not."""
+    return F.call_function("div", value.cast("long"), F.lit(by))
+
+
 def bucket_bases(
     df: DataFrame, lead: Sequence[str], span_of: Column, bucket: str = "_bucket"
 ) -> DataFrame:
@@ -92,9 +97,9 @@ def number_batches(
     numbered = number_rows(
         df,
         [partition] if partition else [],
-        F.floor(F.col(offset) / bucket_offsets),
+        whole_division(F.col(offset), bucket_offsets),
         [offset],
-        F.floor(F.col("_bucket") / BUCKETS_PER_SPAN),
+        whole_division(F.col("_bucket"), BUCKETS_PER_SPAN),
     )
     return numbered.withColumn("row_no", F.col("row_no") + F.lit(start)).withColumn(
         "batch_no", batch_number(F.col("row_no"), batch_size)
@@ -102,15 +107,15 @@ def number_batches(
 
 
 def batch_number(row_no: Column, batch_size: int) -> Column:
-    return F.floor((row_no - 1) / batch_size).cast("long") + 1
+    return whole_division(row_no - 1, batch_size) + 1
 
 
 def is_remainder(batch_no: Column, total_rows: Column | int, batch_size: int = BATCH_SIZE) -> Column:
     """Whether a batch is the last, partly filled one; ``total_rows`` is all rows numbered."""
     total = total_rows if isinstance(total_rows, Column) else F.lit(total_rows)
-    return batch_no > F.floor(total / batch_size)
+    return batch_no > whole_division(total, batch_size)
 
 
 def batch_span(batch_no: Column) -> Column:
     """Directory key of a batch, so that a store of millions of batches stays listable."""
-    return F.floor((batch_no - 1) / BATCHES_PER_SPAN).cast("long")
+    return whole_division(batch_no - 1, BATCHES_PER_SPAN)

@@ -21,14 +21,28 @@ _NUMBER = r"^(BIGINT|DOUBLE|FLOAT|BOOLEAN|DECIMAL.*)$"
 _FALSY = ("0", "0.0", "false", '""', "[]", "{}", "null")
 
 
-def body_status(body: Column) -> Column:
+def request_json(body: Column) -> Column:
+    """The one JSON value in ``body`` as a variant; NULL if there is none or more follows it.
+
+    The JSON parser stops after the first value. Inside an array whatever follows
+    is an error or a second element; only a stray bracket could close that array
+    early, so bodies with a bracket must parse inside an object as well.
+    """
+    listed = F.try_parse_json(F.concat(F.lit("["), body, F.lit("]")))
+    single = F.try_variant_get(listed, "$[1]", "variant").isNull() & (
+        ~body.contains("]")
+        | F.try_parse_json(F.concat(F.lit('{"b":'), body, F.lit("}"))).isNotNull()
+    )
+    return F.when(single, F.try_variant_get(listed, "$[0]", "variant"))
+
+
+def body_status(parsed: Column) -> Column:
     """``ok``, ``bad_request`` (no JSON, nothing in it, or a feature absent) or ``invalid``.
 
     Presence and type are told apart: an absent feature is a bad request, while
     NULL, text or nested values in a feature make the request invalid. Integers
-    and booleans count as numbers.
+    and booleans count as numbers. Duplicate keys and NaN are no JSON here.
     """
-    parsed = F.try_parse_json(body)
     whole = F.schema_of_variant(parsed)
     named = F.lit(True)
     typed = F.lit(True)
@@ -44,13 +58,13 @@ def body_status(body: Column) -> Column:
         typed = typed & F.schema_of_variant(value).rlike(_NUMBER)
         listed = listed & F.array_contains(entries, name)
         spelled = spelled & text.contains(name)
-    return (
-        F.when(body.isNull() | parsed.isNull(), "bad_request")
-        .when(F.trim(F.to_json(parsed)).isin(*_FALSY), "bad_request")
+    status = (
+        F.when(parsed.isNull() | F.to_json(parsed).isin(*_FALSY), "bad_request")
         .when(whole.startswith("OBJECT"), F.when(~named, "bad_request").when(typed, "ok"))
         .when(whole.startswith("ARRAY"), F.when(~listed, "bad_request"))
         .when(whole == "STRING", F.when(~spelled, "bad_request"))
     )
+    return F.coalesce(status, F.lit("invalid"))
 
 
 def parse_requests(requests: DataFrame, prefix: str, known: list[str]) -> DataFrame:
@@ -61,23 +75,22 @@ def parse_requests(requests: DataFrame, prefix: str, known: list[str]) -> DataFr
     """
     named = requests.withColumn("artifact", F.concat(F.lit(prefix), "model"))
     known_model = F.coalesce(F.col("artifact").isin(known), F.lit(False))
-    status = F.when(~known_model, "unknown_model").otherwise(
-        F.coalesce(body_status(F.col("body")), F.lit("invalid"))
-    )
-    parsed = F.try_parse_json("body")
-    # One-row generator: the status is worked out once, whatever filters follow.
-    judged = named.withColumn("status", F.explode(F.array(status)))
+    # One-element generators: parse and judge once, however often the result is used.
+    read = named.withColumn("_json", F.explode(F.array(F.when(known_model, request_json(F.col("body"))))))
+    status = F.when(~known_model, "unknown_model").otherwise(body_status(F.col("_json")))
+    judged = read.withColumn("status", F.explode(F.array(status)))
+    usable = F.col("status") == "ok"
     return judged.withColumns(
         {
-            "input_features": F.when(F.col("status") == "ok", parsed),
+            "input_features": F.when(usable, F.col("_json")),
             **{
                 name: F.when(
-                    F.col("status") == "ok", F.try_variant_get(parsed, f"$.{name}", "double")
+                    usable, F.try_variant_get("_json", f"$.{name}", "double")
                 ).otherwise(F.lit(0.0))
                 for name in FEATURES
             },
         }
-    )
+    ).drop("_json")
 
 
 def _error(kind: str) -> Column:

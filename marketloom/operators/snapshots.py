@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from marketloom.operators.batching import number_rows
+from marketloom.operators.batching import number_rows, whole_division
 from marketloom.schema import SNAPSHOTS
 
 _NAME = r"^batch_(\d+)_(\d+)(_remaining)?\.csv$"
@@ -45,8 +45,8 @@ def rank_batches(names: DataFrame, order: str = "numeric", name: str = "file_nam
     """
     parsed = parse_batch_names(names, name)
     if order == "numeric":
-        bucket = F.coalesce(F.floor(F.col("batch_no") / 1_000), F.lit((1 << 63) - 1))
-        span = F.floor(F.col("_bucket") / 1_000)
+        bucket = F.coalesce(whole_division(F.col("batch_no"), 1_000), F.lit((1 << 63) - 1))
+        span = whole_division(F.col("_bucket"), 1_000)
     else:
         bucket, span = F.substring(name, 1, 10), F.substring(F.col("_bucket"), 1, 8)
     ranked = number_rows(parsed, [], bucket, batch_order(order, name), span)

@@ -7,7 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from marketloom.functions import csv_line, csv_record, utf8_text
+from marketloom.functions.csvtext import csv_line, marked_text, raw_fields, record_of, utf8_text
 from marketloom.schema import PREVIEW_LENGTH, WIRE_FIELD_COUNT, WIRE_POSITIONS
 
 
@@ -20,21 +20,21 @@ def encode_records(df: DataFrame, columns: Sequence[str], *, keep: Sequence[str]
 def parse_messages(df: DataFrame, arity: int = WIRE_FIELD_COUNT, value: str = "value") -> DataFrame:
     """Add ``text``, ``fields`` (array of text) and ``reason`` (NULL for a good record).
 
-    Reasons: ``encoding``, ``empty``, ``parse``, ``arity``. The parse sits in a
-    generator over a one-element array: a later filter on ``reason`` then stays
-    above it, instead of being pushed below as a second copy of the parse.
+    Reasons: ``encoding``, ``empty``, ``parse``, ``arity``. Each costly step sits
+    in a generator over a one-element array: it then runs once, while a plain
+    projection would be copied into every later filter and column.
     """
-    text = utf8_text(F.col(value))
-    decoded = df.withColumn("text", F.explode(F.array(text)))
-    parsed = decoded.select(
-        "*", F.inline(F.array(csv_record(F.col("text")))).alias("fields", "failure")
-    )
+    decoded = df.withColumn("text", F.explode(F.array(utf8_text(F.col(value)))))
+    marked = decoded.withColumn("_marked", F.explode(F.array(marked_text(F.col("text")))))
+    split = marked.withColumn("_tokens", F.explode(F.array(raw_fields(F.col("_marked")))))
+    record = record_of(F.col("text"), F.col("_marked"), F.col("_tokens"))
+    parsed = split.select("*", F.inline(F.array(record)).alias("fields", "failure"))
     return parsed.withColumn(
         "reason",
         F.when(F.col("text").isNull(), "encoding")
         .when(F.col("failure").isNotNull(), F.col("failure"))
         .when(F.size("fields") != arity, "arity"),
-    ).drop("failure")
+    ).drop("_marked", "_tokens", "failure")
 
 
 def field(position: int) -> Column:
