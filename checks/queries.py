@@ -224,7 +224,7 @@ def _tiered_apps(spark: SparkSession, sf_dir: str) -> DataFrame:
 def snapshot_mean_fill(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Each snapshot filled with its own mean; the three means come from one pass."""
     cleaned = cleaning.clean_features(_tiered_apps(spark, sf_dir))
-    fills = cleaning.snapshot_fill_values(cleaned)
+    fills = cleaning.snapshot_statistics(cleaned)
     cumulated = snapshots.cumulative_snapshots(cleaned)
     mean = cleaning.snapshot_fill(fills, F.col("snapshot"))
     return cleaning.fill_missing(cumulated, mean).select(
@@ -412,12 +412,12 @@ def score_request_bodies(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def score_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
-    scorer = Scorer(spark, _trained(spark, sf_dir))
+    scorer = Scorer(spark, _trained(spark, sf_dir), kinds=["kmeans"])
     return scorer.clusters(score_request_bodies(spark, sf_dir)).drop("input_features")
 
 
 def score_projections(spark: SparkSession, sf_dir: str) -> DataFrame:
-    scorer = Scorer(spark, _trained(spark, sf_dir))
+    scorer = Scorer(spark, _trained(spark, sf_dir), kinds=["pca"])
     return scorer.projections(score_request_bodies(spark, sf_dir)).drop("input_features")
 
 
@@ -447,7 +447,7 @@ def itemset_json(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def trained_itemsets(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The itemsets that training saved for each snapshot."""
-    scorer = Scorer(spark, _trained(spark, sf_dir))
+    scorer = Scorer(spark, _trained(spark, sf_dir), kinds=["fpgrowth"])
     parts = [
         scorer.itemsets(name).select(
             F.lit(name).alias("snapshot"), F.get("items", F.lit(0)).alias("item"), "freq"

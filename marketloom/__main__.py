@@ -54,14 +54,15 @@ def _train(spark: SparkSession, args: argparse.Namespace) -> None:
 
 
 def _score(spark: SparkSession, args: argparse.Namespace) -> None:
-    scorer = Scorer(spark, args.models)
+    kinds = ["kmeans"] if args.kind == "clusters" else ["pca"]
+    scorer = Scorer(spark, args.models, kinds)
     requests = spark.read.json(args.requests, schema="request_id string, model string, body string")
     answer = scorer.clusters if args.kind == "clusters" else scorer.projections
     answer(requests).drop("input_features").write.mode("overwrite").parquet(args.output)
 
 
 def _itemsets(spark: SparkSession, args: argparse.Namespace) -> None:
-    Scorer(spark, args.models).itemset_response(
+    Scorer(spark, args.models, ["fpgrowth"]).itemset_response(
         args.model, one_document=False
     ).select("response").write.mode("overwrite").text(args.output)
 

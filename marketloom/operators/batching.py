@@ -32,6 +32,9 @@ def bucket_bases(
         .agg(F.count(F.lit(1)).alias("_rows"))
         .withColumn("_span", span_of)
     )
+    # The joins imply this for one use of the counts; said for both, they share one shuffle.
+    for key in (*lead, bucket, "_span"):
+        counts = counts.filter(F.col(key).isNotNull())
     before = (Window.unboundedPreceding, -1)
     spans = (
         counts.groupBy(*lead, "_span")

@@ -38,18 +38,27 @@ def mean_fill_value(df: DataFrame, column: str = MEAN_FILLED, nan: str = "missin
     return df.agg(F.coalesce(F.avg(present(column, nan)), F.lit(0.0)).alias("fill"))
 
 
-def snapshot_fill_values(
+def snapshot_statistics(
     df: DataFrame, tier: str = "tier", column: str = MEAN_FILLED, nan: str = "missing"
 ) -> DataFrame:
-    """One row with the fill values of all three cumulative snapshots, from one pass."""
-    return df.agg(
-        *[
-            F.coalesce(
-                F.avg(F.when(F.col(tier) <= s, present(column, nan))), F.lit(0.0)
-            ).alias(f"fill_{s}")
-            for s in range(1, len(SNAPSHOTS) + 1)
+    """One row with ``fill_s``, ``rows_s`` and ``kept_s`` per cumulative snapshot, from one pass.
+
+    The fill value is the mean of a snapshot, ``rows_s`` counts its rows, and
+    ``kept_s`` those that are complete after filling: all of them, or only the
+    rated ones if a NaN made the mean useless.
+    """
+    columns = []
+    for s in range(1, len(SNAPSHOTS) + 1):
+        held = F.col(tier) <= s
+        rated = held & F.col(column).isNotNull() & ~F.isnan(column)
+        fill = F.coalesce(F.avg(F.when(held, present(column, nan))), F.lit(0.0))
+        rows = F.count_if(held)
+        columns += [
+            fill.alias(f"fill_{s}"),
+            rows.alias(f"rows_{s}"),
+            F.when(F.isnan(fill), F.count_if(rated)).otherwise(rows).alias(f"kept_{s}"),
         ]
-    )
+    return df.agg(*columns)
 
 
 def snapshot_fill(fills: DataFrame, snapshot: Column) -> Column:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -13,15 +15,17 @@ from marketloom.operators.scoring import (
     status_code,
 )
 from marketloom.schema import ITEMSET_PREFIX
-from marketloom.sources.artifacts import load_artifacts
+from marketloom.sources.artifacts import KINDS, load_artifacts
 
 
 class Scorer:
     """Loaded artifacts of one directory and the three questions they answer."""
 
-    def __init__(self, spark: SparkSession, models: str):
+    def __init__(
+        self, spark: SparkSession, models: str, kinds: Sequence[str] = tuple(KINDS.values())
+    ):
         self.spark = spark
-        self.artifacts = load_artifacts(spark, models)
+        self.artifacts = load_artifacts(spark, models, kinds)
 
     def clusters(self, requests: DataFrame) -> DataFrame:
         """``requests`` is a batch or a stream of ``(model, body, …)``."""

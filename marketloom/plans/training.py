@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import logging
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
@@ -12,7 +13,7 @@ from marketloom.operators.cleaning import (
     clean_features,
     drop_incomplete,
     fill_missing,
-    snapshot_fill_values,
+    snapshot_statistics,
 )
 from marketloom.operators.mining import item_support
 from marketloom.operators.models import fit_clusters, fit_deviations, fit_projection
@@ -95,25 +96,35 @@ def train_snapshots(
     """Fit and save clusters, projection and itemsets for each snapshot of tiered rows."""
     report = TrainingReport()
     features = stage_features(rows)
-    fills = snapshot_fill_values(features, nan=nan).first()
-    for tier, name in enumerate(SNAPSHOTS, start=1):
-        held = snapshot(features, name)
-        kept = drop_incomplete(fill_missing(held, fills[f"fill_{tier}"], nan)).drop("tier")
-        counts = held.agg(F.count(F.lit(1)).alias("n")).first()["n"]
-        report.rows_read[name] = counts
-        if kept.isEmpty():
-            log.warning("no rows to train %s", name)
-            report.rows_kept[name] = 0
-            continue
-        report.rows_kept[name] = kept.count()
+    stats = snapshot_statistics(features, nan=nan).first()
+
+    def train(tier: int) -> list[str]:
+        name = SNAPSHOTS[tier - 1]
+        held = snapshot(features, name).drop("tier")
+        kept = drop_incomplete(fill_missing(held, stats[f"fill_{tier}"], nan))
         vectors = spread(kept.select(*FEATURES))
         deviations = fit_deviations(vectors)
         clusters = fit_clusters(vectors, k=k, seed=seed, deviations=deviations)
-        report.artifacts.append(save_model(clusters, models, CLUSTER_PREFIX + name))
         projection = fit_projection(vectors, k=components, deviations=deviations)
-        report.artifacts.append(save_model(projection, models, PROJECTION_PREFIX + name))
         itemsets = item_support(kept, min_support=min_support)
-        report.artifacts.append(save_itemsets(itemsets, models, ITEMSET_PREFIX + name))
+        return [
+            save_model(clusters, models, CLUSTER_PREFIX + name),
+            save_model(projection, models, PROJECTION_PREFIX + name),
+            save_itemsets(itemsets, models, ITEMSET_PREFIX + name),
+        ]
+
+    trainable = []
+    for tier, name in enumerate(SNAPSHOTS, start=1):
+        report.rows_read[name] = stats[f"rows_{tier}"]
+        report.rows_kept[name] = stats[f"kept_{tier}"]
+        if stats[f"kept_{tier}"]:
+            trainable.append(tier)
+        else:
+            log.warning("no rows to train %s", name)
+    # The snapshots are independent and the first two are small: let their jobs overlap.
+    with ThreadPoolExecutor(len(SNAPSHOTS)) as pool:
+        for paths in pool.map(train, trainable):
+            report.artifacts += paths
     return report
 
 

@@ -4,10 +4,12 @@ from __future__ import annotations
 
 import logging
 import re
+from collections.abc import Sequence
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.errors import AnalysisException
 from pyspark.ml import PipelineModel
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
 from marketloom.schema import CLUSTER_PREFIX, ITEMSET_PREFIX, PROJECTION_PREFIX
@@ -74,19 +76,30 @@ def artifact_catalogue(spark: SparkSession, base: str) -> DataFrame:
     )
 
 
-def load_artifacts(spark: SparkSession, base: str) -> dict[str, PipelineModel | DataFrame]:
-    """Everything that loads, by name; what fails to load is logged and left out.
+def load_artifacts(
+    spark: SparkSession, base: str, kinds: Sequence[str] = tuple(KINDS.values())
+) -> dict[str, PipelineModel | DataFrame]:
+    """Everything of the given kinds that loads, by name; what fails is logged and left out.
 
     The catalogue holds one row per saved model, which all fit in the driver's
-    memory anyway once loaded.
+    memory anyway once loaded. Loading a model is a handful of tiny jobs, so
+    several load at a time.
     """
-    loaded: dict[str, PipelineModel | DataFrame] = {}
-    for row in artifact_catalogue(spark, base).orderBy("name").collect():
+
+    def load(row: Row) -> PipelineModel | DataFrame | None:
         try:
             if row["kind"] == "fpgrowth":
-                loaded[row["name"]] = spark.read.parquet(row["path"])
+                found = spark.read.parquet(row["path"]).select("items", "freq")
             else:
-                loaded[row["name"]] = PipelineModel.load(row["path"])
+                found = PipelineModel.load(row["path"])
         except Exception:
             log.exception("could not load %s", row["path"])
-    return loaded
+            return None
+        return found
+
+    rows = (
+        artifact_catalogue(spark, base).filter(F.col("kind").isin(*kinds)).orderBy("name").collect()
+    )
+    with ThreadPoolExecutor(8) as pool:
+        items = zip(rows, pool.map(load, rows), strict=True)
+        return {row["name"]: item for row, item in items if item is not None}
