@@ -32,11 +32,17 @@ def fit_clusters(
     seed: int = SEED,
     deviations: StandardScalerModel | None = None,
 ) -> PipelineModel:
-    """Assemble, scale, k-means. The fit keeps its own copy of the scaled vectors."""
+    """Assemble, scale, k-means. The fit keeps its own copy of the scaled vectors.
+
+    The row solver takes data with fewer distinct points than ``k`` (the block
+    solver fails on it) and needs no extra pass to measure sparsity.
+    """
     raw, scaled, prediction = CLUSTER_COLUMNS
     assemble = assembler(columns, raw)
     scale = deviations or fit_deviations(df, columns)
-    kmeans = KMeans(featuresCol=scaled, predictionCol=prediction, k=k, seed=seed)
+    kmeans = KMeans(
+        featuresCol=scaled, predictionCol=prediction, k=k, seed=seed, solver="row"
+    )
     vectors = scale.transform(assemble.transform(df)).select(scaled)
     return PipelineModel([assemble, scale, kmeans.fit(vectors)])
 

@@ -73,7 +73,8 @@ def parse_requests(requests: DataFrame, prefix: str, known: list[str]) -> DataFr
     An unknown model comes before anything in the body. Features of requests
     that cannot be scored are 0.0, so that one pass can carry every request.
     """
-    named = requests.withColumn("artifact", F.concat(F.lit(prefix), "model"))
+    suffix = F.coalesce("model", F.lit(""))
+    named = requests.withColumn("artifact", F.concat(F.lit(prefix), suffix))
     known_model = F.coalesce(F.col("artifact").isin(known), F.lit(False))
     # One-element generators: parse and judge once, however often the result is used.
     read = named.withColumn("_json", F.explode(F.array(F.when(known_model, request_json(F.col("body"))))))

@@ -1,0 +1,156 @@
+"""CSV batches to models to answers, end to end."""
+
+import csv
+import json
+import math
+
+import pytest
+from pyspark.sql import functions as F
+
+from marketloom.__main__ import main
+from marketloom.plans import training
+from marketloom.plans.serving import Scorer
+from marketloom.schema import BATCH_COLUMNS, FEATURES, SNAPSHOTS
+from marketloom.sources import batches
+from marketloom.streaming.ingest import IngestStore
+
+CATEGORIES = ["GAME", "TOOLS", "FAMILY, \"kids\"", "", "NEWS\nDAILY"]
+
+
+def app(i):
+    rating = ["4.5", "", "NaN", "3.0", "bad"][i % 5]
+    size = [f"{i % 30 + 1}M", f"{i % 900}k", "Varies with device"][i % 3]
+    return [
+        f"app {i}", CATEGORIES[i % 5 if i % 2 else 0], rating, str(i * 11), size,
+        f"{i % 50},000+", "Free", f"${i % 7}.99" if i % 4 == 0 else "0", "Everyone", "Jan 1, 2024", "4.1",
+    ]
+
+
+@pytest.fixture
+def batch_dir(tmp_path):
+    """Files as Python's csv module writes them; ten and more batches, to tell the orders apart."""
+    path = tmp_path / "batches"
+    path.mkdir()
+    for n in range(1, 12):
+        suffix = "_remaining" if n == 11 else ""
+        with (path / f"batch_{n}_202401010000{n:02d}{suffix}.csv").open("w", newline="") as out:
+            writer = csv.writer(out)
+            writer.writerow(BATCH_COLUMNS)
+            writer.writerows(app(n * 100 + i) for i in range(20 if n == 11 else 40))
+    (path / "notes.txt").write_text("ignored")
+    return str(path)
+
+
+def expected_counts(numbers):
+    counts = {}
+    for n in numbers:
+        for i in range(20 if n == 11 else 40):
+            category = app(n * 100 + i)[1] or "Unknown"
+            counts[category] = counts.get(category, 0) + 1
+    total = sum(counts.values())
+    return {k: v for k, v in counts.items() if v >= math.ceil(0.005 * total)}
+
+
+def test_batch_files_read_as_written(spark, batch_dir):
+    rows = batches.read_batch_files(spark, batch_dir)
+    got = {r.App: [r[c] or "" for c in BATCH_COLUMNS] for r in rows.collect()}
+    want = {app(n * 100 + i)[0]: app(n * 100 + i) for n in range(1, 12) for i in range(20 if n == 11 else 40)}
+    assert got == want
+    assert batches.list_batch_files(spark, batch_dir).count() == 11
+
+
+@pytest.mark.parametrize(
+    ("order", "members"), [("numeric", [[1], [1, 2]]), ("lexical", [[10], [10, 11]])]
+)
+def test_train_and_serve(spark, batch_dir, tmp_path, order, members):
+    models = str(tmp_path / "models")
+    report = training.train_from_files(spark, batch_dir, models, order, k=3)
+    members = [*members, list(range(1, 12))]
+    sizes = [sum(20 if n == 11 else 40 for n in m) for m in members]
+    assert list(report.rows_read.values()) == list(report.rows_kept.values()) == sizes
+    assert len(report.artifacts) == 9
+    scorer = Scorer(spark, models)
+    for name, numbers in zip(SNAPSHOTS, members, strict=True):
+        got = {r["items"][0]: r.freq for r in scorer.itemsets(name).collect()}
+        assert got == expected_counts(numbers)
+    good = json.dumps({c: 1.5 for c in FEATURES})
+    requests = spark.createDataFrame(
+        [(name, good) for name in (*SNAPSHOTS, "model4")], "model string, body string"
+    )
+    clusters = scorer.clusters(requests).orderBy("model").collect()
+    assert [r.status for r in clusters] == ["ok"] * 3 + ["unknown_model"]
+    assert all(0 <= r.predicted_cluster_id < 3 for r in clusters[:3])
+    projected = scorer.projections(requests).orderBy("model").collect()
+    assert [len(r.transformed_pca_features or []) for r in projected] == [3, 3, 3, 0]
+
+
+def test_lexical_order_matches_the_file_names(batch_dir, spark):
+    names = [r.file_name for r in batches.list_batch_files(spark, batch_dir).collect()]
+    assert sorted(names)[0].startswith("batch_10_") and sorted(names)[1].startswith("batch_11_")
+
+
+def test_propagated_nan_keeps_rated_rows_only(spark, batch_dir, tmp_path):
+    report = training.train_from_files(spark, batch_dir, str(tmp_path / "m"), nan="propagate", k=2)
+    rated = [sum(app(n * 100 + i)[2] in ("4.5", "3.0") for n in m for i in range(20 if n == 11 else 40))
+             for m in ([1], [1, 2], range(1, 12))]
+    assert list(report.rows_kept.values()) == rated
+
+
+def test_too_few_batches(spark, batch_dir, tmp_path):
+    one = spark.range(5).select(F.lit(1).cast("long").alias("batch_no"), F.lit(0).alias("batch_span"))
+    one.write.partitionBy("batch_span").parquet(str(tmp_path / "store"))
+    with pytest.raises(ValueError, match="need 3"):
+        training.tiered_batch_store(spark, str(tmp_path / "store"))
+    with pytest.raises(ValueError, match="need 3"):
+        training.tiered_batch_files(spark, batch_dir + "/batch_1_20240101000001.csv")
+
+
+def test_snapshots_without_rows_are_skipped(spark, tmp_path):
+    schema = ", ".join(f"`{c}` string" for c in [*FEATURES, "Category"]) + ", tier int"
+    rows = spark.createDataFrame([("1", "2", "3M", "4", "5", "A", 3)] * 4, schema)
+    report = training.train_snapshots(rows, str(tmp_path / "m"), k=2)
+    assert report.rows_kept == {"model1": 0, "model2": 0, "model3": 4}
+    assert [p.rsplit("/", 1)[1] for p in report.artifacts] == [
+        "kmeans_model3", "pca_model3", "fpgrowth_results_model3",
+    ]
+
+
+def test_jobs_from_dataset_to_answers(spark, tmp_path):
+    """The whole chain through the command line, on one session."""
+    data = tmp_path / "data.csv"
+    with data.open("w", newline="") as out:
+        writer = csv.writer(out)
+        writer.writerow([f"h{i}" for i in range(24)])
+        for i in range(350):
+            record = [f"f{j}" for j in range(24)]
+            for position, value in zip((0, 2, 3, 4, 11, 5, 8, 9, 18, 17, 12), app(i), strict=True):
+                record[position] = value
+            writer.writerow(record if i % 50 else record[:-1])
+    at = lambda name: str(tmp_path / name)
+    main(["publish", "--dataset", str(data), "--topic-path", at("topic")])
+    main(["ingest", "--topic-path", at("topic"), "--store", at("store"),
+          "--checkpoint", at("cp"), "--batch-size", "100"])
+    store = IngestStore(at("store"))
+    rows = store.read_batches(spark)
+    assert rows.count() == 343 and store.read_rejects(spark).count() == 7
+    assert rows.agg(F.max("batch_no")).first()[0] == 4
+    main(["export", "--store", at("store"), "--batches", at("batches")])
+    assert batches.list_batch_files(spark, at("batches")).count() == 4
+    exported = batches.read_batch_files(spark, at("batches"))
+    assert sorted(r.App for r in exported.collect()) == sorted(r.App for r in rows.collect())
+    main(["train", "--batches", at("batches"), "--models", at("from_files")])
+    main(["train", "--store", at("store"), "--models", at("from_store")])
+    first, second = (Scorer(spark, at(m), ["fpgrowth"]) for m in ("from_files", "from_store"))
+    for name in SNAPSHOTS:
+        assert first.itemsets(name).collect() == second.itemsets(name).collect()
+    requests = [{"request_id": "a", "model": "model2", "body": json.dumps({c: 2 for c in FEATURES})},
+                {"request_id": "b", "model": "model2", "body": "{}"}]
+    (tmp_path / "requests.json").write_text("\n".join(map(json.dumps, requests)))
+    for kind in ("clusters", "projections"):
+        main(["score", "--models", at("from_store"), "--requests", at("requests.json"),
+              "--output", at(kind), "--kind", kind])
+        got = spark.read.parquet(at(kind)).orderBy("request_id").collect()
+        assert [r.code for r in got] == [200, 400]
+    main(["itemsets", "--models", at("from_store"), "--model", "model1", "--output", at("sets")])
+    lines = [json.loads(r.value) for r in spark.read.text(at("sets")).collect()]
+    assert {line["results_used"] for line in lines} == {"fpgrowth_results_model1"}
