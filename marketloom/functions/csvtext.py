@@ -26,7 +26,7 @@ PYTHON_WHITESPACE = (
 # Text that already holds the character is escaped around the split.
 _PAIR = "\x01"
 _ESCAPE = "\x02"
-_FIELD = r'\G,(\x01*"[^"]*"?[^,\r\n]*|[^,\r\n]*)'
+_FIELD = r'\G,(\x01*+"[^"]*+"?+[^,\r\n]*+|[^,\r\n]*+)'
 _OPENED = r'^\x01*"'
 _QUOTED_PART = r'^(\x01*"[^"]*)'
 _LEADING_PAIRS = r"^(\x01*)"
@@ -62,8 +62,14 @@ def _field_text(token: Column) -> Column:
     """Value of a raw field: quotes count only where the field begins with one."""
     opened = F.regexp_extract(token, _QUOTED_PART, 1)
     pairs = F.length(F.regexp_extract(token, _LEADING_PAIRS, 1))
-    value = (
+    inner = F.substring(token, F.lit(2), F.length(token) - 2)
+    return (
         F.when(~token.contains('"') & ~token.contains(_PAIR), token)
+        # The usual quoted field: one quote at either end, pairs between.
+        .when(
+            token.startswith('"') & token.endswith('"') & ~inner.contains('"'),
+            _swap(inner, _PAIR, '"'),
+        )
         .when(
             token.rlike(_OPENED),
             F.concat(
@@ -80,15 +86,17 @@ def _field_text(token: Column) -> Column:
         )
         .otherwise(_swap(token, _PAIR, '""'))
     )
-    return F.when(
-        value.contains(_ESCAPE), _swap(_swap(value, _ESCAPE + "p", _PAIR), _ESCAPE + "e", _ESCAPE)
-    ).otherwise(value)
+
+
+def _unescaped(value: Column) -> Column:
+    return _swap(_swap(value, _ESCAPE + "p", _PAIR), _ESCAPE + "e", _ESCAPE)
 
 
 def marked_text(text: Column) -> Column:
-    """Text with every doubled quote as one mark."""
+    """Text with every doubled quote as one mark; NULL where commas alone split a record."""
     safe = _swap(_swap(text, _ESCAPE, _ESCAPE + "e"), _PAIR, _ESCAPE + "p")
-    return _swap(safe, '""', _PAIR)
+    special = text.contains('"') | text.contains("\n") | text.contains("\r")
+    return F.when(special, _swap(safe, '""', _PAIR))
 
 
 def raw_fields(marked: Column) -> Column:
@@ -101,8 +109,14 @@ def record_of(text: Column, marked: Column, tokens: Column) -> Column:
     # What follows the first record; evaluated only for text with line ends.
     rest = F.substring(marked, F.length(F.array_join(tokens, ",")) + 1, F.length(marked))
     bare_return = text.contains("\r") & rest.rlike("^\r+[^\r\n]")
-    fields = F.when(text.rlike("^[\r\n]"), F.array().cast("array<string>")).otherwise(
-        F.transform(tokens, _field_text)
+    fields = (
+        F.when(marked.isNull(), F.split(text, ","))
+        .when(text.startswith("\r") | text.startswith("\n"), F.array().cast("array<string>"))
+        .when(
+            text.contains(_PAIR) | text.contains(_ESCAPE),
+            F.transform(tokens, lambda t: _unescaped(_field_text(t))),
+        )
+        .otherwise(F.transform(tokens, _field_text))
     )
     too_long = (F.length(text) > CSV_FIELD_LIMIT) & F.exists(
         fields, lambda f: F.length(f) > CSV_FIELD_LIMIT
@@ -123,7 +137,9 @@ def csv_record(text: Column) -> Column:
 
 def leaves_quote_open(line: Column) -> Column:
     """Whether a line that begins a record ends inside a quoted field."""
-    return F.element_at(raw_fields(marked_text(line)), -1).rlike(r'^\x01*"[^"]*$')
+    return F.coalesce(
+        F.element_at(raw_fields(marked_text(line)), -1).rlike(r'^\x01*"[^"]*$'), F.lit(False)
+    )
 
 
 def csv_line_of(fields: Column) -> Column:
