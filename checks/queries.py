@@ -117,9 +117,9 @@ def project_by_position(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --- batches and snapshots ----------------------------------------------------
 
 
-def _event_batches(spark: SparkSession, sf_dir: str, size: int = EVENT_BATCH) -> DataFrame:
+def _event_batches(spark: SparkSession, sf_dir: str, **settings) -> DataFrame:
     return batching.number_batches(
-        _accepted_events(spark, sf_dir), size, bucket_offsets=BUCKET
+        _accepted_events(spark, sf_dir), EVENT_BATCH, bucket_offsets=BUCKET, **settings
     ).withColumnRenamed("offset", "event_id")
 
 
@@ -128,13 +128,8 @@ def count_window_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def remainder_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
-    accepted = _accepted_events(spark, sf_dir)
-    total = accepted.agg(F.count(F.lit(1)).alias("n")).scalar()
-    return (
-        _event_batches(spark, sf_dir)
-        .filter(batching.is_remainder(F.col("batch_no"), total, EVENT_BATCH))
-        .select("event_id", "batch_no")
-    )
+    numbered = _event_batches(spark, sf_dir, mark_remainder=True)
+    return numbered.filter("is_remainder").select("event_id", "batch_no")
 
 
 def batch_file_order(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -157,13 +152,11 @@ def batch_file_order(spark: SparkSession, sf_dir: str) -> DataFrame:
 def batch_csv_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Event batches written as CSV files and read back with their file names."""
     path = shared_dir(spark, "batch-files")
-    numbered = _event_batches(spark, sf_dir)
-    total = numbered.agg(F.count(F.lit(1)).alias("n")).scalar()
     batches.write_batch_files(
-        numbered,
+        _event_batches(spark, sf_dir, mark_remainder=True),
         path,
         F.lit("2024-01-01 00:00:00").cast("timestamp"),
-        batching.is_remainder(F.col("batch_no"), total, EVENT_BATCH),
+        F.col("is_remainder"),
     )
     rows = snapshots.parse_batch_names(batches.read_batch_files(spark, path))
     return rows.select(*BATCH_COLUMNS, "batch_no", "is_remainder")
@@ -257,23 +250,16 @@ def _baskets(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def _basket_model(spark: SparkSession, sf_dir: str):
-    return mining.fit_itemsets(
-        _baskets(spark, sf_dir),
-        min_support=BASKET_SUPPORT,
-        min_confidence=BASKET_CONFIDENCE,
-    )
-
-
 def basket_itemsets(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = mining.frequent_itemsets(_basket_model(spark, sf_dir))
+    found, _ = mining.mine_baskets(_baskets(spark, sf_dir), min_support=BASKET_SUPPORT)
     return found.select(
         F.array_join("items", ",").alias("items"), F.size("items").alias("set_size"), "freq"
     )
 
 
 def association_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rules = mining.association_rules(_basket_model(spark, sf_dir))
+    found, total = mining.mine_baskets(_baskets(spark, sf_dir), min_support=BASKET_SUPPORT)
+    rules = mining.association_rules(found, total, BASKET_CONFIDENCE)
     return rules.select(
         F.array_join("antecedent", ",").alias("antecedent"),
         F.array_join("consequent", ",").alias("consequent"),

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from marketloom.functions import csv_line
 from marketloom.schema import WIRE_FIELD_COUNT, WIRE_POSITIONS
+from marketloom.session import spread
 
 APP_ROWS = """
 SELECT p_partkey AS id,
@@ -72,7 +73,7 @@ def app_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 def event_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Events as 24 text fields ``c0`` to ``c23``, with the damage their message takes."""
     fields = [F.expr(sql).alias(f"c{i}") for i, sql in enumerate(EVENT_FIELDS)]
-    return table(spark, sf_dir, "events").select(
+    return spread(table(spark, sf_dir, "events")).select(
         "event_id", "ts", F.expr(DAMAGE).alias("damage"), *fields
     )
 

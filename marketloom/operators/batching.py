@@ -22,7 +22,7 @@ def whole_division(value: Column, by: int) -> Column:
 def bucket_bases(
     df: DataFrame, lead: Sequence[str], span_of: Column, bucket: str = "_bucket"
 ) -> DataFrame:
-    """Rows that precede each bucket, as ``(*lead, bucket, _base)``.
+    """Rows that precede each bucket, as ``(*lead, bucket, _base, _total)``.
 
     Two levels keep every task small: buckets are summed inside a span, and only
     the span totals (one per about a billion offsets) meet in a single task.
@@ -36,15 +36,18 @@ def bucket_bases(
     for key in (*lead, bucket, "_span"):
         counts = counts.filter(F.col(key).isNotNull())
     before = (Window.unboundedPreceding, -1)
+    everything = (Window.unboundedPreceding, Window.unboundedFollowing)
+    over_spans = Window.orderBy(*lead, "_span")
     spans = (
         counts.groupBy(*lead, "_span")
         .agg(F.sum("_rows").alias("_span_rows"))
-        .withColumn(
-            "_span_base",
-            F.coalesce(
-                F.sum("_span_rows").over(Window.orderBy(*lead, "_span").rowsBetween(*before)),
-                F.lit(0),
-            ),
+        .withColumns(
+            {
+                "_span_base": F.coalesce(
+                    F.sum("_span_rows").over(over_spans.rowsBetween(*before)), F.lit(0)
+                ),
+                "_total": F.sum("_span_rows").over(over_spans.rowsBetween(*everything)),
+            }
         )
         .drop("_span_rows")
     )
@@ -52,7 +55,7 @@ def bucket_bases(
     return (
         counts.withColumn("_inside", F.coalesce(F.sum("_rows").over(inside), F.lit(0)))
         .join(spans, [*lead, "_span"])
-        .select(*lead, bucket, (F.col("_span_base") + F.col("_inside")).alias("_base"))
+        .select(*lead, bucket, (F.col("_span_base") + F.col("_inside")).alias("_base"), "_total")
     )
 
 
@@ -63,7 +66,7 @@ def number_rows(
     order_by: Sequence[Column | str],
     span_of: Column | None = None,
 ) -> DataFrame:
-    """Add ``row_no``, the 1-based global position, without a global sort.
+    """Add ``row_no``, the 1-based global position, and ``total_rows``, without a global sort.
 
     Buckets must follow the wanted order and hold a bounded number of rows each.
     The ranking and the join with the bases share one hash partitioning, so the
@@ -78,6 +81,7 @@ def number_rows(
         keyed.withColumn("_place", F.row_number().over(inside))
         .join(bases, [*lead, "_bucket"])
         .withColumn("row_no", F.col("_base") + F.col("_place"))
+        .withColumnRenamed("_total", "total_rows")
         .drop("_bucket", "_place", "_base")
     )
 
@@ -89,11 +93,13 @@ def number_batches(
     partition: str | None = "partition",
     offset: str = "offset",
     start: int = 0,
+    mark_remainder: bool = False,
     bucket_offsets: int = BUCKET_OFFSETS,
 ) -> DataFrame:
     """Add ``row_no`` and ``batch_no`` (from 1) in ``(partition, offset)`` order.
 
-    ``start`` is the number of rows numbered earlier. Offsets are unique within
+    ``start`` is the number of rows numbered earlier. ``mark_remainder`` adds
+    ``is_remainder`` for the last batch if these rows do not fill it. Offsets are unique within
     a partition, so a bucket never holds more than ``bucket_offsets`` rows,
     whatever the skew between topic partitions.
     """
@@ -104,9 +110,12 @@ def number_batches(
         [offset],
         whole_division(F.col("_bucket"), BUCKETS_PER_SPAN),
     )
-    return numbered.withColumn("row_no", F.col("row_no") + F.lit(start)).withColumn(
-        "batch_no", batch_number(F.col("row_no"), batch_size)
-    )
+    numbered = numbered.withColumn("row_no", F.col("row_no") + F.lit(start))
+    batch_no = batch_number(F.col("row_no"), batch_size)
+    if mark_remainder:
+        last = is_remainder(batch_no, F.col("total_rows") + F.lit(start), batch_size)
+        numbered = numbered.withColumn("is_remainder", last)
+    return numbered.withColumn("batch_no", batch_no).drop("total_rows")
 
 
 def batch_number(row_no: Column, batch_size: int) -> Column:

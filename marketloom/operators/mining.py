@@ -7,6 +7,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from marketloom.schema import ITEM_COLUMN, MIN_CONFIDENCE, MIN_SUPPORT
+from marketloom.session import spread, staged
 
 
 def support_threshold(min_support: float, total: Column) -> Column:
@@ -66,20 +67,65 @@ def fit_itemsets(
     items: str = "items",
     min_support: float = MIN_SUPPORT,
     min_confidence: float = MIN_CONFIDENCE,
-    partitions: int | None = None,
 ) -> FPGrowthModel:
     """FP-growth over rows of distinct items; empty rows count towards the support."""
     growth = FPGrowth(itemsCol=items, minSupport=min_support, minConfidence=min_confidence)
-    if partitions:
-        growth = growth.setNumPartitions(partitions)
     return growth.fit(df.select(items))
 
 
 def frequent_itemsets(model: FPGrowthModel) -> DataFrame:
-    """``(items, freq)`` with the items of a set in text order."""
+    """``(items, freq)`` with the items of a set in text order.
+
+    Lazy: every use grows the trees anew from the input of the fit.
+    """
     return model.freqItemsets.select(F.array_sort("items").alias("items"), "freq")
 
 
-def association_rules(model: FPGrowthModel) -> DataFrame:
-    """``(antecedent, consequent, confidence, lift, support)``."""
-    return model.associationRules.withColumn("antecedent", F.array_sort("antecedent"))
+def mine_baskets(
+    baskets: DataFrame, items: str = "items", min_support: float = MIN_SUPPORT
+) -> tuple[DataFrame, int]:
+    """Frequent itemsets as a staged table, and the number of baskets.
+
+    The miner reads its input several times and its result is lazy, so both are
+    written to the shared folder: baskets are built once and mined once.
+    """
+    ready = spread(staged(baskets.select(items), "baskets"))
+    model = fit_itemsets(ready, items, min_support)
+    return staged(frequent_itemsets(model), "itemsets"), ready.count()
+
+
+def association_rules(
+    itemsets: DataFrame, total: int, min_confidence: float = MIN_CONFIDENCE
+) -> DataFrame:
+    """``(antecedent, consequent, confidence, lift, support)`` from itemsets and row count.
+
+    One rule per item of a set: the others imply it. Their frequencies are
+    looked up among the itemsets, which hold every subset of each set.
+    """
+    consequent = F.array("item")
+    rules = itemsets.filter(F.size("items") > 1).select(
+        "items", F.col("freq").alias("together"), F.explode("items").alias("item")
+    )
+    rules = rules.select(
+        F.array_except("items", consequent).alias("antecedent"),
+        consequent.alias("consequent"),
+        "together",
+    )
+    before = itemsets.select(F.col("items").alias("antecedent"), F.col("freq").alias("_before"))
+    alone = (
+        itemsets.filter(F.size("items") == 1)
+        .select(F.col("items").alias("consequent"), F.col("freq").alias("_alone"))
+    )
+    confidence = F.col("together") / F.col("_before")
+    return (
+        rules.join(before, "antecedent")
+        .filter(confidence >= F.lit(float(min_confidence)))
+        .join(alone, "consequent")
+        .select(
+            "antecedent",
+            "consequent",
+            confidence.alias("confidence"),
+            (confidence / (F.col("_alone") / F.lit(total))).alias("lift"),
+            (F.col("together") / F.lit(total)).alias("support"),
+        )
+    )

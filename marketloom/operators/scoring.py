@@ -16,19 +16,26 @@ DOCUMENT_LIMIT = 10_000
 # Outcome of a request and the matching response code.
 STATUS_CODES = {"ok": 200, "bad_request": 400, "unknown_model": 404, "invalid": 500}
 
-# Types a feature may have; anything else fails the request.
-_NUMBER = r"^(BIGINT|DOUBLE|FLOAT|BOOLEAN|DECIMAL.*)$"
+# Types a feature may have, besides decimals; anything else fails the request.
+_NUMBERS = ("BIGINT", "DOUBLE", "FLOAT", "BOOLEAN")
 _FALSY = ("0", "0.0", "false", '""', "[]", "{}", "null")
 
 
-def request_json(body: Column) -> Column:
-    """The one JSON value in ``body`` as a variant; NULL if there is none or more follows it.
+def _listed(body: Column) -> Column:
+    """The body as the only element of a JSON array.
 
-    The JSON parser stops after the first value. Inside an array whatever follows
-    is an error or a second element; only a stray bracket could close that array
-    early, so bodies with a bracket must parse inside an object as well.
+    The JSON parser stops after the first value; inside an array, whatever
+    follows that value is an error or another element.
+    """
+    return F.try_parse_json(F.concat(F.lit("["), body, F.lit("]")))
+
+
+def _only_value(listed: Column, body: Column) -> Column:
+    """The one JSON value of a body as a variant; NULL if there is none or more follows it.
+
+    Only a stray bracket could close the array early, so bodies with a bracket
+    must parse inside an object as well.
     """
-    listed = F.try_parse_json(F.concat(F.lit("["), body, F.lit("]")))
     single = F.try_variant_get(listed, "$[1]", "variant").isNull() & (
         ~body.contains("]")
         | F.try_parse_json(F.concat(F.lit('{"b":'), body, F.lit("}"))).isNotNull()
@@ -43,7 +50,6 @@ def body_status(parsed: Column) -> Column:
     NULL, text or nested values in a feature make the request invalid. Integers
     and booleans count as numbers. Duplicate keys and NaN are no JSON here.
     """
-    whole = F.schema_of_variant(parsed)
     named = F.lit(True)
     typed = F.lit(True)
     listed = F.lit(True)
@@ -54,19 +60,29 @@ def body_status(parsed: Column) -> Column:
     )
     for name in FEATURES:
         value = F.try_variant_get(parsed, f"$.{name}", "variant")
+        kind = F.schema_of_variant(value)
         named = named & value.isNotNull()
-        typed = typed & F.schema_of_variant(value).rlike(_NUMBER)
+        typed = typed & (kind.isin(*_NUMBERS) | kind.startswith("DECIMAL"))
         listed = listed & F.array_contains(entries, name)
         spelled = spelled & text.contains(name)
+    whole = F.schema_of_variant(parsed)
     status = (
-        F.when(parsed.isNull() | F.to_json(parsed).isin(*_FALSY), "bad_request")
-        .when(whole.startswith("OBJECT"), F.when(~named, "bad_request").when(typed, "ok"))
+        F.when(parsed.isNull(), "bad_request")
+        # Only an object can hold the names; the rest is for everything else.
+        .when(named, F.when(typed, "ok").otherwise("invalid"))
+        .when(whole.startswith("OBJECT"), "bad_request")
+        .when(F.to_json(parsed).isin(*_FALSY), "bad_request")
         .when(whole.startswith("ARRAY"), F.when(~listed, "bad_request"))
         .when(whole == "STRING", F.when(~spelled, "bad_request"))
     )
     return F.coalesce(status, F.lit("invalid"))
 
 
+def _once(value: Column) -> Column:
+    """A generator over one element: evaluated once, however often the column is used."""
+    return F.explode(F.array(value))
+
+
 def parse_requests(requests: DataFrame, prefix: str, known: list[str]) -> DataFrame:
     """Add ``artifact``, ``status``, ``input_features`` and the features as doubles.
 
@@ -75,11 +91,12 @@ def parse_requests(requests: DataFrame, prefix: str, known: list[str]) -> DataFr
     """
     suffix = F.coalesce("model", F.lit(""))
     named = requests.withColumn("artifact", F.concat(F.lit(prefix), suffix))
-    known_model = F.coalesce(F.col("artifact").isin(known), F.lit(False))
-    # One-element generators: parse and judge once, however often the result is used.
-    read = named.withColumn("_json", F.explode(F.array(F.when(known_model, request_json(F.col("body"))))))
+    known_model = F.col("artifact").isin(known)
+    body = F.col("body")
+    listed = named.withColumn("_list", _once(F.when(known_model, _listed(body))))
+    read = listed.withColumn("_json", _once(_only_value(F.col("_list"), body)))
     status = F.when(~known_model, "unknown_model").otherwise(body_status(F.col("_json")))
-    judged = read.withColumn("status", F.explode(F.array(status)))
+    judged = read.withColumn("status", _once(status))
     usable = F.col("status") == "ok"
     return judged.withColumns(
         {
@@ -91,7 +108,7 @@ def parse_requests(requests: DataFrame, prefix: str, known: list[str]) -> DataFr
                 for name in FEATURES
             },
         }
-    ).drop("_json")
+    ).drop("_list", "_json")
 
 
 def _error(kind: str) -> Column:

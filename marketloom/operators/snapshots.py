@@ -50,7 +50,7 @@ def rank_batches(names: DataFrame, order: str = "numeric", name: str = "file_nam
     else:
         bucket, span = F.substring(name, 1, 10), F.substring(F.col("_bucket"), 1, 8)
     ranked = number_rows(parsed, [], bucket, batch_order(order, name), span)
-    return ranked.withColumnRenamed("row_no", "batch_rank")
+    return ranked.withColumnRenamed("row_no", "batch_rank").drop("total_rows")
 
 
 def first_batches(names: DataFrame, order: str = "numeric", name: str = "file_name") -> list[str]:

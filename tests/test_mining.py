@@ -26,7 +26,8 @@ def test_single_items(spark, support, want):
     single = df.select(F.array("Category").alias("items"))
     model = mining.fit_itemsets(single, min_support=support)
     assert found(mining.frequent_itemsets(model)) == want
-    assert mining.association_rules(model).count() == 0
+    assert model.associationRules.count() == 0
+    assert mining.association_rules(mining.frequent_itemsets(model), 10).count() == 0
 
 
 def test_counts_are_scanned_once(spark, tmp_path):
@@ -74,10 +75,14 @@ def test_baskets_with_a_hot_key(spark):
     kept = {k: v & {i for (i,) in brute_single(baskets, support)} for k, v in baskets.items()}
     assert {r.k: set(r["items"]) for r in collected.collect()} == kept
     want = brute_force(kept, support)
+    itemsets, total = mining.mine_baskets(collected, min_support=support)
+    assert found(itemsets) == want and total == len(baskets)
+    rules = mining.association_rules(itemsets, total, 0.5).collect()
     model = mining.fit_itemsets(collected, min_support=support, min_confidence=0.5)
-    assert found(mining.frequent_itemsets(model)) == want
-    rules = mining.association_rules(model).collect()
-    assert rules
+    same = model.associationRules.collect()
+    assert rules and {sides(r): measures(r) for r in rules} == {
+        sides(r): pytest.approx(measures(r)) for r in same
+    }
     for rule in rules:
         together = tuple(sorted([*rule.antecedent, *rule.consequent]))
         confidence = want[together] / want[tuple(rule.antecedent)]
@@ -88,6 +93,14 @@ def test_baskets_with_a_hot_key(spark):
         )
 
 
+def sides(rule):
+    return tuple(sorted(rule.antecedent)), tuple(rule.consequent)
+
+
+def measures(rule):
+    return rule.confidence, rule.lift, rule.support
+
+
 def brute_single(baskets, support):
     least = math.ceil(support * len(baskets))
     counts = {}
