@@ -22,7 +22,7 @@ from marketloom.plans.ingest import ingest_topic
 from marketloom.plans.serving import Scorer
 from marketloom.plans.training import train_snapshots
 from marketloom.schema import BATCH_COLUMNS, FEATURES, ITEMSET_PREFIX, WIRE_FIELD_COUNT
-from marketloom.session import shared_dir, spread
+from marketloom.session import shared_dir, spread, staged
 from marketloom.sources import artifacts, batches
 from marketloom.sources.raw import data_records, read_records
 from marketloom.sources.topic import as_messages, read_topic, stream_topic, write_topic
@@ -118,8 +118,10 @@ def project_by_position(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _event_batches(spark: SparkSession, sf_dir: str, **settings) -> DataFrame:
+    """Numbering reads its input twice, so the parsed records are staged first."""
+    accepted = staged(_accepted_events(spark, sf_dir), "accepted")
     return batching.number_batches(
-        _accepted_events(spark, sf_dir), EVENT_BATCH, bucket_offsets=BUCKET, **settings
+        accepted, EVENT_BATCH, bucket_offsets=BUCKET, **settings
     ).withColumnRenamed("offset", "event_id")
 
 
@@ -216,7 +218,7 @@ def _tiered_apps(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def snapshot_mean_fill(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Each snapshot filled with its own mean; the three means come from one pass."""
-    cleaned = cleaning.clean_features(_tiered_apps(spark, sf_dir))
+    cleaned = staged(cleaning.clean_features(_tiered_apps(spark, sf_dir)), "cleaned")
     fills = cleaning.snapshot_statistics(cleaned)
     cumulated = snapshots.cumulative_snapshots(cleaned)
     mean = cleaning.snapshot_fill(fills, F.col("snapshot"))

@@ -7,7 +7,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from marketloom.schema import ITEM_COLUMN, MIN_CONFIDENCE, MIN_SUPPORT
-from marketloom.session import spread, staged
+from marketloom.session import small_side, spread, staged
 
 
 def support_threshold(min_support: float, total: Column) -> Column:
@@ -40,17 +40,20 @@ def collect_baskets(
     the number of frequent items (mean basket size / support), however many rows
     its key has; duplicates are removed before any basket is built. Every key
     with an item keeps its row, as the support counts baskets.
+
+    The distinct pairs are read three times, so they are staged.
     """
-    pairs = df.filter(F.col(item).isNotNull()).select(key, item).distinct()
+    pairs = staged(df.filter(F.col(item).isNotNull()).select(key, item).distinct(), "pairs")
     total = pairs.agg(F.count_distinct(key)).scalar()
-    frequent = (
-        pairs.groupBy(item)
-        .agg(F.count(F.lit(1)).alias("_baskets"))
-        .filter(F.col("_baskets") >= support_threshold(min_support, total))
-        .select(item, F.lit(True).alias("_frequent"))
+    counts = pairs.groupBy(item).agg(F.count(F.lit(1)).alias("_baskets"))
+    frequent = staged(
+        counts.filter(F.col("_baskets") >= support_threshold(min_support, total)).select(
+            item, F.lit(True).alias("_frequent")
+        ),
+        "frequent",
     )
     return (
-        pairs.join(frequent, item, "left")
+        pairs.join(small_side(frequent), item, "left")
         .groupBy(key)
         .agg(F.collect_list(F.when(F.col("_frequent"), F.col(item))).alias("items"))
     )

@@ -6,6 +6,9 @@ import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+BROADCAST_ROWS = 500_000
 
 
 def local_session(cores: int | str = "*", app_name: str = "marketloom", **conf) -> SparkSession:
@@ -51,6 +54,16 @@ def staged(df: DataFrame, purpose: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def small_side(df: DataFrame, limit: int = BROADCAST_ROWS) -> DataFrame:
+    """A join side to broadcast if a count shows it is small, else left to a shuffled join.
+
+    The planner guesses the size of derived tables from their inputs and would
+    shuffle the large side before the small one is known. For narrow, staged
+    tables, whose count is cheap.
+    """
+    return F.broadcast(df) if df.limit(limit + 1).count() <= limit else df
+
+
 def spread(df: DataFrame) -> DataFrame:
     """Use every core when the input arrives in fewer partitions than there are cores.
 

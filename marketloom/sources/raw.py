@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from marketloom.functions.csvtext import leaves_quote_open
 from marketloom.schema import CSV_FIELD_LIMIT, WIRE_FIELD_COUNT
-from marketloom.session import staged
+from marketloom.session import small_side, staged
 
 # Longer than any record whose fields all stay within the field limit.
 MAX_RECORD_CHARS = WIRE_FIELD_COUNT * (2 * CSV_FIELD_LIMIT + 3)
@@ -48,9 +48,11 @@ def read_records(spark: SparkSession, path: str, embedded_newlines: bool = True)
         )
 
     folded = staged(_line_states(lines), "records")
-    starts = _split_starts(folded)
+    starts = staged(_split_starts(folded), "splits")
     # Most splits begin outside quotes; only the others take part in the join.
-    open_starts = starts.filter("open_at_start").select(*_SPLIT, F.lit(True).alias("was_open"))
+    open_starts = small_side(
+        starts.filter("open_at_start").select(*_SPLIT, F.lit(True).alias("was_open"))
+    )
     was_open = F.col("was_open").isNotNull()
     states = folded.join(open_starts, _SPLIT, "left").select(
         *_SPLIT,
