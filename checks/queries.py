@@ -360,11 +360,11 @@ def pca_rotation_check(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --- artifacts and scoring ----------------------------------------------------
 
 
-def _trained(spark: SparkSession, sf_dir: str) -> str:
-    """Train the three snapshots of the app rows; the directory of the artifacts."""
+def _scorer(spark: SparkSession, sf_dir: str, kind: str) -> Scorer:
+    """Train and save one kind of artifact for the three snapshots of the app rows; load them."""
     path = shared_dir(spark, "models")
-    train_snapshots(_tiered_apps(spark, sf_dir), path)
-    return path
+    train_snapshots(_tiered_apps(spark, sf_dir), path, kinds=[kind])
+    return Scorer(spark, path)
 
 
 def score_request_bodies(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -400,12 +400,12 @@ def score_request_bodies(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def score_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
-    scorer = Scorer(spark, _trained(spark, sf_dir), kinds=["kmeans"])
+    scorer = _scorer(spark, sf_dir, "kmeans")
     return scorer.clusters(score_request_bodies(spark, sf_dir)).drop("input_features")
 
 
 def score_projections(spark: SparkSession, sf_dir: str) -> DataFrame:
-    scorer = Scorer(spark, _trained(spark, sf_dir), kinds=["pca"])
+    scorer = _scorer(spark, sf_dir, "pca")
     return scorer.projections(score_request_bodies(spark, sf_dir)).drop("input_features")
 
 
@@ -435,7 +435,7 @@ def itemset_json(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def trained_itemsets(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The itemsets that training saved for each snapshot."""
-    scorer = Scorer(spark, _trained(spark, sf_dir), kinds=["fpgrowth"])
+    scorer = _scorer(spark, sf_dir, "fpgrowth")
     parts = [
         scorer.itemsets(name).select(
             F.lit(name).alias("snapshot"), F.get("items", F.lit(0)).alias("item"), "freq"

@@ -35,7 +35,13 @@ def _ingest(spark: SparkSession, args: argparse.Namespace) -> None:
     options = _topic_options(args)
     if options:
         options["kafka"]["subscribe"] = args.topic
-    stream = stream_topic(spark, args.topic_path, per_trigger=args.per_trigger, **options)
+    stream = stream_topic(
+        spark,
+        args.topic_path,
+        per_trigger=args.per_trigger,
+        min_partitions=args.min_partitions,
+        **options,
+    )
     start_ingest(
         stream, args.store, args.checkpoint, batch_size=args.batch_size, every=args.every
     ).awaitTermination()
@@ -82,7 +88,7 @@ def _parser() -> argparse.ArgumentParser:
         job("publish", _publish, "dataset"),
         job("ingest", _ingest, "store", "checkpoint"),
     ):
-        sub.add_argument("--topic", default="playstore_apps")
+        sub.add_argument("--topic", default="app_records")
         where = sub.add_mutually_exclusive_group(required=True)
         where.add_argument("--topic-path", help="directory that stands for a topic")
         where.add_argument("--bootstrap", help="Kafka brokers; needs the Kafka connector")
@@ -90,7 +96,8 @@ def _parser() -> argparse.ArgumentParser:
             sub.add_argument("--one-line-records", action="store_true")
         else:
             sub.add_argument("--batch-size", type=int, default=BATCH_SIZE)
-            sub.add_argument("--per-trigger", type=int)
+            sub.add_argument("--per-trigger", type=int, help="offsets (Kafka) or files per micro-batch")
+            sub.add_argument("--min-partitions", type=int, help="read tasks for a Kafka topic")
             sub.add_argument("--every", help="interval; without it, take what there is and stop")
 
     job("export", _export, "store", "batches")

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import logging
+from collections.abc import Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
@@ -32,7 +33,7 @@ from marketloom.schema import (
     SNAPSHOTS,
 )
 from marketloom.session import shared_dir, spread
-from marketloom.sources.artifacts import save_itemsets, save_model
+from marketloom.sources.artifacts import KINDS, save_itemsets, save_model
 from marketloom.sources.batches import list_batch_files, read_batch_files, read_batch_store
 
 log = logging.getLogger(__name__)
@@ -92,6 +93,7 @@ def train_snapshots(
     seed: int = SEED,
     components: int = COMPONENTS,
     min_support: float = MIN_SUPPORT,
+    kinds: Sequence[str] = tuple(KINDS.values()),
 ) -> TrainingReport:
     """Fit and save clusters, projection and itemsets for each snapshot of tiered rows."""
     report = TrainingReport()
@@ -102,16 +104,20 @@ def train_snapshots(
         name = SNAPSHOTS[tier - 1]
         held = snapshot(features, name).drop("tier")
         kept = drop_incomplete(fill_missing(held, stats[f"fill_{tier}"], nan))
-        vectors = spread(kept.select(*FEATURES))
-        deviations = fit_deviations(vectors)
-        clusters = fit_clusters(vectors, k=k, seed=seed, deviations=deviations)
-        projection = fit_projection(vectors, k=components, deviations=deviations)
-        itemsets = item_support(kept, min_support=min_support)
-        return [
-            save_model(clusters, models, CLUSTER_PREFIX + name),
-            save_model(projection, models, PROJECTION_PREFIX + name),
-            save_itemsets(itemsets, models, ITEMSET_PREFIX + name),
-        ]
+        paths = []
+        if "kmeans" in kinds or "pca" in kinds:
+            vectors = spread(kept.select(*FEATURES))
+            deviations = fit_deviations(vectors)
+        if "kmeans" in kinds:
+            clusters = fit_clusters(vectors, k=k, seed=seed, deviations=deviations)
+            paths.append(save_model(clusters, models, CLUSTER_PREFIX + name))
+        if "pca" in kinds:
+            projection = fit_projection(vectors, k=components, deviations=deviations)
+            paths.append(save_model(projection, models, PROJECTION_PREFIX + name))
+        if "fpgrowth" in kinds:
+            itemsets = item_support(kept, min_support=min_support)
+            paths.append(save_itemsets(itemsets, models, ITEMSET_PREFIX + name))
+        return paths
 
     trainable = []
     for tier, name in enumerate(SNAPSHOTS, start=1):

@@ -10,16 +10,23 @@ from pyspark.sql import functions as F
 from marketloom.schema import TOPIC_SCHEMA
 
 
-def _kafka(reader, options: Mapping[str, str]):
-    return reader.format("kafka").option("startingOffsets", "earliest").options(**options)
+def _kafka(reader, options: Mapping[str, str], min_partitions: int | None):
+    """A topic partition may hold most messages; ``min_partitions`` splits its offsets over tasks."""
+    reader = reader.format("kafka").option("startingOffsets", "earliest")
+    if min_partitions:
+        reader = reader.option("minPartitions", min_partitions)
+    return reader.options(**options)
 
 
 def read_topic(
-    spark: SparkSession, path: str | None = None, kafka: Mapping[str, str] | None = None
+    spark: SparkSession,
+    path: str | None = None,
+    kafka: Mapping[str, str] | None = None,
+    min_partitions: int | None = None,
 ) -> DataFrame:
     """All messages so far, as a batch."""
     if kafka is not None:
-        return _kafka(spark.read, kafka).load()
+        return _kafka(spark.read, kafka, min_partitions).load()
     return spark.read.schema(TOPIC_SCHEMA).parquet(path)
 
 
@@ -28,6 +35,7 @@ def stream_topic(
     path: str | None = None,
     kafka: Mapping[str, str] | None = None,
     per_trigger: int | None = None,
+    min_partitions: int | None = None,
 ) -> DataFrame:
     """Messages as a stream, from the earliest offset unless a checkpoint knows better.
 
@@ -35,7 +43,7 @@ def stream_topic(
     (whose files must then arrive in offset order).
     """
     if kafka is not None:
-        reader = _kafka(spark.readStream, kafka)
+        reader = _kafka(spark.readStream, kafka, min_partitions)
         if per_trigger:
             reader = reader.option("maxOffsetsPerTrigger", per_trigger)
         return reader.load()
