@@ -176,6 +176,7 @@ ORACLES: dict[str, str] = {
     "raw_csv_records": """
         SELECT conv_id, turn, role, nullif(text, '') AS text
         FROM conversations WHERE length(text) <= 131072""",
+    "raw_csv_rows": "SELECT conv_id, turn, role, nullif(text, '') AS text FROM conversations",
     "arity_rejects": f"""
         SELECT event_id AS "offset",
           CASE damage WHEN 'empty' THEN 'empty' WHEN 'short' THEN 'arity' WHEN 'long' THEN 'arity'

@@ -24,7 +24,7 @@ from marketloom.plans.training import train_snapshots
 from marketloom.schema import BATCH_COLUMNS, FEATURES, ITEMSET_PREFIX, WIRE_FIELD_COUNT
 from marketloom.session import shared_dir, spread, staged
 from marketloom.sources import artifacts, batches
-from marketloom.sources.raw import data_records, read_records
+from marketloom.sources.raw import data_records, read_records, read_rows
 from marketloom.sources.topic import as_messages, read_topic, stream_topic, write_topic
 from marketloom.streaming.ingest import run_ingest
 
@@ -76,16 +76,15 @@ def wire_text_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def raw_csv_records(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Conversations written as CSV files, read back as records whatever lines they span."""
+def _conversation_files(spark: SparkSession, sf_dir: str) -> str:
     path = shared_dir(spark, "raw-csv")
     rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
     rows.write.options(header=True, escape='"', emptyValue="").csv(path)
-    messages = data_records(read_records(spark, path)).select(
-        F.encode("text", "UTF-8").alias("value")
-    )
-    parsed = parse_messages(messages, arity=4).filter("reason IS NULL")
-    return parsed.select(
+    return path
+
+
+def _conversation_fields(df: DataFrame) -> DataFrame:
+    return df.select(
         field(0).cast("long").alias("conv_id"),
         field(1).cast("long").alias("turn"),
         field(2).alias("role"),
@@ -93,6 +92,19 @@ def raw_csv_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def raw_csv_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Conversations written as CSV files, read back as records whatever lines they span."""
+    records = data_records(read_records(spark, _conversation_files(spark, sf_dir)))
+    messages = records.select(F.encode("text", "UTF-8").alias("value"))
+    parsed = parse_messages(messages, arity=4)
+    return _conversation_fields(parsed.filter("reason IS NULL"))
+
+
+def raw_csv_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same files, known to be well formed, through Spark's own reader."""
+    return _conversation_fields(read_rows(spark, _conversation_files(spark, sf_dir), arity=4))
+
+
 def arity_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
     judged = judged_records(parse_messages(event_messages(spark, sf_dir)), ["offset"])
     return rejected_records(judged, ["offset"])
@@ -506,6 +518,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         wire_roundtrip,
         wire_text_roundtrip,
         raw_csv_records,
+        raw_csv_rows,
         arity_rejects,
         reject_reasons,
         project_by_position,

@@ -26,7 +26,7 @@ def _publish(spark: SparkSession, args: argparse.Namespace) -> None:
         args.dataset,
         args.topic,
         topic_path=args.topic_path,
-        embedded_newlines=not args.one_line_records,
+        layout=args.layout,
         **_topic_options(args),
     )
 
@@ -93,7 +93,7 @@ def _parser() -> argparse.ArgumentParser:
         where.add_argument("--topic-path", help="directory that stands for a topic")
         where.add_argument("--bootstrap", help="Kafka brokers; needs the Kafka connector")
         if sub.prog.endswith("publish"):
-            sub.add_argument("--one-line-records", action="store_true")
+            sub.add_argument("--layout", choices=["any", "lines", "well_formed"], default="any")
         else:
             sub.add_argument("--batch-size", type=int, default=BATCH_SIZE)
             sub.add_argument("--per-trigger", type=int, help="offsets (Kafka) or files per micro-batch")

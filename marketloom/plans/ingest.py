@@ -9,18 +9,28 @@ from pyspark.sql import functions as F
 
 from marketloom.functions import csv_line_of, csv_record
 from marketloom.schema import BATCH_SIZE
-from marketloom.sources.raw import data_records, read_records
+from marketloom.sources.raw import data_records, read_records, read_rows
 from marketloom.sources.topic import as_messages, write_topic
 from marketloom.streaming.ingest import IngestStore, ingest_micro_batch
 
 
 def dataset_messages(
-    spark: SparkSession, path: str, topic: str, embedded_newlines: bool = True
+    spark: SparkSession, path: str, topic: str, layout: str = "any"
 ) -> DataFrame:
-    """One message per record of a CSV dataset, header left out, fields re-encoded."""
-    records = data_records(read_records(spark, path, embedded_newlines))
-    fields = csv_record(F.col("text"))["fields"]
-    lines = records.select("position", F.encode(csv_line_of(fields), "UTF-8").alias("value"))
+    """One message per record of a CSV dataset, header left out, fields re-encoded.
+
+    ``layout`` says what is known of the files: ``any`` reads every CSV exactly
+    and splits large files; ``lines`` has no line breaks inside fields;
+    ``well_formed`` has no stray quotes and no huge file, and is the fastest.
+    """
+    if layout == "well_formed":
+        rows = read_rows(spark, path)
+    elif layout in ("any", "lines"):
+        records = data_records(read_records(spark, path, embedded_newlines=layout == "any"))
+        rows = records.select("position", csv_record(F.col("text"))["fields"].alias("fields"))
+    else:
+        raise ValueError(f"unknown layout: {layout}")
+    lines = rows.select("position", F.encode(csv_line_of(F.col("fields")), "UTF-8").alias("value"))
     return as_messages(lines, topic, "position")
 
 
@@ -30,9 +40,9 @@ def publish_dataset(
     topic: str,
     topic_path: str | None = None,
     kafka: Mapping[str, str] | None = None,
-    embedded_newlines: bool = True,
+    layout: str = "any",
 ) -> None:
-    messages = dataset_messages(spark, path, topic, embedded_newlines)
+    messages = dataset_messages(spark, path, topic, layout)
     write_topic(messages, topic_path, None if kafka is None else {"topic": topic, **kafka})
 
 

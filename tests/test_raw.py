@@ -95,3 +95,27 @@ def test_publish_writes_encoded_records_in_order(spark, tmp_path):
     assert [bytes(r.value).decode() for r in rows] == ["a,1", '"b, ""c""",2', "", "d,3"]
     assert {(r.topic, r.partition, r.key) for r in rows} == {("apps", 0, None)}
     assert dataset_messages(spark, str(tmp_path / "data.csv"), "apps").count() == 4
+
+
+def test_well_formed_files_read_alike_both_ways(spark, tmp_path):
+    text = well_formed(9, "\n") + 'short,"x\ny"\nlong,1,2,3\n'
+    for name in ("a", "b"):
+        (tmp_path / f"{name}.csv").write_text(text)
+    whole = raw.read_rows(spark, str(tmp_path), arity=3)
+    split = raw.data_records(raw.read_records(spark, str(tmp_path)))
+    assert sorted(r.fields for r in whole.collect()) == sorted(fields_of(split))
+    with pytest.raises(ValueError, match="read_records"):
+        raw.read_rows(spark, str(tmp_path), largest=100)
+
+
+@pytest.mark.parametrize("layout", ["any", "lines", "well_formed"])
+def test_layouts_publish_the_same_messages(spark, tmp_path, layout):
+    record = ",".join(f"f{i}" for i in range(23)) + ',"a, ""b"""'
+    (tmp_path / "data.csv").write_text("\n".join(["h" * 3, record, record + ",more", "short"]))
+    rows = dataset_messages(spark, str(tmp_path / "data.csv"), "t", layout).orderBy("offset")
+    assert [bytes(r.value).decode() for r in rows.collect()] == [record, record + ",more", "short"]
+
+
+def test_unknown_layout(spark):
+    with pytest.raises(ValueError, match="layout"):
+        dataset_messages(spark, "x", "t", "odd")
