@@ -26,6 +26,16 @@ from marketloom.sources.batches import write_batch_files, write_batch_store
 ORDER = ["partition", "offset"]
 
 
+def _readable(spark: SparkSession, path: str) -> bool:
+    try:
+        spark.read.text(path)
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return False
+    return True
+
+
 class IngestStore:
     """Paths of one ingest: accepted rows, quarantine and ledger."""
 
@@ -51,6 +61,11 @@ class IngestStore:
             ) from error
         return entry["rows_after"]
 
+    def require_checkpoint(self, spark: SparkSession, checkpoint: str) -> None:
+        """A new checkpoint would count from zero again over the rows that are here."""
+        if _readable(spark, self.ledger) and not _readable(spark, f"{checkpoint}/metadata"):
+            raise ValueError(f"{self.base} has rows already, but {checkpoint} has no progress")
+
     def write_ledger(self, spark: SparkSession, micro_batch: int, before: int, rows: int) -> None:
         (
             spark.range(1)
@@ -139,6 +154,7 @@ def start_ingest(
 ) -> StreamingQuery:
     """Start the ingest: all messages there are, or a micro-batch ``every`` interval."""
     store = IngestStore(base)
+    store.require_checkpoint(stream.sparkSession, checkpoint)
     store.write_settings(stream.sparkSession, batch_size)
 
     def write(messages: DataFrame, micro_batch: int) -> None:

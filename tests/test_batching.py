@@ -1,9 +1,11 @@
+import csv
 import random
 
 import pytest
 from pyspark.sql import functions as F
 
 from marketloom.operators import batching, snapshots
+from marketloom.schema import BATCH_COLUMNS
 from marketloom.sources import batches
 
 
@@ -123,3 +125,33 @@ def test_store_prunes_to_the_first_batches(spark, tmp_path):
     plan = first._jdf.queryExecution().executedPlan().toString()
     assert "batch_span" in plan.split("PartitionFilters")[1].split("]")[0]
     assert "LessThanOrEqual(batch_no,2)" in plan
+
+
+def test_batch_files_suit_python_and_spark(spark, tmp_path):
+    nasty = [" lead", "trail ", 'q"uote', '"', "a,b", "x\ny", "x\r\ny", "#hash", "\\", "é", "a\rb", None]
+    rows = [
+        (i + 1, i // 4 + 1, *[nasty[(i + j) % len(nasty)] for j in range(len(BATCH_COLUMNS))])
+        for i in range(len(nasty))
+    ]
+    numbered = spark.createDataFrame(rows, ["row_no", "batch_no", *BATCH_COLUMNS])
+    path = str(tmp_path / "files")
+    written = F.lit("2024-02-03 04:05:06").cast("timestamp")
+    batches.write_batch_files(numbered, path, written, F.col("batch_no") == 3)
+    assert sorted(r.file_name for r in batches.list_batch_files(spark, path).collect()) == [
+        "batch_1_20240203040506.csv",
+        "batch_2_20240203040506.csv",
+        "batch_3_20240203040506_remaining.csv",
+    ]
+    by_batch = {}
+    for folder in sorted((tmp_path / "files").glob("batch_file=*")):
+        parts = list(folder.glob("part-*.csv"))
+        assert len(parts) == 1
+        with parts[0].open(newline="", encoding="utf-8") as lines:
+            header, *found = csv.reader(lines)
+        assert header == BATCH_COLUMNS
+        by_batch[folder.name] = found
+    assert [r for name in sorted(by_batch) for r in by_batch[name]] == [
+        [v or "" for v in row[2:]] for row in rows
+    ]
+    again = batches.read_batch_files(spark, path).select(*[f"`{c}`" for c in BATCH_COLUMNS])
+    assert sorted(map(str, map(tuple, again.collect()))) == sorted(str(row[2:]) for row in rows)

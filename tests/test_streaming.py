@@ -88,6 +88,15 @@ def test_crash_between_output_and_ledger(spark, tmp_path, monkeypatch):
     assert rows_of(store.read_batches(spark)) == in_batch(spark)
 
 
+def test_new_checkpoint_on_old_rows_is_refused(spark, tmp_path):
+    base = str(tmp_path)
+    topic.write_topic(messages(spark, 200), f"{base}/topic")
+    stream = topic.stream_topic(spark, f"{base}/topic")
+    ingest.run_ingest(stream, f"{base}/out", f"{base}/cp", **SETTINGS)
+    with pytest.raises(ValueError, match="no progress"):
+        ingest.run_ingest(stream, f"{base}/out", f"{base}/other", **SETTINGS)
+
+
 def test_lost_ledger_is_reported(spark, tmp_path):
     store = ingest.IngestStore(str(tmp_path))
     with pytest.raises(RuntimeError, match="ledger entry 3"):
