@@ -98,7 +98,8 @@ splits AS (
 """
 
 REQUESTS = """
-SELECT o_orderkey AS request_id, o_custkey,
+SELECT o_orderkey AS request_id, o_custkey, o_orderpriority,
+  CASE o_orderstatus WHEN 'F' THEN 'model1' WHEN 'O' THEN 'model3' ELSE 'model2' END AS model,
   CASE WHEN o_orderstatus = 'P' AND o_totalprice >= 300000 THEN 'unknown_model'
        WHEN o_totalprice < 8000 THEN 'bad_request'
        WHEN o_totalprice < 16000 THEN 'invalid'
@@ -262,6 +263,16 @@ ORACLES: dict[str, str] = {
         FROM lineitem""",
     "pca_rotation_check": f"""
         SELECT l_orderkey, l_linenumber, {_round(_LENGTH, 4)} AS squared_length FROM lineitem""",
+    "score_request_answers": f"""
+        SELECT request_id,
+          CASE status WHEN 'ok' THEN 200 WHEN 'bad_request' THEN 400
+            WHEN 'unknown_model' THEN 404 ELSE 500 END AS code,
+          CASE WHEN status = 'ok' THEN 'kmeans_' || model END AS model_used,
+          CASE WHEN status = 'ok' THEN o_custkey END AS reviews,
+          CASE WHEN status = 'ok' THEN o_orderpriority END AS tag,
+          CASE WHEN status = 'ok' THEN true END AS has_cluster,
+          status <> 'ok' AS has_error
+        FROM ({REQUESTS})""",
     "score_request_status": f"""
         SELECT request_id, status,
           CASE status WHEN 'ok' THEN 200 WHEN 'bad_request' THEN 400

@@ -421,6 +421,24 @@ def score_projections(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scorer.projections(score_request_bodies(spark, sf_dir)).drop("input_features")
 
 
+def score_request_answers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the JSON answers say, apart from the cluster ids themselves."""
+    answers = _scorer(spark, sf_dir, "kmeans").clusters(score_request_bodies(spark, sf_dir))
+
+    def said(path: str) -> Column:
+        return F.get_json_object("response", path)
+
+    return answers.select(
+        "request_id",
+        "code",
+        said("$.model_used").alias("model_used"),
+        said("$.input_features.Reviews").cast("bigint").alias("reviews"),
+        said("$.input_features.tag").alias("tag"),
+        said("$.predicted_cluster_id").cast("int").between(0, 9).alias("has_cluster"),
+        said("$.error").isNotNull().alias("has_error"),
+    )
+
+
 def score_request_status(spark: SparkSession, sf_dir: str) -> DataFrame:
     known = ["kmeans_model1", "kmeans_model2", "kmeans_model3"]
     parsed = scoring.parse_requests(score_request_bodies(spark, sf_dir), "kmeans_", known)
@@ -549,6 +567,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         pca_rotation_check,
         score_requests,
         score_projections,
+        score_request_answers,
         score_request_status,
         itemset_json,
         trained_itemsets,
