@@ -382,7 +382,7 @@ def _scorer(spark: SparkSession, sf_dir: str, kind: str) -> Scorer:
 def score_request_bodies(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Orders as score requests; price and status decide model and damage."""
     price = F.col("o_totalprice")
-    orders = table(spark, sf_dir, "orders")
+    orders = spread(table(spark, sf_dir, "orders"))
     body = F.format_string(
         '{"Rating": %d, "Reviews": %d, "Size": %d.5, "Installs": %d, "Price": 0, "tag": "%s"}',
         (F.col("o_custkey") % 6),
