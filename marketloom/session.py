@@ -2,13 +2,18 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
+from collections.abc import Sequence
+from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 BROADCAST_ROWS = 500_000
+_STAGED: list[str] = []
 
 
 def local_session(cores: int | str = "*", app_name: str = "marketloom", **conf) -> SparkSession:
@@ -32,28 +37,45 @@ def local_session(cores: int | str = "*", app_name: str = "marketloom", **conf)
 def shared_dir(spark: SparkSession, purpose: str) -> str:
     """A fresh path in the folder that ``spark.checkpoint.dir`` names.
 
-    Only a local session may fall back to the machine's own temporary folder.
+    Only a local session may fall back to the machine's own temporary folder:
+    one folder for the process, removed when it ends.
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-        base = tempfile.mkdtemp(prefix="marketloom-")
+        base = _own_folder()
     return f"{base.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
 
 
-def staged(df: DataFrame, purpose: str) -> DataFrame:
+@cache
+def _own_folder() -> str:
+    folder = tempfile.mkdtemp(prefix="marketloom-")
+    atexit.register(shutil.rmtree, folder, ignore_errors=True)
+    return folder
+
+
+def staged(df: DataFrame, purpose: str, partition_by: Sequence[str] = ()) -> DataFrame:
     """Write ``df`` to the shared folder and read it back.
 
     Costly upstream work then runs once, and a lost executor re-reads files
-    instead of repeating it.
+    instead of repeating it. ``release`` removes the files at the end of a job.
     """
     spark = df.sparkSession
     path = shared_dir(spark, purpose)
-    df.write.parquet(path)
+    _STAGED.append(path)
+    df.write.partitionBy(*partition_by).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def release(spark: SparkSession) -> None:
+    """Remove what ``staged`` has written in this process; results that still read it must be stored before."""
+    hadoop = spark.sparkContext._jsc.hadoopConfiguration()
+    while _STAGED:
+        path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(_STAGED.pop())
+        path.getFileSystem(hadoop).delete(path, True)
+
+
 def small_side(df: DataFrame, limit: int = BROADCAST_ROWS) -> DataFrame:
     """A join side to broadcast if a count shows it is small, else left to a shuffled join.
 

@@ -1,6 +1,8 @@
+from pathlib import Path
 from types import SimpleNamespace
 
 import pytest
+from pyspark.sql import functions as F
 
 from marketloom import session
 
@@ -35,3 +37,11 @@ def test_staged_tables_keep_rows_and_types(spark):
     df = spark.createDataFrame([(1, ["a"], None)], "a int, b array<string>, c double")
     again = session.staged(df, "t")
     assert again.collect() == df.collect() and again.dtypes == df.dtypes
+
+
+def test_staged_tables_are_removed_at_the_end(spark):
+    df = session.staged(spark.range(3).withColumn("half", F.col("id") % 2), "gone", ["half"])
+    path = df.inputFiles()[0].removeprefix("file://").rsplit("/", 2)[0]
+    assert df.count() == 3 and Path(path).is_dir()
+    session.release(spark)
+    assert not Path(path).exists()
