@@ -2,13 +2,22 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from marketloom.llm.common import table
 from marketloom.llm.exact import exact_duplicates
+from marketloom.llm.packing import pack
 from marketloom.llm.simhash import simhash_groups
 
 
+TOKENIZER = "byte_bpe_50k.json"
+
+
+def op1_pattern_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack(table(spark, sf_dir, "documents"), public_tokenizers.path(TOKENIZER), capacity=1024, end_id=2)
+
+
 def op4_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_duplicates(table(spark, sf_dir, "documents"), carry=["doc_id"])
 
@@ -17,4 +26,4 @@ def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_groups(table(spark, sf_dir, "documents"), words=4, max_bits=4, carry=["doc_id"])
 
 
-QUERIES = {f.__name__: f for f in (op4_exact_dedup, op5_simhash)}
+QUERIES = {f.__name__: f for f in (op1_pattern_packing, op4_exact_dedup, op5_simhash)}
