@@ -18,4 +18,48 @@ WITH d AS (
 SELECT doc_id, keep_id, group_size, place = 1 AS kept, text_sha256 FROM g
 """
 
-ORACLES = {"op4_exact_dedup": EXACT_DEDUP}
+# The line rules as written in ``quality``.
+QUALITY_LINES = rf"""
+WITH d AS (
+  SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS text FROM documents
+), w AS (
+  SELECT r, regexp_extract_all(text, '[^\x20\x09-\x0D]+') AS words FROM d
+), grams AS (
+  SELECT r, i, words[i] || ' ' || words[i + 1] || ' ' || words[i + 2] AS g
+  FROM w, unnest(range(1, len(words) - 1)) AS t(i)
+), again AS (
+  SELECT r, i FROM grams QUALIFY count(*) OVER (PARTITION BY r, g) > 1
+), repeats AS (
+  SELECT r, count(DISTINCT i + k) AS n FROM again, unnest([0, 1, 2]) AS t(k) GROUP BY r
+), lines AS (
+  SELECT r, line, len(regexp_extract_all(line, '[^\x20\x09-\x0D]+')) AS words,
+    len(regexp_extract_all(line, '[#*$%&<>]{{2,}}')) AS symbols,
+    len(regexp_extract_all(line, '[!?]{{2,}}')) AS shouts,
+    len(regexp_extract_all(line, '[|»›•·]')) AS bars
+  FROM d, unnest(string_split(text, chr(10))) AS t(line)
+), failed AS (
+  SELECT *, (words >= 10 AND NOT regexp_matches(line, '[.!?:;]')) OR (symbols > 0 AND 5 * symbols >= words)
+    OR (shouts > 0 AND 5 * shouts >= words) OR (bars >= 2 AND 5 * bars >= words)
+    OR regexp_matches(lower(line), 'accept all cookies|all rights reserved|back to top|click here|cookie policy|'
+      || 'enable javascript|follow us on|lorem ipsum|privacy policy|sign up for our newsletter|skip to content|'
+      || 'terms of service|terms of use') AS fails
+  FROM lines
+), per AS (
+  SELECT r, sum(words) FILTER (fails) AS lost,
+    count(*) FILTER (words > 0) - count(DISTINCT line) FILTER (words > 0) AS dup
+  FROM failed GROUP BY r
+), figures AS (
+  SELECT doc_id, len(w.words) AS n_words, length(regexp_replace(text, '{BLANKS}', '', 'g')) AS word_chars,
+    len(regexp_extract_all(text, '[#*$%&|<>]')) AS n_symbols, dup AS n_dup_lines,
+    coalesce(n, 0) AS n_repeat_words, CAST(coalesce(lost, 0) AS BIGINT) AS lost_words
+  FROM d JOIN w USING (r) JOIN per USING (r) LEFT JOIN repeats USING (r)
+)
+SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed,
+  NOT (n_words < 50 OR 100 * n_repeat_words > 50 * n_words) AND 100 * lost_words <= 30 * n_words AS kept
+FROM figures
+"""
+
+ORACLES = {
+    "op2_quality_lines": QUALITY_LINES,
+    "op4_exact_dedup": EXACT_DEDUP,
+}

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from marketloom.llm.common import table
 from marketloom.llm.exact import exact_duplicates
 from marketloom.llm.packing import pack
+from marketloom.llm.quality import judge_lines
 from marketloom.llm.simhash import simhash_groups
 
 
@@ -18,6 +19,15 @@ def op1_pattern_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(table(spark, sf_dir, "documents"), public_tokenizers.path(TOKENIZER), capacity=1024, end_id=2)
 
 
+QUALITY_COLUMNS = (
+    "doc_id n_words word_chars n_symbols n_dup_lines n_repeat_words base_failed kept lost_words"
+).split()
+
+
+def op2_quality_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return judge_lines(table(spark, sf_dir, "documents"), carry=["doc_id"]).select(*QUALITY_COLUMNS)
+
+
 def op4_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_duplicates(table(spark, sf_dir, "documents"), carry=["doc_id"])
 
@@ -26,4 +36,4 @@ def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_groups(table(spark, sf_dir, "documents"), words=4, max_bits=4, carry=["doc_id"])
 
 
-QUERIES = {f.__name__: f for f in (op1_pattern_packing, op4_exact_dedup, op5_simhash)}
+QUERIES = {f.__name__: f for f in (op1_pattern_packing, op2_quality_lines, op4_exact_dedup, op5_simhash)}
