@@ -9,6 +9,7 @@ from marketloom.llm.common import table
 from marketloom.llm.exact import exact_duplicates
 from marketloom.llm.packing import pack
 from marketloom.llm.quality import judge_lines
+from marketloom.llm.sharding import balanced_shards
 from marketloom.llm.simhash import simhash_groups
 
 
@@ -36,4 +37,11 @@ def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_groups(table(spark, sf_dir, "documents"), words=4, max_bits=4, carry=["doc_id"])
 
 
-QUERIES = {f.__name__: f for f in (op1_pattern_packing, op2_quality_lines, op4_exact_dedup, op5_simhash)}
+SHARD_COLUMNS = "doc_id size text_crc32 law shard slot grown_shard".split()
+
+
+def op6_lpt_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return balanced_shards(table(spark, sf_dir, "documents"), shards=40, carry=["doc_id"]).select(*SHARD_COLUMNS)
+
+
+QUERIES = {f.__name__: f for f in (op1_pattern_packing, op2_quality_lines, op4_exact_dedup, op5_simhash, op6_lpt_sharding)}
