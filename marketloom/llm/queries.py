@@ -4,10 +4,12 @@ from __future__ import annotations
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from marketloom.llm.common import table
 from marketloom.llm.exact import exact_duplicates
 from marketloom.llm.packing import pack
+from marketloom.llm.pii import KINDS, personal_spans, spans_text
 from marketloom.llm.quality import judge_lines
 from marketloom.llm.sharding import balanced_shards
 from marketloom.llm.simhash import simhash_groups
@@ -44,4 +46,14 @@ def op6_lpt_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return balanced_shards(table(spark, sf_dir, "documents"), shards=40, carry=["doc_id"]).select(*SHARD_COLUMNS)
 
 
-QUERIES = {f.__name__: f for f in (op1_pattern_packing, op2_quality_lines, op4_exact_dedup, op5_simhash, op6_lpt_sharding)}
+def op10_pii_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = personal_spans(table(spark, sf_dir, "documents"), carry=["doc_id"])
+    return found.select(
+        "doc_id",
+        *[f"n_{kind}" for kind in KINDS],
+        F.sha2(spans_text(F.col("base")), 256).alias("base_sha256"),
+        spans_text(F.col("spans")).alias("spans"),
+    )
+
+
+QUERIES = {f.__name__: f for f in (op1_pattern_packing, op2_quality_lines, op4_exact_dedup, op5_simhash, op6_lpt_sharding, op10_pii_spans)}
