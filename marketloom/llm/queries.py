@@ -8,11 +8,13 @@ from pyspark.sql import functions as F
 
 from marketloom.llm.common import table
 from marketloom.llm.exact import exact_duplicates
+from marketloom.llm.licenses import license_paragraphs, sample_paragraphs, train
 from marketloom.llm.packing import pack
 from marketloom.llm.pii import KINDS, personal_spans, spans_text
 from marketloom.llm.quality import judge_lines
 from marketloom.llm.sharding import balanced_shards
 from marketloom.llm.simhash import simhash_groups
+from marketloom.llm.urls import Rule, filter_urls
 
 
 TOKENIZER = "byte_bpe_50k.json"
@@ -31,6 +33,13 @@ def op2_quality_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judge_lines(table(spark, sf_dir, "documents"), carry=["doc_id"]).select(*QUALITY_COLUMNS)
 
 
+def op3_license_paragraphs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    found = license_paragraphs(docs, train(sample_paragraphs(docs)), carry=["doc_id"])
+    named = F.transform("licenses", lambda x: F.concat_ws(":", x["paragraph"].cast("string"), x["family"]))
+    return found.select("doc_id", "n_paragraphs", F.size("licenses").alias("n_licenses"), F.array_join(named, ",").alias("licenses"))
+
+
 def op4_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_duplicates(table(spark, sf_dir, "documents"), carry=["doc_id"])
 
@@ -46,6 +55,19 @@ def op6_lpt_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return balanced_shards(table(spark, sf_dir, "documents"), shards=40, carry=["doc_id"]).select(*SHARD_COLUMNS)
 
 
+URL_RULES = [
+    Rule("block", "net", "/"),
+    Rule("allow", "example.net", "/en/"),
+    Rule("block", "example.com", "/de/"),
+    Rule("allow", "org", "/fr/"),
+]
+
+
+def op9_url_models(spark: SparkSession, sf_dir: str) -> DataFrame:
+    judged = filter_urls(table(spark, sf_dir, "pages"), URL_RULES, carry=["page_id"])
+    return judged.select("page_id", "host", "path", "rule", "verdict", "score")
+
+
 def op10_pii_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = personal_spans(table(spark, sf_dir, "documents"), carry=["doc_id"])
     return found.select(
@@ -56,4 +78,4 @@ def op10_pii_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-QUERIES = {f.__name__: f for f in (op1_pattern_packing, op2_quality_lines, op4_exact_dedup, op5_simhash, op6_lpt_sharding, op10_pii_spans)}
+QUERIES = {f.__name__: f for f in (op1_pattern_packing, op2_quality_lines, op3_license_paragraphs, op4_exact_dedup, op5_simhash, op6_lpt_sharding, op9_url_models, op10_pii_spans)}
