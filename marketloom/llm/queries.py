@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from marketloom.llm.common import table
 from marketloom.llm.exact import exact_duplicates
 from marketloom.llm.licenses import license_paragraphs, sample_paragraphs, train
+from marketloom.llm.mixing import mix_to_weights
 from marketloom.llm.packing import pack
 from marketloom.llm.pii import KINDS, personal_spans, spans_text
 from marketloom.llm.quality import judge_lines
@@ -55,6 +56,15 @@ def op6_lpt_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return balanced_shards(table(spark, sf_dir, "documents"), shards=40, carry=["doc_id"]).select(*SHARD_COLUMNS)
 
 
+DOMAIN_WEIGHTS = {"good": 0.97, "toxic": 0.02, "poor": 0.01}
+
+
+def op8_soft_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    domain = F.when(F.col("toxic") == 1, "toxic").when(F.col("quality") == 0, "poor").otherwise("good")
+    labels = table(spark, sf_dir, "labels").select("doc_id", domain.alias("domain"))
+    return mix_to_weights(table(spark, sf_dir, "documents"), labels, DOMAIN_WEIGHTS, carry=["doc_id"])
+
+
 URL_RULES = [
     Rule("block", "net", "/"),
     Rule("allow", "example.net", "/en/"),
@@ -78,4 +88,4 @@ def op10_pii_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-QUERIES = {f.__name__: f for f in (op1_pattern_packing, op2_quality_lines, op3_license_paragraphs, op4_exact_dedup, op5_simhash, op6_lpt_sharding, op9_url_models, op10_pii_spans)}
+QUERIES = {f.__name__: f for f in (op1_pattern_packing, op2_quality_lines, op3_license_paragraphs, op4_exact_dedup, op5_simhash, op6_lpt_sharding, op8_soft_mixing, op9_url_models, op10_pii_spans)}
