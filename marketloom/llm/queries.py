@@ -15,6 +15,7 @@ from marketloom.llm.pii import KINDS, personal_spans, spans_text
 from marketloom.llm.quality import judge_lines
 from marketloom.llm.sharding import balanced_shards
 from marketloom.llm.simhash import simhash_groups
+from marketloom.llm.token_counts import edited_counts, masked, token_trees
 from marketloom.llm.urls import Rule, filter_urls
 
 
@@ -56,6 +57,17 @@ def op6_lpt_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return balanced_shards(table(spark, sf_dir, "documents"), shards=40, carry=["doc_id"]).select(*SHARD_COLUMNS)
 
 
+#: Numbers, runs of symbols and shouting; each becomes one mark.
+MASKED, MASK = r"[0-9]{2,}|[#$%&*]{2,}|!{2,}", "#"
+
+
+def op7_edit_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = public_tokenizers.path(TOKENIZER)
+    docs = masked(table(spark, sf_dir, "documents").select("doc_id", "text"), MASKED, MASK)
+    counted = edited_counts(token_trees(docs, path, carry=["doc_id", "edits"]), path)
+    return counted.select("doc_id", "n_tokens", F.size("edits").alias("n_edits"), "n_tokens_after", "n_encoded")
+
+
 DOMAIN_WEIGHTS = {"good": 0.97, "toxic": 0.02, "poor": 0.01}
 
 
@@ -88,4 +100,4 @@ def op10_pii_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-QUERIES = {f.__name__: f for f in (op1_pattern_packing, op2_quality_lines, op3_license_paragraphs, op4_exact_dedup, op5_simhash, op6_lpt_sharding, op8_soft_mixing, op9_url_models, op10_pii_spans)}
+QUERIES = {f.__name__: f for f in (op1_pattern_packing, op2_quality_lines, op3_license_paragraphs, op4_exact_dedup, op5_simhash, op6_lpt_sharding, op7_edit_token_counts, op8_soft_mixing, op9_url_models, op10_pii_spans)}
