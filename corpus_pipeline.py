@@ -1,44 +1,82 @@
 """Documents to packed training sequences, stage by stage.
 
 Every stage takes the documents its predecessor kept and returns documents; the
-last returns the pieces of the packed sequences.
+last returns the pieces of the packed sequences. Columns of documents that the
+operators do not know, whatever their names, go through unchanged.
 """
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from marketloom.llm.common import staged, table
+from marketloom.llm.common import staged, table, whole_row
 from marketloom.llm.exact import exact_duplicates
+from marketloom.llm.mixing import mix_to_weights, repeat_by_rate
+from marketloom.llm.packing import pack
+from marketloom.llm.quality import judge_lines
 from marketloom.llm.simhash import simhash_groups
 
+TOKENIZER = "byte_bpe_50k.json"
+WEIGHTS = {"clean": 0.995, "toxic": 0.005}
+
+
+def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without the lines that break a rule; those that fail go, NULL and empty texts among them.
+
+    ``n_chars`` is counted anew. See ``judge_lines`` for the rules.
+    """
+    kept = judge_lines(_wrapped(docs)).where("kept")
+    changed = {"text": F.col("clean_text"), "n_chars": F.length("clean_text").cast("long")}
+    return kept.select(*[changed.get(name, F.col(f"row.`{name}`")).alias(name) for name in docs.columns])
+
 
 def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of every group of equal texts; see ``exact_duplicates`` for nulls and ties."""
-    return _kept(docs, exact_duplicates(docs.select(_row(docs), "doc_id", "text"), carry=["row"]))
+    return _unwrapped(exact_duplicates(_wrapped(docs), carry=["row"]).where("kept"), docs)
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of every group of near copies; see ``simhash_groups`` for nulls and ties."""
-    judged = simhash_groups(docs.select(_row(docs), "doc_id", "text"), words=4, max_bits=4)
-    return _kept(docs, judged)
+    return _unwrapped(simhash_groups(_wrapped(docs), words=4, max_bits=4).where("kept"), docs)
+
+
+def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents as often as the rate says that brings toxic text down to its weight.
+
+    Domains are learned from ``labels``. Clean documents have rates near one and
+    stay once; a document with a rate well above one comes more than once, one
+    below may go. See ``mix_to_weights`` for nulls, ties and missing labels.
+    """
+    domain = F.when(F.col("toxic") == 1, "toxic").when(F.col("toxic") == 0, "clean")
+    labels = table(spark, sf_dir, "labels").select("doc_id", domain.alias("domain"))
+    rated = mix_to_weights(_wrapped(docs), labels, WEIGHTS)
+    return _unwrapped(repeat_by_rate(rated, ["row"]), docs)
+
 
+def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The place of every piece of every document in sequences of 1024 tokens; see ``pack``."""
+    return pack(docs, public_tokenizers.path(TOKENIZER), capacity=1024, end_id=2)
 
-def _row(docs: DataFrame):
-    from marketloom.llm.common import whole_row
 
-    return whole_row(docs).alias("row")
+def _wrapped(docs: DataFrame) -> DataFrame:
+    """The whole row beside key and text, so that other columns meet no name of an operator's."""
+    return docs.select(whole_row(docs).alias("row"), "doc_id", "text")
 
 
-def _kept(docs: DataFrame, judged: DataFrame) -> DataFrame:
-    return judged.where("kept").select("row.*").select(*docs.columns)
+def _unwrapped(rows: DataFrame, docs: DataFrame) -> DataFrame:
+    return rows.select(*[F.col(f"row.`{name}`").alias(name) for name in docs.columns])
 
 
 STAGES = [
+    ("quality rules", quality_rules),
     ("exact dedup", exact_dedup),
     ("simhash near-dedup", near_dedup),
+    ("mixing to target weights", mix_sources),
+    ("pattern packing", pack_sequences),
 ]
-#: Token ids, hashes of shingles and fitted rates are beyond SQL; tests hold each stage against brute force.
+#: Token ids, hashes of shingles and fitted rates are beyond SQL; tests hold the stages against brute force.
 ORACLE_SQL = None
 
 

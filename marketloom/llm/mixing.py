@@ -24,6 +24,7 @@ SAMPLE = 8_000
 TYPICAL_WORDS = 100
 TYPICAL_FACTOR = 12.0
 LEAST_SHARE = 0.01
+CHANCE_DEVIATIONS = 1.5
 #: Upper ends of the bins of each figure.
 BINS = {
     "symbols": (0.5, 2.0, 5.0, 20.0),
@@ -67,10 +68,14 @@ def mix_to_weights(
     known = labels.where(F.col("domain").isin(domains)).select(F.col(key).alias("id"), "domain")
     rows = df.select(whole_row(df, names).alias("row"), F.col(key).alias("id"), F.col(text).alias("text"))
     typical = typical_words(rows.select("id", "text"), known, domains)
-    figures = staged(_figures(rows, typical), "mix-figures")
-    posterior = _posterior(class_counts(figures, known), domains, [*typical, *BINS])
-    rated = staged(figures.select("row", "tokens", posterior.alias("p")), "mix-posteriors")
+    narrow = carry is not None  # whole rows are not written out, but read again for the result
+    figured = _figures(rows, typical)
+    figures = staged(figured if narrow else figured.drop("row"), "mix-figures")
+    posterior = _posterior(class_counts(figures, known), domains, [*typical, *BINS]).alias("p")
+    rated = staged(figures.select(*["row"] * narrow, "tokens", posterior), "mix-posteriors")
     slope = fit_rates(rated, domains, weights, tolerance, max_steps)
+    if not narrow:
+        rated = figured.select("row", "tokens", posterior)
     results = {"tokens": F.col("tokens")}
     results |= {f"p_{domain}": F.get("p", F.lit(d)) for d, domain in enumerate(domains)}
     results["rate"] = _rate(slope)
@@ -107,7 +112,8 @@ def typical_words(rows: DataFrame, known: DataFrame, domains: list[str]) -> dict
         n, others = of.get(domain, 0), sum(of.values()) - of.get(domain, 0)
         outside = sum((F.col(f"`{d}`") for d in domains if d != domain), F.lit(0))
         inside = F.col(f"`{domain}`")
-        factor = (inside + 0.5) / (n + 1.0) / ((outside + 0.5) / (others + 1.0))
+        sure = inside - CHANCE_DEVIATIONS * F.sqrt(inside)  # what is left of it if part came by chance
+        factor = F.greatest(sure, F.lit(0.0)) / (n + 1.0) / ((outside + 0.5) / (others + 1.0))
         likely = held.where((inside >= LEAST_SHARE * n) & (factor >= TYPICAL_FACTOR))
         top = likely.orderBy(F.desc(inside * F.log(factor)), "word").limit(TYPICAL_WORDS).collect() if n and others else []
         found[domain] = [row["word"] for row in top]
