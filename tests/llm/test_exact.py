@@ -1,0 +1,70 @@
+import hashlib
+import re
+
+import pytest
+
+from marketloom.llm.exact import exact_duplicates
+from tests.llm import edge
+
+RESULT = ("doc_id", "keep_id", "group_size", "kept", "text_sha256")
+
+
+def brute(rows):
+    groups = {}
+    for place, (doc_id, text) in enumerate(rows):
+        text = text or ""
+        sha = hashlib.sha256(re.sub(r"[\x20\x09-\x0D]", "", text).encode()).hexdigest()
+        groups.setdefault(sha, []).append((-len(text), doc_id is None, doc_id or 0, place))
+    out = []
+    for sha, members in groups.items():
+        best = min(members)
+        for _, none, doc_id, place in members:
+            out.append((None if none else doc_id, None if best[1] else best[2], len(members), place == best[3], sha))
+    return out
+
+
+def got(df):
+    return [tuple(r) for r in df.select(*RESULT).collect()]
+
+
+def key(row):
+    return tuple((v is None, str(v)) for v in row)
+
+
+@pytest.mark.parametrize("round_keys", [1 << 24, 100])
+def test_against_brute_force(spark, round_keys):
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    rows = [(r.doc_id, r.text) for r in docs.collect()]
+    assert sorted(got(exact_duplicates(docs, round_keys=round_keys)), key=key) == sorted(brute(rows), key=key)
+
+
+def test_edge_rows(spark):
+    rows = [r[:2] for r in edge.ROWS]
+    found = got(exact_duplicates(edge.documents(spark)))
+    # Which of two equal rows stays is open, so only its number is compared.
+    assert sorted(found, key=key) == sorted(brute(rows), key=key)
+    assert sum(r[3] for r in found) == len({r[4] for r in found})
+
+
+def test_empty_table_and_clashing_names(spark):
+    assert exact_duplicates(edge.empty(spark)).count() == 0
+    whole = exact_duplicates(edge.clashing(spark, "group_size"))
+    assert "row" in whole.columns and "KEPT" not in whole.columns and whole.columns.count("group_size") == 1
+    assert whole.count() == len(edge.ROWS) and {r["uid"] for r in whole.collect()} == {"mine"}
+
+
+def test_only_suspects_are_shuffled(spark, monkeypatch):
+    from marketloom.llm import exact
+
+    sizes = {}
+
+    def counting(df, purpose, **more):
+        done = staged(df, purpose, **more)
+        sizes[purpose] = done.count()
+        return done
+
+    staged = exact.staged
+    monkeypatch.setattr(exact, "staged", counting)
+    docs = spark.range(20_000).selectExpr("id AS doc_id", "concat('text ', greatest(id, 10)) AS text")
+    assert exact_duplicates(docs).where("kept").count() == 19_990
+    assert 11 <= sizes["dedup-suspects"] < 1_000

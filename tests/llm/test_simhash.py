@@ -1,0 +1,89 @@
+import random
+
+import pytest
+import xxhash
+
+from marketloom.llm.simhash import near_duplicate_prints, simhash, simhash_groups
+from tests.llm import edge
+
+
+def plain_simhash(text, n=4):
+    words = "".join(c.lower() if "A" <= c <= "Z" else c for c in text or "")
+    words = [w for w in "".join(" " if c in " \t\n\v\f\r" else c for c in words).split(" ") if w]
+    runs = [" ".join(words[i : i + n]) for i in range(max(1, len(words) - n + 1))] if words else []
+    hashes = [xxhash.xxh64_intdigest(r, seed=42) for r in runs]
+    return sum(1 << b for b in range(64) if 2 * sum(h >> b & 1 for h in hashes) > len(hashes))
+
+
+def plain_roots(prints, bits=4):
+    prints = sorted(prints)
+    root = {p: p for p in prints}
+
+    def find(p):
+        while root[p] != p:
+            p = root[p]
+        return p
+
+    for i, a in enumerate(prints):
+        for b in prints[i + 1 :]:
+            if ((a ^ b) & (1 << 64) - 1).bit_count() <= bits:
+                x, y = sorted((find(a), find(b)))
+                root[y] = x
+    return {p: find(p) for p in prints}
+
+
+def test_fingerprints():
+    for text in ("", " ", "One", "A b C d E f", "x y z", "é É Ü word " * 9, "a b c d " * 500, None):
+        assert simhash(text or "") % (1 << 64) == plain_simhash(text)
+
+
+@pytest.mark.parametrize("groups", [5, 6, 8, None])
+def test_links_against_all_pairs(spark, groups):
+    rng = random.Random(groups)
+    prints = set()
+    for _ in range(60):  # chains of near prints, and dense balls around one
+        p = rng.getrandbits(64)
+        prints.add(p)
+        for _ in range(rng.choice((0, 1, 12))):
+            for b in rng.sample(range(64), rng.randint(0, 6)):
+                p ^= 1 << b
+            prints.add(p)
+    prints |= {rng.getrandbits(64) for _ in range(200)} | {0, 1, (1 << 64) - 1}
+    signed = [p - (1 << 64) if p >> 63 else p for p in prints]
+    df = spark.createDataFrame([(p,) for p in signed], "print long")
+    found = {r.node: r.root for r in near_duplicate_prints(df, 4, groups).collect()}
+    want = plain_roots(signed)
+    assert {p: found.get(p, p) for p in signed} == want
+    assert all(sum(1 for q in want.values() if q == want[p]) > 1 for p in found)
+
+
+def test_whole_table_against_brute_force(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    prints = {r.doc_id: plain_simhash(r.text) for r in docs.collect()}
+    roots = plain_roots(set(prints.values()))
+    first = {}
+    for doc_id in sorted(prints):
+        first.setdefault(roots[prints[doc_id]], doc_id)
+    found = simhash_groups(docs, carry=["doc_id"]).collect()
+    assert {r.doc_id: (int(r.fingerprint, 16), r.component_id) for r in found} == {
+        d: (p, first[roots[p]]) for d, p in prints.items()
+    }
+    assert all(r.kept == (r.doc_id == r.component_id) for r in found)
+
+
+def test_edge_rows(spark):
+    found = simhash_groups(edge.documents(spark)).collect()
+    by_id = {r.doc_id: r for r in found if r.doc_id is not None}
+    assert len(found) == len(edge.ROWS)
+    assert by_id[3].fingerprint == by_id[4].fingerprint == by_id[5].fingerprint == "0" * 16
+    assert {by_id[i].component_id for i in (3, 4, 5)} == {3} and by_id[2].component_id == 1
+    assert sum(r.kept for r in found if r.component_id == 1) == 1
+    assert all(r.component_id == 3 for r in found if r.doc_id is None and r.text is None)
+    assert [r.kept for r in found if r.doc_id is None and r.text] == [True]
+
+
+def test_empty_table_and_clashing_names(spark):
+    assert simhash_groups(edge.empty(spark)).count() == 0
+    whole = simhash_groups(edge.clashing(spark, "fingerprint", "print", "best"))
+    assert whole.columns.count("fingerprint") == 1 and "KEPT" not in whole.columns
+    assert whole.count() == len(edge.ROWS) and {r["print"] for r in whole.collect()} == {"mine"}
