@@ -19,7 +19,7 @@ from marketloom.llm.quality import judge_lines
 from marketloom.llm.simhash import simhash_groups
 
 TOKENIZER = "byte_bpe_50k.json"
-WEIGHTS = {"clean": 0.995, "toxic": 0.005}
+WEIGHTS = {"clean": 0.98, "toxic": 0.02}
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from marketloom.session import staged
 
-__all__ = ["BLANKS", "ascii_words", "blank_free", "keep_input", "staged", "table", "whole_row"]
+__all__ = ["BLANKS", "ascii_words", "blank_free", "staged", "table", "whole_row", "with_results"]
 
 BLANKS = r"[\x20\x09-\x0D]"
 
@@ -33,11 +33,13 @@ def whole_row(df: DataFrame, names: Iterable[str] | None = None) -> Column:
     return F.struct(*[df[f"`{name}`"] for name in (df.columns if names is None else names)])
 
 
-def keep_input(names: Iterable[str], results: dict[str, Column], row: str = "row") -> list[Column]:
+def with_results(df: DataFrame, names: Iterable[str], results: dict[str, Column], row: str = "row") -> DataFrame:
     """Input columns out of the struct ``row``, then the results.
 
     A result replaces an input column of the same name, whatever its case.
+    Results are computed before input names come back, so they cannot meet them.
     """
     taken = {name.lower() for name in results}
     kept = [F.col(f"{row}.`{name}`").alias(name) for name in names if name.lower() not in taken]
-    return kept + [column.alias(name) for name, column in results.items()]
+    computed = df.select(row, F.struct(*[column.alias(name) for name, column in results.items()]).alias("result"))
+    return computed.select(*kept, *[F.col(f"result.`{name}`").alias(name) for name in results])

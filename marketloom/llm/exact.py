@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from marketloom.llm.common import blank_free, keep_input, staged, whole_row
+from marketloom.llm.common import blank_free, staged, whole_row, with_results
 
 BLOCK_BITS = 512
 BITS_PER_KEY = 16
@@ -59,7 +59,7 @@ def exact_duplicates(
     for part in parts[1:]:
         found = found.unionAll(part)
     results = {name: F.col(f"found.{name}") for name in ("keep_id", "group_size", "kept", "text_sha256")}
-    return found.select(*keep_input(names, results))
+    return with_results(found, names, results)
 
 
 def _blocks(keys: int) -> int:

@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from marketloom.llm.common import keep_input, whole_row
+from marketloom.llm.common import whole_row, with_results
 from marketloom.llm.shipping import ship_code
 
 # How the licences themselves, and notices that name them, commonly read.
@@ -174,7 +174,7 @@ def license_paragraphs(
             yield pa.RecordBatch.from_arrays(arrays, schema.names)
 
     results = {"n_paragraphs": F.col("n"), "licenses": F.col("found")}
-    return rows.mapInArrow(judge, schema).select(*keep_input(names, results))
+    return with_results(rows.mapInArrow(judge, schema), names, results)
 
 
 def _document(text: str, model: Classifier) -> tuple[int, list[dict]]:

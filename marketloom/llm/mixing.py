@@ -17,7 +17,7 @@ from math import log
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from marketloom.llm.common import ascii_words, keep_input, staged, whole_row
+from marketloom.llm.common import ascii_words, staged, whole_row, with_results
 
 #: Labelled documents, by the order of their hashes, that typical words are looked for in.
 SAMPLE = 8_000
@@ -79,7 +79,7 @@ def mix_to_weights(
     results = {"tokens": F.col("tokens")}
     results |= {f"p_{domain}": F.get("p", F.lit(d)) for d, domain in enumerate(domains)}
     results["rate"] = _rate(slope)
-    return rated.select(*keep_input(names, results))
+    return with_results(rated, names, results)
 
 
 def repeat_by_rate(rated: DataFrame, names: list[str], key: str = "doc_id", seed: int = 42) -> DataFrame:
@@ -139,22 +139,36 @@ def fit_rates(
     places = range(len(domains))
     p = [F.get("p", F.lit(d)) for d in places]
 
-    def totals(by: Column) -> list[float]:
-        row = rated.agg(*[F.coalesce(F.sum(F.col("tokens") * by * p[d]), F.lit(0.0)) for d in places]).first()
-        return [float(x) for x in row]
+    def totals(slope: list[float]) -> tuple[list[float], list[float]]:
+        """Expected tokens of the domains at these rates, and present tokens of documents that have a rate."""
+        rate = _rate(slope)
+        own = [F.col("tokens") * p[d] for d in places]
+        sums = [F.sum(x * rate) for x in own] + [F.sum(F.when(rate > 0, x)) for x in own]
+        row = [float(x or 0.0) for x in rated.agg(*sums).first()]
+        return row[: len(domains)], row[len(domains) :]
 
-    now = totals(F.lit(1.0))
     share = [weights[d] / sum(weights.values()) for d in domains]
     main = max(places, key=lambda d: share[d])
-    wanted = [now[main] / share[main] * s for s in share] if share[main] else [0.0 for _ in places]
-    whole, slope = sum(wanted) or 1.0, [0.0 for _ in places]
-    expected = now
+    slope, damp = [0.0 for _ in places], 1.0
+    expected, active = totals(slope)
+    wanted = [active[main] / share[main] * s for s in share]
+    whole = sum(wanted) or 1.0
+
+    def miss(values: list[float]) -> float:
+        return max(abs(e - w) for e, w in zip(values, wanted, strict=True))
+
     for _ in range(max_steps):
-        if max(abs(e - w) for e, w in zip(expected, wanted, strict=True)) <= tolerance * whole:
+        if miss(expected) <= tolerance * whole:
             break
-        # Rows of the Hessian, sum of tokens x p x p, add up to a domain's tokens: this step cannot overshoot.
-        slope = [s - (e - w) / n if n else s for s, e, w, n in zip(slope, expected, wanted, now, strict=True)]
-        expected = totals(_rate(slope))
+        # Rows of the Hessian over documents with a rate, sums of tokens x p x p, add up to these domains' tokens,
+        # so the step cannot overshoot unless documents get a rate again; then it is shortened.
+        step = [damp * (e - w) / n if n else 0.0 for e, w, n in zip(expected, wanted, active, strict=True)]
+        trial = [s - d for s, d in zip(slope, step, strict=True)]
+        found, with_rate = totals(trial)
+        if miss(found) < miss(expected):
+            slope, expected, active, damp = trial, found, with_rate, min(1.0, 1.5 * damp)
+        else:
+            damp /= 2
     return slope
 
 

@@ -16,7 +16,7 @@ from math import exp, log
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from marketloom.llm.common import keep_input, staged, whole_row
+from marketloom.llm.common import staged, whole_row, with_results
 
 KINDS = ("email", "ip", "card", "phone")
 
@@ -84,7 +84,8 @@ def personal_spans(
     found = staged(_candidates(df.select(whole_row(df, names).alias("row"), F.col(text).alias("text"))), "pii-candidates")
     weights = train(vote_counts(found))
     base = F.filter("found", lambda s: s["valid"])
-    results = {f"n_{kind}": F.size(F.filter(base, lambda s, k=k: s["kind"] == k)).cast("long") for k, kind in enumerate(KINDS)}
+    kinds = F.transform(base, lambda s: s["kind"])
+    results = {f"n_{kind}": F.size(F.filter(kinds, _equals(k))).cast("long") for k, kind in enumerate(KINDS)}
 
     def added(span: Column) -> Column:
         apart = ~F.exists("found", lambda b: b["valid"] & (b["start"] < span["end"]) & (span["start"] < b["end"]))
@@ -93,7 +94,11 @@ def personal_spans(
     plain = lambda spans: F.sort_array(F.transform(spans, lambda s: F.struct(s["start"], s["kind"], s["end"])))
     results["base"] = plain(base)
     results["spans"] = F.sort_array(F.array_distinct(F.concat(plain(base), plain(F.filter("found", added)))))
-    return found.select(*keep_input(names, results))
+    return with_results(found, names, results)
+
+
+def _equals(value: int) -> Callable[[Column], Column]:
+    return lambda x: x == value
 
 
 def spans_text(spans: Column) -> Column:

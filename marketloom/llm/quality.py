@@ -8,7 +8,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from marketloom.llm.common import ascii_words, blank_free, keep_input, whole_row
+from marketloom.llm.common import ascii_words, blank_free, whole_row, with_results
 
 WORD = r"[^\x20\x09-\x0D]+"
 SYMBOL = r"[#*$%&|<>]"
@@ -116,7 +116,7 @@ def judge_lines(
             F.array_join(F.filter("lines", lambda line: ~F.array_contains("failed", line)), "\n"),
         ).otherwise(F.col("text"))
         results["clean_text"] = clean
-    return rows.select(*keep_input(names, results))
+    return with_results(rows, names, results)
 
 
 def _pin(df: DataFrame, **columns: Column) -> DataFrame:

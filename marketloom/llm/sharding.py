@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from marketloom.llm.common import keep_input, staged, whole_row
+from marketloom.llm.common import staged, whole_row, with_results
 from marketloom.llm.shipping import ship_code
 
 #: Sizes below this make a run each.
@@ -74,7 +74,7 @@ def balanced_shards(
         "slot": F.col("slot"),
         "grown_shard": F.lit(None).cast("int"),
     }
-    return numbered.select(*keep_input(names, results))
+    return with_results(numbered, names, results)
 
 
 def write_shards(placed: DataFrame, path: str, files: int) -> None:

@@ -19,7 +19,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from marketloom.llm.common import keep_input, staged, whole_row
+from marketloom.llm.common import staged, whole_row, with_results
 from marketloom.llm.graph import components
 from marketloom.llm.shipping import ship_code
 
@@ -163,7 +163,7 @@ def simhash_groups(
     }
     if carry is None:
         judged = with_id.select("row", "uid").join(judged.select("uid", "print", "best"), "uid")
-    return judged.select(*keep_input(names, results))
+    return with_results(judged, names, results)
 
 
 def _group_count(prints: int, max_bits: int) -> int:

@@ -20,7 +20,7 @@ import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from marketloom.llm.common import keep_input, whole_row
+from marketloom.llm.common import whole_row, with_results
 from marketloom.llm.shipping import ship_code
 from marketloom.llm.tokens import PRE_TOKENS, Encoder, encoder, vocabulary
 
@@ -207,7 +207,7 @@ def token_trees(df: DataFrame, tokenizer: str, text: str = "text", carry: list[s
 
     built = _mapped(rows, tokenizer, trees)
     results = {"tree_text": F.col("text"), "tree": F.col("tree"), "n_tokens": F.get("tree.tokens", F.lit(1)).cast("long")}
-    return built.select(*keep_input(names, results))
+    return with_results(built, names, results)
 
 
 def edited_counts(trees: DataFrame, tokenizer: str, edits: str = "edits", carry: list[str] | None = None) -> DataFrame:
@@ -237,7 +237,7 @@ def edited_counts(trees: DataFrame, tokenizer: str, edits: str = "edits", carry:
         "n_tokens_after": F.get("tree.tokens", F.lit(1)).cast("long"),
         "n_encoded": F.col("encoded"),
     }
-    return done.select(*keep_input([n for n in names if n != "tree_text"], results))
+    return with_results(done, [n for n in names if n != "tree_text"], results)
 
 
 def _mapped(rows: DataFrame, tokenizer: str, work) -> DataFrame:

@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from marketloom.llm.common import keep_input, staged, whole_row
+from marketloom.llm.common import staged, whole_row, with_results
 from marketloom.llm.shipping import ship_code
 
 ORDER = 5
@@ -129,7 +129,7 @@ def filter_urls(
         "verdict": F.coalesce("ruled", F.when(F.col("score") >= threshold, "allow").otherwise("block")),
         "score": F.col("score"),
     }
-    return judged.select(*keep_input(names, results))
+    return with_results(judged, names, results)
 
 
 def marked(host: str, path: str) -> str:

@@ -32,4 +32,4 @@ def empty(spark: SparkSession) -> DataFrame:
 def clashing(spark: SparkSession, *names: str) -> DataFrame:
     """The same rows with further columns of names that operators use or return."""
     used = ("row", "id", "uid", "hash", "words", "pin", "found", "task", "KEPT", *names)
-    return documents(spark).select("*", *[F.lit("mine").alias(name) for name in used])
+    return documents(spark).select("*", *[F.lit("mine").alias(name) for name in dict.fromkeys(used)])

@@ -1,0 +1,87 @@
+import re
+
+import pytest
+from pyspark.sql import functions as F
+
+from marketloom.llm.mixing import fit_rates, mix_to_weights, repeat_by_rate
+from tests.llm import edge
+
+FOLDER = "/root/testdata/sf0.01"
+WEIGHTS = {"good": 0.97, "toxic": 0.02, "poor": 0.01}
+
+
+def labels(spark):
+    domain = F.when(F.col("toxic") == 1, "toxic").when(F.col("quality") == 0, "poor").otherwise("good")
+    return spark.read.parquet(f"{FOLDER}/labels.parquet").select("doc_id", domain.alias("domain"))
+
+
+def test_totals_meet_the_targets(spark):
+    docs = spark.read.parquet(f"{FOLDER}/documents.parquet")
+    rows = mix_to_weights(docs, labels(spark), WEIGHTS).collect()
+    whole = sum(r.tokens * r.p_good for r in rows) / 0.97
+    for domain, weight in WEIGHTS.items():
+        expected = sum(r.tokens * r[f"p_{domain}"] * r.rate for r in rows)
+        assert abs(expected - weight * whole) <= 2e-4 * whole
+    for r in rows:
+        assert r.rate >= 0 and abs(sum(r[f"p_{d}"] for d in WEIGHTS) - 1) < 1e-9
+        assert r.tokens == len(re.findall(r"[^\x20\x09-\x0D]+", r.text))
+
+
+def test_classifier_on_labels_it_was_not_given(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.1/documents.parquet")
+    known = spark.read.parquet("/root/testdata/sf0.1/labels.parquet").withColumn("held", F.xxhash64("doc_id") % 3 == 0)
+    domain = F.when(F.col("toxic") == 1, "toxic").otherwise("clean")
+    given = known.where("not held").select("doc_id", domain.alias("domain"))
+    rated = mix_to_weights(docs, given, {"clean": 0.98, "toxic": 0.02}, carry=["doc_id"])
+    rows = rated.join(known.where("held"), "doc_id").collect()
+    toxic = [r for r in rows if r.toxic == 1]
+    clean = [r for r in rows if r.toxic == 0]
+    sound = [r for r in toxic if r.quality == 1]  # junk labelled toxic holds no word that says so
+    assert sum(r.p_toxic > 0.5 for r in sound) / len(sound) > 0.9
+    assert sum(r.p_toxic < 0.5 for r in clean) / len(clean) > 0.98
+
+
+@pytest.mark.parametrize("share", [0.1, 0.5, 0.9])
+def test_rates_are_the_nearest_to_one(spark, share):
+    """Against the solution of the quadratic programme by a plain bisection, for two domains."""
+    rows = [(10 + i % 7, [p := (i % 11) / 10.0, 1 - p]) for i in range(200)]
+    rated = spark.createDataFrame(rows, "tokens long, p array<double>")
+    weights = {"a": share, "b": 1 - share}
+    slope = fit_rates(rated, ["a", "b"], weights, 1e-5, 100)
+    rates = [max(0.0, 1 + sum(s * x for s, x in zip(slope, p))) for _, p in rows]
+    totals = [sum(t * p[d] * r for (t, p), r in zip(rows, rates)) for d in (0, 1)]
+    main = 0 if share > 0.5 else (1 if share < 0.5 else 0)
+    whole = sum(t * p[main] for t, p in rows) / (share if main == 0 else 1 - share)
+    assert abs(totals[0] - share * whole) < 1e-3 * whole and abs(totals[1] - (1 - share) * whole) < 1e-3 * whole
+
+
+def test_documents_are_repeated_by_rate(spark):
+    rated = spark.range(20_000).selectExpr("id AS doc_id", "element_at(array(0.0D, 0.3D, 0.97D, 1.04D, 2.5D), cast(id % 5 + 1 AS int)) AS rate")
+    found = repeat_by_rate(rated, ["doc_id", "rate"]).groupBy("rate").count().collect()
+    counts = {r["rate"]: r["count"] / 4000 for r in found}
+    assert 0.0 not in counts and counts[0.97] == counts[1.04] == 1
+    assert abs(counts[0.3] - 0.3) < 0.03 and abs(counts[2.5] - 2.5) < 0.03
+
+
+def test_edge_rows(spark):
+    taught = spark.createDataFrame([(1, "good"), (1, "good"), (6, "poor"), (None, "toxic"), (99, "toxic"), (2, "other"), (3, None)], "doc_id long, domain string")
+    for df in (edge.documents(spark), edge.clashing(spark, "rate", "bins", "p", "domain", "part")):
+        for carry in (None, df.columns):
+            rows = mix_to_weights(df, taught, WEIGHTS, carry=carry).collect()
+            assert len(rows) == len(edge.ROWS)
+            assert all(r.rate >= 0 and r.rate == r.rate for r in rows)
+            assert {r.tokens for r in rows if not (r.text or "").strip()} == {0}
+    assert {r["bins"] for r in rows} == {"mine"}
+    assert mix_to_weights(edge.empty(spark), taught, WEIGHTS).count() == 0
+
+
+def test_without_labels_all_domains_are_equal(spark):
+    none = spark.createDataFrame([], "doc_id long, domain string")
+    rows = mix_to_weights(edge.documents(spark), none, WEIGHTS).collect()
+    assert all(abs(r.p_good - 1 / 3) < 1e-9 for r in rows)
+
+
+def test_no_python_on_the_executors(spark):
+    docs = spark.read.parquet(f"{FOLDER}/documents.parquet")
+    plan = mix_to_weights(docs, labels(spark), WEIGHTS)._jdf.queryExecution().executedPlan().toString()
+    assert not re.search("Python|Arrow", plan)

@@ -1,0 +1,78 @@
+from zlib import crc32
+
+import numpy as np
+import pytest
+
+from marketloom.llm import sharding
+from marketloom.llm.sharding import balanced_shards, deal, write_shards
+from tests.llm import edge
+
+
+def by_heap(loads, n, size):
+    loads, counts = list(loads), [0] * len(loads)
+    for _ in range(n):
+        at = min(range(len(loads)), key=lambda i: (loads[i], i))
+        loads[at] += size
+        counts[at] += 1
+    return loads, counts
+
+
+@pytest.mark.parametrize("seed", range(20))
+def test_runs_are_dealt_as_the_heap_would(seed):
+    rng = np.random.default_rng(seed)
+    loads = rng.integers(0, 500, rng.integers(1, 9)).astype(float)
+    n, size = int(rng.integers(0, 300)), float(rng.integers(1, 60))
+    counts = deal(loads, n, size)
+    want, _ = by_heap(loads, n, size)
+    assert counts.sum() == n and sorted(loads + counts * size) == sorted(want)
+
+
+def check(rows, shards):
+    places = {}
+    for r in rows:
+        assert r["size"] == len((r.text or "").encode()) + 16 and r.text_crc32 == crc32((r.text or "").encode())
+        assert r.law == "bytes" and r.grown_shard is None and 0 <= r.shard < shards
+        places.setdefault(r.shard, []).append(r.slot)
+    assert all(sorted(slots) == list(range(len(slots))) for slots in places.values())
+    texts = {}
+    for r in rows:
+        texts.setdefault(r.text or "", set()).add(r.shard)
+    assert all(len(at) == 1 for at in texts.values())
+
+
+def loads(rows, shards):
+    total = [0] * shards
+    for r in rows:
+        total[r.shard] += r["size"]
+    return total
+
+
+@pytest.mark.parametrize("exact, bucket", [(1 << 13, 100_000), (300, 50)])
+def test_shards_are_even(spark, monkeypatch, exact, bucket):
+    monkeypatch.setattr(sharding, "EXACT_SIZES", exact)
+    monkeypatch.setattr(sharding, "BUCKET_ROWS", bucket)
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    rows = balanced_shards(docs, 10).collect()
+    assert len(rows) == docs.count()
+    check(rows, 10)
+    bytes_ = loads(rows, 10)
+    assert max(bytes_) - min(bytes_) < 200
+
+
+def test_edge_rows(spark):
+    for df in (edge.documents(spark), edge.clashing(spark, "shard", "rank", "run", "bytes")):
+        rows = balanced_shards(df, 3).collect()
+        assert len(rows) == len(edge.ROWS)
+        check(rows, 3)
+    assert {r["run"] for r in rows} == {"mine"}
+    assert balanced_shards(edge.empty(spark), 3).count() == 0
+
+
+def test_files_hold_a_shard_in_order(spark, tmp_path):
+    placed = balanced_shards(spark.read.parquet("/root/testdata/sf0.001/documents.parquet"), 4)
+    write_shards(placed, str(tmp_path / "out"), files=8)
+    for folder in (tmp_path / "out").glob("shard=*"):
+        slots = []
+        for file in sorted(folder.glob("part-*")):
+            slots += [r.slot for r in spark.read.parquet(str(file)).collect()]
+        assert slots == sorted(slots) == list(range(len(slots)))
