@@ -20,6 +20,7 @@ from marketloom.llm.simhash import simhash_groups
 
 TOKENIZER = "byte_bpe_50k.json"
 WEIGHTS = {"clean": 0.98, "toxic": 0.02}
+SNAP = 0.25
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -38,21 +39,29 @@ def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of every group of near copies; see ``simhash_groups`` for nulls and ties."""
-    return _unwrapped(simhash_groups(_wrapped(docs), words=4, max_bits=4).where("kept"), docs)
+    """One document of every group of near copies; see ``simhash_groups`` for nulls and ties.
+
+    Texts are told apart by a number of their own; only the numbers of documents
+    that go are joined with the texts.
+    """
+    numbered = staged(_wrapped(docs).withColumn("uid", F.monotonically_increasing_id()), "near-rows")
+    judged = simhash_groups(numbered.select("uid", "doc_id", "text"), words=4, max_bits=4, carry=["uid"])
+    dropped = staged(judged.where("not kept").select("uid"), "near-dropped")
+    return _unwrapped(numbered.select("uid", "row").join(dropped, "uid", "left_anti"), docs)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents as often as the rate says that brings toxic text down to its weight.
 
-    Domains are learned from ``labels``. Clean documents have rates near one and
-    stay once; a document with a rate well above one comes more than once, one
-    below may go. See ``mix_to_weights`` for nulls, ties and missing labels.
+    Domains are learned from ``labels``. Rates within ``SNAP`` of a whole number
+    are taken as it, so clean documents, whose rates are near one, stay once, and
+    documents with a rate near zero go. See ``mix_to_weights`` for nulls, ties and
+    missing labels.
     """
     domain = F.when(F.col("toxic") == 1, "toxic").when(F.col("toxic") == 0, "clean")
     labels = table(spark, sf_dir, "labels").select("doc_id", domain.alias("domain"))
     rated = mix_to_weights(_wrapped(docs), labels, WEIGHTS)
-    return _unwrapped(repeat_by_rate(rated, ["row"]), docs)
+    return _unwrapped(repeat_by_rate(rated, ["row"], snap=SNAP), docs)
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

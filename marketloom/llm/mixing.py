@@ -34,8 +34,6 @@ BINS = {
 }
 TYPICAL_BINS = (0.5, 1.5, 2.5)
 SMOOTHING = 0.5
-#: Rates this near to a whole number are taken as it when documents are repeated.
-SNAP = 0.05
 
 
 def mix_to_weights(
@@ -82,16 +80,19 @@ def mix_to_weights(
     return with_results(rated, names, results)
 
 
-def repeat_by_rate(rated: DataFrame, names: list[str], key: str = "doc_id", seed: int = 42) -> DataFrame:
+def repeat_by_rate(
+    rated: DataFrame, names: list[str], key: str = "doc_id", snap: float = 0.0, seed: int = 42
+) -> DataFrame:
     """Rows as often as their rate says, in the columns ``names``.
 
     A rate between whole numbers is rounded up or down by chance, so that the
     expected number is the rate; the chance comes from a hash of the key. Rates
-    within ``SNAP`` of a whole number are taken as it.
+    within ``snap`` of a whole number are taken as it: fewer documents are left to
+    chance, and totals meet the targets less closely.
     """
     near = F.round("rate")
     chance = F.pmod(F.xxhash64(F.lit(seed), F.col(key)), F.lit(1 << 20)) / F.lit(1 << 20)
-    times = F.when(F.abs(F.col("rate") - near) <= SNAP, near).otherwise(F.floor(F.col("rate") + chance)).cast("int")
+    times = F.when(F.abs(F.col("rate") - near) <= snap, near).otherwise(F.floor(F.col("rate") + chance)).cast("int")
     repeated = rated.withColumn("_again", F.explode(F.array_repeat(F.lit(0), times)))
     return repeated.select(*names)
 

@@ -10,14 +10,15 @@ FOLDER = "/root/testdata/sf0.01"
 WEIGHTS = {"good": 0.97, "toxic": 0.02, "poor": 0.01}
 
 
-def labels(spark):
+def labels(spark, folder=FOLDER):
     domain = F.when(F.col("toxic") == 1, "toxic").when(F.col("quality") == 0, "poor").otherwise("good")
-    return spark.read.parquet(f"{FOLDER}/labels.parquet").select("doc_id", domain.alias("domain"))
+    return spark.read.parquet(f"{folder}/labels.parquet").select("doc_id", domain.alias("domain"))
 
 
 def test_totals_meet_the_targets(spark):
-    docs = spark.read.parquet(f"{FOLDER}/documents.parquet")
-    rows = mix_to_weights(docs, labels(spark), WEIGHTS).collect()
+    folder = "/root/testdata/sf0.1"
+    docs = spark.read.parquet(f"{folder}/documents.parquet")
+    rows = mix_to_weights(docs, labels(spark, folder), WEIGHTS).collect()
     whole = sum(r.tokens * r.p_good for r in rows) / 0.97
     for domain, weight in WEIGHTS.items():
         expected = sum(r.tokens * r[f"p_{domain}"] * r.rate for r in rows)
@@ -57,7 +58,7 @@ def test_rates_are_the_nearest_to_one(spark, share):
 
 def test_documents_are_repeated_by_rate(spark):
     rated = spark.range(20_000).selectExpr("id AS doc_id", "element_at(array(0.0D, 0.3D, 0.97D, 1.04D, 2.5D), cast(id % 5 + 1 AS int)) AS rate")
-    found = repeat_by_rate(rated, ["doc_id", "rate"]).groupBy("rate").count().collect()
+    found = repeat_by_rate(rated, ["doc_id", "rate"], snap=0.05).groupBy("rate").count().collect()
     counts = {r["rate"]: r["count"] / 4000 for r in found}
     assert 0.0 not in counts and counts[0.97] == counts[1.04] == 1
     assert abs(counts[0.3] - 0.3) < 0.03 and abs(counts[2.5] - 2.5) < 0.03
