@@ -173,10 +173,15 @@ ORACLES: dict[str, str] = {
     + " FROM events",
     "wire_text_roundtrip": """
         SELECT doc_id, nullif(text, '') AS text, lang, source, n_chars
-        FROM documents WHERE length(text) <= 131072""",
+        FROM documents""",
     "raw_csv_records": """
         SELECT conv_id, turn, role, nullif(text, '') AS text
-        FROM conversations WHERE length(text) <= 131072""",
+        FROM conversations""",
+    "dataset_ingest": f"""
+        SELECT conv_id, turn, CAST(dense_rank() OVER (ORDER BY role) - 1 AS INTEGER) AS "partition",
+          row_number() OVER (PARTITION BY role ORDER BY conv_id, turn) - 1 AS "offset",
+          CAST((row_number() OVER (ORDER BY role, conv_id, turn) - 1) // {EVENT_BATCH} + 1 AS BIGINT) AS batch_no
+        FROM conversations""",
     "raw_csv_rows": "SELECT conv_id, turn, role, nullif(text, '') AS text FROM conversations",
     "arity_rejects": f"""
         SELECT event_id AS "offset",
@@ -261,6 +266,15 @@ ORACLES: dict[str, str] = {
     "kmeans_assignment_check": """
         SELECT count(*) AS row_count, CAST(0 AS BIGINT) AS misassigned, true AS all_centres_used
         FROM lineitem""",
+    "kmeans_known_clusters": f"""
+        SELECT count(*) AS size, {_round('avg((o_custkey % 10) * 1000 + o_orderkey % 7)', 4)} AS x,
+          {_round('avg((o_custkey % 10) * (o_custkey % 10) * 100 + o_orderkey % 5)', 4)} AS y
+        FROM orders GROUP BY o_custkey % 10""",
+    "pca_component_check": f"""
+        SELECT CAST({len(MEASURES)} AS DOUBLE) AS total,
+          round({' + '.join(f'pow(corr({a}, {b}), 2)' for a in MEASURES for b in MEASURES)}, 6) AS squares,
+          CAST(0 AS DOUBLE) AS "between", true AS falling, true AS same_first
+        FROM lineitem""",
     "pca_rotation_check": f"""
         SELECT l_orderkey, l_linenumber, {_round(_LENGTH, 4)} AS squared_length FROM lineitem""",
     "score_request_answers": f"""
@@ -273,6 +287,10 @@ ORACLES: dict[str, str] = {
           CASE WHEN status = 'ok' THEN true END AS has_cluster,
           status <> 'ok' AS has_error
         FROM ({REQUESTS})""",
+    "score_value_check": f"""
+        SELECT prefix || model AS artifact, count(*) AS requests, CAST(0 AS BIGINT) AS wrong
+        FROM ({REQUESTS}), (SELECT unnest(['kmeans_', 'pca_']) AS prefix)
+        WHERE status = 'ok' GROUP BY 1""",
     "score_request_status": f"""
         SELECT request_id, status,
           CASE status WHEN 'ok' THEN 200 WHEN 'bad_request' THEN 400
@@ -296,6 +314,10 @@ ORACLES: dict[str, str] = {
     "stream_ingest": f"""
         SELECT event_id, row_no, batch_no, {REMAINDER} AS is_remainder, {BATCH_LIST}
         FROM ({NUMBERED})""",
-    "topic_ingest": f"""
-        SELECT event_id, batch_no, {BATCH_LIST} FROM ({NUMBERED}) WHERE batch_no <= 2""",
+    "topic_ingest": f"SELECT event_id, batch_no, {BATCH_LIST} FROM ({NUMBERED})",
+    "first_batches": f"SELECT event_id, batch_no FROM ({NUMBERED}) WHERE batch_no <= 2",
+    "ingest_after_crash": f"""
+        SELECT event_id, row_no, batch_no, {REMAINDER} AS is_remainder,
+          event_id <= (SELECT max(event_id) // 2 FROM events) AS committed
+        FROM ({NUMBERED})""",
 }

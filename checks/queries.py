@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from checks.samples import app_rows, event_messages, event_records, table
+from checks.samples import app_rows, dealt, event_messages, event_records, table
 from marketloom.operators import batching, cleaning, features, mining, models, scoring, snapshots
 from marketloom.operators.wire import (
     accepted_records,
@@ -18,15 +18,28 @@ from marketloom.operators.wire import (
     project_fields,
     rejected_records,
 )
-from marketloom.plans.ingest import ingest_topic
+from marketloom.plans.ingest import dataset_messages, ingest_topic
 from marketloom.plans.serving import Scorer
 from marketloom.plans.training import train_snapshots
-from marketloom.schema import BATCH_COLUMNS, FEATURES, ITEMSET_PREFIX, WIRE_FIELD_COUNT
-from marketloom.session import shared_dir, spread, staged
+from marketloom.schema import (
+    BATCH_COLUMNS,
+    CLUSTER_PREFIX,
+    FEATURES,
+    ITEMSET_PREFIX,
+    PROJECTION_PREFIX,
+    SNAPSHOTS,
+    WIRE_FIELD_COUNT,
+)
+from marketloom.session import shared_dir, staged
 from marketloom.sources import artifacts, batches
-from marketloom.sources.raw import data_records, read_records, read_rows
+from marketloom.sources.raw import read_rows
 from marketloom.sources.topic import as_messages, read_topic, stream_topic, write_topic
-from marketloom.streaming.ingest import run_ingest
+from marketloom.streaming.ingest import (
+    IngestStore,
+    export_batch_files,
+    ingest_micro_batch,
+    run_ingest,
+)
 
 EVENT_BATCH = 1_000
 ORDER_BATCH = 3_000
@@ -93,13 +106,35 @@ def _conversation_fields(df: DataFrame) -> DataFrame:
 
 
 def raw_csv_records(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Conversations written as CSV files, read back as records whatever lines they span."""
-    records = data_records(read_records(spark, _conversation_files(spark, sf_dir)))
-    messages = records.select(F.encode("text", "UTF-8").alias("value"))
-    parsed = parse_messages(messages, arity=4)
+    """Conversations written as CSV files, published as messages and parsed, whatever lines they span."""
+    path = _conversation_files(spark, sf_dir)
+    parsed = parse_messages(dataset_messages(spark, path, "conversations", arity=4), arity=4)
     return _conversation_fields(parsed.filter("reason IS NULL"))
 
 
+def dataset_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Conversations written as a file for each role, published, and taken in: place and batch of every row."""
+    base = shared_dir(spark, "dataset")
+    rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "text", "role")
+    by_role = rows.repartition("role").sortWithinPartitions("role", "conv_id", "turn")
+    by_role.write.partitionBy("role").options(header=True, escape='"', emptyValue="").csv(f"{base}/csv")
+    write_topic(dataset_messages(spark, f"{base}/csv", "conversations", arity=3), f"{base}/topic")
+    store = ingest_topic(
+        read_topic(spark, f"{base}/topic"),
+        f"{base}/out",
+        batch_size=EVENT_BATCH,
+        arity=3,
+        positions={"conv_id": 0, "turn": 1},
+    )
+    return store.read_batches(spark).select(
+        F.col("conv_id").cast("long").alias("conv_id"),
+        F.col("turn").cast("long").alias("turn"),
+        "partition",
+        "offset",
+        "batch_no",
+    )
+
+
 def raw_csv_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same files, known to be well formed, through Spark's own reader."""
     return _conversation_fields(read_rows(spark, _conversation_files(spark, sf_dir), arity=4))
@@ -107,7 +142,7 @@ def raw_csv_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def arity_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
     judged = judged_records(parse_messages(event_messages(spark, sf_dir)), ["offset"])
-    return rejected_records(judged, ["offset"])
+    return rejected_records(judged, ["offset"]).drop("value")
 
 
 def reject_reasons(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -164,15 +199,15 @@ def batch_file_order(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def batch_csv_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Event batches written as CSV files and read back with their file names."""
-    path = shared_dir(spark, "batch-files")
-    batches.write_batch_files(
-        _event_batches(spark, sf_dir, mark_remainder=True),
-        path,
-        F.lit("2024-01-01 00:00:00").cast("timestamp"),
-        F.col("is_remainder"),
-    )
-    rows = snapshots.parse_batch_names(batches.read_batch_files(spark, path))
+    """Event batches exported as CSV files after each of two deliveries, the second adding only new ones."""
+    base = shared_dir(spark, "batch-files")
+    for place, delivery in enumerate(_deliveries(spark, sf_dir)):
+        write_topic(delivery, f"{base}/topic")
+        store = run_ingest(
+            stream_topic(spark, f"{base}/topic"), f"{base}/out", f"{base}/checkpoint", batch_size=EVENT_BATCH
+        )
+        export_batch_files(spark, store, f"{base}/csv", final=place == 1)
+    rows = snapshots.parse_batch_names(batches.read_batch_files(spark, f"{base}/csv"))
     return rows.select(*BATCH_COLUMNS, "batch_no", "is_remainder")
 
 
@@ -331,14 +366,14 @@ def nearest_centroid(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def kmeans_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = spread(_measures(spark, sf_dir))
+    rows = _measures(spark, sf_dir)
     model = models.fit_clusters(rows, MEASURES)
     return models.predict_clusters(rows, model)
 
 
 def kmeans_assignment_check(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rows of the fit, and how many are closer to another centre than to their own."""
-    rows = spread(_measures(spark, sf_dir))
+    rows = _measures(spark, sf_dir)
     model = models.fit_clusters(rows, MEASURES)
     centres = [[float(v) for v in c] for c in model.stages[-1].clusterCenters()]
     scaled = features.scale_features(rows, features.fit_scaling(rows, MEASURES), MEASURES)
@@ -353,14 +388,34 @@ def kmeans_assignment_check(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def kmeans_known_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ten far groups of orders, whose sizes and centres the clusters must be."""
+    group = F.col("o_custkey") % 10
+    points = table(spark, sf_dir, "orders").select(
+        (group * 1_000 + F.col("o_orderkey") % 7).cast("double").alias("x"),
+        (group * group * 100 + F.col("o_orderkey") % 5).cast("double").alias("y"),
+    )
+    model = models.fit_clusters(points, ["x", "y"])
+    return (
+        models.predict_clusters(points, model)
+        .groupBy("predicted_cluster_id")
+        .agg(
+            F.count(F.lit(1)).alias("size"),
+            rounded(F.avg("x"), 4).alias("x"),
+            rounded(F.avg("y"), 4).alias("y"),
+        )
+        .drop("predicted_cluster_id")
+    )
+
+
 def pca_projection(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = spread(_measures(spark, sf_dir))
+    rows = _measures(spark, sf_dir)
     return models.project(rows, models.fit_projection(rows, MEASURES))
 
 
 def pca_rotation_check(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A projection on all components is a rotation, so every scaled row keeps its length."""
-    rows = spread(_measures(spark, sf_dir))
+    rows = _measures(spark, sf_dir)
     model = models.fit_projection(rows, MEASURES, k=len(MEASURES))
     squares = F.transform("transformed_pca_features", lambda v: v * v)
     length = F.aggregate(squares, F.lit(0.0), lambda total, v: total + v)
@@ -369,6 +424,29 @@ def pca_rotation_check(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def pca_component_check(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Covariances of the components: none between them, falling along them, in sum those of the scaled rows."""
+    rows = _measures(spark, sf_dir)
+    names = [f"c{i}" for i in range(len(MEASURES))]
+
+    def covariances(k: int) -> dict[tuple[str, str], float]:
+        projected = models.project(rows, models.fit_projection(rows, MEASURES, k=k))
+        parts = projected.select(*[F.get("transformed_pca_features", F.lit(i)).alias(names[i]) for i in range(k)])
+        found = features.covariance_matrix(parts, names[:k]).collect()
+        return {(r["feature_a"], r["feature_b"]): r["covariance"] for r in found}
+
+    whole, part = covariances(len(MEASURES)), covariances(len(MEASURES) - 1)
+    along = [whole[c, c] for c in names]
+    between = max(abs(v) for m in (whole, part) for (a, b), v in m.items() if a != b)
+    return spark.range(1).select(
+        F.lit(round(sum(along), 6)).alias("total"),
+        F.lit(round(sum(v * v for v in along), 6)).alias("squares"),
+        F.lit(round(between, 6)).alias("between"),
+        F.lit(along == sorted(along, reverse=True)).alias("falling"),
+        F.lit(all(abs(part[c, c] - whole[c, c]) < 1e-9 for c in names[:-1])).alias("same_first"),
+    )
+
+
 # --- artifacts and scoring ----------------------------------------------------
 
 
@@ -382,7 +460,7 @@ def _scorer(spark: SparkSession, sf_dir: str, kind: str) -> Scorer:
 def score_request_bodies(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Orders as score requests; price and status decide model and damage."""
     price = F.col("o_totalprice")
-    orders = spread(table(spark, sf_dir, "orders"))
+    orders = dealt(table(spark, sf_dir, "orders"), "o_orderkey")
     body = F.format_string(
         '{"Rating": %d, "Reviews": %d, "Size": %d.5, "Installs": %d, "Price": 0, "tag": "%s"}',
         (F.col("o_custkey") % 6),
@@ -439,6 +517,37 @@ def score_request_answers(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def score_value_check(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Served clusters and projections beside those of the saved pipeline that each request names."""
+    path = shared_dir(spark, "models")
+    train_snapshots(_tiered_apps(spark, sf_dir), path, kinds=["kmeans", "pca"])
+    scorer, bodies = Scorer(spark, path), score_request_bodies(spark, sf_dir)
+
+    def compared(prefix: str, answers: DataFrame, apply, result: str, differs) -> DataFrame:
+        parsed = scoring.parse_requests(bodies, prefix, [prefix + name for name in SNAPSHOTS])
+        parsed = staged(parsed.filter("status = 'ok'").select("request_id", "artifact", *FEATURES), "parsed")
+        parts = []
+        for name in SNAPSHOTS:
+            model = artifacts.load_models(spark, path, [prefix + name])[prefix + name]
+            own = apply(parsed.filter(F.col("artifact") == prefix + name), model)
+            parts.append(own.select("request_id", "artifact", F.col(result).alias("own")))
+        own = parts[0].unionAll(parts[1]).unionAll(parts[2])
+        served = answers.select("request_id", F.col(result).alias("served"))
+        wrong = F.coalesce(differs(F.col("own"), F.col("served")), F.lit(True))
+        return own.join(served, "request_id").groupBy("artifact").agg(
+            F.count(F.lit(1)).alias("requests"), F.count_if(wrong).alias("wrong")
+        )
+
+    def far(a: Column, b: Column) -> Column:
+        return F.exists(F.zip_with(a, b, lambda x, y: F.abs(x - y) > 1e-9), lambda d: d)
+
+    return compared(
+        CLUSTER_PREFIX, scorer.clusters(bodies), models.predict_clusters, "predicted_cluster_id", lambda a, b: a != b
+    ).unionAll(
+        compared(PROJECTION_PREFIX, scorer.projections(bodies), models.project, "transformed_pca_features", far)
+    )
+
+
 def score_request_status(spark: SparkSession, sf_dir: str) -> DataFrame:
     known = ["kmeans_model1", "kmeans_model2", "kmeans_model3"]
     parsed = scoring.parse_requests(score_request_bodies(spark, sf_dir), "kmeans_", known)
@@ -456,7 +565,7 @@ def itemset_json(spark: SparkSession, sf_dir: str) -> DataFrame:
     artifacts.save_itemsets(
         mining.item_support(_filled(spark, sf_dir)), path, f"{ITEMSET_PREFIX}model3"
     )
-    lines = Scorer(spark, path).itemset_response("model3", one_document=False)
+    lines = Scorer(spark, path).itemset_response("model3")
     answer = F.from_json("response", "results_used string, items array<string>, freq bigint")
     return lines.select(answer.alias("r")).select(
         "r.results_used", F.array_join("r.items", ",").alias("items"), "r.freq"
@@ -496,13 +605,22 @@ def artifact_catalog(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --- stream -------------------------------------------------------------------
 
 
+def _event_topic(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events as messages of three topic partitions, which arrive when the events happened."""
+    messages = event_messages(spark, sf_dir).withColumn("partition", F.col("offset") % 3)
+    return as_messages(messages, "apps", "offset", "partition", "ts")
+
+
+def _deliveries(spark: SparkSession, sf_dir: str) -> list[DataFrame]:
+    topic = _event_topic(spark, sf_dir)
+    middle = table(spark, sf_dir, "events").agg(F.floor(F.max("event_id") / 2)).first()[0]
+    return [topic.filter(F.col("offset") <= middle), topic.filter(F.col("offset") > middle)]
+
+
 def stream_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Events in two deliveries, ingested by two runs that share checkpoint and ledger."""
     base = shared_dir(spark, "stream")
-    messages = event_messages(spark, sf_dir)
-    topic = as_messages(messages, "apps", "offset")
-    middle = messages.agg(F.floor(F.max("offset") / 2)).first()[0]
-    for delivery in (topic.filter(F.col("offset") <= middle), topic.filter(F.col("offset") > middle)):
+    for delivery in _deliveries(spark, sf_dir):
         write_topic(delivery, f"{base}/topic")
         stream = stream_topic(spark, f"{base}/topic")
         store = run_ingest(stream, f"{base}/out", f"{base}/checkpoint", batch_size=EVENT_BATCH)
@@ -511,15 +629,47 @@ def stream_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def topic_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The whole topic in one go: same batches, read up to the second one."""
-    base = shared_dir(spark, "topic")
-    write_topic(as_messages(event_messages(spark, sf_dir), "apps", "offset"), f"{base}/topic")
-    store = ingest_topic(
-        read_topic(spark, f"{base}/topic"), f"{base}/out", batch_size=EVENT_BATCH
+class _NoLedger(IngestStore):
+    """A store whose writer dies after the rows and before the ledger entry."""
+
+    def write_ledger(self, spark: SparkSession, micro_batch: int, before: int, rows: int) -> None:
+        return
+
+
+def ingest_after_crash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The second delivery is lost half-way and taken in again; ``committed`` tells what could be read between."""
+    base = shared_dir(spark, "crash")
+    first, second = _deliveries(spark, sf_dir)
+    store = ingest_topic(first, f"{base}/out", batch_size=EVENT_BATCH)
+    ingest_micro_batch(second, 1, _NoLedger(store.base), EVENT_BATCH)
+    between = staged(store.read_batches(spark).select("row_no", F.lit(True).alias("seen")), "between")
+    ingest_micro_batch(second, 1, store, EVENT_BATCH)
+    rows = store.read_batches(spark).join(between, "row_no", "left")
+    return rows.select(
+        F.col("offset").alias("event_id"),
+        "row_no",
+        "batch_no",
+        "is_remainder",
+        F.col("seen").isNotNull().alias("committed"),
     )
-    first = batches.up_to_batch(batches.read_batch_store(spark, store.batches), 2)
-    return first.select(F.col("offset").alias("event_id"), "batch_no", *BATCH_COLUMNS)
+
+
+def _whole_topic(spark: SparkSession, sf_dir: str) -> IngestStore:
+    base = shared_dir(spark, "topic")
+    write_topic(_event_topic(spark, sf_dir), f"{base}/topic")
+    return ingest_topic(read_topic(spark, f"{base}/topic"), f"{base}/out", batch_size=EVENT_BATCH)
+
+
+def topic_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The whole topic in one go: the same batches as by the stream."""
+    rows = _whole_topic(spark, sf_dir).read_batches(spark)
+    return rows.select(F.col("offset").alias("event_id"), "batch_no", *BATCH_COLUMNS)
+
+
+def first_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The first two batches of the store, by a read that prunes the others."""
+    rows = batches.up_to_batch(_whole_topic(spark, sf_dir).read_batches(spark), 2)
+    return rows.select(F.col("offset").alias("event_id"), "batch_no")
 
 
 def frequent_event_types(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -537,6 +687,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         wire_text_roundtrip,
         raw_csv_records,
         raw_csv_rows,
+        dataset_ingest,
         arity_rejects,
         reject_reasons,
         project_by_position,
@@ -563,16 +714,21 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         nearest_centroid,
         kmeans_clusters,
         kmeans_assignment_check,
+        kmeans_known_clusters,
         pca_projection,
         pca_rotation_check,
+        pca_component_check,
         score_requests,
         score_projections,
         score_request_answers,
+        score_value_check,
         score_request_status,
         itemset_json,
         trained_itemsets,
         artifact_catalog,
         stream_ingest,
         topic_ingest,
+        first_batches,
+        ingest_after_crash,
     )
 }

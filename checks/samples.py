@@ -11,7 +11,6 @@ from pyspark.sql import functions as F
 
 from marketloom.functions import csv_line
 from marketloom.schema import WIRE_FIELD_COUNT, WIRE_POSITIONS
-from marketloom.session import spread
 
 APP_ROWS = """
 SELECT p_partkey AS id,
@@ -66,6 +65,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def dealt(df: DataFrame, key: str) -> DataFrame:
+    """A test table of one file over several tasks; a large table has enough of them by itself."""
+    return df.repartition(8, key)
+
+
 def app_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.sql(APP_ROWS, part=table(spark, sf_dir, "part"))
 
@@ -73,7 +77,7 @@ def app_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 def event_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Events as 24 text fields ``c0`` to ``c23``, with the damage their message takes."""
     fields = [F.expr(sql).alias(f"c{i}") for i, sql in enumerate(EVENT_FIELDS)]
-    return spread(table(spark, sf_dir, "events")).select(
+    return dealt(table(spark, sf_dir, "events"), "event_id").select(
         "event_id", "ts", F.expr(DAMAGE).alias("damage"), *fields
     )
 
@@ -83,6 +87,7 @@ def event_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     damage, line = F.col("damage"), F.col("line")
     lines = event_records(spark, sf_dir).select(
         "event_id",
+        "ts",
         "damage",
         F.explode(F.array(csv_line([F.col(f"c{i}") for i in range(WIRE_FIELD_COUNT)]))).alias("line"),
     )
@@ -97,7 +102,7 @@ def event_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     tail = F.when(damage == "bytes", F.lit(bytes([0xFF]))).otherwise(F.lit(b""))
     value = F.concat(F.encode(text, "UTF-8"), tail)
     return lines.select(
-        F.lit(0).alias("partition"), F.col("event_id").alias("offset"), value.alias("value")
+        F.lit(0).alias("partition"), F.col("event_id").alias("offset"), "ts", value.alias("value")
     )
 
 

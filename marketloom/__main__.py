@@ -1,4 +1,4 @@
-"""Jobs for spark-submit: publish, ingest, export, train, score, itemsets."""
+"""Jobs for spark-submit: publish, ingest, export, compact, train, score, itemsets."""
 
 from __future__ import annotations
 
@@ -9,9 +9,10 @@ from pyspark.sql import SparkSession
 from marketloom.plans.ingest import publish_dataset
 from marketloom.plans.serving import Scorer
 from marketloom.plans.training import train_from_files, train_from_store
-from marketloom.schema import BATCH_SIZE
+from marketloom.schema import BATCH_SIZE, PER_TRIGGER
+from marketloom.session import staging
 from marketloom.sources.topic import stream_topic
-from marketloom.streaming.ingest import IngestStore, export_batch_files, start_ingest
+from marketloom.streaming.ingest import IngestStore, compact_store, export_batch_files, start_ingest
 
 
 def _topic_options(args: argparse.Namespace) -> dict:
@@ -26,7 +27,8 @@ def _publish(spark: SparkSession, args: argparse.Namespace) -> None:
         args.dataset,
         args.topic,
         topic_path=args.topic_path,
-        layout=args.layout,
+        multiline=not args.lines,
+        partitions=args.partitions,
         **_topic_options(args),
     )
 
@@ -48,29 +50,31 @@ def _ingest(spark: SparkSession, args: argparse.Namespace) -> None:
 
 
 def _export(spark: SparkSession, args: argparse.Namespace) -> None:
-    export_batch_files(spark, IngestStore(args.store), args.batches)
+    export_batch_files(spark, IngestStore(args.store), args.batches, args.final)
+
+
+def _compact(spark: SparkSession, args: argparse.Namespace) -> None:
+    compact_store(spark, IngestStore(args.store), args.output)
 
 
 def _train(spark: SparkSession, args: argparse.Namespace) -> None:
     if args.store:
-        report = train_from_store(spark, IngestStore(args.store).batches, args.models, nan=args.nan)
+        report = train_from_store(spark, IngestStore(args.store), args.models, nan=args.nan)
     else:
         report = train_from_files(spark, args.batches, args.models, args.order, nan=args.nan)
     print(report)
 
 
 def _score(spark: SparkSession, args: argparse.Namespace) -> None:
-    kinds = ["kmeans"] if args.kind == "clusters" else ["pca"]
-    scorer = Scorer(spark, args.models, kinds)
+    scorer = Scorer(spark, args.models)
     requests = spark.read.json(args.requests, schema="request_id string, model string, body string")
     answer = scorer.clusters if args.kind == "clusters" else scorer.projections
     answer(requests).drop("input_features").write.mode("overwrite").parquet(args.output)
 
 
 def _itemsets(spark: SparkSession, args: argparse.Namespace) -> None:
-    Scorer(spark, args.models, ["fpgrowth"]).itemset_response(
-        args.model, one_document=False
-    ).select("response").write.mode("overwrite").text(args.output)
+    lines = Scorer(spark, args.models).itemset_response(args.model)
+    lines.select("response").write.mode("overwrite").text(args.output)
 
 
 def _parser() -> argparse.ArgumentParser:
@@ -93,14 +97,20 @@ def _parser() -> argparse.ArgumentParser:
         where.add_argument("--topic-path", help="directory that stands for a topic")
         where.add_argument("--bootstrap", help="Kafka brokers; needs the Kafka connector")
         if sub.prog.endswith("publish"):
-            sub.add_argument("--layout", choices=["any", "lines", "well_formed"], default="any")
+            sub.add_argument("--lines", action="store_true", help="no line breaks inside fields; splits large files")
+            sub.add_argument("--partitions", type=int, default=1, help="partitions of the Kafka topic")
         else:
             sub.add_argument("--batch-size", type=int, default=BATCH_SIZE)
-            sub.add_argument("--per-trigger", type=int, help="offsets (Kafka) or files per micro-batch")
+            sub.add_argument(
+                "--per-trigger", type=int, default=PER_TRIGGER, help="offsets (Kafka) or files per micro-batch"
+            )
             sub.add_argument("--min-partitions", type=int, help="read tasks for a Kafka topic")
             sub.add_argument("--every", help="interval; without it, take what there is and stop")
 
-    job("export", _export, "store", "batches")
+    export = job("export", _export, "store", "batches")
+    export.add_argument("--final", action="store_true", help="write the partial last batch too")
+
+    job("compact", _compact, "store", "output")
 
     train = job("train", _train, "models")
     source = train.add_mutually_exclusive_group(required=True)
@@ -118,7 +128,9 @@ def _parser() -> argparse.ArgumentParser:
 
 def main(argv: list[str] | None = None) -> None:
     args = _parser().parse_args(argv)
-    args.run(SparkSession.builder.appName("marketloom").getOrCreate(), args)
+    spark = SparkSession.builder.appName("marketloom").getOrCreate()
+    with staging(spark):
+        args.run(spark, args)
 
 
 if __name__ == "__main__":

@@ -2,7 +2,6 @@ from marketloom.functions.csvtext import (  # noqa: F401
     csv_line,
     csv_line_of,
     csv_record,
-    leaves_quote_open,
     strip_whitespace,
     utf8_text,
 )

@@ -1,8 +1,9 @@
 """CSV records in one text column, in the dialect of Python's csv module.
 
-``from_csv`` differs from that dialect on stray and unclosed quotes, bare
-carriage returns and text after a record's end, so records are split with
-linear regular expressions instead. Everything is a built-in expression.
+``from_csv`` differs from that dialect on stray and unclosed quotes, carriage
+returns and text after a record's end. It reads the records whose quoting is
+regular; the others are split with linear regular expressions. Everything is a
+built-in expression.
 """
 
 from __future__ import annotations
@@ -12,7 +13,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from marketloom.schema import CSV_FIELD_LIMIT
+from marketloom.schema import CSV_RECORD_OPTIONS
 
 # What str.strip() of Python removes.
 PYTHON_WHITESPACE = (
@@ -30,6 +31,10 @@ _FIELD = r'\G,(\x01*+"[^"]*+"?+[^,\r\n]*+|[^,\r\n]*+)'
 _OPENED = r'^\x01*"'
 _QUOTED_PART = r'^(\x01*"[^"]*)'
 _LEADING_PAIRS = r"^(\x01*)"
+# Every field either without quotes or in quotes from end to end.
+_CELL = r'(?:"(?:[^"]++|"")*+"|[^",\r\n]*+)'
+_REGULAR = rf"^{_CELL}(?:,{_CELL})*+\z"
+_ODD = "_odd"
 
 
 def utf8_text(value: Column) -> Column:
@@ -92,11 +97,34 @@ def _unescaped(value: Column) -> Column:
     return _swap(_swap(value, _ESCAPE + "p", _PAIR), _ESCAPE + "e", _ESCAPE)
 
 
+def _special(text: Column) -> Column:
+    return text.contains('"') | text.contains("\n") | text.contains("\r")
+
+
+def regular_cells(text: Column, arity: int) -> Column:
+    """Fields of a record that Spark's parser reads like Python's; NULL for any other.
+
+    That is a record with quotes, all of them regular, no carriage return or zero
+    byte, no byte order mark at its start, and ``arity`` fields.
+    """
+    names = [f"c{i}" for i in range(arity)]
+    schema = ", ".join(f"{name} string" for name in [*names, _ODD])
+    options = {**CSV_RECORD_OPTIONS, "columnNameOfCorruptRecord": _ODD}
+    plain = ~text.rlike("[\r\x00]") & ~text.startswith("\ufeff")
+    regular = text.contains('"') & plain & text.rlike(_REGULAR)
+    return F.when(regular, F.from_csv(text, schema, options))
+
+
+def cell_array(cells: Column, arity: int) -> Column:
+    """The fields as an array; NULL where ``regular_cells`` found none or another number."""
+    values = F.array(*[F.coalesce(cells[f"c{i}"], F.lit("")) for i in range(arity)])
+    return F.when(cells.isNotNull() & cells[_ODD].isNull(), values)
+
+
 def marked_text(text: Column) -> Column:
     """Text with every doubled quote as one mark; NULL where commas alone split a record."""
     safe = _swap(_swap(text, _ESCAPE, _ESCAPE + "e"), _PAIR, _ESCAPE + "p")
-    special = text.contains('"') | text.contains("\n") | text.contains("\r")
-    return F.when(special, _swap(safe, '""', _PAIR))
+    return F.when(_special(text), _swap(safe, '""', _PAIR))
 
 
 def raw_fields(marked: Column) -> Column:
@@ -104,7 +132,9 @@ def raw_fields(marked: Column) -> Column:
     return F.regexp_extract_all(F.concat(F.lit(","), marked), F.lit(_FIELD), F.lit(1))
 
 
-def record_of(text: Column, marked: Column, tokens: Column) -> Column:
+def record_of(
+    text: Column, marked: Column, tokens: Column, field_limit: int | None = None
+) -> Column:
     """Struct ``(fields, failure)`` of a record that is split already; see ``csv_record``."""
     # What follows the first record; evaluated only for text with line ends.
     rest = F.substring(marked, F.length(F.array_join(tokens, ",")) + 1, F.length(marked))
@@ -118,28 +148,25 @@ def record_of(text: Column, marked: Column, tokens: Column) -> Column:
         )
         .otherwise(F.transform(tokens, _field_text))
     )
-    too_long = (F.length(text) > CSV_FIELD_LIMIT) & F.exists(
-        fields, lambda f: F.length(f) > CSV_FIELD_LIMIT
-    )
-    failure = F.when(text == "", "empty").when(bare_return | too_long, "parse")
+    wrong = bare_return
+    if field_limit is not None:
+        wrong |= beyond_limit(text, fields, field_limit)
+    failure = F.when(text == "", "empty").when(wrong, "parse")
     return F.struct(fields.alias("fields"), failure.alias("failure"))
 
 
-def csv_record(text: Column) -> Column:
+def beyond_limit(text: Column, fields: Column, limit: int) -> Column:
+    return (F.length(text) > limit) & F.exists(fields, lambda f: F.length(f) > limit)
+
+
+def csv_record(text: Column, field_limit: int | None = None) -> Column:
     """Struct ``(fields, failure)`` of the first CSV record in ``text``.
 
     ``failure`` is NULL, ``empty`` (no record at all) or ``parse`` (a bare
-    carriage return inside the record, or a field above the length limit).
+    carriage return inside the record, or a field above the limit if one is given).
     """
     marked = marked_text(text)
-    return record_of(text, marked, raw_fields(marked))
-
-
-def leaves_quote_open(line: Column) -> Column:
-    """Whether a line that begins a record ends inside a quoted field."""
-    return F.coalesce(
-        F.element_at(raw_fields(marked_text(line)), -1).rlike(r'^\x01*"[^"]*$'), F.lit(False)
-    )
+    return record_of(text, marked, raw_fields(marked), field_limit)
 
 
 def csv_line_of(fields: Column) -> Column:

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from marketloom.schema import BATCH_SIZE
+from marketloom.session import staged
 
 BUCKET_OFFSETS = 1 << 20
 BUCKETS_PER_SPAN = 1 << 10
@@ -86,6 +87,37 @@ def number_rows(
     )
 
 
+def number_in_order(
+    df: DataFrame, order: Sequence[str], batch_size: int = BATCH_SIZE, start: int = 0
+) -> tuple[DataFrame, int]:
+    """``df`` with ``row_no`` and ``batch_no`` by the order of any unique columns, and how many rows there are.
+
+    Rows are shuffled once, into sorted ranges that sampling makes even, and
+    staged with their place in the range; only the sizes of the ranges are added
+    up, a row a task.
+    """
+    ranges = df.repartitionByRange(*order).sortWithinPartitions(*order)
+    placed = staged(
+        ranges.select(
+            "*", F.spark_partition_id().alias("_range"), F.monotonically_increasing_id().alias("_seq")
+        ),
+        "numbered",
+    )
+    sizes = placed.groupBy("_range").agg(F.count(F.lit(1)).alias("_rows"), F.min("_seq").alias("_first"))
+    before = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    bases = sizes.select("_range", "_rows", "_first", F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_base"))
+    bases = staged(bases, "ranges")
+    total = bases.agg(F.coalesce(F.sum("_rows"), F.lit(0))).first()[0]
+    row_no = F.col("_base") + F.col("_seq") - F.col("_first") + 1 + F.lit(start)
+    numbered = placed.join(bases, "_range").withColumn("row_no", row_no)
+    return (
+        numbered.withColumn("batch_no", batch_number(F.col("row_no"), batch_size)).drop(
+            "_range", "_seq", "_first", "_base", "_rows"
+        ),
+        total,
+    )
+
+
 def number_batches(
     df: DataFrame,
     batch_size: int = BATCH_SIZE,

@@ -7,7 +7,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from marketloom.schema import ITEM_COLUMN, MIN_CONFIDENCE, MIN_SUPPORT
-from marketloom.session import small_side, spread, staged
+from marketloom.session import staged
 
 
 def support_threshold(min_support: float, total: Column) -> Column:
@@ -53,7 +53,7 @@ def collect_baskets(
         "frequent",
     )
     return (
-        pairs.join(small_side(frequent), item, "left")
+        pairs.join(frequent, item, "left")
         .groupBy(key)
         .agg(F.collect_list(F.when(F.col("_frequent"), F.col(item))).alias("items"))
     )
@@ -92,7 +92,7 @@ def mine_baskets(
     The miner reads its input several times and its result is lazy, so both are
     written to the shared folder: baskets are built once and mined once.
     """
-    ready = spread(staged(baskets.select(items), "baskets"))
+    ready = staged(baskets.select(items), "baskets")
     model = fit_itemsets(ready, items, min_support)
     return staged(frequent_itemsets(model), "itemsets"), ready.count()
 

@@ -12,10 +12,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from marketloom.operators.features import assembler, scaler
-from marketloom.schema import CLUSTERS, COMPONENTS, FEATURES, SEED
+from marketloom.schema import CLUSTERS, COMPONENTS, FEATURES, FIT_PARTITIONS, SEED
 
 # Column names inside the saved pipelines.
 CLUSTER_COLUMNS = ("features_kmeans", "scaledFeatures_kmeans", "prediction_kmeans")
+_WEIGHT = "_weight"
 PROJECTION_COLUMNS = ("features_pca", "scaledFeatures_pca", "pcaFeatures")
 
 
@@ -34,6 +35,11 @@ def fit_clusters(
 ) -> PipelineModel:
     """Assemble, scale, k-means. The fit keeps its own copy of the scaled vectors.
 
+    The fit starts from random rows of each partition, so equal vectors are
+    counted first and laid out by value over ``FIT_PARTITIONS`` sorted partitions:
+    the model then depends on the data and the seed, not on files or cores, and a
+    hot vector is one weighted row.
+
     The row solver takes data with fewer distinct points than ``k`` (the block
     solver fails on it) and needs no extra pass to measure sparsity.
     """
@@ -41,9 +47,11 @@ def fit_clusters(
     assemble = assembler(columns, raw)
     scale = deviations or fit_deviations(df, columns)
     kmeans = KMeans(
-        featuresCol=scaled, predictionCol=prediction, k=k, seed=seed, solver="row"
+        featuresCol=scaled, predictionCol=prediction, k=k, seed=seed, solver="row", weightCol=_WEIGHT
     )
-    vectors = scale.transform(assemble.transform(df)).select(scaled)
+    counted = df.groupBy(*columns).agg(F.count(F.lit(1)).cast("double").alias(_WEIGHT))
+    laid_out = counted.repartition(FIT_PARTITIONS, *columns).sortWithinPartitions(*columns)
+    vectors = scale.transform(assemble.transform(laid_out)).select(scaled, _WEIGHT)
     return PipelineModel([assemble, scale, kmeans.fit(vectors)])
 
 

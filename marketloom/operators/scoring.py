@@ -4,15 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Callable, Mapping
 
+import pyarrow as pa
 from pyspark.ml import PipelineModel
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from marketloom.operators.models import predict_clusters, project
 from marketloom.schema import CLUSTER_PREFIX, FEATURES, PROJECTION_PREFIX
 
-DOCUMENT_LIMIT = 10_000
-
 # Outcome of a request and the matching response code.
 STATUS_CODES = {"ok": 200, "bad_request": 400, "unknown_model": 404, "invalid": 500}
 
@@ -125,30 +123,66 @@ def _error(kind: str) -> Column:
     )
 
 
+def model_parameters(
+    spark: SparkSession, models: Mapping[str, PipelineModel], prefix: str
+) -> DataFrame:
+    """``(artifact, scale, vectors)``, a row a model: cluster centres or principal components.
+
+    Made from the models that were loaded, which the driver holds anyway.
+    """
+    rows = []
+    for name, model in sorted(models.items()):
+        if not name.startswith(prefix):
+            continue
+        _, scaler, last = model.stages
+        scale = [1 / s if s else 0.0 for s in scaler.std.toArray().tolist()]
+        vectors = last.clusterCenters() if prefix == CLUSTER_PREFIX else last.pc.toArray().T
+        rows.append((name, scale, [[float(v) for v in vector] for vector in vectors]))
+    schema = [("artifact", pa.string()), ("scale", pa.list_(pa.float64())), ("vectors", pa.list_(pa.list_(pa.float64())))]
+    columns = list(zip(*rows, strict=True)) or [[], [], []]
+    # As an Arrow table it is a local relation, whose size the planner knows.
+    return spark.createDataFrame(
+        pa.table([pa.array(c, kind) for c, (_, kind) in zip(columns, schema, strict=True)], pa.schema(schema))
+    )
+
+
+def _sum(values: Column) -> Column:
+    return F.aggregate(values, F.lit(0.0), lambda total, v: total + v)
+
+
+def nearest_vector(scaled: Column, vectors: Column) -> Column:
+    """Place of the vector with the least squared distance; a tie goes to the first."""
+    distances = F.transform(
+        vectors, lambda v: _sum(F.zip_with(scaled, v, lambda x, c: (x - c) * (x - c)))
+    )
+    return (F.array_position(distances, F.array_min(distances)) - 1).cast("int")
+
+
+def projection(scaled: Column, vectors: Column) -> Column:
+    return F.transform(vectors, lambda v: _sum(F.zip_with(scaled, v, lambda x, c: x * c)))
+
+
 def _score(
     requests: DataFrame,
     models: Mapping[str, PipelineModel],
     prefix: str,
-    apply: Callable[[DataFrame, PipelineModel], DataFrame],
+    apply: Callable[[Column, Column], Column],
     result: str,
-    result_type: str,
 ) -> DataFrame:
     """Answer every request with the model it names.
 
-    All models sit in one plan over one scan; a row is kept whichever way it
-    ends, and ``result`` is set only where the status is ``ok``.
+    Models are rows that requests are joined with by name, so the plan is the same
+    for any number of them; a row is kept whichever way it ends, and ``result``
+    is set only where the status is ``ok``.
     """
-    chosen = {name: model for name, model in models.items() if name.startswith(prefix)}
+    parameters = model_parameters(requests.sparkSession, models, prefix)
     base = [*requests.columns, "artifact", "status", "input_features"]
-    scored = parse_requests(requests, prefix, sorted(chosen))
-    scored = scored.withColumn("_answer", F.lit(None).cast(result_type))
-    for name in sorted(chosen):
-        picked = (F.col("status") == "ok") & (F.col("artifact") == name)
-        scored = (
-            apply(scored, chosen[name])
-            .withColumn("_answer", F.when(picked, F.col(result)).otherwise(F.col("_answer")))
-            .drop(result)
-        )
+    known = sorted(name for name in models if name.startswith(prefix))
+    parsed = parse_requests(requests, prefix, known).join(parameters, "artifact", "left")
+    scaled = F.zip_with(F.array(*FEATURES), F.col("scale"), lambda x, s: x * s)
+    usable = F.col("status") == "ok"
+    scored = parsed.withColumn("_scaled", _once(F.when(usable, scaled)))
+    scored = scored.withColumn(result, _once(F.when(usable, apply(F.col("_scaled"), F.col("vectors")))))
     response = F.to_json(
         F.struct(
             F.col("artifact").alias("model_used"),
@@ -157,13 +191,10 @@ def _score(
         )
     )
     return (
-        scored.select(*base, F.col("_answer").alias(result))
+        scored.select(*base, result)
         .withColumn("error", _error("model"))
         .withColumn("code", status_code(F.col("status")))
-        .withColumn(
-            "response",
-            F.when(F.col("status") == "ok", response).otherwise(F.to_json(F.struct("error"))),
-        )
+        .withColumn("response", F.when(usable, response).otherwise(F.to_json(F.struct("error"))))
     )
 
 
@@ -176,16 +207,12 @@ def status_code(status: Column) -> Column:
 
 def score_clusters(requests: DataFrame, models: Mapping[str, PipelineModel]) -> DataFrame:
     """Requests ``(model, body, …)`` with ``predicted_cluster_id``, ``status`` and ``response``."""
-    return _score(
-        requests, models, CLUSTER_PREFIX, predict_clusters, "predicted_cluster_id", "int"
-    )
+    return _score(requests, models, CLUSTER_PREFIX, nearest_vector, "predicted_cluster_id")
 
 
 def score_projections(requests: DataFrame, models: Mapping[str, PipelineModel]) -> DataFrame:
     """Requests with ``transformed_pca_features``, ``status`` and ``response``."""
-    return _score(
-        requests, models, PROJECTION_PREFIX, project, "transformed_pca_features", "array<double>"
-    )
+    return _score(requests, models, PROJECTION_PREFIX, projection, "transformed_pca_features")
 
 
 def itemset_rows(itemsets: DataFrame, results_used: str) -> DataFrame:
@@ -201,31 +228,6 @@ def itemset_rows(itemsets: DataFrame, results_used: str) -> DataFrame:
     )
 
 
-def itemset_document(
-    itemsets: DataFrame, results_used: str, limit: int = DOCUMENT_LIMIT
-) -> DataFrame:
-    """One JSON document with all itemsets, most frequent first.
-
-    One-item sets number at most 1 / support, but larger sets have no such
-    bound. The count is checked before they are gathered into one row; beyond
-    the limit use ``itemset_rows``.
-    """
-    if itemsets.limit(limit + 1).count() > limit:
-        raise ValueError(f"more than {limit} itemsets; use itemset_rows")
-    entry = F.struct(F.col("freq").cast("long").alias("freq"), "items")
-    listed = itemsets.agg(F.sort_array(F.collect_list(entry), asc=False).alias("entries"))
-    return listed.select(
-        F.to_json(
-            F.struct(
-                F.lit(results_used).alias("results_used"),
-                F.transform(
-                    "entries", lambda e: F.struct(e["items"].alias("items"), e["freq"].alias("freq"))
-                ).alias("frequent_itemsets"),
-            )
-        ).alias("response")
-    )
-
-
 def split_by_catalogue(
     requests: DataFrame, catalogue: DataFrame, kind: str
 ) -> DataFrame:

@@ -7,7 +7,16 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from marketloom.functions.csvtext import csv_line, marked_text, raw_fields, record_of, utf8_text
+from marketloom.functions.csvtext import (
+    beyond_limit,
+    cell_array,
+    csv_line,
+    marked_text,
+    raw_fields,
+    record_of,
+    regular_cells,
+    utf8_text,
+)
 from marketloom.schema import PREVIEW_LENGTH, WIRE_FIELD_COUNT, WIRE_POSITIONS
 
 
@@ -17,24 +26,45 @@ def encode_records(df: DataFrame, columns: Sequence[str], *, keep: Sequence[str]
     return df.select(*keep, F.encode(line, "UTF-8").alias("value"))
 
 
-def parse_messages(df: DataFrame, arity: int = WIRE_FIELD_COUNT, value: str = "value") -> DataFrame:
+def parse_messages(
+    df: DataFrame,
+    arity: int = WIRE_FIELD_COUNT,
+    value: str = "value",
+    field_limit: int | None = None,
+) -> DataFrame:
     """Add ``text``, ``fields`` (array of text) and ``reason`` (NULL for a good record).
 
-    Reasons: ``encoding``, ``empty``, ``parse``, ``arity``. Each costly step sits
-    in a generator over a one-element array: it then runs once, while a plain
+    Reasons: ``encoding``, ``empty``, ``parse``, ``arity``. Fields may be of any
+    length unless ``field_limit`` is given; longer ones then fail the parse.
+
+    Records without quotes and line ends are split at commas, those with regular
+    quoting by ``from_csv``, the rest with regular expressions. Each costly step
+    sits in a generator over a one-element array: it then runs once, while a plain
     projection would be copied into every later filter and column.
     """
-    decoded = df.withColumn("text", F.explode(F.array(utf8_text(F.col(value)))))
-    marked = decoded.withColumn("_marked", F.explode(F.array(marked_text(F.col("text")))))
-    split = marked.withColumn("_tokens", F.explode(F.array(raw_fields(F.col("_marked")))))
-    record = record_of(F.col("text"), F.col("_marked"), F.col("_tokens"))
-    parsed = split.select("*", F.inline(F.array(record)).alias("fields", "failure"))
+
+    def once(name: str, column: Column, to: DataFrame) -> DataFrame:
+        return to.withColumn(name, F.explode(F.array(column)))
+
+    text, cells = F.col("text"), F.col("_cells")
+    steps = once("text", utf8_text(F.col(value)), df)
+    steps = once("_csv", regular_cells(text, arity), steps)
+    steps = once("_cells", cell_array(F.col("_csv"), arity), steps)
+    steps = once("_marked", F.when(cells.isNull(), marked_text(text)), steps)
+    steps = once("_tokens", raw_fields(F.col("_marked")), steps)
+    record = record_of(text, F.col("_marked"), F.col("_tokens"), field_limit)
+    regular = F.struct(cells.alias("fields"), F.lit(None).cast("string").alias("failure"))
+    if field_limit is not None:
+        too_long = F.when(beyond_limit(text, cells, field_limit), "parse")
+        regular = F.struct(cells.alias("fields"), too_long.alias("failure"))
+    found = F.when(cells.isNotNull(), regular).otherwise(record)
+    parsed = steps.select("*", F.inline(F.array(found)).alias("fields", "failure"))
     return parsed.withColumn(
         "reason",
         F.when(F.col("text").isNull(), "encoding")
         .when(F.col("failure").isNotNull(), F.col("failure"))
         .when(F.size("fields") != arity, "arity"),
-    ).drop("_marked", "_tokens", "failure")
+    ).drop("_csv", "_cells", "_marked", "_tokens", "failure")
 
 
 def field(position: int) -> Column:
@@ -46,8 +76,9 @@ def judged_records(
     parsed: DataFrame,
     keep: Sequence[str] = (),
     positions: Mapping[str, int] = WIRE_POSITIONS,
+    value: str = "value",
 ) -> DataFrame:
-    """What is worth keeping of each message: the chosen fields, or why it was rejected."""
+    """What is worth keeping of each message: the chosen fields, or all of it and why it was rejected."""
     return parsed.select(
         *keep,
         "reason",
@@ -55,17 +86,19 @@ def judged_records(
         F.when(F.col("reason").isNotNull(), F.substring("text", 1, PREVIEW_LENGTH)).alias(
             "preview"
         ),
+        F.when(F.col("reason").isNotNull(), F.col(value)).alias("value"),
         *[field(at).alias(name) for name, at in positions.items()],
     )
 
 
 def accepted_records(judged: DataFrame) -> DataFrame:
-    return judged.filter("reason IS NULL").drop("reason", "field_count", "preview")
+    return judged.filter("reason IS NULL").drop("reason", "field_count", "preview", "value")
 
 
 def rejected_records(judged: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
-    """Quarantine rows: reason, field count where known, and the start of the text."""
-    return judged.filter("reason IS NOT NULL").select(*keep, "reason", "field_count", "preview")
+    """Quarantine rows: reason, field count where known, the start of the text, and the message itself."""
+    rejected = judged.filter("reason IS NOT NULL")
+    return rejected.select(*keep, "reason", "field_count", "preview", "value")
 
 
 def project_fields(

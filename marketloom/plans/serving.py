@@ -2,56 +2,71 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable
 
+from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from marketloom.operators.scoring import (
-    itemset_document,
     itemset_rows,
     score_clusters,
     score_projections,
     status_code,
 )
-from marketloom.schema import ITEMSET_PREFIX
-from marketloom.sources.artifacts import KINDS, load_artifacts
+from marketloom.schema import CLUSTER_PREFIX, ITEMSET_PREFIX, PROJECTION_PREFIX
+from marketloom.sources.artifacts import artifact_catalogue, load_models
 
 
 class Scorer:
-    """Loaded artifacts of one directory and the three questions they answer."""
+    """The three questions that the artifacts of one directory answer; models are loaded when first named."""
 
-    def __init__(
-        self, spark: SparkSession, models: str, kinds: Sequence[str] = tuple(KINDS.values())
-    ):
+    def __init__(self, spark: SparkSession, base: str):
         self.spark = spark
-        self.artifacts = load_artifacts(spark, models, kinds)
+        self.base = base.rstrip("/")
+        self.models: dict[str, PipelineModel] = {}
 
     def clusters(self, requests: DataFrame) -> DataFrame:
         """``requests`` is a batch or a stream of ``(model, body, …)``."""
-        return score_clusters(requests, self._models())
+        return self._scored(requests, CLUSTER_PREFIX, score_clusters)
 
     def projections(self, requests: DataFrame) -> DataFrame:
-        return score_projections(requests, self._models())
+        return self._scored(requests, PROJECTION_PREFIX, score_projections)
 
     def itemsets(self, suffix: str) -> DataFrame:
         """``(items, freq)``, most frequent first; KeyError for an unknown snapshot."""
-        return self.artifacts[ITEMSET_PREFIX + suffix].orderBy(F.desc("freq"), "items")
+        name = ITEMSET_PREFIX + suffix
+        if not self._saved(name):
+            raise KeyError(name)
+        found = self.spark.read.parquet(f"{self.base}/{name}").select("items", "freq")
+        return found.orderBy(F.desc("freq"), "items")
 
-    def itemset_response(self, suffix: str, one_document: bool = True) -> DataFrame:
-        """``(status, code, response)``: one JSON document, or one JSON line per itemset."""
+    def itemset_response(self, suffix: str) -> DataFrame:
+        """``(status, code, response)``: one JSON line per itemset, most frequent first."""
         name = ITEMSET_PREFIX + suffix
-        if name not in self.artifacts:
+        if self._saved(name):
+            answer = itemset_rows(self.itemsets(suffix), name).withColumn("status", F.lit("ok"))
+        else:
             error = F.to_json(F.struct(F.lit(f"result '{name}' not found").alias("error")))
             answer = self.spark.range(1).select(
                 F.lit("unknown_model").alias("status"), error.alias("response")
             )
-        else:
-            build = itemset_document if one_document else itemset_rows
-            answer = build(self.artifacts[name], name).withColumn("status", F.lit("ok"))
         return answer.select("status", status_code(F.col("status")).alias("code"), "response")
 
-    def _models(self) -> dict:
-        return {
-            name: item for name, item in self.artifacts.items() if not isinstance(item, DataFrame)
-        }
+    def _saved(self, name: str) -> bool:
+        return not artifact_catalogue(self.spark, self.base).filter(F.col("name") == name).isEmpty()
+
+    def _scored(
+        self, requests: DataFrame, prefix: str, score: Callable[..., DataFrame]
+    ) -> DataFrame:
+        """Load the models that the requests name; for a stream, whose names are to come, all of the kind."""
+        names = artifact_catalogue(self.spark, self.base).select("name").filter(
+            F.col("name").startswith(prefix)
+        )
+        if not requests.isStreaming:
+            named = requests.select(F.concat(F.lit(prefix), "model").alias("name")).distinct()
+            names = names.join(named, "name", "left_semi")
+        wanted = [row["name"] for row in names.orderBy("name").collect()]
+        missing = [name for name in wanted if name not in self.models]
+        self.models |= load_models(self.spark, self.base, missing)
+        return score(requests, {name: self.models[name] for name in wanted if name in self.models})

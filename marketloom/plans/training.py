@@ -32,9 +32,10 @@ from marketloom.schema import (
     SEED,
     SNAPSHOTS,
 )
-from marketloom.session import shared_dir, spread
+from marketloom.session import shared_dir
 from marketloom.sources.artifacts import KINDS, save_itemsets, save_model
-from marketloom.sources.batches import list_batch_files, read_batch_files, read_batch_store
+from marketloom.sources.batches import list_batch_files, read_batch_files
+from marketloom.streaming.ingest import IngestStore
 
 log = logging.getLogger(__name__)
 
@@ -63,9 +64,9 @@ def tiered_batch_files(spark: SparkSession, path: str, order: str = "numeric") -
     return rows.withColumn("tier", tier_of_name(F.col("file_name"), first)).drop("file_name")
 
 
-def tiered_batch_store(spark: SparkSession, path: str) -> DataFrame:
-    """The same from a batch store, whose batches are numbered in order."""
-    rows = read_batch_store(spark, path)
+def tiered_batch_store(spark: SparkSession, store: IngestStore) -> DataFrame:
+    """The same from the committed rows of a batch store, whose batches are numbered in order."""
+    rows = store.read_batches(spark)
     last = rows.agg(F.max("batch_no").alias("n")).first()["n"] or 0
     _require_batches(last)
     return rows.withColumn("tier", tier_of_rank(F.col("batch_no")))
@@ -106,7 +107,7 @@ def train_snapshots(
         kept = drop_incomplete(fill_missing(held, stats[f"fill_{tier}"], nan))
         paths = []
         if "kmeans" in kinds or "pca" in kinds:
-            vectors = spread(kept.select(*FEATURES))
+            vectors = kept.select(*FEATURES)
             deviations = fit_deviations(vectors)
         if "kmeans" in kinds:
             clusters = fit_clusters(vectors, k=k, seed=seed, deviations=deviations)
@@ -140,6 +141,8 @@ def train_from_files(
     return train_snapshots(tiered_batch_files(spark, batches, order), models, **settings)
 
 
-def train_from_store(spark: SparkSession, store: str, models: str, **settings) -> TrainingReport:
+def train_from_store(
+    spark: SparkSession, store: IngestStore, models: str, **settings
+) -> TrainingReport:
     return train_snapshots(tiered_batch_store(spark, store), models, **settings)
 

@@ -23,9 +23,10 @@ FEATURES = ["Rating", "Reviews", "Size", "Installs", "Price"]
 ITEM_COLUMN = "Category"
 UNKNOWN_ITEM = "Unknown"
 BATCH_SIZE = 100_000
+PER_TRIGGER = 1_000_000
+FIT_PARTITIONS = 64
 MINIMUM_BATCHES = 3
 PREVIEW_LENGTH = 100
-CSV_FIELD_LIMIT = 131_072  # longest field the csv module of Python accepts
 CLUSTERS = 10
 SEED = 1
 COMPONENTS = 3
@@ -55,6 +56,7 @@ TOPIC_SCHEMA = T.StructType(
 
 # Doubled quotes and newlines inside quotes, as Python's csv module writes them.
 CSV_READ_OPTIONS = {"header": True, "escape": '"', "multiLine": True}
+CSV_RECORD_OPTIONS = {"escape": '"'}
 CSV_WRITE_OPTIONS = {
     "header": True,
     "escape": '"',

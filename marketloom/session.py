@@ -6,13 +6,12 @@ import atexit
 import shutil
 import tempfile
 import uuid
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
+from contextlib import contextmanager
 from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
-BROADCAST_ROWS = 500_000
 _STAGED: list[str] = []
 
 
@@ -68,29 +67,22 @@ def staged(df: DataFrame, purpose: str, partition_by: Sequence[str] = ()) -> Dat
     return spark.read.schema(df.schema).parquet(path)
 
 
-def release(spark: SparkSession) -> None:
-    """Remove what ``staged`` has written in this process; results that still read it must be stored before."""
+def release(spark: SparkSession, first: int = 0) -> None:
+    """Remove what ``staged`` has written in this process, from the ``first`` table on.
+
+    Results that still read it must be stored before.
+    """
     hadoop = spark.sparkContext._jsc.hadoopConfiguration()
-    while _STAGED:
+    while len(_STAGED) > first:
         path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(_STAGED.pop())
         path.getFileSystem(hadoop).delete(path, True)
 
 
-def small_side(df: DataFrame, limit: int = BROADCAST_ROWS) -> DataFrame:
-    """A join side to broadcast if a count shows it is small, else left to a shuffled join.
-
-    The planner guesses the size of derived tables from their inputs and would
-    shuffle the large side before the small one is known. For narrow, staged
-    tables, whose count is cheap.
-    """
-    return F.broadcast(df) if df.limit(limit + 1).count() <= limit else df
-
-
-def spread(df: DataFrame) -> DataFrame:
-    """Use every core when the input arrives in fewer partitions than there are cores.
-
-    Iterative fits read their input many times, so one round-robin shuffle pays
-    for itself. Inputs with enough partitions pass through untouched.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+@contextmanager
+def staging(spark: SparkSession) -> Iterator[None]:
+    """Remove at its end what was staged inside; for work whose output is stored by then."""
+    first = len(_STAGED)
+    try:
+        yield
+    finally:
+        release(spark, first)

@@ -9,7 +9,7 @@ from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.errors import AnalysisException
 from pyspark.ml import PipelineModel
-from pyspark.sql import Column, DataFrame, Row, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from marketloom.schema import CLUSTER_PREFIX, ITEMSET_PREFIX, PROJECTION_PREFIX
@@ -76,30 +76,19 @@ def artifact_catalogue(spark: SparkSession, base: str) -> DataFrame:
     )
 
 
-def load_artifacts(
-    spark: SparkSession, base: str, kinds: Sequence[str] = tuple(KINDS.values())
-) -> dict[str, PipelineModel | DataFrame]:
-    """Everything of the given kinds that loads, by name; what fails is logged and left out.
+def load_models(spark: SparkSession, base: str, names: Sequence[str]) -> dict[str, PipelineModel]:
+    """The named models that load, by name; what fails is logged and left out.
 
-    The catalogue holds one row per saved model, which all fit in the driver's
-    memory anyway once loaded. Loading a model is a handful of tiny jobs, so
-    several load at a time.
+    Loading a model is a handful of tiny jobs, so several load at a time.
     """
 
-    def load(row: Row) -> PipelineModel | DataFrame | None:
+    def load(name: str) -> PipelineModel | None:
         try:
-            if row["kind"] == "fpgrowth":
-                found = spark.read.parquet(row["path"]).select("items", "freq")
-            else:
-                found = PipelineModel.load(row["path"])
+            return PipelineModel.load(f"{base}/{name}")
         except Exception:
-            log.exception("could not load %s", row["path"])
+            log.exception("could not load %s", name)
             return None
-        return found
 
-    rows = (
-        artifact_catalogue(spark, base).filter(F.col("kind").isin(*kinds)).orderBy("name").collect()
-    )
     with ThreadPoolExecutor(8) as pool:
-        items = zip(rows, pool.map(load, rows), strict=True)
-        return {row["name"]: item for row, item in items if item is not None}
+        items = zip(names, pool.map(load, names), strict=True)
+        return {name: item for name, item in items if item is not None}

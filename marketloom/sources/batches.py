@@ -4,14 +4,17 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from marketloom.operators.batching import batch_span
-from marketloom.operators.snapshots import batch_file_name
+from marketloom.operators.snapshots import batch_file_name, parse_batch_names
 from marketloom.schema import BATCH_COLUMNS, BATCH_SCHEMA, CSV_READ_OPTIONS, CSV_WRITE_OPTIONS
 
 FILE_KEY = "batch_file"
+SPAN_KEY = "batch_span"
 
 
 def _file_name(path: Column) -> Column:
@@ -23,14 +26,22 @@ def _file_name(path: Column) -> Column:
 def write_batch_files(
     numbered: DataFrame, path: str, written: Column, remaining: Column, mode: str = "overwrite"
 ) -> None:
-    """One CSV file with header per batch, in ``batch_file=batch_<n>_<time>[_remaining].csv/``."""
-    named = numbered.withColumn(FILE_KEY, batch_file_name(F.col("batch_no"), written, remaining))
+    """One CSV file with header per batch, in ``batch_span=<s>/batch_file=batch_<n>_<time>[_remaining].csv/``.
+
+    The first level holds a thousand batches, so that millions stay listable.
+    """
+    named = numbered.withColumns(
+        {
+            SPAN_KEY: batch_span(F.col("batch_no")),
+            FILE_KEY: batch_file_name(F.col("batch_no"), written, remaining),
+        }
+    )
     (
         named.repartition("batch_no")
         .sortWithinPartitions("batch_no", "row_no")
-        .select(*[f"`{c}`" for c in BATCH_COLUMNS], FILE_KEY)
+        .select(*[f"`{c}`" for c in BATCH_COLUMNS], SPAN_KEY, FILE_KEY)
         .write.mode(mode)
-        .partitionBy(FILE_KEY)
+        .partitionBy(SPAN_KEY, FILE_KEY)
         .options(**CSV_WRITE_OPTIONS)
         .csv(path)
     )
@@ -47,6 +58,17 @@ def list_batch_files(spark: SparkSession, path: str) -> DataFrame:
     return files.select(_file_name(F.col("path")).alias("file_name")).distinct()
 
 
+def exported_batches(spark: SparkSession, path: str) -> int:
+    """The highest number among the batch files below ``path``, 0 if there are none."""
+    try:
+        names = list_batch_files(spark, path)
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return 0
+    return parse_batch_names(names).agg(F.max("batch_no")).first()[0] or 0
+
+
 def read_batch_files(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:
     """All rows of the CSV batches below ``path`` with their ``file_name``.
 
@@ -69,17 +91,19 @@ def read_batch_files(spark: SparkSession, path: str | Sequence[str]) -> DataFram
 def write_batch_store(numbered: DataFrame, path: str, mode: str = "overwrite") -> None:
     """Parquet, in one directory per thousand batches, ordered so that footers prune batches."""
     (
-        numbered.withColumn("batch_span", batch_span(F.col("batch_no")))
+        numbered.withColumn(SPAN_KEY, batch_span(F.col("batch_no")))
         .sortWithinPartitions("batch_span", "row_no")
         .write.mode(mode)
-        .partitionBy("batch_span")
+        .partitionBy(SPAN_KEY)
         .parquet(path)
     )
 
 
-def read_batch_store(spark: SparkSession, path: str) -> DataFrame:
+def read_batch_store(
+    spark: SparkSession, path: str, schema: T.StructType | None = None
+) -> DataFrame:
     """Rows with ``row_no`` and ``batch_no``; see ``up_to_batch`` for pruned reads."""
-    return spark.read.parquet(path)
+    return (spark.read if schema is None else spark.read.schema(schema)).parquet(path)
 
 
 def up_to_batch(store: DataFrame, last: int) -> DataFrame:

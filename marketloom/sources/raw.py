@@ -1,235 +1,53 @@
-"""Raw CSV datasets as records, splittable even when records span lines."""
+"""Raw CSV datasets as rows with a place of their own, read by Spark's CSV reader."""
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from marketloom.functions.csvtext import csv_record, leaves_quote_open
-from marketloom.schema import CSV_FIELD_LIMIT, CSV_READ_OPTIONS, WIRE_FIELD_COUNT
-from marketloom.session import small_side, staged
-
-# Longer than any record whose fields all stay within the field limit.
-MAX_RECORD_CHARS = WIRE_FIELD_COUNT * (2 * CSV_FIELD_LIMIT + 3)
-LARGEST_WHOLE_FILE = 1 << 30
-
-_SPLIT = ["file_path", "block"]
-
-
-def read_records(spark: SparkSession, path: str, embedded_newlines: bool = True) -> DataFrame:
-    """Records of CSV text files as ``(file_path, position, text)``, header included.
-
-    ``position`` rises with the place in the file and is 0 for its first line.
-
-    A quoted field may hold line breaks, so where a record begins depends on all
-    text before it. Each line is a step that maps "quote open before" to "quote
-    open after". Steps are folded per file split for both possible states at its
-    start, then over the splits of a file, which picks one of the two. So many
-    tasks read a single huge file; its lines are shuffled once, by split, and
-    staged in the shared folder.
-
-    With ``embedded_newlines=False`` every line is a record and nothing is
-    shuffled or staged; ``position`` then orders the lines of one scan and only
-    its first line is known to be a header.
-    """
-    lines = (
-        spark.read.text(path)
-        .select(
-            "value",
-            F.col("_metadata.file_path").alias("file_path"),
-            F.col("_metadata.file_block_start").alias("block"),
-        )
-        .withColumn("seq", F.monotonically_increasing_id())
-    )
-    if not embedded_newlines:
-        return lines.select(
-            "file_path", F.col("seq").alias("position"), F.col("value").alias("text")
-        )
-
-    folded = staged(_line_states(lines), "records")
-    starts = staged(_split_starts(folded), "splits")
-    # Most splits begin outside quotes; only the others take part in the join.
-    open_starts = small_side(
-        starts.filter("open_at_start").select(*_SPLIT, F.lit(True).alias("was_open"))
-    )
-    was_open = F.col("was_open").isNotNull()
-    states = folded.join(open_starts, _SPLIT, "left").select(
-        *_SPLIT,
-        "position",
-        "value",
-        F.when(was_open, F.col("before_open")).otherwise(F.col("before_shut")).alias("inside"),
-        F.when(was_open, F.col("open_if_open")).otherwise(F.col("open_if_shut")).alias("goes_on"),
-        F.when(was_open, F.col("begun_open")).otherwise(F.col("begun_shut")).alias("begun"),
-    )
-    single = states.filter("NOT inside AND NOT goes_on").select(
-        "file_path", "position", F.col("value").alias("text")
-    )
-    return single.unionByName(_joined(states.filter("inside OR goes_on"), starts))
+from marketloom.functions.csvtext import csv_record
+from marketloom.schema import CSV_READ_OPTIONS, WIRE_FIELD_COUNT
 
 
 def read_rows(
-    spark: SparkSession,
-    path: str,
-    arity: int = WIRE_FIELD_COUNT,
-    largest: int = LARGEST_WHOLE_FILE,
+    spark: SparkSession, path: str, arity: int = WIRE_FIELD_COUNT, multiline: bool = True
 ) -> DataFrame:
-    """Rows of well-formed CSV files as ``(position, fields)``, header left out.
+    """Rows of CSV files as ``(file_path, position, fields)``, the header of each file left out.
+
+    ``position`` rises with the place in the file and is unique in it: the start
+    of the row's split plus its rank there, as a split holds fewer rows than bytes.
 
-    Spark's own reader, many times faster per core than ``read_records``, but a
-    file is one task (checked against ``largest``), blank lines vanish, and text
-    with stray quotes may split differently. Rows of another length keep their
-    own fields, to be rejected downstream.
+    With ``multiline`` fields may hold line breaks, and a file is one task; many
+    files make many tasks. Without it every line is a row, and large files are
+    split. Blank lines vanish, and stray quotes may split differently from the
+    wire's dialect. Rows of another length keep their own fields, to be rejected
+    downstream.
     """
-    biggest = (
-        spark.read.format("binaryFile").load(path).agg(F.max("length").alias("bytes")).first()
-    )
-    if (biggest["bytes"] or 0) > largest:
-        raise ValueError(f"a file below {path} has {biggest['bytes']} bytes; use read_records")
     columns = [f"c{i}" for i in range(arity)]
     schema = ", ".join(f"{c} string" for c in [*columns, "_odd"])
     rows = (
         spark.read.schema(schema)
-        .options(**CSV_READ_OPTIONS)
+        .options(**{**CSV_READ_OPTIONS, "multiLine": multiline})
         .option("columnNameOfCorruptRecord", "_odd")
         .csv(path)
     )
     own = csv_record(F.col("_odd"))["fields"]
     fields = F.array(*[F.coalesce(c, F.lit("")) for c in columns])
-    return rows.select(
-        F.monotonically_increasing_id().alias("position"),
+    placed = rows.select(
+        F.col("_metadata.file_path").alias("file_path"),
+        F.col("_metadata.file_block_start").alias("_block"),
+        F.monotonically_increasing_id().alias("_seq"),
         F.when(F.col("_odd").isNull(), fields).otherwise(own).alias("fields"),
     )
+    rank = F.row_number().over(Window.partitionBy("file_path", "_block").orderBy("_seq"))
+    return placed.select("file_path", (F.col("_block") + rank - 1).alias("position"), "fields")
 
 
-def data_records(records: DataFrame) -> DataFrame:
-    """Without the header, which is the record that begins a file."""
-    return records.filter(F.col("position") > 0)
-
+def file_ranks(spark: SparkSession, path: str) -> DataFrame:
+    """``(file_path, file_rank)``, from 0 in the order of the names; contents are not read.
 
-def _fold(df: DataFrame, within: Sequence[str], order: str) -> DataFrame:
-    """Fold the steps ``(from_shut, from_open)`` of each group in order.
-
-    Adds ``open_if_shut`` and ``open_if_open``: the state after a row for either
-    state at the start of its group. A step fixes the state, keeps it or flips
-    it, so the state is the last fixed one (or the first one), turned round by
-    every flip since.
+    One row a file meets in a single task.
     """
-    upto = Window.partitionBy(*within).orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
-    fixed = F.when(F.col("from_shut") == F.col("from_open"), F.col("from_shut"))
-    flip = (F.col("from_shut") & ~F.col("from_open")).cast("int")
-    running = df.withColumn("_flips", F.sum(flip).over(upto)).withColumn(
-        "_last",
-        F.last(
-            F.when(
-                fixed.isNotNull(), F.struct(fixed.alias("state"), F.col("_flips").alias("at"))
-            ),
-            ignorenulls=True,
-        ).over(upto),
-    )
-    turned = (F.col("_flips") - F.coalesce("_last.at", F.lit(0))) % 2 == 1
-
-    def after(first: bool) -> Column:
-        return F.coalesce("_last.state", F.lit(first)) != turned
-
-    return running.withColumns(
-        {"open_if_shut": after(False), "open_if_open": after(True)}
-    ).drop("_flips", "_last", "from_shut", "from_open")
-
-
-def _line_states(lines: DataFrame) -> DataFrame:
-    quoted = F.col("value").contains('"')
-    shut = leaves_quote_open(F.col("value"))
-    opened = leaves_quote_open(F.concat(F.lit('"'), F.col("value")))
-    order = Window.partitionBy(*_SPLIT).orderBy("seq")
-    so_far = order.rowsBetween(Window.unboundedPreceding, 0)
-    steps = lines.withColumns(
-        {
-            "from_shut": F.when(quoted, shut).otherwise(False),
-            "from_open": F.when(quoted, opened).otherwise(True),
-        }
-    )
-    # A split holds fewer lines than bytes, so positions of splits never overlap.
-    placed = _fold(steps, _SPLIT, "seq").withColumns(
-        {
-            "position": F.col("block") + F.row_number().over(order) - 1,
-            "before_shut": F.lag("open_if_shut", 1, False).over(order),
-            "before_open": F.lag("open_if_open", 1, True).over(order),
-        }
-    )
-    return placed.withColumns(
-        {
-            f"begun_{start}": F.last(
-                F.when(~F.col(f"before_{start}"), F.col("position")), ignorenulls=True
-            ).over(so_far)
-            for start in ("shut", "open")
-        }
-    ).drop("seq")
-
-
-def _split_starts(folded: DataFrame) -> DataFrame:
-    """Per split: is a quote open at its start, and where did that record begin."""
-    ends = (
-        folded.groupBy(*_SPLIT)
-        .agg(
-            F.max_by(
-                F.struct("open_if_shut", "open_if_open", "begun_shut", "begun_open"), "position"
-            ).alias("end")
-        )
-        .select(
-            *_SPLIT,
-            F.col("end.open_if_shut").alias("from_shut"),
-            F.col("end.open_if_open").alias("from_open"),
-            "end.begun_shut",
-            "end.begun_open",
-        )
-    )
-    order = Window.partitionBy("file_path").orderBy("block")
-    begun = F.when(F.col("open_at_start"), F.col("begun_open")).otherwise(F.col("begun_shut"))
-    return (
-        _fold(ends, ["file_path"], "block")
-        .withColumn("open_at_start", F.lag("open_if_shut", 1, False).over(order))
-        .select(
-            *_SPLIT,
-            "open_at_start",
-            F.last(begun, ignorenulls=True)
-            .over(order.rowsBetween(Window.unboundedPreceding, -1))
-            .alias("carried"),
-        )
-    )
-
-
-def _joined(states: DataFrame, starts: DataFrame) -> DataFrame:
-    """Records of several lines: pieces per split first, then the pieces of a record.
-
-    An unclosed quote may swallow a whole file. Such a record is beyond the
-    length limit, so its pieces become NULL before they meet and the record
-    comes out with NULL text, to be rejected.
-    """
-
-    def assemble(parts: str, size: str) -> Column:
-        text = F.array_join(F.transform(parts, lambda p: p["text"]), "\n")
-        return F.when(F.col(size) <= MAX_RECORD_CHARS, text)
-
-    pieces = (
-        states.groupBy(*_SPLIT, "begun")
-        .agg(
-            F.sum(F.length("value") + 1).alias("size"),
-            F.array_sort(
-                F.collect_list(F.struct("position", F.col("value").alias("text")))
-            ).alias("lines"),
-        )
-        .select(*_SPLIT, "begun", "size", assemble("lines", "size").alias("text"))
-    )
-    # A piece that does not begin in its own split continues an earlier record.
-    return (
-        pieces.join(starts, _SPLIT)
-        .withColumn("position", F.coalesce("begun", "carried"))
-        .groupBy("file_path", "position")
-        .agg(
-            F.sum("size").alias("size"),
-            F.array_sort(F.collect_list(F.struct("block", "text"))).alias("pieces"),
-        )
-        .select("file_path", "position", assemble("pieces", "size").alias("text"))
-    )
+    files = spark.read.format("binaryFile").load(path).select("_metadata.file_path").distinct()
+    rank = F.row_number().over(Window.orderBy("file_path")) - 1
+    return files.select("file_path", rank.cast("int").alias("file_rank"))

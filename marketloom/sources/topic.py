@@ -53,30 +53,50 @@ def stream_topic(
     return reader.parquet(path)
 
 
-def as_messages(df: DataFrame, topic: str, offset: str | None = None) -> DataFrame:
-    """Topic-shaped rows from a ``value`` column, without keys, in one partition.
+def as_messages(
+    df: DataFrame,
+    topic: str,
+    offset: str,
+    partition: str | None = None,
+    timestamp: str | None = None,
+) -> DataFrame:
+    """Topic-shaped rows from a ``value`` column, without keys.
 
-    Without an ``offset`` column the order of the scan counts.
+    ``offset`` must be unique within ``partition`` (one partition by default);
+    without a ``timestamp`` all messages arrive now.
     """
-    position = F.col(offset) if offset else F.monotonically_increasing_id()
+    place = F.col(partition) if partition else F.lit(0)
+    arrival = F.col(timestamp).cast("timestamp") if timestamp else F.current_timestamp()
     return df.select(
         F.lit(None).cast("binary").alias("key"),
         F.col("value"),
         F.lit(topic).alias("topic"),
-        F.lit(0).alias("partition"),
-        position.cast("long").alias("offset"),
-        F.current_timestamp().alias("timestamp"),
+        place.cast("int").alias("partition"),
+        F.col(offset).cast("long").alias("offset"),
+        arrival.alias("timestamp"),
     )
 
 
+def in_publish_order(messages: DataFrame, partitions: int = 1) -> DataFrame:
+    """``(value, partition)`` rows for a topic of so many partitions, each written by one task in order.
+
+    Source partitions are dealt to topic partitions by their number.
+    """
+    target = F.pmod("partition", F.lit(partitions)).cast("int").alias("target")
+    dealt = messages.select(target, "value", "partition", "offset").repartition("target")
+    ordered = dealt.sortWithinPartitions("target", "partition", "offset")
+    return ordered.select("value", F.col("target").alias("partition"))
+
+
 def write_topic(
     messages: DataFrame,
     path: str | None = None,
     kafka: Mapping[str, str] | None = None,
     mode: str = "append",
+    partitions: int = 1,
 ) -> None:
-    """Publish messages; Kafka assigns partitions and offsets itself."""
+    """Publish messages; Kafka assigns offsets itself, in the order of ``in_publish_order``."""
     if kafka is not None:
-        messages.select("value").write.format("kafka").options(**kafka).save()
+        in_publish_order(messages, partitions).write.format("kafka").options(**kafka).save()
     else:
         messages.write.mode(mode).parquet(path)

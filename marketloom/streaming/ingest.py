@@ -7,12 +7,15 @@ its starting row number comes from the ledger entry before it.
 
 from __future__ import annotations
 
+from collections.abc import Mapping, Sequence
+
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from marketloom.operators.batching import is_remainder, number_batches
+from marketloom.operators.batching import is_remainder, number_in_order
 from marketloom.operators.wire import (
     accepted_records,
     judged_records,
@@ -20,10 +23,49 @@ from marketloom.operators.wire import (
     rejected_records,
 )
 from marketloom.schema import BATCH_SIZE, WIRE_FIELD_COUNT, WIRE_POSITIONS
-from marketloom.session import staged
-from marketloom.sources.batches import write_batch_files, write_batch_store
+from marketloom.session import staged, staging
+from marketloom.sources.batches import (
+    exported_batches,
+    read_batch_store,
+    write_batch_files,
+    write_batch_store,
+)
+
+# Arrival: messages of the same moment by topic partition and offset, which together are unique.
+ORDER = ["timestamp", "partition", "offset"]
+_ORDER_FIELDS = [
+    T.StructField("timestamp", T.TimestampType()),
+    T.StructField("partition", T.IntegerType()),
+    T.StructField("offset", T.LongType()),
+]
+_MICRO = T.StructField("micro", T.IntegerType())
+LEDGER_SCHEMA = T.StructType(
+    [*[T.StructField(name, T.LongType()) for name in ("rows_before", "valid_rows", "rows_after")], _MICRO]
+)
+REJECT_SCHEMA = T.StructType(
+    [
+        *_ORDER_FIELDS,
+        T.StructField("reason", T.StringType()),
+        T.StructField("field_count", T.IntegerType()),
+        T.StructField("preview", T.StringType()),
+        T.StructField("value", T.BinaryType()),
+        _MICRO,
+    ]
+)
 
-ORDER = ["partition", "offset"]
+
+def store_schema(columns: Sequence[str]) -> T.StructType:
+    """Rows of the batch store; written down, as a store of rejects alone has no file to tell it."""
+    return T.StructType(
+        [
+            *_ORDER_FIELDS,
+            *[T.StructField(name, T.StringType()) for name in columns],
+            T.StructField("row_no", T.LongType()),
+            T.StructField("batch_no", T.LongType()),
+            T.StructField("batch_span", T.LongType()),
+            _MICRO,
+        ]
+    )
 
 
 def _readable(spark: SparkSession, path: str) -> bool:
@@ -79,32 +121,52 @@ class IngestStore:
         )
 
     def read_batches(self, spark: SparkSession) -> DataFrame:
-        """Accepted rows with ``row_no``, ``batch_no`` and ``is_remainder``."""
-        rows = spark.read.parquet(self.batches)
-        total = self.read_ledger(spark).agg(F.max("rows_after")).scalar()
-        size = self.batch_size(spark)
-        return rows.withColumn("is_remainder", is_remainder(F.col("batch_no"), total, size))
+        """Committed rows with ``row_no``, ``batch_no`` and ``is_remainder``.
+
+        Rows of a micro-batch that is not in the ledger, as after a crash, are not read.
+        """
+        known = self.settings(spark)
+        last, total = self.committed(spark)
+        rows = read_batch_store(spark, self.batches, store_schema(known["columns"]))
+        rows = rows.filter(F.col("micro") <= last)
+        remainder = is_remainder(F.col("batch_no"), total, known["batch_size"])
+        return rows.withColumn("is_remainder", remainder)
+
+    def committed(self, spark: SparkSession) -> tuple[int, int]:
+        """The last micro-batch in the ledger, -1 if there is none, and the rows up to it."""
+        last = self.read_ledger(spark).agg(F.max(F.struct("micro", "rows_after")).alias("m")).first()["m"]
+        return (-1, 0) if last is None else (last["micro"], last["rows_after"])
 
-    def batch_size(self, spark: SparkSession) -> int:
-        return spark.read.parquet(f"{self.base}/settings").first()["batch_size"]
+    def settings(self, spark: SparkSession):
+        return spark.read.parquet(f"{self.base}/settings").first()
 
-    def write_settings(self, spark: SparkSession, batch_size: int) -> None:
-        """The batch size is fixed by the first run; a later run must use the same."""
+    def write_settings(
+        self, spark: SparkSession, batch_size: int, positions: Mapping[str, int] | None = None
+    ) -> None:
+        """Batch size and columns are fixed by the first run; a later run must use the same."""
+        columns = list(WIRE_POSITIONS if positions is None else positions)
         try:
-            known = self.batch_size(spark)
+            known = self.settings(spark)
         except AnalysisException:
-            spark.range(1).select(F.lit(batch_size).alias("batch_size")).write.mode(
-                "overwrite"
-            ).parquet(f"{self.base}/settings")
+            row = spark.range(1).select(
+                F.lit(batch_size).alias("batch_size"), F.array(*map(F.lit, columns)).alias("columns")
+            )
+            row.write.mode("overwrite").parquet(f"{self.base}/settings")
             return
-        if known != batch_size:
-            raise ValueError(f"this store has batches of {known} rows, not {batch_size}")
+        if known["batch_size"] != batch_size:
+            raise ValueError(f"this store has batches of {known['batch_size']} rows, not {batch_size}")
+        if known["columns"] != columns:
+            raise ValueError(f"this store has the columns {known['columns']}, not {columns}")
 
     def read_rejects(self, spark: SparkSession) -> DataFrame:
-        return spark.read.parquet(self.rejects)
+        """Committed quarantine rows."""
+        last, _ = self.committed(spark)
+        return spark.read.schema(REJECT_SCHEMA).parquet(self.rejects).filter(F.col("micro") <= last)
 
     def read_ledger(self, spark: SparkSession) -> DataFrame:
-        return spark.read.parquet(self.ledger)
+        if not _readable(spark, self.ledger):
+            return spark.createDataFrame([], LEDGER_SCHEMA)
+        return spark.read.schema(LEDGER_SCHEMA).parquet(self.ledger)
 
 
 def ingest_micro_batch(
@@ -114,31 +176,22 @@ def ingest_micro_batch(
     batch_size: int = BATCH_SIZE,
     arity: int = WIRE_FIELD_COUNT,
     positions: dict[str, int] = WIRE_POSITIONS,
-    stage: bool = False,
 ) -> int:
     """Parse, quarantine, number and write one micro-batch; returns its accepted rows.
 
-    Several passes use the judged messages, and parsing is the costly part, so
-    they are persisted (a micro-batch is bounded by its trigger) or, with
-    ``stage``, written to the shared folder.
+    Parsing is the costly part and several passes use its outcome, so that is
+    written to the shared folder, whatever its size, and removed at the end.
     """
     spark = messages.sparkSession
     before = store.rows_before(spark, micro_batch)
-    judged = judged_records(
-        parse_messages(messages.select(*ORDER, "value"), arity), ORDER, positions
-    )
-    judged = staged(judged, "judged") if stage else judged.persist()
-    try:
-        accepted = accepted_records(judged)
-        numbered = number_batches(accepted, batch_size, start=before)
+    parsed = parse_messages(messages.select(*ORDER, "value"), arity)
+    with staging(spark):
+        judged = staged(judged_records(parsed, ORDER, positions), "judged")
+        numbered, rows = number_in_order(accepted_records(judged), ORDER, batch_size, before)
         write_batch_store(numbered, store.micro(store.batches, micro_batch))
         rejected_records(judged, ORDER).write.mode("overwrite").parquet(
             store.micro(store.rejects, micro_batch)
         )
-        rows = accepted.count()
-    finally:
-        if not stage:
-            judged.unpersist()
     store.write_ledger(spark, micro_batch, before, rows)
     return rows
 
@@ -152,10 +205,14 @@ def start_ingest(
     positions: dict[str, int] = WIRE_POSITIONS,
     every: str | None = None,
 ) -> StreamingQuery:
-    """Start the ingest: all messages there are, or a micro-batch ``every`` interval."""
+    """Start the ingest: all messages there are, or a micro-batch ``every`` interval.
+
+    Micro-batches follow each other, and rows within one are in order of arrival;
+    so the numbers are those of a single batch if messages come in time order.
+    """
     store = IngestStore(base)
     store.require_checkpoint(stream.sparkSession, checkpoint)
-    store.write_settings(stream.sparkSession, batch_size)
+    store.write_settings(stream.sparkSession, batch_size, positions)
 
     def write(messages: DataFrame, micro_batch: int) -> None:
         ingest_micro_batch(messages, micro_batch, store, batch_size, arity, positions)
@@ -175,8 +232,37 @@ def run_ingest(stream: DataFrame, base: str, checkpoint: str, **settings) -> Ing
     return IngestStore(base)
 
 
-def export_batch_files(spark: SparkSession, store: IngestStore, path: str) -> None:
-    """The store as one CSV file per batch, the partial last one marked ``_remaining``."""
-    write_batch_files(
-        store.read_batches(spark), path, F.current_timestamp(), F.col("is_remainder")
-    )
+def export_batch_files(
+    spark: SparkSession, store: IngestStore, path: str, final: bool = False
+) -> None:
+    """Append full batches that are not at ``path`` yet, one CSV file each.
+
+    A file is named after the arrival of its last row, so names are the same
+    whenever it is written. With ``final`` the partial last batch is written too,
+    marked ``_remaining``; nothing may be taken in after that.
+    """
+    done = exported_batches(spark, path)
+    rows = store.read_batches(spark).filter(F.col("batch_no") > done)
+    if not final:
+        rows = rows.filter(~F.col("is_remainder"))
+    written = F.max("timestamp").over(Window.partitionBy("batch_no"))
+    with staging(spark):
+        named = staged(rows.withColumn("_written", written), "export")
+        write_batch_files(named, path, F.col("_written"), F.col("is_remainder"), mode="append")
+
+
+def compact_store(spark: SparkSession, store: IngestStore, path: str) -> IngestStore:
+    """A copy of the committed rows, rejects and ledger as one micro-batch, with large sorted files.
+
+    Continuing it takes a new checkpoint and messages after those in it, as the
+    micro-batches of a stream count from zero.
+    """
+    compact = IngestStore(path)
+    known, (_, rows) = store.settings(spark), store.committed(spark)
+    compact.write_settings(spark, known["batch_size"], dict.fromkeys(known["columns"], 0))
+    batches = store.read_batches(spark).drop("is_remainder", "batch_span", "micro")
+    write_batch_store(batches.repartitionByRange("row_no"), compact.micro(compact.batches, 0))
+    rejects = store.read_rejects(spark).drop("micro")
+    rejects.write.mode("overwrite").parquet(compact.micro(compact.rejects, 0))
+    compact.write_ledger(spark, 0, 0, rows)
+    return compact

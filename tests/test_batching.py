@@ -143,7 +143,7 @@ def test_batch_files_suit_python_and_spark(spark, tmp_path):
         "batch_3_20240203040506_remaining.csv",
     ]
     by_batch = {}
-    for folder in sorted((tmp_path / "files").glob("batch_file=*")):
+    for folder in sorted((tmp_path / "files").glob("batch_span=*/batch_file=*")):
         parts = list(folder.glob("part-*.csv"))
         assert len(parts) == 1
         with parts[0].open(newline="", encoding="utf-8") as lines:

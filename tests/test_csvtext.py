@@ -8,6 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from marketloom.functions import csv_line, csv_line_of, csv_record, utf8_text
+from marketloom.functions.csvtext import regular_cells
 from marketloom.operators.wire import (
     encode_records,
     judged_records,
@@ -15,7 +16,7 @@ from marketloom.operators.wire import (
     project_fields,
     rejected_records,
 )
-from marketloom.schema import BATCH_COLUMNS, CSV_FIELD_LIMIT
+from marketloom.schema import BATCH_COLUMNS
 
 PIECES = ["a", '"', ",", "\n", "\r", " ", '""', ',"', '",', "\\", "#", "'", "\x01", "\x02", "p", "e", "é"]
 
@@ -89,11 +90,33 @@ def test_edge_lines(spark, line, fields, reason):
     assert (row.fields, row.reason) == (fields, reason)
 
 
-def test_field_limit(spark):
-    longest, beyond = "x" * CSV_FIELD_LIMIT, '"' + "é" * (CSV_FIELD_LIMIT + 1) + '"'
-    rows = spark.createDataFrame([(f"a,{longest}",), (f"a,{beyond}",)], "text string")
-    got = [r.r.failure for r in rows.select(csv_record(F.col("text")).alias("r")).collect()]
-    assert got == [None, "parse"]
+def test_field_limit_is_an_option(spark):
+    lines = [f"a,{'x' * 200_000}", f'a,"{"é" * 200_001}"', f'a,"{"é" * 200_001}']
+    rows = spark.createDataFrame([(line, line.encode()) for line in lines], "text string, value binary")
+    for limit, want in ((None, [None] * 3), (200_000, [None, "parse", "parse"])):
+        got = [r.r.failure for r in rows.select(csv_record(F.col("text"), limit).alias("r")).collect()]
+        assert got == want
+        parsed = parse_messages(rows, 2, field_limit=limit).collect()
+        assert [r.reason for r in parsed] == want and [len(r.fields[1]) for r in parsed] == [200_000, 200_001, 200_001]
+
+
+def test_regular_records_take_the_engine_parser(spark):
+    """Records as a CSV writer makes them, of any content but carriage returns."""
+    rng = random.Random(5)
+    pieces = ["a", '"', ",", "\n", " ", "#", "\\", "'", "\x01", "\x02", "é", "\x00", "\ufeff", ""]
+    rows = [["".join(rng.choice(pieces) for _ in range(rng.randint(0, 5))) for _ in range(3)] for _ in range(3_000)]
+    lines = []
+    for row in rows:
+        out = io.StringIO()
+        csv.writer(out, lineterminator="").writerow(row)
+        lines.append((out.getvalue(), row))
+    df = spark.createDataFrame(lines, "text string, want array<string>")
+    df = df.select("want", "text", F.encode("text", "UTF-8").alias("value"), regular_cells(F.col("text"), 3).alias("cells"))
+    for r in parse_messages(df, 3).collect():
+        if r.text:
+            assert r.fields == r.want and r.reason is None, repr(r.text)
+            regular = '"' in r.text and "\x00" not in r.text and not r.text.startswith("\ufeff")
+            assert (r.cells is not None) == regular, repr(r.text)
 
 
 def test_many_quotes_do_not_recurse(spark):

@@ -1,16 +1,14 @@
-"""Records of raw CSV files, read by many tasks, against Python's csv module."""
+"""Rows of raw CSV files, their places, and the messages made of them."""
 
 import csv
 import io
 import random
 
 import pytest
-from pyspark.sql import functions as F
 
-from marketloom.functions import csv_record
-from marketloom.plans.ingest import dataset_messages, publish_dataset
+from marketloom.plans.ingest import dataset_messages, ingest_topic, publish_dataset
 from marketloom.sources import raw
-from marketloom.sources.topic import read_topic
+from marketloom.sources.topic import in_publish_order, read_topic
 
 
 @pytest.fixture
@@ -24,16 +22,8 @@ def tiny_splits(spark):
         spark.conf.set(key, value)
 
 
-def fields_of(records):
-    rows = records.orderBy("file_path", "position").select(
-        "text", csv_record(F.col("text")).alias("r")
-    )
-    return [[] if row.text == "" else row.r.fields for row in rows.collect()]
-
-
-def well_formed(seed, line_end):
+def well_formed(seed, line_end="\n", cells=("a", 'b"c', ",", "\n", '" ', "x\ny", "", "plain", "é")):
     rng = random.Random(seed)
-    cells = ["a", 'b"c', ",", "\n", '" ', "x\ny", 'one\nline "two",\nthree', "", "plain", "é"]
     out = io.StringIO()
     writer = csv.writer(out, lineterminator=line_end)
     writer.writerow(["h1", "h2", "h3"])
@@ -42,80 +32,73 @@ def well_formed(seed, line_end):
     return out.getvalue()
 
 
-def malformed(seed):
-    rng = random.Random(seed)
-    pieces = ["a", '"', ",", "\n", " ", '""', ',"', '",', "\r", "zz"]
-    return "".join(rng.choice(pieces) for _ in range(1_500))
+def python_rows(text):
+    return list(csv.reader(io.StringIO(text, newline="")))[1:]
 
 
-@pytest.mark.parametrize(
-    "text", [well_formed(1, "\n"), well_formed(2, "\r\n"), malformed(3), malformed(4)]
-)
-def test_records_across_splits(tiny_splits, tmp_path, text):
-    path = tmp_path / "data.csv"
-    path.write_bytes(text.encode())
-    with path.open(encoding="utf-8") as lines:
-        want = list(csv.reader(lines))
-    assert tiny_splits.read.text(str(path)).rdd.getNumPartitions() > 10
-    assert fields_of(raw.read_records(tiny_splits, str(path))) == want
+def read(spark, path, **settings):
+    rows = raw.read_rows(spark, str(path), arity=3, **settings).orderBy("file_path", "position").collect()
+    assert len({(r.file_path, r.position) for r in rows}) == len(rows)
+    return [r.fields for r in rows]
 
 
-def test_unclosed_quote_is_one_record(tiny_splits, tmp_path):
-    path = tmp_path / "data.csv"
-    path.write_text('h\na,1\n"never closed\n' + "b,2\n" * 100 + "end")
-    got = fields_of(raw.read_records(tiny_splits, str(path)))
-    assert got == [["h"], ["a", "1"], ["never closed\n" + "b,2\n" * 100 + "end"]]
+def test_rows_may_span_lines(spark, tmp_path):
+    text = well_formed(1) + 'short,"x\ny"\nlong,1,2,3\n'
+    (tmp_path / "data.csv").write_text(text)
+    assert read(spark, tmp_path) == python_rows(text)
 
 
-def test_oversized_record_becomes_null(tiny_splits, tmp_path, monkeypatch):
-    monkeypatch.setattr(raw, "MAX_RECORD_CHARS", 100)
-    path = tmp_path / "data.csv"
-    path.write_text('h\na,1\n"never closed\n' + "b,2\n" * 100)
-    rows = raw.read_records(tiny_splits, str(path)).orderBy("position").collect()
-    assert [r.text for r in rows] == ["h", "a,1", None]
+def test_lines_of_split_files_keep_their_order(tiny_splits, tmp_path):
+    text = well_formed(2, cells=("a", 'b"c', ",", "", "é"))
+    for name in ("x", "y"):
+        (tmp_path / f"{name}.csv").write_text(text)
+    assert tiny_splits.read.csv(str(tmp_path)).rdd.getNumPartitions() > 20
+    assert read(tiny_splits, tmp_path, multiline=False) == 2 * python_rows(text)
 
 
-def test_several_files_lose_their_headers(spark, tmp_path):
-    for name in ("x", "y"):
-        (tmp_path / f"{name}.csv").write_text(f'h1,h2\n"{name}\n1",2\n')
-    records = raw.data_records(raw.read_records(spark, str(tmp_path)))
-    assert sorted(fields_of(records)) == [["x\n1", "2"], ["y\n1", "2"]]
+def test_long_fields_are_read(spark, tmp_path):
+    (tmp_path / "data.csv").write_text('h,h,h\na,"' + "é\n" * 100_000 + '",b\n')
+    assert read(spark, tmp_path) == [["a", "é\n" * 100_000, "b"]]
+
 
+@pytest.mark.parametrize("multiline", [True, False])
+def test_places_over_several_files_are_unique(spark, tmp_path, multiline):
+    record = ",".join(f"f{i}" for i in range(23))
+    for k in range(3):
+        rows = ["h" * 3, *[f"{record},{k}-{i}" for i in range(200)]]
+        (tmp_path / f"part {k}.csv").write_text("\n".join(rows))
+    messages = dataset_messages(spark, str(tmp_path), "t", multiline).collect()
+    assert len({(m.partition, m.offset) for m in messages}) == len(messages) == 600
+    said = [bytes(m.value).decode().rsplit(",", 1)[1] for m in sorted(messages, key=lambda m: (m.partition, m.offset))]
+    assert said == [f"{k}-{i}" for k in range(3) for i in range(200)]
 
-def test_one_line_records_need_no_staging(spark, tmp_path):
-    (tmp_path / "x.csv").write_text("h\n1\n2\n")
-    records = raw.data_records(raw.read_records(spark, str(tmp_path), embedded_newlines=False))
-    assert [r.text for r in records.orderBy("position").collect()] == ["1", "2"]
+
+def test_datasets_of_several_files_are_numbered_in_order(spark, tmp_path):
+    for k in range(3):
+        (tmp_path / f"{k}.csv").write_text("h,h\n" + "".join(f"{k},{i}\n" for i in range(100)))
+    messages = dataset_messages(spark, str(tmp_path), "t", arity=2)
+    store = ingest_topic(messages, str(tmp_path / "store"), 70, arity=2, positions={"k": 0, "i": 1})
+    rows = store.read_batches(spark).orderBy("row_no").collect()
+    assert [(r.k, r.i) for r in rows] == [(str(k), str(i)) for k in range(3) for i in range(100)]
+    assert [r.batch_no for r in rows] == [n // 70 + 1 for n in range(300)]
 
 
 def test_publish_writes_encoded_records_in_order(spark, tmp_path):
-    (tmp_path / "data.csv").write_text('h1,h2\n"a",1\n"b, ""c""",2\n\n" d",3 \n')
+    (tmp_path / "data.csv").write_text('h1,h2\n"a",1\n"b, ""c""",2\n" d",3 \n')
     publish_dataset(spark, str(tmp_path / "data.csv"), "apps", str(tmp_path / "topic"))
     rows = read_topic(spark, str(tmp_path / "topic")).orderBy("offset").collect()
-    assert [bytes(r.value).decode() for r in rows] == ["a,1", '"b, ""c""",2', "", "d,3"]
+    assert [bytes(r.value).decode() for r in rows] == ["a,1", '"b, ""c""",2', "d,3"]
     assert {(r.topic, r.partition, r.key) for r in rows} == {("apps", 0, None)}
-    assert dataset_messages(spark, str(tmp_path / "data.csv"), "apps").count() == 4
-
-
-def test_well_formed_files_read_alike_both_ways(spark, tmp_path):
-    text = well_formed(9, "\n") + 'short,"x\ny"\nlong,1,2,3\n'
-    for name in ("a", "b"):
-        (tmp_path / f"{name}.csv").write_text(text)
-    whole = raw.read_rows(spark, str(tmp_path), arity=3)
-    split = raw.data_records(raw.read_records(spark, str(tmp_path)))
-    assert sorted(r.fields for r in whole.collect()) == sorted(fields_of(split))
-    with pytest.raises(ValueError, match="read_records"):
-        raw.read_rows(spark, str(tmp_path), largest=100)
-
-
-@pytest.mark.parametrize("layout", ["any", "lines", "well_formed"])
-def test_layouts_publish_the_same_messages(spark, tmp_path, layout):
-    record = ",".join(f"f{i}" for i in range(23)) + ',"a, ""b"""'
-    (tmp_path / "data.csv").write_text("\n".join(["h" * 3, record, record + ",more", "short"]))
-    rows = dataset_messages(spark, str(tmp_path / "data.csv"), "t", layout).orderBy("offset")
-    assert [bytes(r.value).decode() for r in rows.collect()] == [record, record + ",more", "short"]
 
 
-def test_unknown_layout(spark):
-    with pytest.raises(ValueError, match="layout"):
-        dataset_messages(spark, "x", "t", "odd")
+@pytest.mark.parametrize("partitions", [1, 2])
+def test_brokers_get_each_partition_in_order(spark, tmp_path, partitions):
+    for k in range(4):
+        (tmp_path / f"{k}.csv").write_text("h\n" + "".join(f"{k}-{i}\n" for i in range(50)))
+    messages = dataset_messages(spark, str(tmp_path), "t", arity=1).repartition(7)
+    sent = {}
+    for row in in_publish_order(messages, partitions).collect():
+        sent.setdefault(row.partition, []).append(bytes(row.value).decode())
+    assert sent == {
+        p: [f"{k}-{i}" for k in range(p, 4, partitions) for i in range(50)] for p in range(partitions)
+    }

@@ -26,13 +26,6 @@ def test_a_cluster_needs_a_shared_folder():
     assert "/x-" in session.shared_dir(fake("local[2]", None), "x")
 
 
-def test_small_sides_are_counted(spark):
-    df = spark.range(10)
-    hinted = session.small_side(df, 10)._jdf.queryExecution().analyzed().toString()
-    plain = session.small_side(df, 9)._jdf.queryExecution().analyzed().toString()
-    assert "broadcast" in hinted and "broadcast" not in plain
-
-
 def test_staged_tables_keep_rows_and_types(spark):
     df = spark.createDataFrame([(1, ["a"], None)], "a int, b array<string>, c double")
     again = session.staged(df, "t")
@@ -43,5 +36,8 @@ def test_staged_tables_are_removed_at_the_end(spark):
     df = session.staged(spark.range(3).withColumn("half", F.col("id") % 2), "gone", ["half"])
     path = df.inputFiles()[0].removeprefix("file://").rsplit("/", 2)[0]
     assert df.count() == 3 and Path(path).is_dir()
+    with session.staging(spark):
+        inner = session.staged(spark.range(3), "inner").inputFiles()[0].removeprefix("file://").rsplit("/", 1)[0]
+    assert Path(path).is_dir() and not Path(inner).exists()
     session.release(spark)
     assert not Path(path).exists()

@@ -4,10 +4,12 @@ import pytest
 from pyspark.errors import StreamingQueryException
 from pyspark.sql import functions as F
 
+from marketloom.operators import snapshots
 from marketloom.operators.batching import number_batches
 from marketloom.operators.wire import parse_messages, project_fields
 from marketloom.plans.ingest import ingest_topic
-from marketloom.sources import topic
+from marketloom.schema import BATCH_COLUMNS
+from marketloom.sources import batches, topic
 from marketloom.streaming import ingest
 
 POSITIONS = {"left": 0, "right": 1}
@@ -20,8 +22,13 @@ def messages(spark, count=2_000):
         F.when(F.col("id") % 11 == 0, "").when(F.col("id") % 7 == 0, "short")
         .otherwise(F.concat(F.lit("v"), F.col("id").cast("string"), F.lit(',"x, y"')))
     )
-    rows = spark.range(count).select("id", F.encode(line, "UTF-8").alias("value"))
-    return topic.as_messages(rows, "t", "id")
+    rows = spark.range(count).select(
+        "id",
+        (F.col("id") % 3).alias("place"),
+        F.timestamp_seconds(F.col("id")).alias("at"),
+        F.encode(line, "UTF-8").alias("value"),
+    )
+    return topic.as_messages(rows, "t", "id", "place", "at")
 
 
 def deliver(df, path, files=6):
@@ -33,8 +40,9 @@ def deliver(df, path, files=6):
 
 
 def in_batch(spark, count=2_000):
-    accepted = project_fields(parse_messages(messages(spark, count), 2), ["partition", "offset"], POSITIONS)
-    return rows_of(number_batches(accepted, 100))
+    """All at once; messages come in the order of their ids over three topic partitions."""
+    accepted = project_fields(parse_messages(messages(spark, count), 2), ["offset"], POSITIONS)
+    return rows_of(number_batches(accepted, 100, partition=None))
 
 
 def rows_of(df):
@@ -83,6 +91,13 @@ def test_crash_between_output_and_ledger(spark, tmp_path, monkeypatch):
     with pytest.raises(StreamingQueryException, match="killed"):
         ingest.run_ingest(stream, f"{base}/out", f"{base}/cp", **SETTINGS)
     monkeypatch.setattr(ingest.IngestStore, "write_ledger", write)
+    store = ingest.IngestStore(f"{base}/out")
+    last, committed = store.committed(spark)
+    between = store.read_batches(spark)
+    assert last == 1 and os.path.isdir(store.micro(store.batches, 2))
+    assert rows_of(between) == in_batch(spark)[:committed]
+    assert {r.batch_no for r in between.filter("is_remainder").collect()} == {committed // 100 + 1}
+    assert store.read_rejects(spark).agg(F.max("micro")).first()[0] == 1
     stream = topic.stream_topic(spark, f"{base}/topic", per_trigger=1)
     store = ingest.run_ingest(stream, f"{base}/out", f"{base}/cp", **SETTINGS)
     assert rows_of(store.read_batches(spark)) == in_batch(spark)
@@ -125,3 +140,82 @@ def test_only_rejects(spark, tmp_path):
     store = ingest.run_ingest(stream, f"{base}/out", f"{base}/cp", **SETTINGS)
     assert store.read_rejects(spark).count() == 286
     assert store.read_ledger(spark).first().rows_after == 0
+    assert store.read_batches(spark).count() == 0
+    assert {bytes(r.value) for r in store.read_rejects(spark).collect()} == {b"", b"short"}
+
+
+def test_nothing_taken_in_yet(spark, tmp_path):
+    store = ingest.IngestStore(str(tmp_path))
+    assert store.committed(spark) == (-1, 0)
+
+
+def test_nothing_staged_is_left_behind(spark, tmp_path):
+    base, shared = str(tmp_path), spark.conf.get("spark.checkpoint.dir")
+    before = set(os.listdir(shared)) if os.path.isdir(shared) else set()
+    topic.write_topic(messages(spark), f"{base}/topic")
+    ingest_topic(topic.read_topic(spark, f"{base}/topic"), f"{base}/out", **SETTINGS)
+    assert {n for n in os.listdir(shared) if not n.startswith(".")} <= before
+
+
+def test_export_adds_only_new_batches(spark, tmp_path):
+    base = str(tmp_path)
+    columns = dict.fromkeys(BATCH_COLUMNS, 0)
+    settings = {"batch_size": 100, "arity": 2, "positions": columns}
+    halves = [messages(spark).filter("offset < 1000"), messages(spark).filter("offset >= 1000")]
+    store, seen = ingest.IngestStore(f"{base}/out"), []
+    store.write_settings(spark, 100, columns)
+    for place, half in enumerate(halves):
+        ingest.ingest_micro_batch(half, place, store, **settings)
+        ingest.export_batch_files(spark, store, f"{base}/csv", final=place == 1)
+        seen.append({str(p.relative_to(base)): p.stat().st_mtime_ns for p in tmp_path.glob("csv/**/*.csv") if p.is_file()})
+    assert len(seen[0]) == store_rows(spark, store, 0) // 100
+    assert seen[0].items() <= seen[1].items()  # neither renamed nor written again
+    names = snapshots.parse_batch_names(batches.list_batch_files(spark, f"{base}/csv")).collect()
+    total = store.committed(spark)[1]
+    assert sorted(r.batch_no for r in names) == list(range(1, -(-total // 100) + 1))
+    assert {r.batch_no for r in names if r.is_remainder} == {total // 100 + 1}
+    assert batches.read_batch_files(spark, f"{base}/csv").count() == total
+
+
+def store_rows(spark, store, micro):
+    return store.read_ledger(spark).filter(F.col("micro") == micro).first().rows_after
+
+
+def test_compaction_keeps_the_committed_rows(spark, tmp_path):
+    base = str(tmp_path)
+    deliver(messages(spark), f"{base}/topic")
+    stream = topic.stream_topic(spark, f"{base}/topic", per_trigger=1)
+    store = ingest.run_ingest(stream, f"{base}/out", f"{base}/cp", **SETTINGS)
+    compact = ingest.compact_store(spark, store, f"{base}/compact")
+    assert rows_of(compact.read_batches(spark)) == rows_of(store.read_batches(spark))
+    assert compact.read_rejects(spark).count() == store.read_rejects(spark).count()
+    assert compact.committed(spark) == (0, store.committed(spark)[1])
+
+
+def test_kafka_options():
+    class Reader:
+        def __init__(self):
+            self.said = {}
+
+        def format(self, name):
+            return self.option("format", name)
+
+        def option(self, key, value):
+            self.said[key] = value
+            return self
+
+        def options(self, **more):
+            self.said |= more
+            return self
+
+        def load(self):
+            return self.said
+
+    class Session:
+        read = readStream = property(lambda self: Reader())  # noqa: N815
+
+    said = topic.stream_topic(Session(), kafka={"subscribe": "t"}, per_trigger=5, min_partitions=3)
+    assert said == {
+        "format": "kafka", "startingOffsets": "earliest", "subscribe": "t", "maxOffsetsPerTrigger": 5, "minPartitions": 3,
+    }
+    assert "maxOffsetsPerTrigger" not in topic.read_topic(Session(), kafka={"subscribe": "t"})

@@ -10,8 +10,10 @@ from pyspark.sql import functions as F
 from marketloom.__main__ import main
 from marketloom.plans import training
 from marketloom.plans.serving import Scorer
-from marketloom.schema import BATCH_COLUMNS, FEATURES, SNAPSHOTS
+from marketloom.plans.ingest import ingest_topic
+from marketloom.schema import BATCH_COLUMNS, FEATURES, SNAPSHOTS, WIRE_POSITIONS
 from marketloom.sources import batches
+from marketloom.sources.topic import as_messages
 from marketloom.streaming.ingest import IngestStore
 
 CATEGORIES = ["GAME", "TOOLS", "FAMILY, \"kids\"", "", "NEWS\nDAILY"]
@@ -97,10 +99,10 @@ def test_propagated_nan_keeps_rated_rows_only(spark, batch_dir, tmp_path):
 
 
 def test_too_few_batches(spark, batch_dir, tmp_path):
-    one = spark.range(5).select(F.lit(1).cast("long").alias("batch_no"), F.lit(0).alias("batch_span"))
-    one.write.partitionBy("batch_span").parquet(str(tmp_path / "store"))
+    rows = spark.range(5).select("id", F.lit(b"a,b").alias("value"))
+    store = ingest_topic(as_messages(rows, "t", "id"), str(tmp_path / "store"), arity=2, positions={"App": 0})
     with pytest.raises(ValueError, match="need 3"):
-        training.tiered_batch_store(spark, str(tmp_path / "store"))
+        training.tiered_batch_store(spark, store)
     with pytest.raises(ValueError, match="need 3"):
         training.tiered_batch_files(spark, batch_dir + "/batch_1_20240101000001.csv")
 
@@ -123,7 +125,7 @@ def test_jobs_from_dataset_to_answers(spark, tmp_path):
         writer.writerow([f"h{i}" for i in range(24)])
         for i in range(350):
             record = [f"f{j}" for j in range(24)]
-            for position, value in zip((0, 2, 3, 4, 11, 5, 8, 9, 18, 17, 12), app(i), strict=True):
+            for position, value in zip(WIRE_POSITIONS.values(), app(i), strict=True):
                 record[position] = value
             writer.writerow(record if i % 50 else record[:-1])
     at = lambda name: str(tmp_path / name)
@@ -134,13 +136,13 @@ def test_jobs_from_dataset_to_answers(spark, tmp_path):
     rows = store.read_batches(spark)
     assert rows.count() == 343 and store.read_rejects(spark).count() == 7
     assert rows.agg(F.max("batch_no")).first()[0] == 4
-    main(["export", "--store", at("store"), "--batches", at("batches")])
+    main(["export", "--store", at("store"), "--batches", at("batches"), "--final"])
     assert batches.list_batch_files(spark, at("batches")).count() == 4
     exported = batches.read_batch_files(spark, at("batches"))
     assert sorted(r.App for r in exported.collect()) == sorted(r.App for r in rows.collect())
     main(["train", "--batches", at("batches"), "--models", at("from_files")])
     main(["train", "--store", at("store"), "--models", at("from_store")])
-    first, second = (Scorer(spark, at(m), ["fpgrowth"]) for m in ("from_files", "from_store"))
+    first, second = (Scorer(spark, at(m)) for m in ("from_files", "from_store"))
     for name in SNAPSHOTS:
         assert first.itemsets(name).collect() == second.itemsets(name).collect()
     requests = [{"request_id": "a", "model": "model2", "body": json.dumps({c: 2 for c in FEATURES})},
