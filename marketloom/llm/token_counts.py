@@ -11,13 +11,14 @@ leaf on that the new pre-tokens meet again.
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+import re
+from collections.abc import Callable, Iterator, Sequence
 from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
 import regex
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from marketloom.llm.common import whole_row, with_results
@@ -202,8 +203,8 @@ def token_trees(df: DataFrame, tokenizer: str, text: str = "text", carry: list[s
     names = df.columns if carry is None else carry
     rows = df.select(whole_row(df, names).alias("row"), F.coalesce(F.col(text), F.lit("")).alias("text"))
 
-    def trees(texts: list[str], _: list, counter: Counter) -> list[tuple[TokenTree, int]]:
-        return [(build(t, counter), 0) for t in texts]
+    def trees(batch: pa.RecordBatch, counter: Counter) -> list[tuple[TokenTree, int]]:
+        return [(build(text.as_py(), counter), 0) for text in batch.column("text")]
 
     built = _mapped(rows, tokenizer, trees)
     results = {"tree_text": F.col("text"), "tree": F.col("tree"), "n_tokens": F.get("tree.tokens", F.lit(1)).cast("long")}
@@ -223,13 +224,13 @@ def edited_counts(trees: DataFrame, tokenizer: str, edits: str = "edits", carry:
         F.coalesce(F.col(edits).cast(EDITS), F.array().cast(EDITS)).alias("edits"),
     )
 
-    def renewed(texts: list[str], others: list, counter: Counter) -> list[tuple[TokenTree, int]]:
-        out = []
-        for text, (tree, edits_) in zip(texts, others, strict=True):
-            own = TokenTree(tree["leaves"], np.array(tree["chars"], np.int64), np.array(tree["tokens"], np.int64))
-            todo = [(e["start"], e["end"], e["text"] or "") for e in edits_]
-            out.append(apply_edits(text, own, todo, counter) if todo else (own, 0))
-        return out
+    def renewed(batch: pa.RecordBatch, counter: Counter) -> list[tuple[TokenTree, int]]:
+        trees, todo = _trees_by_row(batch.column("tree")), _edits_by_row(batch.column("edits"))
+        texts = batch.column("text")
+        return [
+            apply_edits(texts[at].as_py(), tree, own, counter) if own else (tree, 0)
+            for at, (tree, own) in enumerate(zip(trees, todo, strict=True))
+        ]
 
     done = _mapped(rows, tokenizer, renewed)
     results = {
@@ -240,8 +241,10 @@ def edited_counts(trees: DataFrame, tokenizer: str, edits: str = "edits", carry:
     return with_results(done, [n for n in names if n != "tree_text"], results)
 
 
-def _mapped(rows: DataFrame, tokenizer: str, work) -> DataFrame:
-    """``row, text, tree, encoded`` for the trees that ``work`` makes of texts and further columns."""
+def _mapped(
+    rows: DataFrame, tokenizer: str, work: Callable[[pa.RecordBatch, Counter], list[tuple[TokenTree, int]]]
+) -> DataFrame:
+    """``row, text, tree, encoded`` for the trees that ``work`` makes of a batch."""
     ship_code(rows.sparkSession)
     config = rows.sparkSession.sparkContext.broadcast(vocabulary(tokenizer))
     schema = rows.select("row", "text", F.lit(None).cast(TREE).alias("tree"), F.lit(0).cast("long").alias("encoded")).schema
@@ -249,9 +252,7 @@ def _mapped(rows: DataFrame, tokenizer: str, work) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counter = Counter(encoder(config.value))
         for batch in batches:
-            texts = batch.column("text").to_pylist()
-            others = list(zip(*(batch.column(n).to_pylist() for n in batch.schema.names[2:]), strict=True))
-            made = work(texts, others, counter)
+            made = work(batch, counter)
             trees = pa.StructArray.from_arrays(
                 [
                     pa.array([t.leaves for t, _ in made], pa.int32()),
@@ -267,29 +268,42 @@ def _mapped(rows: DataFrame, tokenizer: str, work) -> DataFrame:
 
 
 def masked(df: DataFrame, pattern: str, replacement: str, text: str = "text") -> DataFrame:
-    """Add ``edits`` that replace every match of a pattern.
+    """Add ``edits`` that replace every match of a regular expression; NULL text has none."""
+    ship_code(df.sparkSession)
+    schema = df.select("*", F.lit(None).cast(EDITS).alias("edits")).schema
+    search = re.compile(pattern)
+    kind = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32()), ("text", pa.string())]))
 
-    The pieces between the matches and the matches in turn add up to the text,
-    which gives the places without a search by row in Python.
-    """
-    whole = F.coalesce(F.col(text), F.lit(""))
-    parts = F.struct(
-        F.split(whole, pattern, -1).alias("pieces"), F.regexp_extract_all(whole, F.lit(pattern), F.lit(0)).alias("matches")
-    )
-    rows = df.withColumn("_part", F.explode(F.array(parts)))
-    return rows.withColumn("edits", _places(F.col("_part.pieces"), F.col("_part.matches"), replacement)).drop("_part")
-
-
-def _places(pieces: Column, matches: Column, replacement: str) -> Column:
-    none = F.array().cast(EDITS)
-
-    def step(so_far: Column, x: Column) -> Column:
-        start = so_far["at"] + x["gap"]
-        end = start + x["long"]
-        edit = F.struct(start.alias("start"), end.alias("end"), F.lit(replacement).alias("text"))
-        return F.struct(end.alias("at"), F.concat(so_far["out"], F.array(edit)).alias("out"))
-
-    sizes = F.transform(
-        matches, lambda m, k: F.struct(F.length(F.get(pieces, k)).alias("gap"), F.length(m).alias("long"))
-    )
-    return F.aggregate(sizes, F.struct(F.lit(0).alias("at"), none.alias("out")), step, lambda x: x["out"])
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = [[m.span() for m in search.finditer(t)] if t else [] for t in batch.column(text).to_pylist()]
+            flat = [span for spans in found for span in spans]
+            structs = pa.StructArray.from_arrays(
+                [
+                    pa.array([a for a, _ in flat], pa.int32()),
+                    pa.array([b for _, b in flat], pa.int32()),
+                    pa.array([replacement] * len(flat), pa.string()),
+                ],
+                ["start", "end", "text"],
+            )
+            ends = np.cumsum([0, *map(len, found)])
+            edits = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), structs).cast(kind)
+            yield pa.RecordBatch.from_arrays([*batch.columns, edits], schema.names)
+
+    return df.mapInArrow(run, schema)
+
+
+def _edits_by_row(column: pa.ListArray) -> list[list[tuple[int, int, str]]]:
+    offsets = column.offsets.to_pylist()
+    start, end, text = (column.values.field(name).to_pylist() for name in ("start", "end", "text"))
+    return [list(zip(start[a:b], end[a:b], [t or "" for t in text[a:b]], strict=True)) for a, b in zip(offsets, offsets[1:], strict=False)]
+
+
+def _trees_by_row(column: pa.StructArray) -> list[TokenTree]:
+    leaves = column.field("leaves").to_pylist()
+    parts = []
+    for name in ("chars", "tokens"):
+        arrays = column.field(name)
+        values, offsets = arrays.values.to_numpy(zero_copy_only=False).astype(np.int64), arrays.offsets.to_pylist()
+        parts.append([values[a:b].copy() for a, b in zip(offsets, offsets[1:], strict=False)])
+    return [TokenTree(n, chars, tokens) for n, chars, tokens in zip(leaves, *parts, strict=True)]
