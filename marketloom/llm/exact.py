@@ -39,8 +39,9 @@ def exact_duplicates(
     its own; the rows are then first written out by round, so each is read once.
     """
     names = df.columns if carry is None else carry
-    rounds = -(-max(df.count(), 1) // round_keys)
-    n_blocks = -(-round_keys * BITS_PER_KEY // BLOCK_BITS) if rounds > 1 else None
+    keys = max(df.count(), 1)
+    rounds = -(-keys // round_keys)
+    n_blocks = -(-keys * BITS_PER_KEY // (rounds * BLOCK_BITS))
     normal = blank_free(F.col(text))
     rows = df.select(
         whole_row(df, names).alias("row"),
@@ -48,13 +49,10 @@ def exact_duplicates(
         F.length(F.coalesce(F.col(text), F.lit(""))).alias("chars"),
         F.sha2(normal, 256).alias("sha"),
         F.xxhash64(normal).alias("hash"),
-    ).withColumn("round", F.pmod(F.shiftrightunsigned("hash", 17), F.lit(rounds)))
+    ).withColumn("round", F.pmod(F.xxhash64("hash"), F.lit(rounds)))
     if rounds > 1:
         rows = staged(rows, "dedup-rounds", partition_by=["round"])
-    parts = [
-        _one_round(rows.where(F.col("round") == r), n_blocks or _blocks(df.count()))
-        for r in range(rounds)
-    ]
+    parts = [_one_round(rows.where(F.col("round") == r), n_blocks) for r in range(rounds)]
     found = parts[0]
     for part in parts[1:]:
         found = found.unionAll(part)
@@ -62,10 +60,6 @@ def exact_duplicates(
     return with_results(found, names, results)
 
 
-def _blocks(keys: int) -> int:
-    return max(1, -(-keys * BITS_PER_KEY // BLOCK_BITS))
-
-
 def _one_round(rows: DataFrame, n_blocks: int) -> DataFrame:
     block = F.pmod(F.shiftrightunsigned("hash", 18), F.lit(n_blocks)).alias("block")
     rows = rows.select("*", block, *_probes())
@@ -108,7 +102,7 @@ def _one_round(rows: DataFrame, n_blocks: int) -> DataFrame:
 
 
 def _probes() -> list[Column]:
-    """One bit in each half of the block, from hash bits that choose neither round nor block."""
+    """One bit in each half of the block, from hash bits that do not choose the block."""
     half = BLOCK_BITS // 2
     return [
         F.col("hash").bitwiseAND(half - 1).cast("int").alias("probe_a"),
