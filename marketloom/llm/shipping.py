@@ -1,4 +1,4 @@
-"""Sends this package to the executors, as ``--py-files`` would."""
+"""What Python tasks need: this package, as ``--py-files`` would send it, and batches that fit a worker."""
 
 from __future__ import annotations
 
@@ -12,11 +12,20 @@ from pyspark.sql import SparkSession
 import marketloom
 
 ARCHIVE = "marketloom-code"
+BATCH = "spark.sql.execution.arrow.maxRecordsPerBatch"
+#: Documents handed to a worker at a time, unless the session sets a number of its own.
+BATCH_DOCUMENTS = 500
 
 
 def ship_code(spark: SparkSession) -> None:
-    """Let tasks import this package, wherever the driver has it from. Once for each application."""
+    """Let tasks import this package, wherever the driver has it from; once for each application.
+
+    Also lowers the rows of an Arrow batch, as texts are long: both ends of the
+    pipe to a worker hold a whole batch outside the heap.
+    """
     context = spark.sparkContext
+    if BATCH not in dict(context.getConf().getAll()) and int(spark.conf.get(BATCH)) == 10_000:
+        spark.conf.set(BATCH, BATCH_DOCUMENTS)
     if any(name.startswith(ARCHIVE) for name in context._python_includes):
         return
     package = Path(marketloom.__file__).parent
