@@ -1,8 +1,9 @@
 """URLs allowed or blocked by rules, and by a ratio of character language models where no rule fits.
 
 URLs that a rule decides are the examples: one variable-order Markov model
-learns the accepted, another the rejected ones. Counts come from all examples;
-a tenth of them, by hash, is held out and sets the threshold.
+learns the accepted, another the rejected ones. Counts come from all examples
+and stay a table; rows are judged in blocks, each with the counts of its own
+grams. A tenth of the examples, by hash, is held out and sets the threshold.
 """
 
 from __future__ import annotations
@@ -13,6 +14,7 @@ from dataclasses import dataclass, field
 from math import log
 
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -24,7 +26,12 @@ ORDER = 5
 ALPHABET = 96
 OTHER, BEGIN, END = "ÿ", "\u0002", "\u0003"
 FLUSH = 500_000
+#: Characters of a block of rows, which bound the grams that one task looks up at a time.
+BLOCK_CHARS = 100_000
 SCORE_STEP = 0.01
+VERDICTS = ("allow", "block")
+#: The columns that make a row's text.
+TEXTS = ("host", "path")
 
 
 @dataclass(frozen=True)
@@ -49,6 +56,8 @@ class MarkovModel:
     known: dict[str, float] = field(default_factory=dict)
 
     def __post_init__(self) -> None:
+        if self.followed:
+            return
         for gram, n in self.grams.items():
             total, kinds = self.followed.get(gram[:-1], (0, 0))
             self.followed[gram[:-1]] = (total + n, kinds + 1)
@@ -92,7 +101,6 @@ def filter_urls(
     url: str = "url",
     carry: list[str] | None = None,
     order: int = ORDER,
-    max_grams: int = 200_000,
 ) -> DataFrame:
     """Every row of ``df`` with ``host``, ``path``, ``rule``, ``verdict`` and ``score``.
 
@@ -101,11 +109,11 @@ def filter_urls(
     rule that decides, else NULL, and then the verdict is ``allow`` where the score
     reaches the threshold. A URL that is NULL or without ``://`` has empty parts
     and is scored as such. With no example of one kind, models and threshold are
-    those of no data, and every score is what smoothing leaves. Grams are counted
-    over all examples; each model keeps the ``max_grams`` most frequent, a bound on
-    what is broadcast. ``carry`` names the input columns to return (all by
-    default); a result replaces an input column of its name. Repeated rows are
-    judged alike; an empty table gives no rows.
+    those of no data, and every score is what smoothing leaves. The models hold
+    every gram of every example that is not held out, as a table. ``carry`` names
+    the input columns to return (all by default), which are written out with the
+    parts; a result replaces an input column of its name. Repeated rows are judged
+    alike; an empty table gives no rows.
     """
     names = df.columns if carry is None else carry
     host, path = url_parts(F.col("url"))
@@ -115,13 +123,13 @@ def filter_urls(
     texts = F.array(*[F.lit(rule.text) for rule in rules])
     verdicts = F.array(*[F.lit(rule.verdict) for rule in rules])
     ruled = rows.withColumn("place", place).select(
-        "row", "hash", "host", "path", F.get(texts, F.col("place")).alias("rule"), F.get(verdicts, F.col("place")).alias("ruled")
-    )
-    examples = ruled.where("rule is not null").select("ruled", "host", "path", (F.pmod("hash", F.lit(10)) == 0).alias("held"))
-    models = fit_models(examples.where("not held"), order, max_grams)
-    held = _scored(examples.where("held"), models, order)
-    threshold = _threshold(held)
-    judged = _scored(ruled, models, order)
+        "row", "host", "path", F.get(texts, F.col("place")).alias("rule"), F.get(verdicts, F.col("place")).alias("ruled"),
+        (F.pmod("hash", F.lit(10)) == 0).alias("held"),
+    )
+    ruled = staged(_in_blocks(ruled), "url-rows")
+    counted = count_grams(ruled.where("rule is not null and not held").select("ruled", "host", "path"), order)
+    judged = staged(_scored(ruled, _facts(counted), order), "url-scores")
+    threshold = _threshold(judged.where("rule is not null and held"))
     results = {
         "host": F.col("host"),
         "path": F.col("path"),
@@ -132,14 +140,19 @@ def filter_urls(
     return with_results(judged, names, results)
 
 
-def marked(host: str, path: str) -> str:
-    text = "".join(c if "!" <= c <= "~" else OTHER for c in host + path)
+def marked(*texts: str) -> str:
+    text = "".join(c if "!" <= c <= "~" else OTHER for c in "".join(texts))
     return BEGIN + text + END
 
 
-def fit_models(examples: DataFrame, order: int, max_grams: int) -> dict[str, dict[str, int]]:
-    """Counts of all runs of up to ``order`` characters and the next one, for either verdict."""
+def count_grams(examples: DataFrame, order: int, flush: int = FLUSH) -> DataFrame:
+    """``ruled, gram, n``: all runs of up to ``order`` characters and the next one, for either verdict.
+
+    A row's text is its columns besides ``ruled``, one after the other. ``flush``
+    bounds the grams that a task holds before it passes them on.
+    """
     ship_code(examples.sparkSession)
+    columns = [name for name in examples.columns if name != "ruled"]
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         grams: Counter = Counter()
@@ -151,42 +164,102 @@ def fit_models(examples: DataFrame, order: int, max_grams: int) -> dict[str, dic
             return pa.RecordBatch.from_arrays(arrays, ["ruled", "gram", "n"])
 
         for batch in batches:
-            for verdict, host, path in zip(*(batch.column(n).to_pylist() for n in ("ruled", "host", "path")), strict=True):
-                text = marked(host, path)
+            for verdict, *texts in zip(*(batch.column(n).to_pylist() for n in ["ruled", *columns]), strict=True):
+                text = marked(*texts)
                 for at in range(1, len(text)):
                     for start in range(max(0, at - order), at + 1):
                         grams[verdict, text[start : at + 1]] += 1
-                    if len(grams) >= FLUSH:
+                    if len(grams) >= flush:
                         yield flushed()
         yield flushed()
 
-    partial = examples.select("ruled", "host", "path").mapInArrow(count, "ruled string, gram string, n long")
-    counted = staged(partial.groupBy("ruled", "gram").agg(F.sum("n").alias("n")), "url-grams")
-    return {
-        verdict: {
-            row["gram"]: row["n"]
-            for row in counted.where(F.col("ruled") == verdict).orderBy(F.desc("n"), "gram").limit(max_grams).collect()
-        }
-        for verdict in ("allow", "block")
-    }
+    partial = examples.select("ruled", *columns).mapInArrow(count, "ruled string, gram string, n long")
+    return staged(partial.groupBy("ruled", "gram").agg(F.sum("n").alias("n")), "url-grams")
+
+
+def fit_models(examples: DataFrame, order: int, flush: int = FLUSH) -> dict[str, dict[str, int]]:
+    """All counts of a few examples on the driver, by verdict; ``filter_urls`` leaves them in their table."""
+    models: dict[str, dict[str, int]] = {"allow": {}, "block": {}}
+    for row in count_grams(examples, order, flush).collect():
+        models[row["ruled"]][row["gram"]] = row["n"]
+    return models
+
+
+def _facts(counted: DataFrame) -> DataFrame:
+    """For each gram or context: how often it is there, and the number and kinds of what follows it, by verdict."""
+    gram = F.col("gram")
+    zero = F.lit(0).cast("long")
+    uses = F.array(
+        F.struct(gram.alias("key"), F.col("n").alias("n"), zero.alias("total"), zero.alias("kinds")),
+        F.struct(F.expr("left(gram, length(gram) - 1)").alias("key"), zero.alias("n"), F.col("n").alias("total"), F.lit(1).cast("long").alias("kinds")),
+    )
+    used = counted.select("ruled", F.explode(uses).alias("use")).select("ruled", "use.*")
+    sums = [
+        F.sum(F.when(F.col("ruled") == verdict, F.col(name)).otherwise(zero)).alias(f"{verdict}_{name}")
+        for verdict in VERDICTS
+        for name in ("n", "total", "kinds")
+    ]
+    return staged(used.groupBy("key").agg(*sums), "url-facts")
 
 
-def _scored(rows: DataFrame, models: dict[str, dict[str, int]], order: int) -> DataFrame:
+def _in_blocks(rows: DataFrame) -> DataFrame:
+    """Rows with ``block``: neighbours of up to ``BLOCK_CHARS`` characters together, or one row that has more."""
     ship_code(rows.sparkSession)
-    counts = rows.sparkSession.sparkContext.broadcast(models)  # max_grams entries each
-    schema = rows.select("*", F.lit(0.0).alias("score")).schema
+    schema = rows.select("*", F.lit(0).cast("long").alias("block")).schema
+
+    def number(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        block, chars = TaskContext.get().partitionId() << 32, 0
+        for batch in batches:
+            blocks = []
+            for texts in zip(*(batch.column(n).to_pylist() for n in TEXTS), strict=True):
+                size = 2 + sum(map(len, texts))
+                if chars and chars + size > BLOCK_CHARS:
+                    block, chars = block + 1, 0
+                chars += size
+                blocks.append(block)
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(blocks, pa.int64())], schema.names)
+
+    return rows.mapInArrow(number, schema)
+
+
+def _scored(ruled: DataFrame, facts: DataFrame, order: int) -> DataFrame:
+    """Rows with ``score``; every block of them meets the facts of its own grams, so no task holds a whole model."""
+    schema = ruled.drop("block").select("*", F.lit(0.0).alias("score")).schema
 
-    def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        allow, block = (MarkovModel(counts.value[verdict]) for verdict in ("allow", "block"))
+    def keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        at, found = None, set()
         for batch in batches:
-            scores = []
-            for host, path in zip(batch.column("host").to_pylist(), batch.column("path").to_pylist(), strict=True):
-                text = marked(host, path)
-                apart = allow.log_likelihood(text, order) - block.log_likelihood(text, order)
-                scores.append(apart / (len(text) - 1))
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(scores, pa.float64())], schema.names)
-
-    return rows.mapInArrow(score, schema)
+            for block, *texts in zip(*(batch.column(n).to_pylist() for n in ("block", *TEXTS)), strict=True):
+                if block != at:
+                    yield _keys_batch(at, found)
+                    at, found = block, set()
+                text = marked(*texts)
+                found.update(text[start:end] for end in range(len(text) + 1) for start in range(max(0, end - order - 1), end + 1))
+        yield _keys_batch(at, found)
+
+    def score(rows: pa.Table, known: pa.Table) -> pa.Table:
+        names = known.column("key").to_pylist()
+        models = []
+        for verdict in VERDICTS:
+            n, total, kinds = (known.column(f"{verdict}_{name}").to_pylist() for name in ("n", "total", "kinds"))
+            grams = {key: value for key, value in zip(names, n, strict=True) if value}
+            followed = {key: (t, k) for key, t, k in zip(names, total, kinds, strict=True) if t}
+            models.append(MarkovModel(grams, followed))
+        allow, block = models
+        scores = []
+        for texts in zip(*(rows.column(n).to_pylist() for n in TEXTS), strict=True):
+            text = marked(*texts)
+            apart = allow.log_likelihood(text, order) - block.log_likelihood(text, order)
+            scores.append(apart / (len(text) - 1))
+        return rows.drop_columns(["block"]).append_column("score", pa.array(scores, pa.float64()))
+
+    needed = ruled.select("block", *TEXTS).mapInArrow(keys, "block long, key string").join(facts, "key")
+    return ruled.groupBy("block").cogroup(needed.groupBy("block")).applyInArrow(score, schema)
+
+
+def _keys_batch(block: int | None, found: set[str]) -> pa.RecordBatch:
+    arrays = [pa.array([block] * len(found), pa.int64()), pa.array(list(found), pa.string())]
+    return pa.RecordBatch.from_arrays(arrays, ["block", "key"])
 
 
 def _threshold(held: DataFrame) -> float:

@@ -1,7 +1,9 @@
 import random
 import re
+from collections import Counter
 
-from marketloom.llm.urls import MarkovModel, Rule, _threshold, filter_urls, fit_models, marked
+from marketloom.llm import urls as urls_module
+from marketloom.llm.urls import MarkovModel, Rule, _threshold, count_grams, filter_urls, fit_models, marked
 
 RULES = [
     Rule("block", "net", "/"),
@@ -90,3 +92,39 @@ def test_held_out_accuracy(spark):
     fitted = [(r.score, r.verdict) for r in ruled]
     cut = sorted(fitted)
     assert sum((s > 0) == (v == "allow") for s, v in cut) / len(cut) > 0.95
+
+
+def text_of(url):
+    return marked(*parts(url))
+
+
+def plain_scores(rows, order=5):
+    """Scores by dictionaries of all counts, on the driver."""
+    counts = {"allow": Counter(), "block": Counter()}
+    for r in rows:
+        rule = rule_of(*parts(r["url"]))
+        if rule and not r["held"]:
+            text = r["text"]
+            for at in range(1, len(text)):
+                counts[rule.verdict].update(text[start : at + 1] for start in range(max(0, at - order), at + 1))
+    allow, block = (MarkovModel(counts[verdict]) for verdict in ("allow", "block"))
+    return [(allow.log_likelihood(r["text"], order) - block.log_likelihood(r["text"], order)) / (len(r["text"]) - 1) for r in rows]
+
+
+def test_models_hold_every_gram(spark, monkeypatch):
+    """More grams a verdict than the 200,000 that models were once cut to, and rows in many blocks."""
+    rng = random.Random(5)
+    word = lambda n: "".join(rng.choice("abcdefghijklmnopqrstuvwxyz0123456789") for _ in range(n))
+    urls = [f"a://{rng.choice(['b.net', 'c.org'])}/fr/{word(40)}" for _ in range(3_000)] + [f"a://d.com/{word(30)}" for _ in range(200)]
+    df = spark.createDataFrame([(i, u, None) for i, u in enumerate(urls)], SCHEMA)
+    counted = count_grams(df.selectExpr("'allow' AS ruled", "url"), 5)
+    assert counted.count() > 200_000
+    monkeypatch.setattr(urls_module, "BLOCK_CHARS", 5_000)
+    rows = filter_urls(df.selectExpr("*", "pmod(xxhash64(url), 10) = 0 AS mine"), RULES).orderBy("page_id").collect()
+    want = plain_scores([{"url": r.url, "held": r.mine, "text": text_of(r.url)} for r in rows])
+    assert len(rows) == len(urls) and all(abs(r.score - w) < 1e-9 for r, w in zip(rows, want, strict=True))
+
+
+def test_no_examples(spark):
+    df = spark.createDataFrame([(1, "a://x.com/1", None), (2, None, None)], SCHEMA)
+    assert [r.score for r in filter_urls(df, RULES).collect()] == [0.0, 0.0]
