@@ -30,8 +30,6 @@ FLUSH = 500_000
 BLOCK_CHARS = 100_000
 SCORE_STEP = 0.01
 VERDICTS = ("allow", "block")
-#: The columns that make a row's text.
-TEXTS = ("host", "path")
 
 
 @dataclass(frozen=True)
@@ -104,11 +102,11 @@ def filter_urls(
 ) -> DataFrame:
     """Every row of ``df`` with ``host``, ``path``, ``rule``, ``verdict`` and ``score``.
 
-    ``score`` is the difference of the log-likelihoods of host and path under the
+    ``score`` is the difference of the log-likelihoods of the whole URL under the
     accepted and the rejected URLs' models, by character; ``rule`` the text of the
-    rule that decides, else NULL, and then the verdict is ``allow`` where the score
-    reaches the threshold. A URL that is NULL or without ``://`` has empty parts
-    and is scored as such. With no example of one kind, models and threshold are
+    rule that decides by host and path, else NULL, and then the verdict is ``allow``
+    where the score reaches the threshold. A URL that is NULL or without ``://``
+    has empty parts; it is scored by its text, NULL as the empty one. With no example of one kind, models and threshold are
     those of no data, and every score is what smoothing leaves. The models hold
     every gram of every example that is not held out, as a table. ``carry`` names
     the input columns to return (all by default), which are written out with the
@@ -118,16 +116,16 @@ def filter_urls(
     names = df.columns if carry is None else carry
     host, path = url_parts(F.col("url"))
     rows = df.select(whole_row(df, names).alias("row"), F.col(url).alias("url"))
-    rows = rows.select("row", F.xxhash64("url").alias("hash"), host.alias("host"), path.alias("path"))
+    rows = rows.select("row", F.xxhash64("url").alias("hash"), F.coalesce("url", F.lit("")).alias("url"), host.alias("host"), path.alias("path"))
     place = fitting_rule(F.col("host"), F.col("path"), rules)
     texts = F.array(*[F.lit(rule.text) for rule in rules])
     verdicts = F.array(*[F.lit(rule.verdict) for rule in rules])
     ruled = rows.withColumn("place", place).select(
-        "row", "host", "path", F.get(texts, F.col("place")).alias("rule"), F.get(verdicts, F.col("place")).alias("ruled"),
+        "row", "url", "host", "path", F.get(texts, F.col("place")).alias("rule"), F.get(verdicts, F.col("place")).alias("ruled"),
         (F.pmod("hash", F.lit(10)) == 0).alias("held"),
     )
     ruled = staged(_in_blocks(ruled), "url-rows")
-    counted = count_grams(ruled.where("rule is not null and not held").select("ruled", "host", "path"), order)
+    counted = count_grams(ruled.where("rule is not null and not held").select("ruled", "url"), order)
     judged = staged(_scored(ruled, _facts(counted), order), "url-scores")
     threshold = _threshold(judged.where("rule is not null and held"))
     results = {
@@ -211,8 +209,8 @@ def _in_blocks(rows: DataFrame) -> DataFrame:
         block, chars = TaskContext.get().partitionId() << 32, 0
         for batch in batches:
             blocks = []
-            for texts in zip(*(batch.column(n).to_pylist() for n in TEXTS), strict=True):
-                size = 2 + sum(map(len, texts))
+            for url in batch.column("url").to_pylist():
+                size = 2 + len(url)
                 if chars and chars + size > BLOCK_CHARS:
                     block, chars = block + 1, 0
                 chars += size
@@ -229,11 +227,11 @@ def _scored(ruled: DataFrame, facts: DataFrame, order: int) -> DataFrame:
     def keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         at, found = None, set()
         for batch in batches:
-            for block, *texts in zip(*(batch.column(n).to_pylist() for n in ("block", *TEXTS)), strict=True):
+            for block, url in zip(batch.column("block").to_pylist(), batch.column("url").to_pylist(), strict=True):
                 if block != at:
                     yield _keys_batch(at, found)
                     at, found = block, set()
-                text = marked(*texts)
+                text = marked(url)
                 found.update(text[start:end] for end in range(len(text) + 1) for start in range(max(0, end - order - 1), end + 1))
         yield _keys_batch(at, found)
 
@@ -247,13 +245,13 @@ def _scored(ruled: DataFrame, facts: DataFrame, order: int) -> DataFrame:
             models.append(MarkovModel(grams, followed))
         allow, block = models
         scores = []
-        for texts in zip(*(rows.column(n).to_pylist() for n in TEXTS), strict=True):
-            text = marked(*texts)
+        for url in rows.column("url").to_pylist():
+            text = marked(url)
             apart = allow.log_likelihood(text, order) - block.log_likelihood(text, order)
             scores.append(apart / (len(text) - 1))
         return rows.drop_columns(["block"]).append_column("score", pa.array(scores, pa.float64()))
 
-    needed = ruled.select("block", *TEXTS).mapInArrow(keys, "block long, key string").join(facts, "key")
+    needed = ruled.select("block", "url").mapInArrow(keys, "block long, key string").join(facts, "key")
     return ruled.groupBy("block").cogroup(needed.groupBy("block")).applyInArrow(score, schema)
 
 

@@ -95,7 +95,7 @@ def test_held_out_accuracy(spark):
 
 
 def text_of(url):
-    return marked(*parts(url))
+    return marked(url or "")
 
 
 def plain_scores(rows, order=5):
@@ -128,3 +128,15 @@ def test_models_hold_every_gram(spark, monkeypatch):
 def test_no_examples(spark):
     df = spark.createDataFrame([(1, "a://x.com/1", None), (2, None, None)], SCHEMA)
     assert [r.score for r in filter_urls(df, RULES).collect()] == [0.0, 0.0]
+
+
+def test_query_fragment_and_schemeless_text_count(spark):
+    """All that tells allowed from blocked examples stands behind the path, or in URLs without a scheme."""
+    good, bad = "topic=gardens", "sid=99f3$$"
+    urls = [f"a://b.{top}/fr/{i}?{word}#{word}" for i in range(60) for top, word in (("org", good), ("net", bad))]
+    urls += [f"a://x.com/p?{good}", f"a://x.com/p?{bad}", f"a://x.com/p#{good}", f"a://x.com/p#{bad}", good, bad]
+    df = spark.createDataFrame([(i, u, None) for i, u in enumerate(urls)], SCHEMA)
+    rows = filter_urls(df, RULES).orderBy("page_id").collect()
+    check(rows)
+    found = [(r.host, r.path, r.verdict) for r in rows[120:]]
+    assert found == [*[("x.com", "/p", v) for v in ("allow", "block")] * 2, ("", "", "allow"), ("", "", "block")]
