@@ -5,16 +5,19 @@ families, an unknown licence and ordinary text apart. It learns from the
 templates below, varied and put among words of ordinary paragraphs, and from a
 bounded sample of paragraphs without licence words. Temperature and threshold
 are set on examples held out. A family is reported only where enough of one of
-its templates stands in the paragraph; else the licence is unknown.
+its templates stands in the text; else the licence is unknown. Lines are judged
+each by itself, and together with their neighbours up to a blank line.
 """
 
 from __future__ import annotations
 
 import random
 import re
+from bisect import bisect_right
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import accumulate
 
 import numpy as np
 import pyarrow as pa
@@ -122,6 +125,31 @@ class Classifier:
         chances /= chances.sum(1, keepdims=True)
         return [(int(at), *self._named(parts[at], chances[at])) for at in np.flatnonzero(chances[:, -1] < 0.5)]
 
+    def statements(self, tokens: list[str], family: str, chance: float, share: float) -> list[tuple[int, int, str, float, float]]:
+        """Every family confirmed in a part that holds a statement and was judged so: first and last token, then the verdict.
+
+        Besides the part's own verdict, the place of each template that is there
+        is judged by itself, so that several families do not hide each other. One
+        stretch is one statement: the part's verdict has it, or the nearest template.
+        """
+        found = grams_of(tokens)
+        best = {f: max(ts, key=lambda t: len(t & found) / len(t)) for f, ts in self.templates.items()}
+        spans = {f: _span(tokens, t) for f, t in best.items() if len(t & found) / len(t) >= self.confirm}
+        own = [(*spans[family], family, chance, share)] if family in spans else []
+        others = [f for f in spans if f != family]
+        alone = self.judge([tokens[spans[f][0] : spans[f][1] + 1] for f in others]) if others else []
+        for at, *verdict in sorted(alone, key=lambda v: (-v[3], -v[2])):
+            first, last = spans[others[at]]
+            shared = [min(last, b) - max(first, a) + 1 for a, b, *_ in own]
+            if verdict[0] == others[at] and not any(2 * n > last - first for n in shared):
+                own.append((first, last, *verdict))
+        return own
+
+    def most_licence(self, parts: list[list[str]]) -> int:
+        """The part that is least like ordinary text."""
+        logits = self.logits([grams_of(part) for part in parts])
+        return int((logits[:, :-1].max(1) - logits[:, -1]).argmax())
+
     def _named(self, found: set, chances: np.ndarray) -> tuple[str, float, float]:
         best = int(chances[:-1].argmax())
         family, chance = self.classes[best], float(chances[best])
@@ -140,6 +168,19 @@ def grams_of(tokens: list[str]) -> set[str | tuple[str, str]]:
     return {*tokens, *zip(tokens, tokens[1:], strict=False)}
 
 
+def _span(tokens: list[str], template: frozenset) -> tuple[int, int]:
+    """First and last token of the stretch that holds most word pairs of the template."""
+    marks = [pair in template for pair in zip(tokens, tokens[1:], strict=False)]
+    if not any(marks):
+        return 0, len(tokens) - 1
+    width = sum(isinstance(gram, tuple) for gram in template)
+    width += max(2, width // 4)
+    sums = [0, *accumulate(marks)]
+    start = max(range(len(marks)), key=lambda i: (sums[min(i + width, len(marks))] - sums[i], -i))
+    held = [i for i in range(start, min(start + width, len(marks))) if marks[i]]
+    return held[0], held[-1] + 1
+
+
 def windows(tokens: list[str]) -> Iterator[list[str]]:
     """A long paragraph in overlapping parts, so that a statement within it counts like one alone."""
     yield tokens[:WINDOW]
@@ -153,9 +194,10 @@ def license_paragraphs(
     """Every row of ``df`` with ``n_paragraphs`` and ``licenses``.
 
     Paragraphs are the lines with a word, numbered from 0. ``licenses`` has a
-    struct ``(paragraph, family, probability, similarity)`` for each that holds a
-    licence statement, of a family or ``unknown``: the first if several windows of
-    it do and the families differ. NULL and blank texts have none. ``carry`` names
+    struct ``(paragraph, family, probability, similarity)`` for each family that a
+    paragraph holds a statement of, or ``unknown`` if it holds one of none. A
+    statement that goes over several lines, with no blank one between, is given at
+    the first of them. NULL and blank texts have none. ``carry`` names
     the input columns to return (all by default); a result replaces an input
     column of its name. Repeated rows are judged alike; an empty table gives no rows.
     """
@@ -178,21 +220,63 @@ def license_paragraphs(
 
 
 def _document(text: str, model: Classifier) -> tuple[int, list[dict]]:
-    paragraphs = [tokens_of(p) for p in text.split("\n") if p.strip()]
-    parts = [(at, part) for at, tokens in enumerate(paragraphs) for part in windows(tokens)]
+    lines: list[list[str]] = []
+    blocks: list[list[int]] = [[]]
+    for line in text.split("\n"):
+        if line.strip():
+            blocks[-1].append(len(lines))
+            lines.append(tokens_of(line))
+        elif blocks[-1]:
+            blocks.append([])
+    parts = [(at, part) for at, tokens in enumerate(lines) for part in windows(tokens)]
     if not parts:
         return 0, []
-    seen: dict[int, tuple] = {}
+    seen: dict[int, dict[str, tuple]] = {}
     for place, *verdict in model.judge([part for _, part in parts]):
-        at = parts[place][0]
-        if at not in seen or seen[at][0] == UNKNOWN != verdict[0]:
-            seen[at] = verdict
-    return len(paragraphs), [
+        at, part = parts[place]
+        stated = [found[2:] for found in model.statements(part, *verdict)]
+        _add(seen, at, stated or [tuple(verdict)])
+    for block in blocks:
+        if len(block) > 1:
+            _over_lines(seen, block, lines, model)
+    return len(lines), [
         {"paragraph": at, "family": family, "probability": chance, "similarity": share}
-        for at, (family, chance, share) in sorted(seen.items())
+        for at, verdicts in sorted(seen.items())
+        for family, chance, share in verdicts.values()
     ]
 
 
+def _add(seen: dict[int, dict[str, tuple]], at: int, verdicts: list[tuple]) -> None:
+    """Each family once a paragraph, and unknown only where there is no family."""
+    known = seen.setdefault(at, {})
+    for verdict in verdicts:
+        known.setdefault(verdict[0], verdict)
+    if len(known) > 1:
+        known.pop(UNKNOWN, None)
+
+
+def _over_lines(seen: dict[int, dict[str, tuple]], block: list[int], lines: list[list[str]], model: Classifier) -> None:
+    """Add the statements that stand on several lines of the block."""
+    starts = list(accumulate((len(lines[at]) for at in block), initial=0))[:-1]
+    parts = list(windows([token for at in block for token in lines[at]]))
+    unnamed = []
+    for place, *verdict in model.judge(parts):
+        line = [bisect_right(starts, place * STRIDE + i) - 1 for i in range(len(parts[place]))]
+        for first, last, *found in model.statements(parts[place], *verdict):
+            covered = block[line[first] : line[last] + 1]
+            if len(covered) > 1 and not any(found[0] in seen.get(at, {}) for at in covered):
+                for at in covered:
+                    if UNKNOWN in seen.get(at, {}):  # a fragment of this statement
+                        del seen[at]
+                _add(seen, covered[0], [tuple(found)])
+        if verdict[0] == UNKNOWN:
+            unnamed.append((block[line[0] : line[-1] + 1], verdict))
+    for covered, verdict in unnamed:
+        if not any(seen.get(at) for at in covered):
+            at = covered[model.most_licence([lines[at] for at in covered])]
+            _add(seen, at, [tuple(verdict)])
+
+
 def sample_paragraphs(df: DataFrame, text: str = "text", size: int = 1500) -> list[str]:
     """At most ``size`` paragraphs without licence words, by the order of their hashes; long ones by their start."""
     lines = df.select(F.explode(F.split(F.coalesce(text, F.lit("")), "\n")).alias("line"))

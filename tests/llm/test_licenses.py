@@ -74,3 +74,30 @@ def test_edge_rows(spark, model):
 
 def test_no_ordinary_sample():
     assert families(train([]), "Released under the MIT License.") == [(0, "mit")]
+
+
+ISC = """Permission to use, copy, modify, and/or distribute this software for any
+purpose with or without fee is hereby granted, provided that the above
+copyright notice and this permission notice appear in all copies."""
+
+
+def test_statements_over_several_lines(model):
+    assert families(model, ISC) == [(0, "isc")]
+    notice = "Some words before.\n\n" + "\n".join(" * " + line for line in ISC.split("\n")) + "\n\nOther words."
+    assert families(model, notice) == [(1, "isc")]
+    assert families(model, "Licensed under the Apache\nLicense, Version\n2.0.") == [(0, "apache-2.0")]
+    lesser = "This work is licensed under the GNU\nLesser General Public License,\nversion 3."
+    assert families(model, lesser) == [(0, "lgpl")]
+    apart = "Permission to use, copy, modify, and/or\n\ndistribute this software for any purpose"
+    assert "isc" not in [family for _, family in families(model, apart)]
+
+
+def test_all_families_of_a_paragraph(model):
+    plain = "plain words go on and on here. " * 20
+    text = plain + "Released under the MIT License. " + plain + "Licensed under the Apache License, Version 2.0. " + plain
+    assert families(model, text) == [(0, "mit"), (0, "apache-2.0")]
+    dual = "Released under the MIT License or licensed under the Apache License, Version 2.0."
+    assert sorted(families(model, dual)) == [(0, "apache-2.0"), (0, "mit")]
+    assert families(model, "Licensed under the GNU Lesser General Public License, version 3.") == [(0, "lgpl")]
+    notice = "You can redistribute it and/or modify it under the terms of the GNU General Public License."
+    assert families(model, notice) == [(0, "gpl")]
