@@ -53,7 +53,8 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents as often as the rate says that brings toxic text down to its weight.
 
-    Domains are learned from ``labels``. Rates within ``SNAP`` of a whole number
+    Domains are learned from ``labels``. The weight of toxic text is a ceiling: rates
+    above one count as one, so no document is there twice. Rates within ``SNAP`` of a whole number
     are taken as it, so clean documents, whose rates are near one, stay once, and
     documents with a rate near zero go. See ``mix_to_weights`` for nulls, ties and
     missing labels.
@@ -61,6 +62,7 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     domain = F.when(F.col("toxic") == 1, "toxic").when(F.col("toxic") == 0, "clean")
     labels = table(spark, sf_dir, "labels").select("doc_id", domain.alias("domain"))
     rated = mix_to_weights(_wrapped(docs), labels, WEIGHTS)
+    rated = rated.withColumn("rate", F.least("rate", F.lit(1.0)))
     return _unwrapped(repeat_by_rate(rated, ["row"], snap=SNAP), docs)
 
 

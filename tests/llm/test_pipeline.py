@@ -87,6 +87,27 @@ def test_mixing_keeps_clean_documents_and_few_toxic_ones(spark):
     assert sum(n > 0 for n in toxic) / len(toxic) < 0.1
 
 
+def test_mixing_repeats_no_document(spark):
+    """Toxic text below its weight stays as it is; above it, it comes down to it."""
+    folder = "/root/testdata/sf0.1"
+    labels = spark.read.parquet(f"{folder}/labels.parquet")
+    docs = staged(STAGE["quality rules"](spark, spark.read.parquet(f"{folder}/documents.parquet"), folder))
+    clean = docs.join(labels.where("toxic = 0"), "doc_id", "left_semi")
+    toxic = docs.join(labels.where("toxic = 1"), "doc_id", "left_semi").orderBy(F.xxhash64("doc_id"))
+    ids = [r.doc_id for r in toxic.select("doc_id").collect()]
+    words = F.size(F.split("text", " "))
+
+    def share(df, ids):
+        by = {r["t"]: r["n"] for r in df.groupBy(F.col("doc_id").isin(ids).alias("t")).agg(F.sum(words).alias("n")).collect()}
+        return by.get(True, 0) / sum(by.values())
+
+    for n, low, high in ((15, 0.002, 0.012), (100, 0.01, 0.03)):
+        part = staged(clean.unionByName(docs.where(F.col("doc_id").isin(ids[:n]))))
+        out = staged(STAGE["mixing to target weights"](spark, part, folder))
+        assert out.groupBy("doc_id").count().agg(F.max("count")).first()[0] == 1, n
+        assert low <= share(out, ids) <= high, (n, share(part, ids), share(out, ids))
+
+
 def test_packing(stages, exact):  # noqa: F811
     docs, out = stages["pattern packing"]
     check_pieces(exact, [(r.doc_id, r.text) for r in docs.collect()], out.collect())
