@@ -15,7 +15,7 @@ from marketloom.llm.common import staged, table, whole_row
 from marketloom.llm.exact import exact_duplicates
 from marketloom.llm.mixing import mix_to_weights, repeat_by_rate
 from marketloom.llm.packing import pack
-from marketloom.llm.quality import judge_lines
+from marketloom.llm.quality import WORDS_PER_MARK, judge_lines
 from marketloom.llm.simhash import simhash_groups
 
 TOKENIZER = "byte_bpe_50k.json"
@@ -26,9 +26,10 @@ SNAP = 0.25
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without the lines that break a rule; those that fail go, NULL and empty texts among them.
 
-    ``n_chars`` is counted anew. See ``judge_lines`` for the rules.
+    ``n_chars`` is counted anew. A line that mentions a boilerplate phrase among
+    many other words stays. See ``judge_lines`` for the rules.
     """
-    kept = judge_lines(_wrapped(docs)).where("kept")
+    kept = judge_lines(_wrapped(docs), words_per_phrase=WORDS_PER_MARK).where("kept")
     changed = {"text": F.col("clean_text"), "n_chars": F.length("clean_text").cast("long")}
     return kept.select(*[changed.get(name, F.col(f"row.`{name}`")).alias(name) for name in docs.columns])
 

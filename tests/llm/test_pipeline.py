@@ -55,6 +55,16 @@ def test_quality(spark, stages):
             assert doc_id not in after
 
 
+def test_quality_keeps_long_lines_that_mention_a_phrase(spark):
+    article = " ".join(f"word{i} goes{i} on{i}." for i in range(40))
+    long = f"{article} Then click here to read the privacy policy. {article[::-1]}."
+    short = "Click here for our privacy policy today."
+    rows = [(1, long), (2, f"{article}\n{short}"), (3, f"{article}\nAll rights reserved.")]
+    docs = spark.createDataFrame([(i, t, "en", "s", len(t)) for i, t in rows], edge.SCHEMA)
+    out = {r.doc_id: r.text for r in STAGE["quality rules"](spark, docs, SMALL).collect()}
+    assert out == {1: long, 2: article, 3: article}
+
+
 def test_exact_dedup(stages):
     docs, out = stages["exact dedup"]
     best = {}
