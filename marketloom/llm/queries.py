@@ -6,11 +6,12 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from marketloom.llm.common import table
+from marketloom.llm.common import ascii_words, table
 from marketloom.llm.exact import exact_duplicates
 from marketloom.llm.licenses import license_paragraphs, sample_paragraphs, train
 from marketloom.llm.mixing import mix_to_weights
 from marketloom.llm.packing import pack
+from marketloom.llm.periodic import periodic_runs
 from marketloom.llm.pii import KINDS, personal_spans, spans_text
 from marketloom.llm.quality import judge_lines
 from marketloom.llm.sharding import balanced_shards
@@ -100,4 +101,40 @@ def op10_pii_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-QUERIES = {f.__name__: f for f in (op1_pattern_packing, op2_quality_lines, op3_license_paragraphs, op4_exact_dedup, op5_simhash, op6_lpt_sharding, op7_edit_token_counts, op8_soft_mixing, op9_url_models, op10_pii_spans)}
+def with_repeats(docs: DataFrame) -> DataFrame:
+    """``doc_id, text``, where some documents repeat a part of theirs up to the end, as their numbers say.
+
+    h is the checksum of the number, g a tenth of it. Where h ends in 0, words from
+    a = g % n on become the p words from a on, again and again; NULL numbers have none.
+    """
+    h, n, a, p = (F.col(name) for name in "hnap")
+    g = F.floor(h / 10)
+    numbered = docs.select("doc_id", "text", F.crc32(F.col("doc_id").cast("string").cast("binary")).alias("h"))
+    chosen = numbered.withColumn("words", F.when(h % 10 == 0, ascii_words(F.col("text"))))
+    counted = chosen.withColumn("n", F.greatest(F.size("words"), F.lit(1)).cast("long"))
+    placed = counted.withColumn("a", g % n).withColumn("p", 1 + F.floor((n - a) / (3 + g % 8)))
+    a, p, n = a.cast("int"), p.cast("int"), n.cast("int")
+    block = F.slice("words", a + 1, p)
+    again = F.flatten(F.array_repeat(block, F.ceil((n - a) / p).cast("int")))
+    repeated = F.slice(F.concat(F.slice("words", F.lit(1), a), again), F.lit(1), n)
+    text = F.when(F.size("words") > 0, F.array_join(repeated, " ")).otherwise(F.col("text"))
+    return placed.select("doc_id", text.alias("text"))
+
+
+def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = periodic_runs(with_repeats(table(spark, sf_dir, "documents")), carry=["doc_id"])
+    longest = F.array_max(F.transform("runs", lambda r: F.struct(r["length"], (-r["start"]).alias("back"), (-r["period"]).alias("short"))))
+    lines = F.transform("runs", lambda r: F.concat(F.concat_ws(",", *[r[name].cast("string") for name in ("start", "length", "period")]), F.lit("\n")))
+    named = found.withColumn("longest", longest).select(
+        "doc_id",
+        F.size("runs").cast("long").alias("n_runs"),
+        (-F.col("longest.back")).alias("start"),
+        F.col("longest.length").alias("length"),
+        (-F.col("longest.short")).alias("period"),
+        F.sha2(F.array_join(lines, ""), 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
+    return named.withColumn("exponent_milli", F.expr("1000 * length div period"))
+
+
+QUERIES = {f.__name__: f for f in (op1_pattern_packing, op2_quality_lines, op3_license_paragraphs, op4_exact_dedup, op5_simhash, op6_lpt_sharding, op7_edit_token_counts, op8_soft_mixing, op9_url_models, op10_pii_spans, op12_periodic_runs)}
