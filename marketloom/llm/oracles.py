@@ -59,7 +59,50 @@ SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed,
 FROM figures
 """
 
+
+def _vector_codes(rounds: int = 2, parts: int = 16, entries: int = 64, width: int = 4) -> str:
+    """Rounds of integer k-means by part, over vectors of ``parts * width`` components."""
+    names = [f"x{d}" for d in range(width)]
+    nearest = f"""
+  SELECT r, part, min(struct_pack(d := {" + ".join(f"(p.{x} - c.{x}) * (p.{x} - c.{x})" for x in names)}, e := entry)) AS best
+  FROM p JOIN c{{n}} c USING (part) GROUP BY r, part"""
+    steps = [
+        f"""a{n} AS ({nearest.format(n=n)}
+), m{n} AS (
+  SELECT part, best.e AS entry, {", ".join(f"CAST(floor(sum({x}) / count(*)) AS BIGINT) AS {x}" for x in names)}
+  FROM a{n} JOIN p USING (r, part) GROUP BY part, best.e
+), c{n + 1} AS (
+  SELECT part, entry, {", ".join(f"coalesce(m.{x}, c.{x}) AS {x}" for x in names)}
+  FROM c{n} c LEFT JOIN m{n} m USING (part, entry)
+)"""
+        for n in range(rounds)
+    ]
+    return f"""
+WITH v AS (
+  SELECT row_number() OVER () AS r, vec_id, label,
+    list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS x
+  FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), p AS (
+  SELECT r, vec_id, part, {", ".join(f"x[{width} * part + {d + 1}] AS x{d}" for d in range(width))}
+  FROM v, unnest(range({parts})) AS t(part)
+), c0 AS (
+  SELECT part, place - 1 AS entry, {", ".join(names)}
+  FROM (SELECT *, row_number() OVER (PARTITION BY part ORDER BY vec_id NULLS LAST, r) AS place FROM p)
+  WHERE place <= {entries}
+), {", ".join(steps)}, a AS ({nearest.format(n=rounds)}
+), coded AS (
+  SELECT r, string_agg(printf('%02x', best.e), '' ORDER BY part) AS code, CAST(sum(best.d) AS BIGINT) AS error
+  FROM a GROUP BY r
+)
+SELECT vec_id, code, error, CAST(sum(error) OVER (PARTITION BY label) AS BIGINT) AS label_error,
+  (SELECT sha256(string_agg({" || ',' || ".join(names)}, ',' ORDER BY part, entry)) FROM c{rounds}) AS codebooks_sha256
+FROM coded JOIN v USING (r)
+"""
+
+
 ORACLES = {
     "op2_quality_lines": QUALITY_LINES,
     "op4_exact_dedup": EXACT_DEDUP,
+    "op13_vector_codes": _vector_codes(),
 }

@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+from hashlib import sha256
+
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from marketloom.llm.common import ascii_words, table
+from marketloom.llm.common import ascii_words, staged, table
 from marketloom.llm.exact import exact_duplicates
 from marketloom.llm.licenses import license_paragraphs, sample_paragraphs, train
 from marketloom.llm.mixing import mix_to_weights
@@ -18,6 +20,7 @@ from marketloom.llm.sharding import balanced_shards
 from marketloom.llm.simhash import simhash_groups
 from marketloom.llm.token_counts import edited_counts, masked, token_trees
 from marketloom.llm.urls import Rule, filter_urls
+from marketloom.llm.vector_codes import compress_vectors
 
 
 TOKENIZER = "byte_bpe_50k.json"
@@ -137,4 +140,20 @@ def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return named.withColumn("exponent_milli", F.expr("1000 * length div period"))
 
 
-QUERIES = {f.__name__: f for f in (op1_pattern_packing, op2_quality_lines, op3_license_paragraphs, op4_exact_dedup, op5_simhash, op6_lpt_sharding, op7_edit_token_counts, op8_soft_mixing, op9_url_models, op10_pii_spans, op12_periodic_runs)}
+def op13_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    compressed = compress_vectors(table(spark, sf_dir, "embeddings"), carry=["vec_id", "label"])
+    coded = staged(compressed.codes, "vector-codes")
+    # Written first, so that a label of very many rows meets its sum in a join that can be split.
+    errors = staged(coded.groupBy("label").agg(F.sum("error").alias("label_error")), "label-errors")
+    digits = F.transform("code", lambda x: F.lpad(F.lower(F.hex(x)), 2, "0"))
+    numbers = ",".join(map(str, compressed.codebooks.ravel().tolist()))
+    return coded.join(errors.withColumnRenamed("label", "of"), F.col("label").eqNullSafe(F.col("of"))).select(
+        "vec_id",
+        F.array_join(digits, "").alias("code"),
+        "error",
+        "label_error",
+        F.lit(sha256(numbers.encode()).hexdigest()).alias("codebooks_sha256"),
+    )
+
+
+QUERIES = {f.__name__: f for f in (op1_pattern_packing, op2_quality_lines, op3_license_paragraphs, op4_exact_dedup, op5_simhash, op6_lpt_sharding, op7_edit_token_counts, op8_soft_mixing, op9_url_models, op10_pii_spans, op12_periodic_runs, op13_vector_codes)}
