@@ -21,6 +21,7 @@ from marketloom.llm.simhash import simhash_groups
 from marketloom.llm.token_counts import edited_counts, masked, token_trees
 from marketloom.llm.urls import Rule, filter_urls
 from marketloom.llm.vector_codes import compress_vectors
+from marketloom.llm.windows import pack_windows
 
 
 TOKENIZER = "byte_bpe_50k.json"
@@ -104,6 +105,10 @@ def op10_pii_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_best_fit_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack_windows(table(spark, sf_dir, "documents"), public_tokenizers.path(TOKENIZER), capacity=1024, end_id=0)
+
+
 def with_repeats(docs: DataFrame) -> DataFrame:
     """``doc_id, text``, where some documents repeat a part of theirs up to the end, as their numbers say.
 
@@ -156,4 +161,4 @@ def op13_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-QUERIES = {f.__name__: f for f in (op1_pattern_packing, op2_quality_lines, op3_license_paragraphs, op4_exact_dedup, op5_simhash, op6_lpt_sharding, op7_edit_token_counts, op8_soft_mixing, op9_url_models, op10_pii_spans, op12_periodic_runs, op13_vector_codes)}
+QUERIES = {f.__name__: f for f in (op1_pattern_packing, op2_quality_lines, op3_license_paragraphs, op4_exact_dedup, op5_simhash, op6_lpt_sharding, op7_edit_token_counts, op8_soft_mixing, op9_url_models, op10_pii_spans, op11_best_fit_windows, op12_periodic_runs, op13_vector_codes)}
