@@ -3,16 +3,18 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from math import isqrt
 
 from pyspark.ml import PipelineModel
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.feature import PCA, StandardScalerModel
-from pyspark.ml.functions import vector_to_array
+from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from marketloom.operators.features import assembler, scaler
-from marketloom.schema import CLUSTERS, COMPONENTS, FEATURES, FIT_PARTITIONS, SEED
+from marketloom.schema import CLUSTERS, COMPONENTS, FEATURES, FIT_DIGITS, FIT_ROWS, SEED
+from marketloom.session import staged, staging
 
 # Column names inside the saved pipelines.
 CLUSTER_COLUMNS = ("features_kmeans", "scaledFeatures_kmeans", "prediction_kmeans")
@@ -26,6 +28,15 @@ def fit_deviations(df: DataFrame, columns: Sequence[str] = FEATURES) -> Standard
     return scaler(raw, scaled).fit(assembler(columns, raw).transform(df))
 
 
+def fit_partitions(vectors: int) -> int:
+    """Partitions for a fit over so many distinct vectors.
+
+    ``FIT_ROWS`` vectors each; beyond the square of that, partitions and the
+    vectors in one grow alike.
+    """
+    return max(1, -(-vectors // max(FIT_ROWS, isqrt(vectors))))
+
+
 def fit_clusters(
     df: DataFrame,
     columns: Sequence[str] = FEATURES,
@@ -36,9 +47,10 @@ def fit_clusters(
     """Assemble, scale, k-means. The fit keeps its own copy of the scaled vectors.
 
     The fit starts from random rows of each partition, so equal vectors are
-    counted first and laid out by value over ``FIT_PARTITIONS`` sorted partitions:
-    the model then depends on the data and the seed, not on files or cores, and a
-    hot vector is one weighted row.
+    counted first and laid out by value over sorted partitions, as many as the
+    number of distinct vectors asks for: the model then depends on the data and
+    the seed, not on files or cores, and a hot vector is one weighted row. They
+    are staged meanwhile, as the estimator runs its input more than once.
 
     The row solver takes data with fewer distinct points than ``k`` (the block
     solver fails on it) and needs no extra pass to measure sparsity.
@@ -49,10 +61,14 @@ def fit_clusters(
     kmeans = KMeans(
         featuresCol=scaled, predictionCol=prediction, k=k, seed=seed, solver="row", weightCol=_WEIGHT
     )
-    counted = df.groupBy(*columns).agg(F.count(F.lit(1)).cast("double").alias(_WEIGHT))
-    laid_out = counted.repartition(FIT_PARTITIONS, *columns).sortWithinPartitions(*columns)
-    vectors = scale.transform(assemble.transform(laid_out)).select(scaled, _WEIGHT)
-    return PipelineModel([assemble, scale, kmeans.fit(vectors)])
+    with staging(df.sparkSession):
+        counted = df.groupBy(*columns).agg(F.count(F.lit(1)).cast("double").alias(_WEIGHT))
+        distinct = staged(counted, "distinct-vectors")
+        laid_out = distinct.repartition(fit_partitions(distinct.count()), *columns).sortWithinPartitions(*columns)
+        # Deviations differ in their last digits between layouts, which would decide ties between centres.
+        steady = F.transform(vector_to_array(scaled), lambda x: F.round(x, FIT_DIGITS))
+        vectors = scale.transform(assemble.transform(laid_out)).select(array_to_vector(steady).alias(scaled), _WEIGHT)
+        return PipelineModel([assemble, scale, kmeans.fit(vectors)])
 
 
 def fit_projection(

@@ -32,7 +32,7 @@ from marketloom.schema import (
     SEED,
     SNAPSHOTS,
 )
-from marketloom.session import shared_dir
+from marketloom.session import staged, staging
 from marketloom.sources.artifacts import KINDS, save_itemsets, save_model
 from marketloom.sources.batches import list_batch_files, read_batch_files
 from marketloom.streaming.ingest import IngestStore
@@ -78,12 +78,7 @@ def stage_features(rows: DataFrame) -> DataFrame:
     The text is read and cleaned once; every later pass reads seven narrow
     columns, and only the directories of its snapshot.
     """
-    spark = rows.sparkSession
-    path = shared_dir(spark, "features")
-    columns = [*FEATURES, ITEM_COLUMN, "tier"]
-    clean_features(rows).select(*columns).write.partitionBy("tier").parquet(path)
-    schema = "Rating double, Reviews double, Size double, Installs double, Price double, "
-    return spark.read.schema(schema + "Category string, tier int").parquet(path)
+    return staged(clean_features(rows).select(*FEATURES, ITEM_COLUMN, "tier"), "features", ["tier"])
 
 
 def train_snapshots(
@@ -97,6 +92,13 @@ def train_snapshots(
     kinds: Sequence[str] = tuple(KINDS.values()),
 ) -> TrainingReport:
     """Fit and save clusters, projection and itemsets for each snapshot of tiered rows."""
+    with staging(rows.sparkSession):
+        return _train_staged(rows, models, nan, k, seed, components, min_support, kinds)
+
+
+def _train_staged(
+    rows: DataFrame, models: str, nan: str, k: int, seed: int, components: int, min_support: float, kinds: Sequence[str]
+) -> TrainingReport:
     report = TrainingReport()
     features = stage_features(rows)
     stats = snapshot_statistics(features, nan=nan).first()

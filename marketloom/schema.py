@@ -24,7 +24,8 @@ ITEM_COLUMN = "Category"
 UNKNOWN_ITEM = "Unknown"
 BATCH_SIZE = 100_000
 PER_TRIGGER = 1_000_000
-FIT_PARTITIONS = 64
+FIT_ROWS = 1 << 15
+FIT_DIGITS = 9
 MINIMUM_BATCHES = 3
 PREVIEW_LENGTH = 100
 CLUSTERS = 10

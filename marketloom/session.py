@@ -5,6 +5,7 @@ from __future__ import annotations
 import atexit
 import shutil
 import tempfile
+import threading
 import uuid
 from collections.abc import Iterator, Sequence
 from contextlib import contextmanager
@@ -13,6 +14,7 @@ from functools import cache
 from pyspark.sql import DataFrame, SparkSession
 
 _STAGED: list[str] = []
+_BLOCKS = threading.local()
 
 
 def local_session(cores: int | str = "*", app_name: str = "marketloom", **conf) -> SparkSession:
@@ -54,6 +56,12 @@ def _own_folder() -> str:
     return folder
 
 
+def _held() -> list[str]:
+    """What the innermost ``staging`` block of this thread has staged; without one, what the process has."""
+    blocks = getattr(_BLOCKS, "open", None)
+    return blocks[-1] if blocks else _STAGED
+
+
 def staged(df: DataFrame, purpose: str, partition_by: Sequence[str] = ()) -> DataFrame:
     """Write ``df`` to the shared folder and read it back.
 
@@ -62,27 +70,36 @@ def staged(df: DataFrame, purpose: str, partition_by: Sequence[str] = ()) -> Dat
     """
     spark = df.sparkSession
     path = shared_dir(spark, purpose)
-    _STAGED.append(path)
+    _held().append(path)
     df.write.partitionBy(*partition_by).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
-def release(spark: SparkSession, first: int = 0) -> None:
-    """Remove what ``staged`` has written in this process, from the ``first`` table on.
+def release(spark: SparkSession) -> None:
+    """Remove what ``staged`` has written in this process outside of ``staging`` blocks.
 
     Results that still read it must be stored before.
     """
+    _remove(spark, _STAGED)
+
+
+def _remove(spark: SparkSession, paths: list[str]) -> None:
     hadoop = spark.sparkContext._jsc.hadoopConfiguration()
-    while len(_STAGED) > first:
-        path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(_STAGED.pop())
+    while paths:
+        path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(paths.pop())
         path.getFileSystem(hadoop).delete(path, True)
 
 
 @contextmanager
 def staging(spark: SparkSession) -> Iterator[None]:
-    """Remove at its end what was staged inside; for work whose output is stored by then."""
-    first = len(_STAGED)
+    """Remove at its end what this thread staged inside; for work whose output is stored by then.
+
+    Blocks may be nested, and threads may have blocks of their own at the same time.
+    """
+    if not hasattr(_BLOCKS, "open"):
+        _BLOCKS.open = []
+    _BLOCKS.open.append([])
     try:
         yield
     finally:
-        release(spark, first)
+        _remove(spark, _BLOCKS.open.pop())

@@ -4,7 +4,7 @@ from pyspark.ml import PipelineModel
 from pyspark.sql import functions as F
 
 from marketloom.operators import features, models
-from marketloom.schema import FEATURES
+from marketloom.schema import FEATURES, FIT_ROWS
 from marketloom.sources import artifacts
 
 
@@ -134,3 +134,22 @@ def test_clusters_do_not_depend_on_the_layout(spark):
         centres = models.fit_clusters(df).stages[-1].clusterCenters()
         found.append([[round(float(v), 9) for v in c] for c in centres])
     assert found[0] == found[1] == found[2] == found[3]
+
+
+def test_fit_layout_follows_the_vectors():
+    assert [models.fit_partitions(n) for n in (0, 1, FIT_ROWS, FIT_ROWS + 1, 100 * FIT_ROWS)] == [1, 1, 1, 2, 100]
+    assert models.fit_partitions(FIT_ROWS**2 * 100) == FIT_ROWS * 10
+
+
+def test_the_same_model_from_any_layout(spark, monkeypatch):
+    monkeypatch.setattr(models, "FIT_ROWS", 200)
+    rows = spark.range(3_000).select(*[(F.hash("id", F.lit(i)) % 97).cast("double").alias(c) for i, c in enumerate(FEATURES)])
+    centres, before = [], spark.conf.get("spark.sql.shuffle.partitions")
+    try:
+        for parts, shuffled in ((1, 2), (7, 8), (13, 31)):
+            spark.conf.set("spark.sql.shuffle.partitions", shuffled)
+            fitted = models.fit_clusters(rows.repartition(parts), k=6)
+            centres.append(np.array(fitted.stages[-1].clusterCenters()))
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    assert centres[0] == pytest.approx(centres[1]) and centres[0] == pytest.approx(centres[2])

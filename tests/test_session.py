@@ -1,4 +1,6 @@
+from concurrent.futures import ThreadPoolExecutor
 from pathlib import Path
+from threading import Barrier
 from types import SimpleNamespace
 
 import pytest
@@ -41,3 +43,22 @@ def test_staged_tables_are_removed_at_the_end(spark):
     assert Path(path).is_dir() and not Path(inner).exists()
     session.release(spark)
     assert not Path(path).exists()
+
+
+def test_threads_remove_their_own_tables(spark):
+    def folder(df):
+        return Path(df.inputFiles()[0].removeprefix("file://").rsplit("/", 1)[0])
+
+    def work(_):
+        with session.staging(spark):
+            outer = folder(session.staged(spark.range(2), "outer"))
+            with session.staging(spark):
+                inner = folder(session.staged(spark.range(2), "inner"))
+            barrier.wait(60)  # all tables are written before any thread ends its block
+            return outer.exists(), inner.exists(), outer
+
+    barrier = Barrier(3)
+    with ThreadPoolExecutor(3) as pool:
+        found = list(pool.map(work, range(3)))
+    assert [(a, b) for a, b, _ in found] == [(True, False)] * 3
+    assert not any(path.exists() for *_, path in found)
