@@ -321,3 +321,6 @@ ORACLES: dict[str, str] = {
           event_id <= (SELECT max(event_id) // 2 FROM events) AS committed
         FROM ({NUMBERED})""",
 }
+# A repaired export holds what a whole one holds, and a compacted store what the stream put there.
+ORACLES["export_repair"] = ORACLES["batch_csv_roundtrip"]
+ORACLES["compacted_ingest"] = ORACLES["stream_ingest"]

@@ -30,12 +30,13 @@ from marketloom.schema import (
     SNAPSHOTS,
     WIRE_FIELD_COUNT,
 )
-from marketloom.session import shared_dir, staged
+from marketloom.session import remove_paths, shared_dir, staged
 from marketloom.sources import artifacts, batches
 from marketloom.sources.raw import read_rows
 from marketloom.sources.topic import as_messages, read_topic, stream_topic, write_topic
 from marketloom.streaming.ingest import (
     IngestStore,
+    compact_in_place,
     export_batch_files,
     ingest_micro_batch,
     run_ingest,
@@ -211,6 +212,20 @@ def batch_csv_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select(*BATCH_COLUMNS, "batch_no", "is_remainder")
 
 
+def export_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All event batches exported, two in the middle lost, and exported again: what the files hold then."""
+    path, store = shared_dir(spark, "batch-files"), _whole_topic(spark, sf_dir)
+    export_batch_files(spark, store, path, final=True)
+    files = spark.read.format("binaryFile").options(recursiveFileLookup=True, pathGlobFilter="*.csv").load(path)
+    named = files.select("path", F.regexp_extract("path", r"batch_file=batch_(\d+)_", 1).cast("long").alias("batch_no"))
+    middle = named.agg(F.floor(F.max("batch_no") / 2).alias("n")).first()["n"]
+    lost = named.filter(F.col("batch_no").between(middle, middle + 1)).select("path").collect()
+    remove_paths(spark, [row["path"].rsplit("/", 1)[0] for row in lost])
+    export_batch_files(spark, store, path, final=True)
+    rows = snapshots.parse_batch_names(batches.read_batch_files(spark, path))
+    return rows.select(*BATCH_COLUMNS, "batch_no", "is_remainder")
+
+
 def cumulative_snapshots(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders = table(spark, sf_dir, "orders").select(
         F.col("o_orderkey").alias("offset"), "o_custkey", "o_totalprice"
@@ -629,6 +644,19 @@ def stream_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def compacted_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two deliveries by one stream; the store is compacted after each, and the second run goes on from the first."""
+    base = shared_dir(spark, "compacted")
+    for delivery in _deliveries(spark, sf_dir):
+        write_topic(delivery, f"{base}/topic")
+        stream = stream_topic(spark, f"{base}/topic")
+        store = run_ingest(stream, f"{base}/out", f"{base}/checkpoint", batch_size=EVENT_BATCH)
+        compact_in_place(spark, store, vacuum=True)
+    return store.read_batches(spark).select(
+        F.col("offset").alias("event_id"), "row_no", "batch_no", "is_remainder", *BATCH_COLUMNS
+    )
+
+
 class _NoLedger(IngestStore):
     """A store whose writer dies after the rows and before the ledger entry."""
 
@@ -695,6 +723,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         remainder_batch,
         batch_file_order,
         batch_csv_roundtrip,
+        export_repair,
         cumulative_snapshots,
         clean_features,
         mean_fill,
@@ -727,6 +756,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         trained_itemsets,
         artifact_catalog,
         stream_ingest,
+        compacted_ingest,
         topic_ingest,
         first_batches,
         ingest_after_crash,

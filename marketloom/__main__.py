@@ -12,7 +12,13 @@ from marketloom.plans.training import train_from_files, train_from_store
 from marketloom.schema import BATCH_SIZE, PER_TRIGGER
 from marketloom.session import staging
 from marketloom.sources.topic import stream_topic
-from marketloom.streaming.ingest import IngestStore, compact_store, export_batch_files, start_ingest
+from marketloom.streaming.ingest import (
+    IngestStore,
+    compact_in_place,
+    compact_store,
+    export_batch_files,
+    start_ingest,
+)
 
 
 def _topic_options(args: argparse.Namespace) -> dict:
@@ -54,7 +60,10 @@ def _export(spark: SparkSession, args: argparse.Namespace) -> None:
 
 
 def _compact(spark: SparkSession, args: argparse.Namespace) -> None:
-    compact_store(spark, IngestStore(args.store), args.output)
+    if args.output:
+        compact_store(spark, IngestStore(args.store), args.output)
+    else:
+        compact_in_place(spark, IngestStore(args.store), args.vacuum)
 
 
 def _train(spark: SparkSession, args: argparse.Namespace) -> None:
@@ -110,7 +119,10 @@ def _parser() -> argparse.ArgumentParser:
     export = job("export", _export, "store", "batches")
     export.add_argument("--final", action="store_true", help="write the partial last batch too")
 
-    job("compact", _compact, "store", "output")
+    compact = job("compact", _compact, "store")
+    where = compact.add_mutually_exclusive_group()
+    where.add_argument("--output", help="a store of its own; without it, the store is compacted in place")
+    where.add_argument("--vacuum", action="store_true", help="remove what the compaction stands for")
 
     train = job("train", _train, "models")
     source = train.add_mutually_exclusive_group(required=True)

@@ -80,10 +80,11 @@ def release(spark: SparkSession) -> None:
 
     Results that still read it must be stored before.
     """
-    _remove(spark, _STAGED)
+    remove_paths(spark, _STAGED)
 
 
-def _remove(spark: SparkSession, paths: list[str]) -> None:
+def remove_paths(spark: SparkSession, paths: list[str]) -> None:
+    """Remove folders in any store that Spark reads, and take them off the list."""
     hadoop = spark.sparkContext._jsc.hadoopConfiguration()
     while paths:
         path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(paths.pop())
@@ -102,4 +103,4 @@ def staging(spark: SparkSession) -> Iterator[None]:
     try:
         yield
     finally:
-        _remove(spark, _BLOCKS.open.pop())
+        remove_paths(spark, _BLOCKS.open.pop())

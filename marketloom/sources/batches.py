@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -15,6 +15,8 @@ from marketloom.schema import BATCH_COLUMNS, BATCH_SCHEMA, CSV_READ_OPTIONS, CSV
 
 FILE_KEY = "batch_file"
 SPAN_KEY = "batch_span"
+#: Readers of the batch files pass over folders that begin like this.
+EXPORTED = "_exported"
 
 
 def _file_name(path: Column) -> Column:
@@ -24,11 +26,13 @@ def _file_name(path: Column) -> Column:
 
 
 def write_batch_files(
-    numbered: DataFrame, path: str, written: Column, remaining: Column, mode: str = "overwrite"
+    numbered: DataFrame, path: str, written: Column, remaining: Column, only_these: bool = False
 ) -> None:
     """One CSV file with header per batch, in ``batch_span=<s>/batch_file=batch_<n>_<time>[_remaining].csv/``.
 
     The first level holds a thousand batches, so that millions stay listable.
+    With ``only_these`` other batches at ``path`` stay, and a file of the same name
+    is replaced; else everything there is.
     """
     named = numbered.withColumns(
         {
@@ -40,7 +44,8 @@ def write_batch_files(
         named.repartition("batch_no")
         .sortWithinPartitions("batch_no", "row_no")
         .select(*[f"`{c}`" for c in BATCH_COLUMNS], SPAN_KEY, FILE_KEY)
-        .write.mode(mode)
+        .write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic" if only_these else "static")
         .partitionBy(SPAN_KEY, FILE_KEY)
         .options(**CSV_WRITE_OPTIONS)
         .csv(path)
@@ -58,15 +63,30 @@ def list_batch_files(spark: SparkSession, path: str) -> DataFrame:
     return files.select(_file_name(F.col("path")).alias("file_name")).distinct()
 
 
-def exported_batches(spark: SparkSession, path: str) -> int:
-    """The highest number among the batch files below ``path``, 0 if there are none."""
+def _unless_absent(read: Callable[[], DataFrame], absent: DataFrame) -> DataFrame:
     try:
-        names = list_batch_files(spark, path)
+        return read()
     except AnalysisException as error:
         if error.getCondition() != "PATH_NOT_FOUND":
             raise
-        return 0
-    return parse_batch_names(names).agg(F.max("batch_no")).first()[0] or 0
+        return absent
+
+
+def exported_batches(spark: SparkSession, path: str) -> DataFrame:
+    """``batch_no`` of the batches whose export was committed and whose file is there.
+
+    A file without a commit may be of an export that broke off, and a commit
+    without a file of one that was lost since.
+    """
+    none = spark.createDataFrame([], "batch_no long")
+    committed = _unless_absent(lambda: spark.read.schema("batch_no long").parquet(f"{path}/{EXPORTED}"), none)
+    there = _unless_absent(lambda: parse_batch_names(list_batch_files(spark, path)).select("batch_no"), none)
+    return committed.distinct().join(there, "batch_no", "left_semi")
+
+
+def commit_exported(exported: DataFrame, path: str) -> None:
+    """Say that the batches in ``batch_no`` are at ``path``, with their ``rows``; appended as one job."""
+    exported.select("batch_no", "rows").write.mode("append").parquet(f"{path}/{EXPORTED}")
 
 
 def read_batch_files(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:

@@ -16,6 +16,8 @@ def read_rows(
 
     ``position`` rises with the place in the file and is unique in it: the start
     of the row's split plus its rank there, as a split holds fewer rows than bytes.
+    The rank is the row's running number less the least one of its split, which a
+    small grouped table gives; rows are neither shuffled nor sorted for it.
 
     With ``multiline`` fields may hold line breaks, and a file is one task; many
     files make many tasks. Without it every line is a row, and large files are
@@ -39,8 +41,10 @@ def read_rows(
         F.monotonically_increasing_id().alias("_seq"),
         F.when(F.col("_odd").isNull(), fields).otherwise(own).alias("fields"),
     )
-    rank = F.row_number().over(Window.partitionBy("file_path", "_block").orderBy("_seq"))
-    return placed.select("file_path", (F.col("_block") + rank - 1).alias("position"), "fields")
+    # A split is read by one task, so its running numbers follow each other; both reads deal the splits alike.
+    least = placed.groupBy("file_path", "_block").agg(F.min("_seq").alias("_first"))
+    ranked = placed.join(least, ["file_path", "_block"])
+    return ranked.select("file_path", (F.col("_block") + F.col("_seq") - F.col("_first")).alias("position"), "fields")
 
 
 def file_ranks(spark: SparkSession, path: str) -> DataFrame:

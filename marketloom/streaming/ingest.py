@@ -10,12 +10,12 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from marketloom.operators.batching import is_remainder, number_in_order
+from marketloom.operators.batching import batch_span, is_remainder, number_in_order
 from marketloom.operators.wire import (
     accepted_records,
     judged_records,
@@ -23,8 +23,9 @@ from marketloom.operators.wire import (
     rejected_records,
 )
 from marketloom.schema import BATCH_SIZE, WIRE_FIELD_COUNT, WIRE_POSITIONS
-from marketloom.session import staged, staging
+from marketloom.session import remove_paths, staged, staging
 from marketloom.sources.batches import (
+    commit_exported,
     exported_batches,
     read_batch_store,
     write_batch_files,
@@ -79,13 +80,20 @@ def _readable(spark: SparkSession, path: str) -> bool:
 
 
 class IngestStore:
-    """Paths of one ingest: accepted rows, quarantine and ledger."""
+    """Paths of one ingest: accepted rows, quarantine and ledger.
+
+    A compaction holds the rows of all micro-batches up to one of them in large
+    sorted files. Once it is committed, readers take those rows from there and
+    later ones from the micro-batches; the stream goes on as before.
+    """
 
     def __init__(self, base: str):
         self.base = base.rstrip("/")
         self.batches = f"{self.base}/batches"
         self.rejects = f"{self.base}/rejects"
         self.ledger = f"{self.base}/ledger"
+        self.compacted = f"{self.base}/compacted"
+        self.compactions = f"{self.base}/compactions"
 
     def micro(self, table: str, micro_batch: int) -> str:
         return f"{table}/micro={micro_batch}"
@@ -127,8 +135,7 @@ class IngestStore:
         """
         known = self.settings(spark)
         last, total = self.committed(spark)
-        rows = read_batch_store(spark, self.batches, store_schema(known["columns"]))
-        rows = rows.filter(F.col("micro") <= last)
+        rows = self._read_up_to(spark, self.batches, store_schema(known["columns"]), last)
         remainder = is_remainder(F.col("batch_no"), total, known["batch_size"])
         return rows.withColumn("is_remainder", remainder)
 
@@ -161,7 +168,25 @@ class IngestStore:
     def read_rejects(self, spark: SparkSession) -> DataFrame:
         """Committed quarantine rows."""
         last, _ = self.committed(spark)
-        return spark.read.schema(REJECT_SCHEMA).parquet(self.rejects).filter(F.col("micro") <= last)
+        return self._read_up_to(spark, self.rejects, REJECT_SCHEMA, last)
+
+    def _read_up_to(self, spark: SparkSession, table: str, schema: T.StructType, last: int) -> DataFrame:
+        rows = read_batch_store(spark, table, schema).filter(F.col("micro") <= last)
+        compacted = self.compacted_up_to(spark)
+        if compacted < 0:
+            return rows
+        large = read_batch_store(spark, self.compaction(table, compacted), schema)
+        return rows.filter(F.col("micro") > compacted).unionByName(large)
+
+    def compaction(self, table: str, last: int) -> str:
+        return f"{self.compacted}/{table.rsplit('/', 1)[1]}/upto={last}"
+
+    def compacted_up_to(self, spark: SparkSession) -> int:
+        """The last micro-batch of the newest committed compaction, -1 if there is none."""
+        if not _readable(spark, self.compactions):
+            return -1
+        newest = spark.read.schema("rows long, upto int").parquet(self.compactions).agg(F.max("upto")).first()[0]
+        return -1 if newest is None else newest
 
     def read_ledger(self, spark: SparkSession) -> DataFrame:
         if not _readable(spark, self.ledger):
@@ -235,20 +260,33 @@ def run_ingest(stream: DataFrame, base: str, checkpoint: str, **settings) -> Ing
 def export_batch_files(
     spark: SparkSession, store: IngestStore, path: str, final: bool = False
 ) -> None:
-    """Append full batches that are not at ``path`` yet, one CSV file each.
-
-    A file is named after the arrival of its last row, so names are the same
-    whenever it is written. With ``final`` the partial last batch is written too,
-    marked ``_remaining``; nothing may be taken in after that.
+    """Write the full batches that are not at ``path`` yet, one CSV file each.
+
+    Batches that an export has committed and whose file is there stay as they
+    are; all others up to the last full one are written, gaps among them, and
+    then committed. A file is named after the arrival of its last row, so it has
+    the same name whenever it is written, and what an export that broke off has
+    left is replaced. With ``final`` the partial last batch is written too, marked
+    ``_remaining``; nothing may be taken in after that.
     """
-    done = exported_batches(spark, path)
-    rows = store.read_batches(spark).filter(F.col("batch_no") > done)
-    if not final:
-        rows = rows.filter(~F.col("is_remainder"))
-    written = F.max("timestamp").over(Window.partitionBy("batch_no"))
+    size, (_, total) = store.settings(spark)["batch_size"], store.committed(spark)
+    last = -(-total // size) if final else total // size
+    numbers = spark.range(1, last + 1).select(F.col("id").alias("batch_no"))
     with staging(spark):
-        named = staged(rows.withColumn("_written", written), "export")
-        write_batch_files(named, path, F.col("_written"), F.col("is_remainder"), mode="append")
+        missing = staged(numbers.join(exported_batches(spark, path), "batch_no", "left_anti"), "unexported")
+        ends = missing.agg(F.min("batch_no").alias("first"), F.max("batch_no").alias("last")).first()
+        if ends["first"] is None:
+            return
+        spans = [batch_span(F.lit(ends[end])) for end in ("first", "last")]
+        near = store.read_batches(spark).filter(
+            F.col("batch_span").between(*spans) & F.col("batch_no").between(ends["first"], ends["last"])
+        )
+        named = near.select("batch_no", "timestamp").join(missing, "batch_no", "left_semi").groupBy("batch_no")
+        names = staged(named.agg(F.max("timestamp").alias("_written"), F.count(F.lit(1)).alias("rows")), "export-names")
+        write_batch_files(
+            near.join(names, "batch_no"), path, F.col("_written"), F.col("is_remainder"), only_these=True
+        )
+        commit_exported(names, path)
 
 
 def compact_store(spark: SparkSession, store: IngestStore, path: str) -> IngestStore:
@@ -266,3 +304,42 @@ def compact_store(spark: SparkSession, store: IngestStore, path: str) -> IngestS
     rejects.write.mode("overwrite").parquet(compact.micro(compact.rejects, 0))
     compact.write_ledger(spark, 0, 0, rows)
     return compact
+
+
+def compact_in_place(spark: SparkSession, store: IngestStore, vacuum: bool = False) -> int:
+    """Put all committed rows and rejects into large sorted files; returns the last micro-batch among them.
+
+    Checkpoint and ledger stay, so the same stream goes on, and may meanwhile. The
+    new files count once their entry is written; a compaction that breaks off
+    leaves the store as it was, and the next one replaces its files. ``vacuum`` then
+    removes the micro-batches and compactions that the new one stands for; jobs that
+    read them must have ended.
+    """
+    last, total = store.committed(spark)
+    if last > store.compacted_up_to(spark):
+        rows = store.read_batches(spark).drop("is_remainder", "batch_span")
+        target = store.compaction(store.batches, last)
+        write_batch_store(rows.repartitionByRange("row_no"), target)
+        written = spark.read.parquet(target).count() if total else 0
+        if written != total:
+            raise RuntimeError(f"{written} rows compacted, {total} in the ledger")
+        rejects = store.read_rejects(spark).repartitionByRange(*ORDER).sortWithinPartitions(*ORDER)
+        rejects.write.mode("overwrite").parquet(store.compaction(store.rejects, last))
+        entry = spark.range(1).select(F.lit(total).cast("long").alias("rows"))
+        entry.write.mode("overwrite").parquet(f"{store.compactions}/upto={last}")
+    if vacuum:
+        replaced = []
+        for table in (store.batches, store.rejects):
+            replaced += _numbered_folders(spark, table, "micro", below=last + 1)
+            replaced += _numbered_folders(spark, store.compaction(table, last).rsplit("/", 1)[0], "upto", below=last)
+        remove_paths(spark, replaced)
+    return last
+
+
+def _numbered_folders(spark: SparkSession, parent: str, key: str, below: int) -> list[str]:
+    """Folders ``key=<number>`` in ``parent`` with a smaller number."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(parent)
+    system = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    names = [entry.getPath() for entry in system.listStatus(path)] if system.exists(path) else []
+    numbers = {str(p): p.getName().removeprefix(f"{key}=") for p in names if p.getName().startswith(f"{key}=")}
+    return [p for p, number in numbers.items() if int(number) < below]

@@ -1,4 +1,5 @@
 import os
+import shutil
 
 import pytest
 from pyspark.errors import StreamingQueryException
@@ -177,6 +178,49 @@ def test_export_adds_only_new_batches(spark, tmp_path):
     assert batches.read_batch_files(spark, f"{base}/csv").count() == total
 
 
+def exported_store(spark, base):
+    columns = dict.fromkeys(BATCH_COLUMNS, 0)
+    store = ingest.IngestStore(f"{base}/out")
+    store.write_settings(spark, 100, columns)
+    ingest.ingest_micro_batch(messages(spark), 0, store, batch_size=100, arity=2, positions=columns)
+    ingest.export_batch_files(spark, store, f"{base}/csv", final=True)
+    return store
+
+
+def exported_files(tmp_path):
+    return {p.parent.name: p for p in tmp_path.glob("csv/**/part-*.csv")}
+
+
+def exported_rows(spark, base):
+    return sorted(map(tuple, batches.read_batch_files(spark, f"{base}/csv").collect()), key=repr)
+
+
+def test_export_fills_gaps(spark, tmp_path):
+    """A batch in the middle is lost, another one was never committed; the others stay untouched."""
+    store = exported_store(spark, str(tmp_path))
+    whole, files = exported_rows(spark, tmp_path), exported_files(tmp_path)
+    names = sorted(files, key=lambda n: int(n.split("_")[2]))
+    shutil.rmtree(files[names[4]].parent)
+    committed = spark.read.parquet(f"{tmp_path}/csv/_exported").filter("batch_no <> 8").collect()
+    shutil.rmtree(tmp_path / "csv/_exported")
+    batches.commit_exported(spark.createDataFrame(committed), f"{tmp_path}/csv")
+    files[names[7]].write_text("cut off")
+    before = {n: p.stat().st_mtime_ns for n, p in exported_files(tmp_path).items()}
+    ingest.export_batch_files(spark, store, f"{tmp_path}/csv", final=True)
+    after = exported_files(tmp_path)
+    assert sorted(after) == sorted(files)
+    assert {n for n, at in before.items() if after[n].stat().st_mtime_ns != at} == {names[7]}
+    assert exported_rows(spark, tmp_path) == whole
+    assert {r.batch_no for r in batches.exported_batches(spark, f"{tmp_path}/csv").collect()} == set(range(1, len(names) + 1))
+
+
+def test_a_whole_export_writes_nothing(spark, tmp_path):
+    store = exported_store(spark, str(tmp_path))
+    before = {n: p.stat().st_mtime_ns for n, p in exported_files(tmp_path).items()}
+    ingest.export_batch_files(spark, store, f"{tmp_path}/csv", final=True)
+    assert {n: p.stat().st_mtime_ns for n, p in exported_files(tmp_path).items()} == before
+
+
 def store_rows(spark, store, micro):
     return store.read_ledger(spark).filter(F.col("micro") == micro).first().rows_after
 
@@ -192,6 +236,44 @@ def test_compaction_keeps_the_committed_rows(spark, tmp_path):
     assert compact.committed(spark) == (0, store.committed(spark)[1])
 
 
+@pytest.mark.parametrize("vacuum", [False, True])
+def test_a_stream_goes_on_over_a_compaction(spark, tmp_path, vacuum):
+    base = str(tmp_path)
+    halves = [messages(spark).filter("offset < 900"), messages(spark).filter("offset >= 900")]
+    for place, half in enumerate(halves):
+        deliver(half, f"{base}/topic")
+        stream = topic.stream_topic(spark, f"{base}/topic", per_trigger=1)
+        store = ingest.run_ingest(stream, f"{base}/out", f"{base}/cp", **SETTINGS)
+        if not place:
+            before = rows_of(store.read_batches(spark)), store.read_rejects(spark).count()
+            last = ingest.compact_in_place(spark, store, vacuum)
+            assert last == store.compacted_up_to(spark) == store.committed(spark)[0]
+            assert (rows_of(store.read_batches(spark)), store.read_rejects(spark).count()) == before
+            assert any(tmp_path.glob("out/batches/micro=*")) != vacuum
+    assert rows_of(store.read_batches(spark)) == in_batch(spark)
+    ingest.compact_in_place(spark, store, vacuum)
+    assert rows_of(store.read_batches(spark)) == in_batch(spark)
+    assert len(list(tmp_path.glob("out/compacted/batches/upto=*"))) == 2 - vacuum
+
+
+def test_a_compaction_that_breaks_off_is_not_read(spark, tmp_path, monkeypatch):
+    base = str(tmp_path)
+    topic.write_topic(messages(spark), f"{base}/topic")
+    store = ingest_topic(topic.read_topic(spark, f"{base}/topic"), f"{base}/out", **SETTINGS)
+    monkeypatch.setattr(ingest.IngestStore, "read_rejects", lambda *_: 1 / 0)
+    with pytest.raises(ZeroDivisionError):
+        ingest.compact_in_place(spark, store)
+    monkeypatch.undo()
+    assert store.compacted_up_to(spark) == -1 and rows_of(store.read_batches(spark)) == in_batch(spark)
+    assert ingest.compact_in_place(spark, store, vacuum=True) == 0
+    assert rows_of(store.read_batches(spark)) == in_batch(spark)
+    assert ingest.compact_in_place(spark, store) == 0  # nothing new
+
+
+def test_nothing_to_compact(spark, tmp_path):
+    assert ingest.compact_in_place(spark, ingest.IngestStore(str(tmp_path)), vacuum=True) == -1
+
+
 def test_kafka_options():
     class Reader:
         def __init__(self):
