@@ -321,6 +321,46 @@ ORACLES: dict[str, str] = {
           event_id <= (SELECT max(event_id) // 2 FROM events) AS committed
         FROM ({NUMBERED})""",
 }
+ORACLES["refreshed_itemsets"] = ORACLES["trained_itemsets"]
+
+
+def _snapshot_figures(feature: str) -> str:
+    real = f"CASE WHEN isnan({feature}) THEN NULL ELSE {feature} END"
+    fill = f"coalesce(avg({real}) OVER (), 0.0)" if feature == "Rating" else "CAST(0.0 AS DOUBLE)"
+    filled = f"SELECT {real} AS x, {fill} AS fill, coalesce({real}, {fill}) AS v FROM {{rows}}"
+    return (
+        f"SELECT '{{name}}' AS snapshot, '{feature}' AS feature, count(*) AS row_count, count(*) - count(x) AS missing, "
+        f"{_round('any_value(fill)')} AS fill, {_round('avg(v)')} AS mean, {_round('stddev_samp(v)')} AS deviation "
+        f"FROM ({filled})"
+    )
+
+
+ORACLES["refreshed_statistics"] = " UNION ALL ".join(_per_snapshot(_snapshot_figures(c)) for c in FEATURES)
+ORACLES["snapshot_report"] = f"""
+    SELECT snapshot, count_if(tier <= n)::BIGINT AS rows_read, count_if(tier <= n)::BIGINT AS rows_kept,
+      count_if(tier <= n) > 0 AS trained
+    FROM (SELECT CASE WHEN length(App) <= 9 THEN 2 ELSE 3 END AS tier FROM ({APPS})),
+      (VALUES ('model1', 1), ('model2', 2), ('model3', 3)) AS s(snapshot, n)
+    GROUP BY 1"""
+ORACLES["too_few_batches"] = f"""
+    SELECT count(*) AS row_count, CAST(2 AS BIGINT) AS batches,
+      '2 batches found; the cumulative snapshots need 3' AS said
+    FROM events WHERE {DAMAGE} = 'good'"""
+ORACLES["late_arrivals"] = f"""
+    WITH d AS (SELECT *, event_type NOT IN ('click', 'error') AS later FROM events),
+    latest AS (SELECT max(ts) AS t FROM d WHERE NOT later)
+    SELECT event_id, row_number() OVER w AS row_no,
+      CAST((row_number() OVER w - 1) // {EVENT_BATCH} + 1 AS BIGINT) AS batch_no,
+      CASE WHEN later AND ts < t THEN round((epoch_us(t) - epoch_us(ts)) / 1e6, 3) END AS lateness
+    FROM d, latest WHERE {DAMAGE} = 'good' WINDOW w AS (ORDER BY later, ts, event_id % 3, event_id)"""
+ORACLES["score_stream"] = f"""
+    SELECT delivery, model, status, count(*) AS requests, CAST(0 AS BIGINT) AS wrong
+    FROM (SELECT CASE WHEN request_id > middle THEN 2 ELSE 1 END::BIGINT AS delivery,
+        CASE WHEN o_orderstatus = 'P' AND o_totalprice >= 300000 THEN 'model9' ELSE model END AS model,
+        CASE WHEN o_orderstatus = 'P' THEN 'unknown_model' WHEN request_id <= middle AND o_orderstatus = 'O' THEN 'unknown_model'
+          ELSE status END AS status
+      FROM ({REQUESTS}) JOIN orders ON request_id = o_orderkey, (SELECT max(o_orderkey) // 2 AS middle FROM orders))
+    GROUP BY ALL"""
 # A repaired export holds what a whole one holds, and a compacted store what the stream put there.
 ORACLES["export_repair"] = ORACLES["batch_csv_roundtrip"]
 ORACLES["compacted_ingest"] = ORACLES["stream_ingest"]

@@ -19,8 +19,9 @@ from marketloom.operators.wire import (
     rejected_records,
 )
 from marketloom.plans.ingest import dataset_messages, ingest_topic
-from marketloom.plans.serving import Scorer
-from marketloom.plans.training import train_snapshots
+from marketloom.plans.refresh import Summaries
+from marketloom.plans.serving import Scorer, start_scoring
+from marketloom.plans.training import train_from_store, train_snapshots
 from marketloom.schema import (
     BATCH_COLUMNS,
     CLUSTER_PREFIX,
@@ -269,7 +270,11 @@ def propagated_nan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def row_quality_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return cleaning.profile(cleaning.clean_features(app_rows(spark, sf_dir)))
+    """The profile that staging the cleaned rows has found on its way: one row, no pass of its own."""
+    cleaned = cleaning.clean_features(app_rows(spark, sf_dir)).select("id", *FEATURES, "Category")
+    noted, found = cleaning.observed(cleaned, cleaning.profile_columns(), "profile")
+    staged(noted, "profiled")
+    return spark.range(1).select(*[F.lit(n).cast("long").alias(name) for name, n in found.get.items()])
 
 
 def _tiered_apps(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -289,6 +294,75 @@ def snapshot_mean_fill(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+# --- refresh from summaries, and the guards of training ------------------------
+
+
+def _refreshed_apps(spark: SparkSession, sf_dir: str) -> Summaries:
+    """App rows in two deliveries, each of which is summarised before the next one comes."""
+    base = shared_dir(spark, "refresh")
+    names = ["App", "Category", *FEATURES]
+    apps = app_rows(spark, sf_dir)
+    messages = as_messages(encode_records(apps, names, keep=["id"]), "apps", "id")
+    middle = apps.agg(F.floor(F.max("id") / 3)).first()[0]
+    summaries = Summaries(IngestStore(f"{base}/out"))
+    for part in (F.col("offset") <= middle, F.col("offset") > middle):
+        write_topic(messages.filter(part), f"{base}/topic")
+        run_ingest(
+            stream_topic(spark, f"{base}/topic"),
+            summaries.store.base,
+            f"{base}/checkpoint",
+            batch_size=PART_BATCH,
+            arity=len(names),
+            positions={name: i for i, name in enumerate(names)},
+        )
+        summaries.refresh(spark)
+    return summaries
+
+
+def refreshed_itemsets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Itemsets of all snapshots, added up from the summaries of two refreshes."""
+    found = _refreshed_apps(spark, sf_dir).itemsets(spark)
+    return found.select("snapshot", F.get("items", F.lit(0)).alias("item"), "freq")
+
+
+def refreshed_statistics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fill values, means and deviations of all snapshots, from the same summaries."""
+    found = _refreshed_apps(spark, sf_dir).statistics(spark)
+    return found.select(
+        "snapshot", "feature", "row_count", "missing", *[rounded(F.col(c)).alias(c) for c in ("fill", "mean", "deviation")]
+    )
+
+
+def snapshot_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What training reports where no row belongs to the first snapshot: it is left out, the others are trained."""
+    tier = F.when(F.length("App") <= 9, 2).otherwise(3)
+    report = train_snapshots(
+        app_rows(spark, sf_dir).withColumn("tier", tier), shared_dir(spark, "models"), kinds=["fpgrowth"]
+    )
+    trained = {path.rsplit(ITEMSET_PREFIX, 1)[1] for path in report.artifacts}
+    rows = [(name, report.rows_read[name], report.rows_kept[name], name in trained) for name in SNAPSHOTS]
+    return spark.createDataFrame(rows, "snapshot string, rows_read long, rows_kept long, trained boolean")
+
+
+def too_few_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events that fill two batches, and what training says of them."""
+    base = shared_dir(spark, "two-batches")
+    write_topic(_event_topic(spark, sf_dir), f"{base}/topic")
+    topic = read_topic(spark, f"{base}/topic")
+    accepted = judged_records(parse_messages(topic)).filter("reason IS NULL").count()
+    store = ingest_topic(topic, f"{base}/out", batch_size=-(-accepted // 2))
+    try:
+        train_from_store(spark, store, f"{base}/models")
+        said = None
+    except ValueError as error:
+        said = str(error)
+    return store.read_batches(spark).agg(
+        F.count(F.lit(1)).alias("row_count"),
+        F.count_distinct("batch_no").alias("batches"),
+        F.lit(said).alias("said"),
+    )
+
+
 # --- mining -------------------------------------------------------------------
 
 
@@ -574,6 +648,42 @@ def score_request_status(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def score_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Requests in two deliveries. Before the first, one model is saved; before the second it is replaced and another added.
+
+    Counts by delivery, model and status, and how many answers differ from the
+    pipeline that was saved under that name at the time.
+    """
+    base = shared_dir(spark, "serving")
+    tiered = staged(cleaning.clean_features(_tiered_apps(spark, sf_dir)).select(*FEATURES, "Category", "tier"), "apps")
+    complete = cleaning.drop_incomplete(cleaning.fill_missing(tiered)).select(*FEATURES, "tier")
+    first = models.fit_clusters(snapshots.snapshot(complete, "model1").select(*FEATURES))
+    whole = models.fit_clusters(complete.select(*FEATURES), k=4)
+    saved = [{"model1": first}, {"model1": whole, "model3": whole}]
+    requests = score_request_bodies(spark, sf_dir).withColumn("request_id", F.col("request_id").cast("string"))
+    middle = table(spark, sf_dir, "orders").agg(F.floor(F.max("o_orderkey") / 2)).first()[0]
+    parts = []
+    for delivery, later in enumerate((False, True)):
+        for name, model in saved[delivery].items():
+            artifacts.save_model(model, f"{base}/models", CLUSTER_PREFIX + name)
+        delivered = requests.filter((F.col("request_id").cast("long") > middle) == later)
+        delivered.write.mode("append").json(f"{base}/requests")
+        stream = spark.readStream.schema("request_id string, model string, body string").json(f"{base}/requests")
+        start_scoring(stream, f"{base}/models", f"{base}/answers", f"{base}/checkpoint").awaitTermination()
+        named = [CLUSTER_PREFIX + name for name in saved[delivery]]
+        parsed = scoring.parse_requests(delivered, CLUSTER_PREFIX, named).select("request_id", "artifact", "status", *FEATURES)
+        for name, model in saved[delivery].items():
+            own = parsed.filter((F.col("artifact") == CLUSTER_PREFIX + name) & (F.col("status") == "ok"))
+            predicted = models.predict_clusters(own, model)
+            parts.append(predicted.select("request_id", F.col("predicted_cluster_id").alias("own")))
+    expected = parts[0].unionAll(parts[1]).unionAll(parts[2])
+    answers = spark.read.parquet(f"{base}/answers").join(expected, "request_id", "left")
+    wrong = ~F.col("predicted_cluster_id").eqNullSafe(F.col("own"))
+    return answers.groupBy((F.col("micro") + 1).cast("long").alias("delivery"), "model", "status").agg(
+        F.count(F.lit(1)).alias("requests"), F.count_if(wrong).alias("wrong")
+    )
+
+
 def itemset_json(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Itemsets saved, loaded and answered as JSON, shown as the fields of that JSON."""
     path = shared_dir(spark, "itemsets")
@@ -657,10 +767,24 @@ def compacted_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def late_arrivals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events of all times in two deliveries: numbers follow the deliveries, and late rows tell by how much."""
+    base = shared_dir(spark, "late")
+    events = table(spark, sf_dir, "events").select("event_id", F.col("event_type").isin("click", "error").alias("_first"))
+    topic = _event_topic(spark, sf_dir).join(events, F.col("offset") == F.col("event_id")).drop("event_id")
+    for first in (True, False):
+        write_topic(topic.filter(F.col("_first") == first).drop("_first"), f"{base}/topic")
+        stream = stream_topic(spark, f"{base}/topic")
+        store = run_ingest(stream, f"{base}/out", f"{base}/checkpoint", batch_size=EVENT_BATCH)
+    return store.read_arrivals(spark).select(
+        F.col("offset").alias("event_id"), "row_no", "batch_no", F.round("lateness", 3).alias("lateness")
+    )
+
+
 class _NoLedger(IngestStore):
     """A store whose writer dies after the rows and before the ledger entry."""
 
-    def write_ledger(self, spark: SparkSession, micro_batch: int, before: int, rows: int) -> None:
+    def write_ledger(self, spark: SparkSession, *entry: int) -> None:
         return
 
 
@@ -760,5 +884,11 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         topic_ingest,
         first_batches,
         ingest_after_crash,
+        late_arrivals,
+        refreshed_itemsets,
+        refreshed_statistics,
+        snapshot_report,
+        too_few_batches,
+        score_stream,
     )
 }

@@ -1,4 +1,4 @@
-"""Jobs for spark-submit: publish, ingest, export, compact, train, score, itemsets."""
+"""Jobs for spark-submit: publish, ingest, export, compact, train, refresh, register, score, serve, itemsets."""
 
 from __future__ import annotations
 
@@ -7,10 +7,12 @@ import argparse
 from pyspark.sql import SparkSession
 
 from marketloom.plans.ingest import publish_dataset
-from marketloom.plans.serving import Scorer
+from marketloom.plans.refresh import refresh_itemsets
+from marketloom.plans.serving import Scorer, start_scoring
 from marketloom.plans.training import train_from_files, train_from_store
 from marketloom.schema import BATCH_SIZE, PER_TRIGGER
 from marketloom.session import staging
+from marketloom.sources.artifacts import register_artifacts
 from marketloom.sources.topic import stream_topic
 from marketloom.streaming.ingest import (
     IngestStore,
@@ -74,9 +76,25 @@ def _train(spark: SparkSession, args: argparse.Namespace) -> None:
     print(report)
 
 
+REQUEST = "request_id string, model string, body string"
+
+
+def _serve(spark: SparkSession, args: argparse.Namespace) -> None:
+    requests = spark.readStream.schema(REQUEST).json(args.requests)
+    start_scoring(requests, args.models, args.output, args.checkpoint, args.kind, args.every).awaitTermination()
+
+
+def _register(spark: SparkSession, args: argparse.Namespace) -> None:
+    print(register_artifacts(spark, args.models))
+
+
+def _refresh(spark: SparkSession, args: argparse.Namespace) -> None:
+    print(refresh_itemsets(spark, IngestStore(args.store), args.models))
+
+
 def _score(spark: SparkSession, args: argparse.Namespace) -> None:
     scorer = Scorer(spark, args.models)
-    requests = spark.read.json(args.requests, schema="request_id string, model string, body string")
+    requests = spark.read.json(args.requests, schema=REQUEST)
     answer = scorer.clusters if args.kind == "clusters" else scorer.projections
     answer(requests).drop("input_features").write.mode("overwrite").parquet(args.output)
 
@@ -131,8 +149,13 @@ def _parser() -> argparse.ArgumentParser:
     train.add_argument("--order", choices=["numeric", "lexical"], default="numeric")
     train.add_argument("--nan", choices=["missing", "propagate"], default="missing")
 
-    score = job("score", _score, "models", "requests", "output")
-    score.add_argument("--kind", choices=["clusters", "projections"], default="clusters")
+    job("refresh", _refresh, "store", "models")
+    job("register", _register, "models")
+
+    serve = job("serve", _serve, "models", "requests", "output", "checkpoint")
+    serve.add_argument("--every", help="interval; without it, answer what there is and stop")
+    for sub in (serve, job("score", _score, "models", "requests", "output")):
+        sub.add_argument("--kind", choices=["clusters", "projections"], default="clusters")
 
     job("itemsets", _itemsets, "models", "model", "output")
     return parser

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from marketloom.functions import installs_number, plain_number, price_number, size_megabytes
@@ -41,7 +41,12 @@ def mean_fill_value(df: DataFrame, column: str = MEAN_FILLED, nan: str = "missin
 def snapshot_statistics(
     df: DataFrame, tier: str = "tier", column: str = MEAN_FILLED, nan: str = "missing"
 ) -> DataFrame:
-    """One row with ``fill_s``, ``rows_s`` and ``kept_s`` per cumulative snapshot, from one pass.
+    """One row with the columns of ``snapshot_columns``, from one pass."""
+    return df.agg(*snapshot_columns(tier, column, nan))
+
+
+def snapshot_columns(tier: str = "tier", column: str = MEAN_FILLED, nan: str = "missing") -> list[Column]:
+    """Aggregates ``fill_s``, ``rows_s`` and ``kept_s`` per cumulative snapshot.
 
     The fill value is the mean of a snapshot, ``rows_s`` counts its rows, and
     ``kept_s`` those that are complete after filling: all of them, or only the
@@ -58,7 +63,7 @@ def snapshot_statistics(
             rows.alias(f"rows_{s}"),
             F.when(F.isnan(fill), F.count_if(rated)).otherwise(rows).alias(f"kept_{s}"),
         ]
-    return df.agg(*columns)
+    return columns
 
 
 def snapshot_fill(fills: DataFrame, snapshot: Column) -> Column:
@@ -114,18 +119,29 @@ def missing_count(column: str, numeric: bool) -> Column:
 def profile(
     df: DataFrame, numeric: Sequence[str] = FEATURES, text: Sequence[str] = (ITEM_COLUMN,)
 ) -> DataFrame:
-    """One row: all rows, complete rows, and missing values per column, in one pass."""
+    """One row with the columns of ``profile_columns``, by a pass of its own."""
+    return df.agg(*profile_columns(numeric, text))
+
+
+def observed(df: DataFrame, columns: Sequence[Column], name: str) -> tuple[DataFrame, Observation]:
+    """``df`` and what its next write will have found of ``columns``, aggregates that this write computes on its way."""
+    found = Observation(name)
+    return df.observe(found, *columns), found
+
+
+def profile_columns(numeric: Sequence[str] = FEATURES, text: Sequence[str] = (ITEM_COLUMN,)) -> list[Column]:
+    """Aggregates: all rows, complete rows, and missing values per column."""
     incomplete = F.lit(False)
     for c in numeric:
         incomplete = incomplete | F.col(c).isNull() | F.isnan(c)
     for c in text:
         incomplete = incomplete | F.col(c).isNull()
-    return df.agg(
+    return [
         F.count(F.lit(1)).alias("row_count"),
         F.count_if(~incomplete).alias("complete_rows"),
         *[missing_count(c, True).alias(f"missing_{c.lower()}") for c in numeric],
         *[missing_count(c, False).alias(f"missing_{c.lower()}") for c in text],
-    )
+    ]
 
 
 def schema_listing(df: DataFrame) -> Mapping[str, str]:

@@ -14,7 +14,9 @@ from marketloom.operators.cleaning import (
     clean_features,
     drop_incomplete,
     fill_missing,
-    snapshot_statistics,
+    observed,
+    profile_columns,
+    snapshot_columns,
 )
 from marketloom.operators.mining import item_support
 from marketloom.operators.models import fit_clusters, fit_deviations, fit_projection
@@ -42,14 +44,15 @@ log = logging.getLogger(__name__)
 
 @dataclass
 class TrainingReport:
-    """Rows read and kept per snapshot, and the paths written."""
+    """Rows read and kept per snapshot, missing values of all rows, and the paths written."""
 
     rows_read: dict[str, int] = field(default_factory=dict)
     rows_kept: dict[str, int] = field(default_factory=dict)
+    profile: dict[str, int] = field(default_factory=dict)
     artifacts: list[str] = field(default_factory=list)
 
 
-def _require_batches(found: int) -> None:
+def require_batches(found: int) -> None:
     if found < MINIMUM_BATCHES:
         raise ValueError(
             f"{found} batches found; the cumulative snapshots need {MINIMUM_BATCHES}"
@@ -59,7 +62,7 @@ def _require_batches(found: int) -> None:
 def tiered_batch_files(spark: SparkSession, path: str, order: str = "numeric") -> DataFrame:
     """Text rows of CSV batches with the first snapshot (``tier``) that holds each."""
     first = first_batches(list_batch_files(spark, path), order)
-    _require_batches(len(first))
+    require_batches(len(first))
     rows = read_batch_files(spark, path)
     return rows.withColumn("tier", tier_of_name(F.col("file_name"), first)).drop("file_name")
 
@@ -68,17 +71,20 @@ def tiered_batch_store(spark: SparkSession, store: IngestStore) -> DataFrame:
     """The same from the committed rows of a batch store, whose batches are numbered in order."""
     rows = store.read_batches(spark)
     last = rows.agg(F.max("batch_no").alias("n")).first()["n"] or 0
-    _require_batches(last)
+    require_batches(last)
     return rows.withColumn("tier", tier_of_rank(F.col("batch_no")))
 
 
-def stage_features(rows: DataFrame) -> DataFrame:
-    """Cleaned features, item and tier as a table in the shared folder.
+def stage_features(rows: DataFrame, nan: str = "missing") -> tuple[DataFrame, dict]:
+    """Cleaned features, item and tier as a table in the shared folder, and what writing it has found.
 
     The text is read and cleaned once; every later pass reads seven narrow
-    columns, and only the directories of its snapshot.
+    columns, and only the directories of its snapshot. Fill values, row counts and
+    the profile of missing values come from the same pass, as it writes.
     """
-    return staged(clean_features(rows).select(*FEATURES, ITEM_COLUMN, "tier"), "features", ["tier"])
+    cleaned = clean_features(rows).select(*FEATURES, ITEM_COLUMN, "tier")
+    noted, found = observed(cleaned, [*snapshot_columns(nan=nan), *profile_columns()], "features")
+    return staged(noted, "features", ["tier"]), found.get
 
 
 def train_snapshots(
@@ -100,8 +106,8 @@ def _train_staged(
     rows: DataFrame, models: str, nan: str, k: int, seed: int, components: int, min_support: float, kinds: Sequence[str]
 ) -> TrainingReport:
     report = TrainingReport()
-    features = stage_features(rows)
-    stats = snapshot_statistics(features, nan=nan).first()
+    features, stats = stage_features(rows, nan)
+    report.profile = {name: stats[name] for name in stats if name.split("_")[0] not in ("fill", "rows", "kept")}
 
     def train(tier: int) -> list[str]:
         name = SNAPSHOTS[tier - 1]

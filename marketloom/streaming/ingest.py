@@ -16,6 +16,7 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from marketloom.operators.batching import batch_span, is_remainder, number_in_order
+from marketloom.operators.cleaning import observed
 from marketloom.operators.wire import (
     accepted_records,
     judged_records,
@@ -43,6 +44,7 @@ _MICRO = T.StructField("micro", T.IntegerType())
 LEDGER_SCHEMA = T.StructType(
     [*[T.StructField(name, T.LongType()) for name in ("rows_before", "valid_rows", "rows_after")], _MICRO]
 )
+ARRIVAL_SCHEMA = T.StructType([T.StructField("latest", T.LongType()), _MICRO])
 REJECT_SCHEMA = T.StructType(
     [
         *_ORDER_FIELDS,
@@ -92,6 +94,7 @@ class IngestStore:
         self.batches = f"{self.base}/batches"
         self.rejects = f"{self.base}/rejects"
         self.ledger = f"{self.base}/ledger"
+        self.arrivals = f"{self.base}/arrivals"
         self.compacted = f"{self.base}/compacted"
         self.compactions = f"{self.base}/compactions"
 
@@ -116,6 +119,21 @@ class IngestStore:
         if _readable(spark, self.ledger) and not _readable(spark, f"{checkpoint}/metadata"):
             raise ValueError(f"{self.base} has rows already, but {checkpoint} has no progress")
 
+    def latest_before(self, spark: SparkSession, micro_batch: int) -> int | None:
+        """The latest timestamp of earlier micro-batches in microseconds, None if there is none."""
+        entry = self._read_latest(spark).filter(F.col("micro") == micro_batch - 1).first()
+        return None if entry is None else entry["latest"]
+
+    def _read_latest(self, spark: SparkSession) -> DataFrame:
+        if not _readable(spark, self.arrivals):
+            return spark.createDataFrame([], ARRIVAL_SCHEMA)
+        return spark.read.schema(ARRIVAL_SCHEMA).parquet(self.arrivals)
+
+    def write_latest(self, spark: SparkSession, micro_batch: int, latest: int | None) -> None:
+        """Note the latest timestamp up to a micro-batch; like its rows, it counts once the ledger entry is there."""
+        row = spark.range(1).select(F.lit(latest).cast("long").alias("latest"))
+        row.write.mode("overwrite").parquet(self.micro(self.arrivals, micro_batch))
+
     def write_ledger(self, spark: SparkSession, micro_batch: int, before: int, rows: int) -> None:
         (
             spark.range(1)
@@ -139,6 +157,18 @@ class IngestStore:
         remainder = is_remainder(F.col("batch_no"), total, known["batch_size"])
         return rows.withColumn("is_remainder", remainder)
 
+    def read_arrivals(self, spark: SparkSession) -> DataFrame:
+        """``read_batches`` with ``lateness``, in seconds behind the latest message of earlier micro-batches.
+
+        Rows are numbered by micro-batch first and by time within it, once and for
+        all: a message that comes late follows those that came before, whatever
+        their timestamps, and no number ever changes. NULL for rows in time.
+        """
+        entries = self._read_latest(spark).select((F.col("micro") + 1).alias("micro"), "latest")
+        behind = (F.col("latest") - F.unix_micros("timestamp")) / 1e6
+        rows = self.read_batches(spark).join(entries, "micro", "left")
+        return rows.withColumn("lateness", F.when(behind > 0, behind)).drop("latest")
+
     def committed(self, spark: SparkSession) -> tuple[int, int]:
         """The last micro-batch in the ledger, -1 if there is none, and the rows up to it."""
         last = self.read_ledger(spark).agg(F.max(F.struct("micro", "rows_after")).alias("m")).first()["m"]
@@ -208,15 +238,20 @@ def ingest_micro_batch(
     written to the shared folder, whatever its size, and removed at the end.
     """
     spark = messages.sparkSession
-    before = store.rows_before(spark, micro_batch)
+    before, latest = store.rows_before(spark, micro_batch), store.latest_before(spark, micro_batch)
     parsed = parse_messages(messages.select(*ORDER, "value"), arity)
+    judged, seen = observed(
+        judged_records(parsed, ORDER, positions), [F.max(F.unix_micros("timestamp")).alias("latest")], "arrivals"
+    )
     with staging(spark):
-        judged = staged(judged_records(parsed, ORDER, positions), "judged")
+        judged = staged(judged, "judged")
         numbered, rows = number_in_order(accepted_records(judged), ORDER, batch_size, before)
         write_batch_store(numbered, store.micro(store.batches, micro_batch))
         rejected_records(judged, ORDER).write.mode("overwrite").parquet(
             store.micro(store.rejects, micro_batch)
         )
+    latest = max((t for t in (latest, seen.get["latest"]) if t is not None), default=None)
+    store.write_latest(spark, micro_batch, latest)
     store.write_ledger(spark, micro_batch, before, rows)
     return rows
 
@@ -296,12 +331,13 @@ def compact_store(spark: SparkSession, store: IngestStore, path: str) -> IngestS
     micro-batches of a stream count from zero.
     """
     compact = IngestStore(path)
-    known, (_, rows) = store.settings(spark), store.committed(spark)
+    known, (last, rows) = store.settings(spark), store.committed(spark)
     compact.write_settings(spark, known["batch_size"], dict.fromkeys(known["columns"], 0))
     batches = store.read_batches(spark).drop("is_remainder", "batch_span", "micro")
     write_batch_store(batches.repartitionByRange("row_no"), compact.micro(compact.batches, 0))
     rejects = store.read_rejects(spark).drop("micro")
     rejects.write.mode("overwrite").parquet(compact.micro(compact.rejects, 0))
+    compact.write_latest(spark, 0, store.latest_before(spark, last + 1))
     compact.write_ledger(spark, 0, 0, rows)
     return compact
 

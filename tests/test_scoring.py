@@ -1,10 +1,12 @@
 import json
+from concurrent.futures import ThreadPoolExecutor
 
 import pytest
 
 from marketloom.operators import models, scoring
 from marketloom.operators.cleaning import FEATURES
-from marketloom.plans.serving import Scorer
+from marketloom.plans import serving
+from marketloom.plans.serving import Scorer, start_scoring
 from marketloom.sources import artifacts
 
 GOOD = {"Rating": 3.25, "Reviews": 812.0, "Size": 17.75, "Installs": 64000.0, "Price": 2.5}
@@ -178,3 +180,61 @@ def test_only_named_models_are_loaded(spark, fitted, tmp_path):
     named = spark.createDataFrame([("model2", body()), ("model9", body())], "model string, body string")
     assert sorted(r.status for r in scorer.clusters(named).collect()) == ["ok", "unknown_model"]
     assert list(scorer.models) == ["kmeans_model2"]
+
+
+def answered(spark, tmp_path, delivery, rows):
+    """Deliver requests, run the scoring stream, and give back the answers of this delivery by id."""
+    spark.createDataFrame(rows, "request_id string, model string, body string").write.mode("append").json(str(tmp_path / "in"))
+    stream = spark.readStream.schema("request_id string, model string, body string").json(str(tmp_path / "in"))
+    start_scoring(stream, str(tmp_path / "models"), str(tmp_path / "out"), str(tmp_path / "cp")).awaitTermination()
+    got = spark.read.parquet(str(tmp_path / "out")).filter(f"micro = {delivery}").collect()
+    return {r.request_id: (r.code, r.predicted_cluster_id) for r in got}
+
+
+def test_a_stream_is_answered_by_the_models_of_the_moment(spark, fitted, tmp_path):
+    base, good = str(tmp_path / "models"), body()
+    model = fitted["kmeans_model1"]
+    artifacts.save_model(model, base, "kmeans_model1")
+    own = models.predict_clusters(spark.createDataFrame([tuple(json.loads(good)[c] for c in FEATURES)], FEATURES), model).first().predicted_cluster_id
+    rows = [("a", "model1", good), ("b", "model2", good), ("c", "model1", "{}")]
+    assert answered(spark, tmp_path, 0, rows) == {"a": (200, own), "b": (404, None), "c": (400, None)}
+    one = models.fit_clusters(spark.createDataFrame([(1.0, 2.0, 3.0, 4.0, 5.0)] * 3, FEATURES), k=2)
+    artifacts.save_model(one, base, "kmeans_model1")
+    artifacts.save_model(model, base, "kmeans_model2")
+    assert answered(spark, tmp_path, 1, [("d", "model1", good), ("e", "model2", good)]) == {"d": (200, 0), "e": (200, own)}
+    assert spark.read.parquet(str(tmp_path / "out")).count() == 5
+
+
+def test_replaced_models_are_loaded_again(spark, fitted, tmp_path, monkeypatch):
+    loaded = []
+    load = artifacts.load_models
+    monkeypatch.setattr(serving, "load_models", lambda s, b, names: loaded.append(list(names)) or load(s, b, names))
+    artifacts.save_model(fitted["kmeans_model1"], str(tmp_path), "kmeans_model1")
+    scorer = Scorer(spark, str(tmp_path))
+    requests = spark.createDataFrame([("model1", body())], "model string, body string")
+    for _ in range(2):
+        assert scorer.clusters(requests).first().status == "ok"
+    artifacts.save_model(fitted["kmeans_model1"], str(tmp_path), "kmeans_model1")
+    assert scorer.clusters(requests).first().status == "ok"
+    assert [names for names in loaded if names] == [["kmeans_model1"], ["kmeans_model1"]]
+
+
+def test_artifacts_are_recorded(spark, tmp_path):
+    base = str(tmp_path / "models")
+    assert artifacts.recorded_artifacts(spark, base) is None and artifacts.known_artifacts(spark, base).count() == 0
+    itemsets = spark.createDataFrame([(["A"], 2)], "items array<string>, freq bigint")
+    itemsets.write.parquet(f"{base}/fpgrowth_results_old")
+    assert [(r.name, r.version) for r in artifacts.known_artifacts(spark, base).collect()] == [("fpgrowth_results_old", None)]
+    with ThreadPoolExecutor(4) as pool:
+        list(pool.map(lambda n: artifacts.save_itemsets(itemsets, base, f"fpgrowth_results_{n}"), range(4)))
+    first = {r.name: r.version for r in artifacts.recorded_artifacts(spark, base).collect()}
+    assert sorted(first) == [f"fpgrowth_results_{n}" for n in range(4)]
+    artifacts.save_itemsets(itemsets, base, "fpgrowth_results_0")
+    second = {r.name: r.version for r in artifacts.recorded_artifacts(spark, base).collect()}
+    assert {n for n in first if first[n] != second[n]} == {"fpgrowth_results_0"}
+    assert artifacts.register_artifacts(spark, base) == ["fpgrowth_results_old"]
+    assert artifacts.register_artifacts(spark, base) == []
+    listed = artifacts.recorded_artifacts(spark, base).collect()
+    assert {(r.name, r.path, r.kind, r.snapshot) for r in listed if r.snapshot == "old"} == {
+        ("fpgrowth_results_old", f"{base}/fpgrowth_results_old", "fpgrowth", "old")
+    }

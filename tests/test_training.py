@@ -3,6 +3,7 @@
 import csv
 import json
 import math
+import os
 
 import pytest
 from pyspark.sql import functions as F
@@ -98,6 +99,17 @@ def test_propagated_nan_keeps_rated_rows_only(spark, batch_dir, tmp_path):
     assert list(report.rows_kept.values()) == rated
 
 
+def test_training_reports_a_profile_and_leaves_nothing_staged(spark, batch_dir, tmp_path):
+    shared = spark.conf.get("spark.checkpoint.dir")
+    before = set(os.listdir(shared)) if os.path.isdir(shared) else set()
+    report = training.train_from_files(spark, batch_dir, str(tmp_path / "m"), kinds=["fpgrowth"])
+    numbers = [n * 100 + i for n in range(1, 12) for i in range(20 if n == 11 else 40)]
+    assert report.profile["row_count"] == len(numbers)
+    assert report.profile["missing_rating"] == sum(app(i)[2] not in ("4.5", "3.0") for i in numbers)
+    assert report.profile["missing_category"] == sum(not app(i)[1] for i in numbers)
+    assert {n for n in os.listdir(shared) if not n.startswith(".")} <= before
+
+
 def test_too_few_batches(spark, batch_dir, tmp_path):
     rows = spark.range(5).select("id", F.lit(b"a,b").alias("value"))
     store = ingest_topic(as_messages(rows, "t", "id"), str(tmp_path / "store"), arity=2, positions={"App": 0})
@@ -153,6 +165,13 @@ def test_jobs_from_dataset_to_answers(spark, tmp_path):
               "--output", at(kind), "--kind", kind])
         got = spark.read.parquet(at(kind)).orderBy("request_id").collect()
         assert [r.code for r in got] == [200, 400]
+    main(["serve", "--models", at("from_store"), "--requests", at("requests*"), "--output", at("served"), "--checkpoint", at("cp2")])
+    assert [r.code for r in spark.read.parquet(at("served")).orderBy("request_id").collect()] == [200, 400]
+    before = {name: second.itemsets(name).collect() for name in SNAPSHOTS}
+    main(["compact", "--store", at("store"), "--vacuum"])
+    main(["refresh", "--store", at("store"), "--models", at("from_store")])
+    assert {name: second.itemsets(name).collect() for name in SNAPSHOTS} == before
+    main(["register", "--models", at("from_store")])
     main(["itemsets", "--models", at("from_store"), "--model", "model1", "--output", at("sets")])
     lines = [json.loads(r.value) for r in spark.read.text(at("sets")).collect()]
     assert {line["results_used"] for line in lines} == {"fpgrowth_results_model1"}
