@@ -35,14 +35,16 @@ WITH d AS (
   SELECT r, line, len(regexp_extract_all(line, '[^\x20\x09-\x0D]+')) AS words,
     len(regexp_extract_all(line, '[#*$%&<>]{{2,}}')) AS symbols,
     len(regexp_extract_all(line, '[!?]{{2,}}')) AS shouts,
-    len(regexp_extract_all(line, '[|»›•·]')) AS bars
+    len(regexp_extract_all(line, '[|»›•·]')) AS bars,
+    len(regexp_extract_all(array_to_string(regexp_extract_all(lower(line),
+      'accept all cookies|all rights reserved|back to top|click here|cookie policy|'
+      || 'enable javascript|follow us on|lorem ipsum|privacy policy|sign up for our newsletter|skip to content|'
+      || 'terms of service|terms of use'), ' '), '[^\x20\x09-\x0D]+')) AS mentions
   FROM d, unnest(string_split(text, chr(10))) AS t(line)
 ), failed AS (
   SELECT *, (words >= 10 AND NOT regexp_matches(line, '[.!?:;]')) OR (symbols > 0 AND 5 * symbols >= words)
     OR (shouts > 0 AND 5 * shouts >= words) OR (bars >= 2 AND 5 * bars >= words)
-    OR regexp_matches(lower(line), 'accept all cookies|all rights reserved|back to top|click here|cookie policy|'
-      || 'enable javascript|follow us on|lorem ipsum|privacy policy|sign up for our newsletter|skip to content|'
-      || 'terms of service|terms of use') AS fails
+    OR (mentions > 0 AND 5 * mentions >= words) AS fails
   FROM lines
 ), per AS (
   SELECT r, sum(words) FILTER (fails) AS lost,

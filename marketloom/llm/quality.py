@@ -49,16 +49,14 @@ def judge_lines(
     text: str = "text",
     loss_percent: int = LOSS_PERCENT,
     carry: list[str] | None = None,
-    words_per_phrase: int | None = None,
 ) -> DataFrame:
     """Every row of ``df`` with word figures, ``base_failed``, ``clean_text``, ``lost_words`` and ``kept``.
 
     A line fails by punctuation (``UNMARKED_WORDS`` words or more without a
     sentence mark, or runs of symbols or of exclamation marks in one of
     ``WORDS_PER_MARK`` words), as navigation (as many separators, two at least) or
-    as boilerplate (a listed phrase, in any case; with ``words_per_phrase`` only where
-    the words of its phrases are one in so many, at least). ``clean_text`` is the rest, in
-    order. A text is kept unless it fails on the whole (under ``MIN_WORDS`` words,
+    as boilerplate (listed phrases, in any case, whose words are one in as many, so
+    that a long line may mention one). ``clean_text`` is the rest, in order. A text is kept unless it fails on the whole (under ``MIN_WORDS`` words,
     or over ``REPEAT_PERCENT`` of a hundred in repeated three-word windows) or
     loses more than ``loss_percent`` of a hundred words with its lines.
 
@@ -79,7 +77,7 @@ def judge_lines(
             F.transform(_window_numbers(), lambda i: F.xxhash64(_word(i), _word(i + 1), _word(i + 2)))
         ),
         spoken=F.filter("lines", lambda line: line.rlike(WORD)),
-        failed=F.filter("lines", lambda line: _line_fails(line, words_per_phrase)),
+        judged=F.transform("lines", lambda line: F.struct(line.alias("line"), _line_fails(line).alias("fails"))),
     )
     # Equal windows have equal hashes; only texts with equal hashes need the sort, which compares the words.
     rows = _pin(
@@ -95,7 +93,9 @@ def judge_lines(
         ),
         n_words=F.size("words").cast("long"),
         lost_words=F.aggregate(
-            "failed", F.lit(0).cast("long"), lambda total, line: total + F.regexp_count(line, F.lit(WORD))
+            F.filter("judged", lambda x: x["fails"]),
+            F.lit(0).cast("long"),
+            lambda total, x: total + F.regexp_count(x["line"], F.lit(WORD)),
         ),
     )
     rows = _pin(rows, n_repeat_words=_repeat_words())
@@ -113,10 +113,8 @@ def judge_lines(
         "kept": ~base_failed & (100 * F.col("lost_words") <= loss_percent * F.col("n_words")),
     }
     if carry is None:
-        clean = F.when(
-            F.size("failed") > 0,
-            F.array_join(F.filter("lines", lambda line: ~F.array_contains("failed", line)), "\n"),
-        ).otherwise(F.col("text"))
+        left = F.transform(F.filter("judged", lambda x: ~x["fails"]), lambda x: x["line"])
+        clean = F.when(F.exists("judged", lambda x: x["fails"]), F.array_join(left, "\n")).otherwise(F.col("text"))
         results["clean_text"] = clean
     return with_results(rows, names, results)
 
@@ -150,18 +148,15 @@ def _repeat_words() -> Column:
     return F.coalesce(F.size(F.array_distinct(F.flatten(places))), F.lit(0)).cast("long")
 
 
-def _line_fails(line: Column, words_per_phrase: int | None) -> Column:
+def _line_fails(line: Column) -> Column:
     words = F.regexp_count(line, F.lit(WORD))
     separators = F.regexp_count(line, F.lit(SEPARATOR))
     phrases = "|".join(BOILERPLATE)
-    boilerplate = F.lower(line).rlike(phrases)
-    if words_per_phrase:
-        held = F.array_join(F.regexp_extract_all(F.lower(line), F.lit(phrases), F.lit(0)), " ")
-        boilerplate &= words_per_phrase * F.regexp_count(held, F.lit(WORD)) >= words
+    held = F.array_join(F.regexp_extract_all(F.lower(line), F.lit(phrases), F.lit(0)), " ")
     return (
         (~line.rlike(SENTENCE_MARK) & (words >= UNMARKED_WORDS))
         | (line.rlike(SYMBOL_RUN) & (WORDS_PER_MARK * F.regexp_count(line, F.lit(SYMBOL_RUN)) >= words))
         | (line.rlike(SHOUT_RUN) & (WORDS_PER_MARK * F.regexp_count(line, F.lit(SHOUT_RUN)) >= words))
         | (line.rlike(SEPARATOR) & (separators >= 2) & (WORDS_PER_MARK * separators >= words))
-        | boilerplate
+        | (F.lower(line).rlike(phrases) & (WORDS_PER_MARK * F.regexp_count(held, F.lit(WORD)) >= words))
     )

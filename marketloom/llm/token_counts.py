@@ -3,10 +3,12 @@
 A document is cut into the tokenizer's pre-tokens, which are encoded one by one.
 Runs of them are the leaves of a segment tree that holds the characters and the
 tokens of every subtree, so the leaf at a place is found, and the sums above it
-renewed, in steps as many as the tree is high. A pre-token depends on the text
-from its start on, to the second character after it. An edit therefore leaves
-alone whatever ends two characters before it, and everything from the first old
-leaf on that the new pre-tokens meet again.
+renewed, in steps as many as the tree is high. The name of an added token is a
+piece of its own, and the text before it ends there. A pre-token so depends on the
+text from its start on, to the second character after it, where a name may begin.
+An edit therefore leaves alone whatever ends that far before it, the longest name
+included, and everything from the first old leaf on that the new pre-tokens meet
+again.
 """
 
 from __future__ import annotations
@@ -40,6 +42,26 @@ class Counter:
     encode: Encoder
     known: dict[str, int] = field(default_factory=dict)
 
+    def __post_init__(self) -> None:
+        names = sorted(self.encode.special, key=len, reverse=True)  # of two names at a place the longer one counts
+        self.names = regex.compile("|".join(map(regex.escape, names))) if names else None
+        self.context = CONTEXT + max(map(len, names), default=0)
+
+    def spans(self, text: str) -> Iterator[tuple[int, int]]:
+        """Where the pre-tokens of a text start and end, names of added tokens among them."""
+        at = 0
+        for name in self.names.finditer(text) if self.names and any(n in text for n in self.encode.special) else ():
+            yield from ((at + m.start(), at + m.end()) for m in PIECES.finditer(text[at : name.start()]))
+            yield name.span()
+            at = name.end()
+        rest = text[at:] if at else text
+        yield from ((at + m.start(), at + m.end()) for m in PIECES.finditer(rest))
+
+    def pieces(self, text: str) -> list[str]:
+        if not any(name in text for name in self.encode.special):
+            return PIECES.findall(text)
+        return [text[a:b] for a, b in self.spans(text)]
+
     def counts(self, pieces: list[str]) -> list[int]:
         known = self.known
         if len(known) > REMEMBERED:
@@ -104,7 +126,7 @@ class TokenTree:
 
 
 def build(text: str, counter: Counter) -> TokenTree:
-    pieces = PIECES.findall(text)
+    pieces = counter.pieces(text)
     return TokenTree.of(*_leaves(pieces, counter.counts(pieces), -(-len(pieces) // LEAF)))
 
 
@@ -128,7 +150,7 @@ def apply_edits(text: str, tree: TokenTree, edits: Sequence[tuple[int, int, str]
     the left stay as they are.
     """
     encoded = 0
-    for first, last, inside in reversed(_regions(tree, edits)):
+    for first, last, inside in reversed(_regions(tree, edits, counter.context)):
         start, end = first[1], last[1] + tree.leaf_chars(last[0])
         pieces, leaf = [], last[0]
         new, at = [], start
@@ -137,7 +159,7 @@ def apply_edits(text: str, tree: TokenTree, edits: Sequence[tuple[int, int, str]
             at = b
         while True:
             changed = "".join([*new, text[at:end]])
-            pieces, met = _cut(changed, text, end)
+            pieces, met = _cut(changed, text, end, counter)
             if met or leaf + 1 >= tree.leaves:
                 break
             leaf += 1  # the last piece runs on: take the next leaf in
@@ -148,11 +170,11 @@ def apply_edits(text: str, tree: TokenTree, edits: Sequence[tuple[int, int, str]
     return tree, encoded
 
 
-def _regions(tree: TokenTree, edits: Sequence[tuple[int, int, str]]) -> list:
+def _regions(tree: TokenTree, edits: Sequence[tuple[int, int, str]], context: int) -> list:
     """Edits by the leaves they touch; those whose leaves touch or follow on each other share a region."""
     regions: list = []
     for edit in edits:
-        first = tree.leaf_at(max(0, edit[0] - CONTEXT))
+        first = tree.leaf_at(max(0, edit[0] - context))
         last = tree.leaf_at(edit[1])
         if regions and first[0] <= regions[-1][1][0] + 1:
             regions[-1][1] = max(regions[-1][1], last)
@@ -162,19 +184,19 @@ def _regions(tree: TokenTree, edits: Sequence[tuple[int, int, str]]) -> list:
     return regions
 
 
-def _cut(changed: str, text: str, end: int) -> tuple[list[str], bool]:
+def _cut(changed: str, text: str, end: int, counter: Counter) -> tuple[list[str], bool]:
     """Pre-tokens of ``changed`` as it stands before ``text[end:]``, and whether the last one ends with it."""
     reach = 256
     while True:
         context = changed + text[end : end + reach]
         whole = end + reach >= len(text)
         pieces, at = [], 0
-        for found in PIECES.finditer(context):
-            if found.start() >= len(changed):
+        for start, stop in counter.spans(context):
+            if start >= len(changed):
                 break
-            at = found.end()
-            pieces.append(found.group())
-        if whole or at + CONTEXT <= len(context):
+            at = stop
+            pieces.append(context[start:stop])
+        if whole or at + counter.context <= len(context):
             break
         reach *= 4  # a piece as long as the context
     return pieces, at == len(changed)
@@ -196,7 +218,9 @@ def _renewed(tree: TokenTree, first: int, last: int, pieces: list[str], counts:
 def token_trees(df: DataFrame, tokenizer: str, text: str = "text", carry: list[str] | None = None) -> DataFrame:
     """Every row of ``df`` with ``tree``, ``n_tokens``, and the text under ``tree_text``.
 
-    NULL counts as empty, which has no tokens. ``carry`` names the input columns to
+    NULL counts as empty, which has no tokens. The name of an added token in a
+    text is that token, as the tokenizer takes it. Repeated rows have a tree each,
+    and a text of any length has one, a leaf for each ``LEAF`` pieces. ``carry`` names the input columns to
     return (all by default); a result replaces an input column of its name. An
     empty table gives no rows.
     """

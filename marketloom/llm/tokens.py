@@ -25,12 +25,13 @@ class Encoder:
     def __init__(self, config: str) -> None:
         parsed = json.loads(config)
         self._exact = Tokenizer.from_str(config)
-        self._special = [token["content"] for token in parsed.get("added_tokens", ())]
+        #: Names of added tokens, each of which is one token wherever it stands in a text.
+        self.special = [token["content"] for token in parsed.get("added_tokens", ())]
         letters = _byte_letters()
         ranks = {
             bytes(letters[c] for c in token): rank
             for token, rank in parsed["model"]["vocab"].items()
-            if token not in self._special
+            if token not in self.special
         }
         self._plain = tiktoken.Encoding("ranks", pat_str=PRE_TOKENS, mergeable_ranks=ranks, special_tokens={})
 
@@ -40,7 +41,7 @@ class Encoder:
         return self._exact.encode(text, add_special_tokens=False).ids
 
     def is_plain(self, text: str) -> bool:
-        return (text.isascii() or max(text) < PLAIN_BELOW) and not any(name in text for name in self._special)
+        return (text.isascii() or max(text) < PLAIN_BELOW) and not any(name in text for name in self.special)
 
 
 @lru_cache(maxsize=4)

@@ -94,7 +94,8 @@ def test_mixing_keeps_clean_documents_and_few_toxic_ones(spark):
     rows = docs.join(labels, "doc_id").join(times, "doc_id", "left").select("toxic", F.coalesce("count", F.lit(0)).alias("n")).collect()
     clean, toxic = ([r.n for r in rows if r.toxic == t] for t in (0, 1))
     assert sum(n == 1 for n in clean) / len(clean) > 0.99
-    assert sum(n > 0 for n in toxic) / len(toxic) < 0.1
+    # A share of the labelled toxic documents stays, as the target asks; see the next test for the share of tokens.
+    assert 0 < sum(n > 0 for n in toxic) / len(toxic) < 0.3
 
 
 def test_mixing_repeats_no_document(spark):
@@ -111,7 +112,8 @@ def test_mixing_repeats_no_document(spark):
         by = {r["t"]: r["n"] for r in df.groupBy(F.col("doc_id").isin(ids).alias("t")).agg(F.sum(words).alias("n")).collect()}
         return by.get(True, 0) / sum(by.values())
 
-    for n, low, high in ((15, 0.002, 0.012), (100, 0.01, 0.03)):
+    # Of many toxic documents an eighth stays, by chance, and the longest have a tenth of all their tokens each.
+    for n, low, high in ((15, 0.002, 0.012), (100, 0.01, 0.03), (len(ids), 0.005, 0.035)):
         part = staged(clean.unionByName(docs.where(F.col("doc_id").isin(ids[:n]))))
         out = staged(STAGE["mixing to target weights"](spark, part, folder))
         assert out.groupBy("doc_id").count().agg(F.max("count")).first()[0] == 1, n

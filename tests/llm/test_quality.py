@@ -1,4 +1,5 @@
 import re
+import time
 from collections import Counter
 
 from marketloom.llm.quality import judge_lines
@@ -62,6 +63,21 @@ def test_each_rule_removes_its_lines(spark):
     assert row.lost_words == 0 and row.clean_text == row.text
 
 
+def test_a_long_line_may_mention_a_phrase(spark):
+    prose = [prose_line(i) for i in range(6)]
+    assert judged(spark, *prose, f"click here {prose_line(7)}").lost_words == 0
+    assert judged(spark, *prose, "Click here for our privacy policy today.").clean_text.split("\n") == prose
+
+
+def test_very_many_failing_lines(spark):
+    """Linear in the lines: 80,000 that fail, between some that stay."""
+    lines = [f"Home | News | {i}" if i % 4 else prose_line(i) for i in range(107_000)]
+    began = time.monotonic()
+    row = judged(spark, *lines)
+    assert time.monotonic() - began < 15
+    assert row.clean_text.split("\n") == lines[::4]
+
+
 def test_texts_that_lose_too_much_go(spark):
     prose = [prose_line(i) for i in range(6)]
     menu = " | ".join(f"item{i}" for i in range(15))

@@ -1,4 +1,5 @@
 import random
+import re
 
 import public_tokenizers
 import pytest
@@ -40,6 +41,46 @@ def test_edits_give_the_count_of_the_edited_text(counter, seed):
         assert all(tree.tokens[i] == tree.tokens[2 * i] + tree.tokens[2 * i + 1] for i in range(1, width))
 
 
+NAME = "<|endoftext|>"
+
+
+@pytest.mark.parametrize(("text", "tokens"), [
+    (f"x {NAME} y", 4), (NAME * 3, 3), (f"a  {NAME}  b", None), (NAME[:-1], None), (f"<{NAME}>", None), (f"\n\n{NAME}\n", None),
+])
+def test_added_tokens_are_one_token_each(counter, text, tokens):
+    assert build(text, counter).total == len(counter.encode.ids(text)) == (tokens or len(counter.encode.ids(text)))
+
+
+@pytest.mark.parametrize("seed", range(120))
+def test_edits_that_make_break_or_touch_added_tokens(counter, seed):
+    rng = random.Random(seed)
+    parts = [NAME, NAME[:5], NAME[5:], NAME[:-1], "|>", "<|", " ", "  ", "word ", "\n\n", "it's", "<"]
+
+    def some(n):
+        return "".join(rng.choice(parts) for _ in range(n))
+
+    text = some(rng.choice((0, 4, 60, 900)))
+    tree = build(text, counter)
+    assert tree.total == len(counter.encode.ids(text))
+    for _ in range(3):
+        places = sorted(rng.sample(range(len(text) + 1), min(len(text) + 1, 2 * rng.randint(0, 6)) // 2 * 2))
+        edits = [(a, min(b, a + rng.choice((0, 1, 6, 400))), rng.choice(["", "", NAME, "|>", "endoftext", some(3)])) for a, b in zip(places[::2], places[1::2])]
+        new = text
+        for a, b, inserted in reversed(edits):
+            new = new[:a] + inserted + new[b:]
+        tree, _ = apply_edits(text, tree, edits, counter)
+        text = new
+        assert tree.total == len(counter.encode.ids(text)) and tree.chars[1] == len(text)
+
+
+def test_added_tokens_in_rows(spark, counter):
+    rows = [(1, f"a {NAME} b"), (2, f"12{NAME}34 " * 300), (3, "<|endof22text|>"), (3, "<|endof22text|>"), (None, NAME)]
+    docs = masked(spark.createDataFrame(rows, "doc_id long, text string"), "[0-9]{2,}", "")
+    for r in edited_counts(token_trees(docs, PATH), PATH).collect():
+        assert r.n_tokens == len(counter.encode.ids(r.text))
+        assert r.n_tokens_after == len(counter.encode.ids(re.sub("[0-9]{2,}", "", r.text)))
+
+
 def test_only_touched_regions_are_encoded(counter):
     text = "some words and more words. " * 4000
     tree = build(text, counter)
