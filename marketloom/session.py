@@ -75,6 +75,11 @@ def staged(df: DataFrame, purpose: str, partition_by: Sequence[str] = ()) -> Dat
     return spark.read.schema(df.schema).parquet(path)
 
 
+def hand_over(paths: Sequence[str]) -> None:
+    """Let folders that were written otherwise go with those that ``staged`` writes."""
+    _held().extend(paths)
+
+
 def release(spark: SparkSession) -> None:
     """Remove what ``staged`` has written in this process outside of ``staging`` blocks.
 
