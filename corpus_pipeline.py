@@ -15,12 +15,14 @@ from marketloom.llm.common import staged, table, whole_row
 from marketloom.llm.exact import exact_duplicates
 from marketloom.llm.mixing import mix_to_weights, repeat_by_rate
 from marketloom.llm.packing import pack
-from marketloom.llm.quality import WORDS_PER_MARK, judge_lines
+from marketloom.llm.quality import judge_lines
 from marketloom.llm.simhash import simhash_groups
+from marketloom.session import hand_over, remove_paths, shared_dir, staging
 
 TOKENIZER = "byte_bpe_50k.json"
 WEIGHTS = {"clean": 0.98, "toxic": 0.02}
-SNAP = 0.25
+#: Documents of at least this rate stay for sure, so that chance takes no clean ones.
+SURE = 0.75
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -29,7 +31,7 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     ``n_chars`` is counted anew. A line that mentions a boilerplate phrase among
     many other words stays. See ``judge_lines`` for the rules.
     """
-    kept = judge_lines(_wrapped(docs), words_per_phrase=WORDS_PER_MARK).where("kept")
+    kept = judge_lines(_wrapped(docs)).where("kept")
     changed = {"text": F.col("clean_text"), "n_chars": F.length("clean_text").cast("long")}
     return kept.select(*[changed.get(name, F.col(f"row.`{name}`")).alias(name) for name in docs.columns])
 
@@ -55,16 +57,16 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents as often as the rate says that brings toxic text down to its weight.
 
     Domains are learned from ``labels``. The weight of toxic text is a ceiling: rates
-    above one count as one, so no document is there twice. Rates within ``SNAP`` of a whole number
-    are taken as it, so clean documents, whose rates are near one, stay once, and
-    documents with a rate near zero go. See ``mix_to_weights`` for nulls, ties and
-    missing labels.
+    above one count as one, so no document is there twice. Rates of ``SURE`` and more
+    count as one too, so clean documents, whose rates are near one, stay; of the others
+    each stays by a chance as large as its rate. See ``mix_to_weights`` for nulls, ties
+    and missing labels.
     """
     domain = F.when(F.col("toxic") == 1, "toxic").when(F.col("toxic") == 0, "clean")
     labels = table(spark, sf_dir, "labels").select("doc_id", domain.alias("domain"))
     rated = mix_to_weights(_wrapped(docs), labels, WEIGHTS)
-    rated = rated.withColumn("rate", F.least("rate", F.lit(1.0)))
-    return _unwrapped(repeat_by_rate(rated, ["row"], snap=SNAP), docs)
+    rated = rated.withColumn("rate", F.when(F.col("rate") >= SURE, 1.0).otherwise(F.col("rate")))
+    return _unwrapped(repeat_by_rate(rated, ["row"]), docs)
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -93,10 +95,18 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over ``documents``, each written to the shared folder and read again."""
-    docs = table(spark, sf_dir, "documents")
-    for place, (name, stage) in enumerate(STAGES):
-        docs = stage(spark, docs, sf_dir)
-        if place + 1 < len(STAGES):
-            docs = staged(docs, "pipeline-" + name.replace(" ", "-"))
-    return docs
+    """All stages over ``documents``, each written to the shared folder and read again.
+
+    What a stage's operators have staged goes once the stage is written, and the
+    stage before with it. The result still reads the last ones; ``release`` removes them.
+    """
+    docs, before = table(spark, sf_dir, "documents"), []
+    for name, stage in STAGES[:-1]:
+        path = shared_dir(spark, "pipeline-" + name.replace(" ", "-"))
+        with staging(spark):
+            out = stage(spark, docs, sf_dir)
+            out.write.parquet(path)
+        remove_paths(spark, before)
+        docs, before = spark.read.schema(out.schema).parquet(path), [path]
+    hand_over(before)
+    return STAGES[-1][1](spark, docs, sf_dir)
