@@ -277,12 +277,21 @@ def _over_lines(seen: dict[int, dict[str, tuple]], block: list[int], lines: list
             _add(seen, at, [tuple(verdict)])
 
 
-def sample_paragraphs(df: DataFrame, text: str = "text", size: int = 1500) -> list[str]:
-    """At most ``size`` paragraphs without licence words, by the order of their hashes; long ones by their start."""
+def sample_paragraphs(df: DataFrame, text: str = "text", size: int = 1500, chars: int = 600) -> list[str]:
+    """Different paragraphs without licence words, ``size`` at most, by the order of their hashes.
+
+    What they teach is how ordinary text begins, so ``chars`` characters of each are
+    enough. Their number is estimated first, and only hashes in the share of all
+    hashes that holds twice ``size`` of them are sorted.
+    """
     lines = df.select(F.explode(F.split(F.coalesce(text, F.lit("")), "\n")).alias("line"))
     plain = lines.where(F.col("line").rlike(r"\w") & ~F.col("line").rlike(LICENCE_WORDS))
-    hashed = plain.select(F.xxhash64("line").alias("hash"), F.substring("line", 1, 600).alias("line"))
-    return [row["line"] for row in hashed.orderBy("hash", "line").limit(size).collect()]
+    hashed = plain.select(F.xxhash64("line").alias("hash"), F.substring("line", 1, chars).alias("line"))
+    different = hashed.agg(F.approx_count_distinct("hash").alias("n")).first()["n"]
+    if different > 2 * size:
+        hashed = hashed.where(F.col("hash") < int(-(1 << 63) + 2 * size / different * (1 << 64)))
+    once = hashed.groupBy("hash").agg(F.min("line").alias("line"))
+    return [row["line"] for row in once.orderBy("hash").limit(size).collect()]
 
 
 def train(ordinary: list[str], variants: int = 40, seed: int = 7, confirm: float = 0.6, precision: float = 0.98) -> Classifier:

@@ -28,38 +28,45 @@ EXACT = {
     "card": r"[0-9](?:[\x20-]?[0-9])++",
     "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
 }
-# Looser shapes.
+# Looser shapes. Addresses are spelled out; IPv6 is written in full or with its zeros left
+# out; phone numbers are of ten digits in threes and four, begin with a trunk zero, or have nine digits in threes.
 LOOSE = {
-    "email": r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]{1,64}\x20?(?:\[at\]|\(at\)|(?<=\x20)at(?=\x20))\x20?[A-Za-z0-9-]{1,63}"
-    r"(?:\x20?(?:\[dot\]|\(dot\)|(?<=\x20)dot(?=\x20)|\.)\x20?[A-Za-z0-9-]{2,63}){1,4}",
-    "ip": r"(?<![0-9A-Za-z:.])[0-9A-Fa-f]{1,4}(?::[0-9A-Fa-f]{1,4}){7}(?![0-9A-Za-z:])",
-    "phone": r"(?<![0-9+.-])(?:\+[0-9]{1,3}[\x20.-])?\(?[0-9]{3}\)?[\x20.-][0-9]{3}[\x20.-][0-9]{4}(?![0-9])",
+    "email": r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]++\x20?(?:\[at\]|\(at\)|(?<=\x20)at(?=\x20))\x20?[A-Za-z0-9-]++"
+    r"(?:\x20?(?:\[dot\]|\(dot\)|(?<=\x20)dot(?=\x20)|\.)\x20?[A-Za-z0-9-]{2,}+)++",
+    "ip": r"(?<![0-9A-Za-z:.])(?:[0-9A-Fa-f]{1,4}(?::[0-9A-Fa-f]{1,4}){7}|(?:[0-9A-Fa-f]{1,4}(?::[0-9A-Fa-f]{1,4}){0,5})?"
+    r"::(?:[0-9A-Fa-f]{1,4}(?::[0-9A-Fa-f]{1,4}){0,5})?)(?![0-9A-Za-z:])",
+    "phone": r"(?<![0-9A-Za-z+./-])(?:(?:\+[0-9]{1,3}[\x20.-])?\(?[0-9]{3}\)?[\x20.-][0-9]{3}[\x20.-][0-9]{4}"
+    r"|\(?0[0-9]{1,4}\)?(?:[\x20./-][0-9]{2,8}){1,5}|[6-9][0-9]{2}\x20[0-9]{3}\x20[0-9]{3})(?![0-9A-Za-z]|[./-][0-9])",
 }
+DATE = r"^[0-9]{1,2}([./-])[0-9]{1,2}\1[0-9]{2,4}$"
 # A text without this needs no search for the kind.
 HINT = {
     ("email", True): "@", ("ip", True): "[0-9]\\.[0-9]", ("card", True): "[0-9]{2}|[0-9][ -][0-9]", ("phone", True): "\\+[0-9]",
-    ("email", False): "[(\\[ ](?:at)[)\\] ]", ("ip", False): "[0-9A-Fa-f]:[0-9A-Fa-f]", ("phone", False): "[0-9]{3}[ .-][0-9]{4}",
+    ("email", False): "[(\\[ ](?:at)[)\\] ]", ("ip", False): "[0-9A-Fa-f]:[0-9A-Fa-f]|::", ("phone", False): "[0-9]{3}[ .-][0-9]{3}|0[0-9]+\\)?[ ./-][0-9]",
 }
 # Gazetteers and context.
 KNOWN = {
     "email": r"(?i)(?:\.|dot\x20?\]?)\x20?(?:com|org|net|edu|gov|info|io|de|fr|es|it|uk|eu|us)$",
     "ip": r"^(?:0|10|127|169\.254|172\.(?:1[6-9]|2[0-9]|3[01])|192\.168|22[4-9]|2[3-5][0-9])\.",
     "card": r"^(?:4|5[1-5]|2[2-7]|3[47]|3[068]|6011|6[45]|35)",
-    "phone": r"^(?:\+|\()",
+    "phone": r"^(?:\+|\(|0)",
 }
+# Words before personal data, in English, French, German and Spanish.
 CUES = {
-    "email": r"(?i)(?:e-?mail|contact|write\x20to|mailto|reach)[^.\n]{0,24}$",
-    "ip": r"(?i)(?:\bip\b|address|host|server|login\x20from)[^.\n]{0,24}$",
-    "card": r"(?i)(?:card|visa|master|amex|credit|debit|pay)[^.\n]{0,24}$",
-    "phone": r"(?i)(?:phone|tel|call|mobile|cell|fax|contact|whatsapp)[^.\n]{0,24}$",
+    "email": r"(?i)(?:e-?mail|contact|write\x20to|mailto|reach|courriel|[eé]crire|adresse|schreib|kontakt|correo|escrib)[^.\n]{0,24}$",
+    "ip": r"(?i)(?:\bip\b|address|adresse|host|server|serveur|servidor|login\x20from|direcci[oó]n)[^.\n]{0,24}$",
+    "card": r"(?i)(?:card|visa|master|amex|credit|debit|pay|carte|cr[eé]dit|karte|tarjeta)[^.\n]{0,24}$",
+    "phone": r"(?i)(?:phone|\bt[eé]l|call|mobile|cell|fax|contact|whatsapp|appel|portable|telefon|handy|\bruf|anruf|kontakt|tel[eé]fono|m[oó]vil|llam)"
+    r"[^.\n]{0,24}$",
 }
 AGAINST = r"(?i)(?:order|invoice|isbn|issn|version|\bv|serial|tracking|ticket|article|\bno\.?|#|token|sha|hash|id)[\x20:=\"]{0,3}$"
 GLUED_BEFORE, GLUED_AFTER = r"[A-Za-z0-9_/=.-]$", r"^(?:[A-Za-z0-9_/=]|[.-][0-9A-Za-z])"
 SHAPE = {
-    "email": r"^\S+$",
+    "email": r"^\S+$|[\[(]at[\])]|\x20at\x20[A-Za-z0-9-]+(?:\x20dot\x20[A-Za-z0-9-]+)+$",
     "ip": r"^(?:[0-9]{1,3}\.){3}[0-9]{1,3}$|:",
     "card": r"^[0-9]{4}([ -]?)[0-9]{4}\1[0-9]{4}\1[0-9]{0,7}$|^[0-9]{4}([ -]?)[0-9]{6}\2[0-9]{5}$",
-    "phone": r"[0-9]{3}[)]?[ .-][0-9]{3}[ .-][0-9]{4}$",
+    "phone": r"[0-9]{3}[)]?[ .-][0-9]{3}[ .-][0-9]{4}$|^0[1-9](?:[ .-][0-9]{2}){4}$"
+    r"|^\(?0[1-9][0-9]{1,3}\)?[ /-][0-9]{5,8}$|^[6-9][0-9]{2}(?: [0-9]{3}){2}$",
 }
 LABELERS = ("pattern", "gazetteer", "context", "against", "apart", "shape")
 LENGTHS = 4
@@ -77,8 +84,8 @@ def personal_spans(
     candidates that overlap none of these and whose probability is above
     ``threshold``. NULL counts as empty; a text without candidates has empty
     arrays. ``carry`` names the input columns to return (all by default); a result
-    replaces an input column of its name. Repeated rows are judged alike; an
-    empty table gives no rows.
+    replaces an input column of its name. Repeated rows are judged alike, texts of
+    any length whole and in time linear in them; an empty table gives no rows.
     """
     names = df.columns if carry is None else carry
     found = staged(_candidates(df.select(whole_row(df, names).alias("row"), F.col(text).alias("text"))), "pii-candidates")
@@ -251,6 +258,10 @@ def _worth(kind: str, exact: bool) -> Callable[[Column], Column]:
         return lambda m: F.length(_digits(m)).between(12, 19)
     if exact and kind == "phone":
         return lambda m: F.length(_digits(m)).between(7, 15)
+    if kind == "phone":
+        return lambda m: F.length(_digits(m)).between(9, 15) & ~m.rlike(DATE)
+    if not exact and kind == "ip":
+        return lambda m: m.rlike("[0-9A-Fa-f]")
     return lambda m: F.lit(True)
 
 
@@ -287,7 +298,8 @@ def _voted(span: Column, kind: str, exact: bool) -> Column:
         valid.alias("valid"),
         F.least(F.floor(F.length(match) / 8), F.lit(LENGTHS - 1)).cast("int").alias("size"),
         (vote(valid, ~valid) if exact else F.lit(0)).alias("pattern"),
-        (vote(never, known) if kind == "ip" else vote(known, ~known)).alias("gazetteer"),
+        # What is listed speaks for phone numbers and against addresses; the rest is no evidence there.
+        {"ip": vote(never, known), "phone": vote(known, never)}.get(kind, vote(known, ~known)).alias("gazetteer"),
         vote(before.rlike(CUES[kind]), never).alias("context"),
         vote(never, before.rlike(AGAINST)).alias("against"),
         vote(never, glued).alias("apart"),

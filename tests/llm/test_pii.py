@@ -1,6 +1,11 @@
+import math
+import random
 import re
 
-from marketloom.llm.pii import KINDS, personal_spans, spans_text
+import pytest
+from pyspark.sql import functions as F
+
+from marketloom.llm.pii import KINDS, LABELERS, _candidates, _reliability, personal_spans, spans_text
 from tests.llm import edge
 
 PATTERNS = {
@@ -98,3 +103,75 @@ def test_held_out_spans(spark):
 def test_no_python_on_the_executors(spark):
     plan = personal_spans(edge.documents(spark))._jdf.queryExecution().executedPlan().toString()
     assert not re.search("Python|Arrow", plan)
+
+
+FOUND = {  # what lies between the marks is personal data
+    "ip": ["server |2001:db8::1| is up", "host |::1| answered", "login from |2001:db8:0:0:0:0:2:1|, twice"],
+    "phone": [
+        "mon numéro |06 12 34 56 78| merci", "Büro |030 123456| in Berlin", "Handy |0171/1234567| ab acht",
+        "llame al |912 345 678| hoy", "phone: |614-555-8001|", "call |614.555.8001| now",
+    ],
+    "email": ["write |john at mail dot example dot com| today", "correo: |ana [at] ejemplo [dot] es| gracias"],
+}
+LEFT_ALONE = [
+    "on 01.02.2024 and 1/2/2024 we met", "std::vector a :: b", "order 4111 1111 1111 1112", "time 12:30:45 ok",
+    "look at this.then go", "chapter 3.14 and 2,718 words", "meet at noon, dot your i", "0 1 2 3 4 5 6 7 8 9",
+]
+
+
+def test_spellings_of_several_countries(spark):
+    """All planted spans are found and nothing else, among whole documents as by themselves."""
+    planted = [(kind, text) for kind, texts in FOUND.items() for text in texts] + [(None, text) for text in LEFT_ALONE]
+    rows = spark.createDataFrame([(-1 - i, text.replace("|", "")) for i, (_, text) in enumerate(planted)], "doc_id long, text string")
+    others = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text")
+    for df in (rows, rows.unionByName(others)):
+        got = {r.doc_id: r.s for r in personal_spans(df).where("doc_id < 0").select("doc_id", spans_text("spans").alias("s")).collect()}
+        for i, (kind, text) in enumerate(planted):
+            start = text.find("|")
+            expected = "" if kind is None else f"{kind}:{start}:{text.rfind('|') - 1}"
+            assert got[-1 - i] == expected, text
+
+
+def plain_reliability(rows, rounds=60):
+    """Expectation-maximisation vote by vote, a row for each occurrence."""
+    truth = [1 / (1 + math.exp(-1.5 * sum(votes))) for votes in rows]
+    for _ in range(rounds):
+        share = (1 + sum(truth)) / (2 + len(rows))
+        odds = []
+        tables = []
+        for labeler in range(len(LABELERS)):
+            agree = 50.0 if labeler == 0 else 3.0
+            table = {}
+            for true in (0, 1):
+                weights = {v: (agree if v == (1 if true else -1) else 1.0) + sum((p if true else 1 - p) for p, votes in zip(truth, rows) if votes[labeler] == v) for v in (-1, 0, 1)}
+                table[true] = {v: w / sum(weights.values()) for v, w in weights.items()}
+            tables.append(table)
+        for votes in rows:
+            odds.append(math.log(share / (1 - share)) + sum(math.log(t[1][v] / t[0][v]) for t, v in zip(tables, votes) if v))
+        truth = [1 / (1 + math.exp(-max(-30.0, min(30.0, o)))) for o in odds]
+    return truth
+
+
+def test_reliability_against_a_plain_version():
+    rng = random.Random(4)
+    patterns = [tuple(rng.choice((-1, 0, 0, 1)) for _ in LABELERS) for _ in range(12)]
+    counted = [(0, votes, rng.randint(1, 9)) for votes in dict.fromkeys(patterns)]
+    expanded = [votes for _, votes, n in counted for _ in range(n)]
+    by_votes = dict(zip(expanded, plain_reliability(expanded)))
+    assert _reliability(counted, 60) == pytest.approx([by_votes[votes] for _, votes, _ in counted])
+
+
+def test_votes_by_hand(spark):
+    """Votes of the labelers in their order: pattern, gazetteer, context, against, apart, shape."""
+    rows = [
+        (1, "phone: +1 (614) 555-8001"), (2, "order 10.0.0.1x"), (3, "x 614-555-8001 y"), (4, "visa 4111 1111 1111 1112"),
+    ]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    found = _candidates(df.select(F.struct("doc_id").alias("row"), "text"))
+    got = {}
+    for r in found.select("row.doc_id", F.explode("found").alias("s")).collect():
+        got.setdefault(r.doc_id, set()).add((KINDS[r.s.kind], r.s.start, r.s.end, *[r.s[v] for v in LABELERS]))
+    assert ("phone", 7, 24, 1, 1, 1, 0, 0, 1) in got[1]
+    assert ("ip", 6, 14, 1, -1, 0, -1, -1, 1) in got[2]
+    assert got[3] == {("phone", 2, 14, 0, 0, 0, 0, 0, 1)}
+    assert ("card", 5, 24, -1, 1, 1, 0, 0, 1) in got[4]
