@@ -16,6 +16,9 @@ COLUMNS = {
     "op6_lpt_sharding": "doc_id size text_crc32 law shard slot grown_shard",
     "op9_url_models": "page_id host path rule verdict score",
     "op10_pii_spans": "doc_id n_email n_ip n_card n_phone base_sha256 spans",
+    "op11_best_fit_windows": "doc_id start length ids_crc32 doc_tokens sequence_id offset",
+    "op12_periodic_runs": "doc_id n_runs start length period runs_sha256 collapsed_sha256 exponent_milli",
+    "op13_vector_codes": "vec_id code error label_error codebooks_sha256",
 }
 
 
