@@ -14,8 +14,10 @@ def components(links: DataFrame) -> DataFrame:
     Alternates two star steps: every node hands the smallest node it knows to its
     larger neighbours, then to its smaller ones. Links then point at ever smaller
     nodes until each points at its root, after about log(nodes) rounds. Each
-    round is written to the shared folder, so lineage stays short. Nodes without
-    a link are not returned.
+    round is written to the shared folder, so lineage stays short. So are the
+    smallest nodes known in a step, before they meet the links: a join of two
+    written tables may split a hub, a node of very many links, over tasks. Nodes
+    without a link are not returned.
     """
     a, b = F.col("a"), F.col("b")
     edges = staged(
@@ -42,7 +44,7 @@ def _fingerprint(edges: DataFrame) -> tuple:
 def _to_larger(edges: DataFrame) -> DataFrame:
     """Every node links its larger neighbours to the smallest node it knows."""
     both = edges.unionAll(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
-    least = both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m"))
+    least = staged(both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m")), "links")
     return (
         both.join(least, "a")
         .where("b > a")
@@ -53,7 +55,7 @@ def _to_larger(edges: DataFrame) -> DataFrame:
 
 def _to_smaller(edges: DataFrame) -> DataFrame:
     """Every node links its smaller neighbours, and itself, to the smallest of them."""
-    least = edges.groupBy("a").agg(F.min("b").alias("m"))
+    least = staged(edges.groupBy("a").agg(F.min("b").alias("m")), "links")
     joined = edges.join(least, "a")
     return (
         joined.select(F.col("b").alias("a"), F.col("m").alias("b"))

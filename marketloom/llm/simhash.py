@@ -27,6 +27,9 @@ SEGMENTS = 32
 LOW_BITS = 0x5555555555555555
 #: Entropy of the bits set in a two-bit segment of random bits.
 SEGMENT_ENTROPY = 1.5
+#: Pairs of a grid cell beyond which it is split by the bits themselves, and the bits' groups there.
+DENSE_PAIRS = 1_000_000
+BIT_GROUPS = 8
 
 
 def simhash(text: str, words: int = 4, seed: int = 42) -> int:
@@ -78,22 +81,26 @@ def near_duplicate_prints(prints: DataFrame, max_bits: int = 4, groups: int | No
     choice of the other groups. No partner is left out.
 
     Cells are joined twice. First each fingerprint is linked to the smallest of
-    its cell, which already joins most of a dense group; then those that are
-    still apart are compared with each other, and only links between different
-    groups come out, each from the first cell that both share.
+    its cell, which already joins most of a dense group. Then those that are still
+    apart are compared: only cells of several groups are left, and there the
+    fingerprints outside of the cell's largest group meet all of it, so equal
+    groups are not paired up. A cell with more than ``DENSE_PAIRS`` pairs even so,
+    such as one of many unlinked fingerprints with equal counts, is split once
+    more, by equal bits in all but ``max_bits`` of ``BIT_GROUPS`` runs of bits;
+    every link lies in one of these parts too.
     """
     if groups is None:
         groups = _group_count(prints.count(), max_bits)
     chosen = list(combinations(range(groups), groups - max_bits))
     edges = [round(SEGMENTS * i / groups) for i in range(groups + 1)]
     mask = [sum(3 << 2 * s for s in range(edges[g], edges[g + 1])) for g in range(groups)]
-    cells = F.posexplode(
-        F.array(*[F.col("point").bitwiseAND(_signed(sum(mask[g] for g in c))) for c in chosen])
-    ).alias("choice", "cell")
-    points = prints.select("print", _point(F.col("print")).alias("point")).select("print", "point", cells)
-    least = points.groupBy("choice", "cell").agg(
-        F.min("print").alias("least"), F.max("print").alias("most")
-    ).where("least < most")
+    points = prints.select("print", _point(F.col("print")).alias("point"))
+    points = points.select("print", "point", _cells("point", mask, chosen, "choice", "cell"))
+    # Written out, so that the join below may split a cell of very many fingerprints.
+    least = staged(
+        points.groupBy("choice", "cell").agg(F.min("print").alias("least"), F.max("print").alias("most")).where("least < most"),
+        "simhash-least",
+    )
     shared = staged(points.join(least.drop("most"), ["choice", "cell"]), "simhash-cells")
     to_least = shared.where("print != least").select(F.col("print").alias("a"), F.col("least").alias("b"))
     near = _near(F.col("a"), F.col("b"), _point(F.col("a")), _point(F.col("b")), max_bits)
@@ -104,23 +111,54 @@ def near_duplicate_prints(prints: DataFrame, max_bits: int = 4, groups: int | No
         ),
         "simhash-cells",
     )
-    x, y = named.alias("x"), named.alias("y")
-    same = [(F.col("x.point").bitwiseXOR(F.col("y.point")).bitwiseAND(_signed(m)) == 0).cast("int") for m in mask]
+    mixed = _mixed_cells(named, ["choice", "cell"])
+    runs = max(BIT_GROUPS, 2 * max_bits)
+    ends = [round(64 * i / runs) for i in range(runs + 1)]
+    bits = [sum(1 << b for b in range(ends[g], ends[g + 1])) for g in range(runs)]
+    split = mixed.where(F.col("pairs") > DENSE_PAIRS).select(
+        "choice", "cell", "print", "point", "root",
+        _cells("print", bits, list(combinations(range(runs), runs - max_bits)), "part", "bits"),
+    )
+    parts = _mixed_cells(split, ["choice", "cell", "part", "bits"])
     links = (
-        x.join(
-            y,
-            (F.col("x.choice") == F.col("y.choice"))
-            & (F.col("x.cell") == F.col("y.cell"))
-            & (F.col("x.root") < F.col("y.root"))
-            & _near(F.col("x.print"), F.col("y.print"), F.col("x.point"), F.col("y.point"), max_bits)
-            & (F.col("x.choice") == _first_choice(same, chosen)),
-        )
-        .select(F.col("x.root").alias("a"), F.col("y.root").alias("b"))
+        _links(mixed.where(F.col("pairs") <= DENSE_PAIRS), ["choice", "cell"], max_bits)
+        .unionAll(_links(parts, ["choice", "cell", "part", "bits"], max_bits))
         .distinct()
     )
     return components(links.unionAll(first.where("node != root").select(F.col("node").alias("a"), F.col("root").alias("b"))))
 
 
+def _cells(of: str, masks: list[int], chosen: list[tuple[int, ...]], choice: str, cell: str) -> Column:
+    """For each choice of masks, its number and what ``of`` holds under these masks."""
+    kept = [F.col(of).bitwiseAND(_signed(sum(masks[g] for g in c))) for c in chosen]
+    return F.posexplode(F.array(*kept)).alias(choice, cell)
+
+
+def _mixed_cells(named: DataFrame, cell: list[str]) -> DataFrame:
+    """Rows of cells that hold several roots, with ``apart``: not of the cell's most frequent root.
+
+    ``pairs`` is how many pairs of a row apart and any row the cell has.
+    """
+    sizes = named.groupBy(*cell, "root").agg(F.count(F.lit(1)).alias("n"))
+    largest = sizes.groupBy(*cell).agg(
+        F.max(F.struct("n", "root")).alias("largest"), F.sum("n").alias("n"), F.count(F.lit(1)).alias("roots")
+    )
+    several = largest.where("roots > 1").select(
+        *cell, F.col("largest.root").alias("main"), ((F.col("n") - F.col("largest.n")) * F.col("n")).alias("pairs")
+    )
+    found = named.join(staged(several, "simhash-mixed"), cell)
+    return staged(found.withColumn("apart", F.col("root") != F.col("main")).drop("main"), "simhash-mixed")
+
+
+def _links(mixed: DataFrame, cell: list[str], max_bits: int) -> DataFrame:
+    """Roots ``a`` > ``b`` of two fingerprints in one cell that are near each other."""
+    x, y = mixed.where("apart").alias("x"), mixed.alias("y")
+    same_cell = [F.col(f"x.{name}") == F.col(f"y.{name}") for name in cell]
+    near = _near(F.col("x.print"), F.col("y.print"), F.col("x.point"), F.col("y.point"), max_bits)
+    found = x.join(y, [*same_cell, F.col("x.root") != F.col("y.root"), near])
+    return found.select(F.greatest("x.root", "y.root").alias("a"), F.least("x.root", "y.root").alias("b"))
+
+
 def simhash_groups(
     df: DataFrame,
     text: str = "text",
@@ -153,7 +191,8 @@ def simhash_groups(
     linked = prints.join(roots, prints["print"] == roots["node"], "left").select(
         prints["print"], F.coalesce("root", "print").alias("root"), "best"
     )
-    best = linked.groupBy("root").agg(F.min("best").alias("best"))
+    # Written out, so that the join below may split a root of very many fingerprints.
+    best = staged(linked.groupBy("root").agg(F.min("best").alias("best")), "simhash-best")
     winners = staged(linked.drop("best").join(best, "root").select("print", "best"), "simhash-winners")
     judged = printed.join(winners, "print")
     results = {
@@ -201,12 +240,3 @@ def _manhattan(p: Column, q: Column) -> Column:
 
 def _near(a: Column, b: Column, p: Column, q: Column, max_bits: int) -> Column:
     return (_manhattan(p, q) <= max_bits) & (F.bit_count(a.bitwiseXOR(b)) <= max_bits)
-
-
-def _first_choice(same: list[Column], chosen: list[tuple[int, ...]]) -> Column:
-    """The first choice of groups that are all equal, as its place in ``chosen``."""
-    first = F.lit(None).cast("int")
-    for place in reversed(range(len(chosen))):
-        equal = sum((same[g] for g in chosen[place]), F.lit(0)) == len(chosen[place])
-        first = F.when(equal, place).otherwise(first)
-    return first

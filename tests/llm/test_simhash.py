@@ -3,6 +3,7 @@ import random
 import pytest
 import xxhash
 
+from marketloom.llm.graph import components
 from marketloom.llm.simhash import near_duplicate_prints, simhash, simhash_groups
 from tests.llm import edge
 
@@ -87,3 +88,55 @@ def test_empty_table_and_clashing_names(spark):
     whole = simhash_groups(edge.clashing(spark, "fingerprint", "print", "best"))
     assert whole.columns.count("fingerprint") == 1 and "KEPT" not in whole.columns
     assert whole.count() == len(edge.ROWS) and {r["print"] for r in whole.collect()} == {"mine"}
+
+
+def test_dense_cell_of_unlinked_prints(spark):
+    """One bit set in every segment: equal points for all, but next to no links."""
+    rng = random.Random(5)
+    picks = {rng.getrandbits(32) for _ in range(30_000)}
+    near = {p: p ^ 1 for p in sorted(picks)[:50]}  # one segment the other way round: two bits
+    picks |= set(near.values())
+    prints = {p: sum((2 if p >> s & 1 else 1) << 2 * s for s in range(32)) for p in picks}
+    signed = {p: v - (1 << 64) if v >> 63 else v for p, v in prints.items()}
+    df = spark.createDataFrame([(v,) for v in signed.values()], "print long")
+    found = {r.node: r.root for r in near_duplicate_prints(df, 4).collect()}
+    root = {p: p for p in picks}
+
+    def find(p):
+        while root[p] != p:
+            p = root[p]
+        return p
+
+    for p in picks:  # four bits are two segments at most
+        for i in range(32):
+            for j in range(i, 32):
+                q = p ^ (1 << i) ^ (1 << j if j > i else 0)
+                if q in picks:
+                    a, b = sorted((find(p), find(q)), key=signed.get)
+                    root[b] = a
+    assert {signed[p]: found.get(signed[p], signed[p]) for p in picks} == {signed[p]: signed[find(p)] for p in picks}
+    assert all(found[signed[p]] == found[signed[q]] for p, q in near.items())
+
+
+def test_dense_groups_beside_strangers(spark):
+    """Balls of near prints in one cell, some of them linked by a chain: all pairs as the check."""
+    rng = random.Random(6)
+    prints = set()
+    for _ in range(3):
+        centre = rng.getrandbits(64)
+        other = centre ^ 0b11111111  # eight bits apart: linked by way of some print between them, or not
+        for p in (centre, other):
+            prints |= {p} | {p ^ 1 << i ^ 1 << j for i in range(20, 32) for j in range(i + 1, 32)}
+    prints.add(centre ^ 0b1111)
+    signed = [p - (1 << 64) if p >> 63 else p for p in prints]
+    df = spark.createDataFrame([(p,) for p in signed], "print long")
+    found = {r.node: r.root for r in near_duplicate_prints(df, 4).collect()}
+    assert {p: found.get(p, p) for p in signed} == plain_roots(signed)
+
+
+def test_hub_of_very_many_links(spark):
+    hub = 70_000
+    links = spark.range(100_000).where(f"id != {hub}").selectExpr(f"{hub}L AS a", "id AS b")
+    links = links.unionAll(spark.sql("SELECT 99999L AS a, 200000L AS b UNION ALL SELECT 300001L, 300000L"))
+    found = {r.node: r.root for r in components(links).collect()}
+    assert found == {i: 0 for i in [*range(100_000), 200_000]} | {300_000: 300_000, 300_001: 300_000}
