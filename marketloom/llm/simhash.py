@@ -27,7 +27,9 @@ SEGMENTS = 32
 LOW_BITS = 0x5555555555555555
 #: Entropy of the bits set in a two-bit segment of random bits.
 SEGMENT_ENTROPY = 1.5
-#: Pairs of a grid cell beyond which it is split by the bits themselves, and the bits' groups there.
+#: Fingerprints of a grid cell up to which all of them are compared.
+SMALL_CELL = 100
+#: Pairs of a larger cell beyond which it is split by the bits themselves, and the bits' groups there.
 DENSE_PAIRS = 1_000_000
 BIT_GROUPS = 8
 
@@ -82,12 +84,12 @@ def near_duplicate_prints(prints: DataFrame, max_bits: int = 4, groups: int | No
 
     Cells are joined twice. First each fingerprint is linked to the smallest of
     its cell, which already joins most of a dense group. Then those that are still
-    apart are compared: only cells of several groups are left, and there the
-    fingerprints outside of the cell's largest group meet all of it, so equal
-    groups are not paired up. A cell with more than ``DENSE_PAIRS`` pairs even so,
-    such as one of many unlinked fingerprints with equal counts, is split once
-    more, by equal bits in all but ``max_bits`` of ``BIT_GROUPS`` runs of bits;
-    every link lies in one of these parts too.
+    apart are compared, in cells of up to ``SMALL_CELL`` fingerprints all with each
+    other. In larger ones those outside of the cell's largest group meet the whole
+    cell, so a large group is not paired up with itself. A cell with more than
+    ``DENSE_PAIRS`` pairs even so, such as one of many unlinked fingerprints with
+    equal counts, is split once more, by equal bits in all but ``max_bits`` of
+    ``BIT_GROUPS`` runs of bits; every link lies in one of these parts too.
     """
     if groups is None:
         groups = _group_count(prints.count(), max_bits)
@@ -98,20 +100,21 @@ def near_duplicate_prints(prints: DataFrame, max_bits: int = 4, groups: int | No
     points = points.select("print", "point", _cells("point", mask, chosen, "choice", "cell"))
     # Written out, so that the join below may split a cell of very many fingerprints.
     least = staged(
-        points.groupBy("choice", "cell").agg(F.min("print").alias("least"), F.max("print").alias("most")).where("least < most"),
+        points.groupBy("choice", "cell").agg(F.min("print").alias("least"), F.count(F.lit(1)).alias("n")).where("n > 1"),
         "simhash-least",
     )
-    shared = staged(points.join(least.drop("most"), ["choice", "cell"]), "simhash-cells")
+    shared = staged(points.join(least, ["choice", "cell"]), "simhash-cells")
     to_least = shared.where("print != least").select(F.col("print").alias("a"), F.col("least").alias("b"))
     near = _near(F.col("a"), F.col("b"), _point(F.col("a")), _point(F.col("b")), max_bits)
     first = components(to_least.where(near).distinct())
     named = staged(
         shared.join(first, shared["print"] == first["node"], "left").select(
-            "choice", "cell", "print", "point", F.coalesce("root", "print").alias("root")
+            "choice", "cell", "print", "point", F.coalesce("root", "print").alias("root"), "n"
         ),
         "simhash-cells",
     )
-    mixed = _mixed_cells(named, ["choice", "cell"])
+    small = named.where(F.col("n") <= SMALL_CELL).drop("n")
+    mixed = _mixed_cells(named.where(F.col("n") > SMALL_CELL).drop("n"), ["choice", "cell"])
     runs = max(BIT_GROUPS, 2 * max_bits)
     ends = [round(64 * i / runs) for i in range(runs + 1)]
     bits = [sum(1 << b for b in range(ends[g], ends[g + 1])) for g in range(runs)]
@@ -120,9 +123,11 @@ def near_duplicate_prints(prints: DataFrame, max_bits: int = 4, groups: int | No
         _cells("print", bits, list(combinations(range(runs), runs - max_bits)), "part", "bits"),
     )
     parts = _mixed_cells(split, ["choice", "cell", "part", "bits"])
+    large = mixed.where(F.col("pairs") <= DENSE_PAIRS)
     links = (
-        _links(mixed.where(F.col("pairs") <= DENSE_PAIRS), ["choice", "cell"], max_bits)
-        .unionAll(_links(parts, ["choice", "cell", "part", "bits"], max_bits))
+        _links(small, small, ["choice", "cell"], max_bits)
+        .unionAll(_links(large.where("apart"), large, ["choice", "cell"], max_bits))
+        .unionAll(_links(parts.where("apart"), parts, ["choice", "cell", "part", "bits"], max_bits))
         .distinct()
     )
     return components(links.unionAll(first.where("node != root").select(F.col("node").alias("a"), F.col("root").alias("b"))))
@@ -150,9 +155,9 @@ def _mixed_cells(named: DataFrame, cell: list[str]) -> DataFrame:
     return staged(found.withColumn("apart", F.col("root") != F.col("main")).drop("main"), "simhash-mixed")
 
 
-def _links(mixed: DataFrame, cell: list[str], max_bits: int) -> DataFrame:
-    """Roots ``a`` > ``b`` of two fingerprints in one cell that are near each other."""
-    x, y = mixed.where("apart").alias("x"), mixed.alias("y")
+def _links(left: DataFrame, right: DataFrame, cell: list[str], max_bits: int) -> DataFrame:
+    """Roots ``a`` > ``b`` of a left and a right fingerprint in one cell that are near each other."""
+    x, y = left.alias("x"), right.alias("y")
     same_cell = [F.col(f"x.{name}") == F.col(f"y.{name}") for name in cell]
     near = _near(F.col("x.print"), F.col("y.print"), F.col("x.point"), F.col("y.point"), max_bits)
     found = x.join(y, [*same_cell, F.col("x.root") != F.col("y.root"), near])
