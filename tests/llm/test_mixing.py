@@ -1,5 +1,6 @@
 import re
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -42,18 +43,35 @@ def test_classifier_on_labels_it_was_not_given(spark):
     assert sum(r.p_toxic < 0.5 for r in clean) / len(clean) > 0.98
 
 
-@pytest.mark.parametrize("share", [0.1, 0.5, 0.9])
-def test_rates_are_the_nearest_to_one(spark, share):
-    """Against the solution of the quadratic programme by a plain bisection, for two domains."""
-    rows = [(10 + i % 7, [p := (i % 11) / 10.0, 1 - p]) for i in range(200)]
-    rated = spark.createDataFrame(rows, "tokens long, p array<double>")
-    weights = {"a": share, "b": 1 - share}
-    slope = fit_rates(rated, ["a", "b"], weights, 1e-5, 100)
-    rates = [max(0.0, 1 + sum(s * x for s, x in zip(slope, p))) for _, p in rows]
-    totals = [sum(t * p[d] * r for (t, p), r in zip(rows, rates)) for d in (0, 1)]
-    main = 0 if share > 0.5 else (1 if share < 0.5 else 0)
-    whole = sum(t * p[main] for t, p in rows) / (share if main == 0 else 1 - share)
-    assert abs(totals[0] - share * whole) < 1e-3 * whole and abs(totals[1] - (1 - share) * whole) < 1e-3 * whole
+def nearest_rates(tokens, p, wanted, rounds=20_000):
+    """Non-negative rates nearest to one, by squares weighted with tokens, whose domain totals are ``wanted``.
+
+    Dykstra's projections onto the totals and onto the non-negative rates, in turn.
+    """
+    root = np.sqrt(tokens)
+    totals = (tokens[:, None] * p).T / root  # of rates times root
+    back = np.linalg.pinv(totals)
+    x, off = root.copy(), np.zeros(len(tokens))
+    for _ in range(rounds):
+        y = x - back @ (totals @ x - wanted)
+        x = np.maximum(0.0, y + off)
+        off = y + off - x
+    return x / root
+
+
+@pytest.mark.parametrize("weights", [(0.1, 0.9), (0.5, 0.5), (0.9, 0.1), (0.6, 0.3, 0.1), (0.2, 0.7, 0.1)])
+def test_rates_are_the_nearest_to_one(spark, weights):
+    rng = np.random.default_rng(len(weights))
+    tokens = rng.integers(10, 200, 150).astype(float)
+    p = rng.dirichlet([0.4] * len(weights), 150)
+    rated = spark.createDataFrame([(int(t), [float(v) for v in q]) for t, q in zip(tokens, p, strict=True)], "tokens long, p array<double>")
+    domains = list("abc"[: len(weights)])
+    slope = fit_rates(rated, domains, dict(zip(domains, weights, strict=True)), 1e-7, 400)
+    rates = np.maximum(0.0, 1 + p @ np.array(slope))
+    main = int(np.argmax(weights))
+    wanted = (tokens @ p)[main] / weights[main] * np.array(weights)
+    assert np.abs((tokens * rates) @ p - wanted).max() < 1e-3 * wanted.sum()
+    assert np.abs(rates - nearest_rates(tokens, p, wanted)).max() < 0.02
 
 
 def test_documents_are_repeated_by_rate(spark):
