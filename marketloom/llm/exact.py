@@ -24,6 +24,7 @@ def exact_duplicates(
     key: str = "doc_id",
     carry: list[str] | None = None,
     round_keys: int = 1 << 24,
+    write_hashes: bool = False,
 ) -> DataFrame:
     """Every row of ``df`` with ``keep_id``, ``group_size``, ``kept`` and ``text_sha256``.
 
@@ -37,6 +38,9 @@ def exact_duplicates(
     ``round_keys`` bounds the filter that is broadcast, at about four bytes a
     key. More rows are worked off in rounds by hash range, each with a filter of
     its own; the rows are then first written out by round, so each is read once.
+    ``write_hashes`` writes rows and hashes out in any case, so that each text is
+    normalised and hashed once and not for each pass: for columns to carry that are
+    small beside the text.
     """
     names = df.columns if carry is None else carry
     keys = max(df.count(), 1)
@@ -52,6 +56,8 @@ def exact_duplicates(
     ).withColumn("round", F.pmod(F.xxhash64("hash"), F.lit(rounds)))
     if rounds > 1:
         rows = staged(rows, "dedup-rounds", partition_by=["round"])
+    elif write_hashes:
+        rows = staged(rows, "dedup-hashes")
     parts = [_one_round(rows.where(F.col("round") == r), n_blocks) for r in range(rounds)]
     found = parts[0]
     for part in parts[1:]:

@@ -48,7 +48,7 @@ def op3_license_paragraphs(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return exact_duplicates(table(spark, sf_dir, "documents"), carry=["doc_id"])
+    return exact_duplicates(table(spark, sf_dir, "documents"), carry=["doc_id"], write_hashes=True)
 
 
 def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -31,15 +31,16 @@ def key(row):
     return tuple((v is None, str(v)) for v in row)
 
 
-@pytest.mark.parametrize("round_keys", [1 << 24, 100])
-def test_against_brute_force(spark, round_keys):
+@pytest.mark.parametrize("round_keys, write_hashes", [(1 << 24, False), (1 << 24, True), (100, True)])
+def test_against_brute_force(spark, round_keys, write_hashes):
     docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
     rows = [(r.doc_id, r.text) for r in docs.collect()]
-    assert sorted(got(exact_duplicates(docs, round_keys=round_keys)), key=key) == sorted(brute(rows), key=key)
+    assert sorted(got(exact_duplicates(docs, round_keys=round_keys, write_hashes=write_hashes)), key=key) == sorted(brute(rows), key=key)
 
 
 def test_edge_rows(spark):
     rows = [r[:2] for r in edge.ROWS]
+    assert len(got(exact_duplicates(edge.documents(spark), write_hashes=True))) == len(rows)
     found = got(exact_duplicates(edge.documents(spark)))
     # Which of two equal rows stays is open, so only its number is compared.
     assert sorted(found, key=key) == sorted(brute(rows), key=key)
