@@ -136,13 +136,13 @@ def _placed(ranked: DataFrame, plan: Plan, with_ids: bool) -> DataFrame:
     return ranked.mapInArrow(rows, schema).select(*[c.strip() for c in PLACED.split(",")], *(["ids"] if with_ids else []))
 
 
-def fit_plan(histogram: np.ndarray, capacity: int, thirds: int = 96, steps: int = 300) -> Plan:
+def fit_plan(histogram: np.ndarray, capacity: int, steps: int = 300) -> Plan:
     """Sequences for ``histogram[length]`` pieces of each length.
 
     Short pieces fill gaps best, so the fit is made with all lengths and with the
     shortest left to the residual; the plan of the fewest sequences is taken.
     """
-    patterns = enumerate_patterns(histogram, capacity, thirds)
+    patterns = enumerate_patterns(histogram, capacity)
     fits = []
     for reserve in (0, capacity // 16, capacity // 8, capacity // 4):
         usable = patterns[((patterns >= reserve) | (patterns == 0)).all(1)]
@@ -165,22 +165,22 @@ def _rounded(patterns: np.ndarray, wanted: np.ndarray, histogram: np.ndarray, ca
     return runs + pack_residual(left, capacity)
 
 
-def enumerate_patterns(histogram: np.ndarray, capacity: int, thirds: int) -> np.ndarray:
+def enumerate_patterns(histogram: np.ndarray, capacity: int) -> np.ndarray:
     """Rows of three lengths, padded by 0, of pieces that occur and fill a sequence exactly.
 
-    All pairs; triples with at least one of the ``thirds`` most frequent lengths.
+    All singles, pairs and triples, at most about ``capacity``² / 12 of them.
     """
     present = np.flatnonzero(histogram)
     full = [np.array([[capacity, 0, 0]])] if histogram[capacity] else []
     a = present[present < capacity]
     pairs = a[(histogram[capacity - a] > 0) & (2 * a >= capacity)]
     full.append(np.stack([pairs, capacity - pairs, 0 * pairs], 1))
-    for c in a[np.argsort(-histogram[a], kind="stable")][:thirds]:
-        b = capacity - c - a
-        fits = (b >= 1) & (a >= b)
-        fits[fits] &= histogram[b[fits]] > 0
-        full.append(np.sort(np.stack([a[fits], b[fits], np.full(fits.sum(), c)], 1), 1)[:, ::-1])
-    found = np.unique(np.concatenate(full), axis=0)
+    for least in a[3 * a <= capacity]:
+        middle = a[(a >= least) & (2 * a <= capacity - least)]
+        largest = capacity - least - middle
+        there = histogram[largest] > 0
+        full.append(np.stack([largest[there], middle[there], np.full(there.sum(), least)], 1))
+    found = np.concatenate(full)
     need = np.stack([(found == found[:, [i]]).sum(1) <= histogram[found[:, i]] for i in range(3)], 1) | (found == 0)
     return found[need.all(1)]
 

@@ -1,4 +1,5 @@
 from collections import Counter
+from itertools import combinations_with_replacement
 from zlib import crc32
 
 import numpy as np
@@ -6,7 +7,7 @@ import public_tokenizers
 import pytest
 from tokenizers import Tokenizer
 
-from marketloom.llm.packing import fit_plan, pack, pack_residual, sequences
+from marketloom.llm.packing import enumerate_patterns, fit_plan, pack, pack_residual, sequences
 from marketloom.llm.tokens import Encoder, vocabulary
 from tests.llm import edge
 
@@ -92,5 +93,22 @@ def test_plans_place_every_piece_once(seed):
     assert plan.sequences <= sum(n for _, n in pack_residual(histogram, capacity)) + 1
 
 
+@pytest.mark.parametrize("seed", range(4))
+def test_all_patterns_that_fill_a_sequence(seed):
+    rng = np.random.default_rng(seed)
+    capacity = 30
+    histogram = rng.integers(0, 3, capacity + 1)
+    histogram[0] = 0
+    pieces = [(0, 0), *((x, 1) for x in np.flatnonzero(histogram).tolist())]
+    expected = {
+        tuple(sorted((x for x, _ in three), reverse=True))
+        for three in combinations_with_replacement(pieces, 3)
+        if sum(x for x, _ in three) == capacity
+        and all(n <= histogram[x] for x, n in Counter(x for x, _ in three if x).items())
+    }
+    found = [tuple(row) for row in enumerate_patterns(histogram, capacity).tolist()]
+    assert len(found) == len(set(found)) and set(found) == expected
+
+
 def test_no_pieces_make_no_sequences():
     assert fit_plan(np.zeros(9, np.int64), 8).sequences == 0
