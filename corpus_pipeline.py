@@ -47,10 +47,10 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     Texts are told apart by a number of their own; only the numbers of documents
     that go are joined with the texts.
     """
-    numbered = staged(_wrapped(docs).withColumn("uid", F.monotonically_increasing_id()), "near-rows")
-    judged = simhash_groups(numbered.select("uid", "doc_id", "text"), words=4, max_bits=4, carry=["uid"])
+    numbered = staged(docs.select(whole_row(docs).alias("row"), F.monotonically_increasing_id().alias("uid")), "near-rows")
+    judged = simhash_groups(numbered.select("uid", "row.doc_id", "row.text"), words=4, max_bits=4, carry=["uid"])
     dropped = staged(judged.where("not kept").select("uid"), "near-dropped")
-    return _unwrapped(numbered.select("uid", "row").join(dropped, "uid", "left_anti"), docs)
+    return _unwrapped(numbered.join(dropped, "uid", "left_anti"), docs)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
