@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from marketloom.operators.features import assembler, scaler
 from marketloom.schema import CLUSTERS, COMPONENTS, FEATURES, FIT_DIGITS, FIT_ROWS, SEED
-from marketloom.session import staged, staging
+from marketloom.session import checkpointed, staged, staging
 
 # Column names inside the saved pipelines.
 CLUSTER_COLUMNS = ("features_kmeans", "scaledFeatures_kmeans", "prediction_kmeans")
@@ -50,7 +50,8 @@ def fit_clusters(
     counted first and laid out by value over sorted partitions, as many as the
     number of distinct vectors asks for: the model then depends on the data and
     the seed, not on files or cores, and a hot vector is one weighted row. They
-    are staged meanwhile, as the estimator runs its input more than once.
+    are staged meanwhile, as the estimator runs its input more than once, and the
+    laid-out vectors are checkpointed: some fifty stages go over every partition.
 
     The row solver takes data with fewer distinct points than ``k`` (the block
     solver fails on it) and needs no extra pass to measure sparsity.
@@ -68,7 +69,7 @@ def fit_clusters(
         # Deviations differ in their last digits between layouts, which would decide ties between centres.
         steady = F.transform(vector_to_array(scaled), lambda x: F.round(x, FIT_DIGITS))
         vectors = scale.transform(assemble.transform(laid_out)).select(array_to_vector(steady).alias(scaled), _WEIGHT)
-        return PipelineModel([assemble, scale, kmeans.fit(vectors)])
+        return PipelineModel([assemble, scale, kmeans.fit(checkpointed(vectors))])
 
 
 def fit_projection(

@@ -75,6 +75,21 @@ def staged(df: DataFrame, purpose: str, partition_by: Sequence[str] = ()) -> Dat
     return spark.read.schema(df.schema).parquet(path)
 
 
+def checkpointed(df: DataFrame) -> DataFrame:
+    """``df`` from a checkpoint in the shared folder: the same rows in the same partitions, without the steps before.
+
+    Each task reports every metric of all steps behind it to the driver; for a
+    table that many small tasks run over again and again, this keeps the reports
+    short. The files go with those that ``staged`` writes.
+    """
+    spark = df.sparkSession
+    if not spark.sparkContext.getCheckpointDir():
+        spark.sparkContext.setCheckpointDir(shared_dir(spark, "checkpoints"))
+    cut = df.checkpoint()
+    _held().append(cut._jdf.queryExecution().analyzed().rdd().getCheckpointFile().get())
+    return cut
+
+
 def hand_over(paths: Sequence[str]) -> None:
     """Let folders that were written otherwise go with those that ``staged`` writes."""
     _held().extend(paths)

@@ -1,3 +1,5 @@
+from pathlib import Path
+
 import numpy as np
 import pytest
 from pyspark.ml import PipelineModel
@@ -153,3 +155,25 @@ def test_the_same_model_from_any_layout(spark, monkeypatch):
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", before)
     assert centres[0] == pytest.approx(centres[1]) and centres[0] == pytest.approx(centres[2])
+
+
+def test_the_fit_runs_over_a_checkpoint_of_its_layout(spark, monkeypatch):
+    """Shuffle and sort are not behind every task of every pass; partitions stay, and the files go at the end."""
+    monkeypatch.setattr(models, "FIT_ROWS", 200)
+    seen, fit = {}, models.KMeans.fit
+
+    def watched(self, vectors):
+        rows = vectors.groupBy(F.spark_partition_id()).count().count()
+        # The steps down to the first shuffle, whose metrics each task would send to the driver.
+        lineage = vectors.rdd.toDebugString().decode()
+        seen.update(rows=vectors.count(), partitions=vectors.rdd.getNumPartitions(), filled=rows, lineage=lineage)
+        seen["files"] = vectors._jdf.queryExecution().analyzed().rdd().getCheckpointFile().get()
+        return fit(self, vectors)
+
+    monkeypatch.setattr(models.KMeans, "fit", watched)
+    rows = spark.range(3_000).select(*[(F.hash("id", F.lit(i)) % 97).cast("double").alias(c) for i, c in enumerate(FEATURES)])
+    models.fit_clusters(rows, k=6)
+    assert seen["rows"] == rows.distinct().count() > 2_000
+    assert seen["partitions"] == seen["filled"] == models.fit_partitions(seen["rows"]) > 10
+    assert "ReliableCheckpointRDD" in seen["lineage"] and "ShuffledRowRDD" not in seen["lineage"]
+    assert not Path(seen["files"].removeprefix("file:")).exists()
