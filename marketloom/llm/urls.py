@@ -251,7 +251,9 @@ def _scored(ruled: DataFrame, facts: DataFrame, order: int) -> DataFrame:
             scores.append(apart / (len(text) - 1))
         return rows.drop_columns(["block"]).append_column("score", pa.array(scores, pa.float64()))
 
-    needed = ruled.select("block", "url").mapInArrow(keys, "block long, key string").join(facts, "key")
+    # Spark guesses the grams to be as large as their URLs in files, a hundredth of what they are, and would broadcast them.
+    grams = ruled.select("block", "url").mapInArrow(keys, "block long, key string").hint("merge")
+    needed = grams.join(facts, "key")
     return ruled.groupBy("block").cogroup(needed.groupBy("block")).applyInArrow(score, schema)
 
 

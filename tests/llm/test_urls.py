@@ -125,6 +125,23 @@ def test_models_hold_every_gram(spark, monkeypatch):
     assert len(rows) == len(urls) and all(abs(r.score - w) < 1e-9 for r, w in zip(rows, want, strict=True))
 
 
+def test_grams_are_not_sent_to_the_driver(spark, monkeypatch):
+    """Few URLs are small enough for a broadcast by Spark's guess, their grams are not."""
+    plans, written = {}, urls_module.staged
+
+    def seen(df, purpose):
+        if purpose == "url-scores":
+            df.collect()
+            plans[purpose] = df._jdf.queryExecution().executedPlan().toString()
+        return written(df, purpose)
+
+    monkeypatch.setattr(urls_module, "staged", seen)
+    urls = [f"a://b.{top}/fr/{i}" for i in range(60) for top in ("org", "net")]
+    df = spark.createDataFrame([(i, u, None) for i, u in enumerate(urls)], SCHEMA)
+    assert filter_urls(df, RULES).count() == len(urls)
+    assert "SortMergeJoin" in plans["url-scores"] and "Broadcast" not in plans["url-scores"]
+
+
 def test_no_examples(spark):
     df = spark.createDataFrame([(1, "a://x.com/1", None), (2, None, None)], SCHEMA)
     assert [r.score for r in filter_urls(df, RULES).collect()] == [0.0, 0.0]
